@@ -30,7 +30,7 @@ class DecodeOptions:
                      becoming an error row.
     """
 
-    max_depth: int = 16
+    max_depth: int = 8
     deep_fallback: str = "udf"
     strict_types: bool = False
     allow_empty_keys: bool = False
@@ -74,7 +74,11 @@ class TargetConfig:
 class LookupConfig:
     """Join each record to the JSON file its ``s3_uri`` attribute names.
 
-    path      -- file or directory of JSON files (read again every batch).
+    path      -- file or directory of JSON files (read again every batch), or
+                 of a Parquet table with ``s3_uri, raw_s3_payload`` columns.
+    format    -- "json": JSON-lines files, the URI is the file's name;
+                 "parquet": a prepared lookup table (the scalable choice for
+                 a large store: no per-batch file listing of every file).
     verbatim  -- keep each line's text as is instead of re-serialising it.
     multi     -- "rows": one output row per lookup record (fan-out);
                  "array": all records of a file packed into one JSON array.
@@ -83,12 +87,15 @@ class LookupConfig:
     """
 
     path: str
+    format: str = "json"
     verbatim: bool = False
     multi: str = "rows"
     broadcast: bool = False
 
     def __post_init__(self):
         _require(path=self.path)
+        if self.format not in ("json", "parquet"):
+            raise ValueError("format must be 'json' or 'parquet'")
         if self.multi not in ("rows", "array"):
             raise ValueError("multi must be 'rows' or 'array'")
 

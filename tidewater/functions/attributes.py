@@ -15,8 +15,9 @@ The expression is generated once per option set as SQL text and handed to
 Python-JVM bridge.
 
 Output follows the per-row decoder it replaces: numbers stay JSON strings
-(their text is kept as is), ``", "`` and ``": "`` separators, binary values
-as their base64 text, sets as arrays. Object names come out sorted, because
+(their text is kept as is), ``", "`` and ``": "`` separators. Binary values
+come out as their base64 text and sets as compact arrays of strings (the
+per-row decoder failed on both; ``strict_types`` restores that). Object names come out sorted, because
 VARIANT stores them sorted; that makes the text canonical, which the merge
 relies on when it compares ``keys``.
 
@@ -69,12 +70,6 @@ def quote_sql(name_sql: str) -> str:
     return f"btrim(to_json(array({name_sql})), '[]')"
 
 
-def _set_sql(payload: str, var: str, number: bool) -> str:
-    check = f"to_json({var}) RLIKE {_lit(NUMBER_TEXT)}" if number else f"startswith(to_json({var}), '\"')"
-    items = f"transform(try_variant_get({payload}, '$', 'array<variant>'), {var} -> CASE WHEN {check} THEN to_json({var}) END)"
-    return f"concat('[', array_join({items}, {_lit(ITEM_SEP)}, {_BAD_SQL}), ']')"
-
-
 def _tagged_sql(tag: str, payload: str, depth: int, opts: DecodeOptions) -> str:
     """SQL for the text of one typed value, given its tag and payload."""
     text = f"to_json({payload})"
@@ -87,11 +82,12 @@ def _tagged_sql(tag: str, payload: str, depth: int, opts: DecodeOptions) -> str:
         f"WHEN {tag} = 'NULL' THEN CASE WHEN {text} = 'true' THEN 'null' END",
     ]
     if not opts.strict_types:
-        var = f"s{depth}"
+        # Sets come out as compact JSON arrays of their strings (no lambda,
+        # to keep the expression small; the original decoder rejected sets).
+        is_set = f"schema_of_variant({payload}) IN ('ARRAY<STRING>', 'ARRAY<VOID>')"
         branches += [
             f"WHEN {tag} = 'B' THEN CASE WHEN {is_string} THEN {text} END",
-            f"WHEN {tag} IN ('SS', 'BS') THEN {_set_sql(payload, var, number=False)}",
-            f"WHEN {tag} = 'NS' THEN {_set_sql(payload, var, number=True)}",
+            f"WHEN {tag} IN ('SS', 'NS', 'BS') THEN CASE WHEN {is_set} THEN {text} END",
         ]
     return "CASE " + " ".join(branches) + " END"
 

@@ -10,11 +10,17 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+# Ship this module's code with the UDF, so Python workers need no copy of
+# the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Same number syntax as the native decoder.
 _NUMBER = re.compile(r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?")
 
@@ -23,9 +29,6 @@ class DecodeError(ValueError):
     pass
 
 
-class _Number(str):
-    """Number text, written without quotes by ``dumps`` hook below."""
-
 
 def decode_value(value, strict_types: bool = False):
     """One typed value ``{tag: payload}`` -> plain Python value."""
@@ -47,18 +50,29 @@ def decode_value(value, strict_types: bool = False):
     if not strict_types:
         if tag == "B" and isinstance(payload, str):
             return payload
-        if tag in ("SS", "BS") and isinstance(payload, list) and all(isinstance(x, str) for x in payload):
-            return list(payload)
-        if tag == "NS" and isinstance(payload, list) and all(
-            isinstance(x, str) and _NUMBER.fullmatch(x) for x in payload
-        ):
-            return list(payload)
+        if tag in ("SS", "NS", "BS") and isinstance(payload, list) and all(isinstance(x, str) for x in payload):
+            return _Compact(payload)
     raise DecodeError(f"unsupported typed value with tag {tag!r}")
 
 
+class _Compact(list):
+    """A set: rendered as a compact JSON array, like the native decoder."""
+
+
+def _render(value) -> str:
+    if isinstance(value, _Compact):
+        return json.dumps(list(value), ensure_ascii=False, separators=(",", ":"))
+    if isinstance(value, dict):
+        items = sorted(value.items(), key=lambda kv: kv[0].encode("utf-8"))
+        return "{" + ", ".join(json.dumps(k, ensure_ascii=False) + ": " + _render(v) for k, v in items) + "}"
+    if isinstance(value, list):
+        return "[" + ", ".join(_render(v) for v in value) + "]"
+    return json.dumps(value, ensure_ascii=False)
+
+
 def dumps(value) -> str:
     """Canonical text: sorted names, ``", "`` / ``": "`` separators."""
-    return json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(", ", ": "))
+    return _render(value)
 
 
 def decode_map_text(text: str | None, strict_types: bool = False) -> str | None:

@@ -1,14 +1,16 @@
 """Latest change per key.
 
-``row_number() = 1`` over a window partitioned by ``keys`` is planned by
-Spark as a partial ``WindowGroupLimit`` before the shuffle: every map task
-keeps only its newest row per key, so a key with a huge number of changes
-costs one row per task in the exchange, not all its rows.
-
-Rows without keys (parse errors) are not ranked at all: they would all
-share the one NULL partition and all but one would be lost. They pass
-through unchanged (``collapse_errors=True`` restores the old behaviour of
-keeping one of them).
+``row_number() = 1`` over a window partitioned by the merge key is planned
+by Spark as a partial ``WindowGroupLimit`` before the shuffle: every map
+task keeps only its newest row per key, so a key with a huge number of
+changes costs one row per task in the exchange, not all its rows.
+
+Rows without keys (parse errors) are partitioned by their own fingerprint
+(see ``merge_key``), so they are all kept; ranking them by ``keys`` would
+put them in one NULL partition and keep only one. ``collapse_errors=True``
+restores that old behaviour. There is deliberately no filter on ``keys``
+here: a filter on a decoded column is pushed below the decoding projection
+and would copy the decoder into it.
 """
 
 from __future__ import annotations
@@ -16,19 +18,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.functions.keys import merge_key
+
 TS = "approx_creation_timestamp_millis"
 
 
 def latest_per_key(df: DataFrame, collapse_errors: bool = False) -> DataFrame:
-    """Keep, per ``keys``, the row with the newest timestamp.
+    """Keep, per key, the row with the newest timestamp.
 
     Ties on the timestamp are broken by ``event_id`` (highest wins), so the
     result does not depend on how the input was partitioned.
     """
-    order = Window.partitionBy("keys").orderBy(F.col(TS).desc_nulls_last(), F.col("event_id").desc_nulls_last())
-    keyed = df.filter(F.col("keys").isNotNull())
-    newest = keyed.withColumn("_seq", F.row_number().over(order)).filter(F.col("_seq") == 1).drop("_seq")
-    errors = df.filter(F.col("keys").isNull())
-    if collapse_errors:
-        errors = errors.limit(1)
-    return newest.unionByName(errors)
+    part = F.col("keys") if collapse_errors else merge_key()
+    order = Window.partitionBy(part).orderBy(F.col(TS).desc_nulls_last(), F.col("event_id").desc_nulls_last())
+    return df.withColumn("_seq", F.row_number().over(order)).filter(F.col("_seq") == 1).drop("_seq")
