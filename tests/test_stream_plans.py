@@ -1,5 +1,6 @@
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,10 +57,12 @@ def _plan(df):
 def test_latest_is_limited_before_the_shuffle(spark):
     feed = feeds.change_feed(spark, SF).select("value")
     df = latest_per_key(normalize_changes(feed, opts=DecodeOptions(deep_fallback="error")))
-    plan = df._jdf.queryExecution().sparkPlan().toString()
-    lines = [ln for ln in plan.split("\n") if "WindowGroupLimit" in ln or "Exchange" in ln]
-    assert "WindowGroupLimit" in lines[0]
-    assert any("Partial" in ln for ln in lines) and any("Exchange" in ln for ln in lines)
+    plan = _plan(df)
+    lines = [ln.strip(" +-:") for ln in plan.split("\n") if "WindowGroupLimit" in ln or "Exchange" in ln]
+    # final limit, the shuffle on the window key, then the partial limit below it
+    i = next(n for n, ln in enumerate(lines) if ln.startswith("Exchange hashpartitioning(_w0"))
+    assert lines[i - 1].startswith("WindowGroupLimit") and lines[i - 1].endswith("Final"), lines
+    assert lines[i + 1].startswith("WindowGroupLimit") and lines[i + 1].endswith("Partial"), lines
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
 
 
@@ -67,7 +70,7 @@ def test_decode_is_not_copied_into_filters(spark):
     feed = feeds.change_feed(spark, SF).select("value")
     df = latest_per_key(normalize_changes(feed))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("array(_keys_obj") == 1
+    assert plan.count("array(_keys_txt") == 1
 
 
 def test_target_read_prunes_buckets_and_columns(spark, tmp_dir):
@@ -78,5 +81,5 @@ def test_target_read_prunes_buckets_and_columns(spark, tmp_dir):
                        target, batch_id=0)
     df = read_target(spark, target).filter(F.col("bucket").isin([1, 2])).select("keys")
     plan = _plan(df)
-    assert "PartitionFilters: [isnotnull(bucket" in plan and "bucket IN (1,2)" in plan
+    assert re.search(r"PartitionFilters: \[bucket#\d+ IN \(1,2\)\]", plan), plan
     assert "ReadSchema: struct<keys:string>" in plan

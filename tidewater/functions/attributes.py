@@ -2,24 +2,24 @@
 
 A typed value is a one-key object ``{tag: payload}``; ``M`` holds a map of
 typed values and ``L`` a list of them, so values nest to any depth. Spark has
-no recursive type, so the decoder works on VARIANT values and is unrolled to
-a fixed depth. Every level refers to the next level exactly once: map
-entries and list elements go through the same ``transform`` (list elements
-get a null name), so the expression grows linearly with the depth. Each
-payload is cast straight to a collection of one-entry maps, so a child
-arrives with tag and payload already split and the ``transform`` is the only
-lambda of a level.
+no recursive type, so the decoder is unrolled to a fixed depth and works on
+JSON text: ``from_json`` reads one level into ``map<string,map<string,string>>``
+(name -> tag -> payload), which splits every child into tag and payload, and
+hands nested payloads on as their raw text for the next level. Map entries
+and list elements go through the same ``transform`` (list elements get a
+null name), so every level refers to the next exactly once, the expression
+grows linearly with the depth and holds one lambda per level.
 
 The expression is generated once per option set as SQL text and handed to
 ``F.expr``: one call instead of thousands of Column calls through the
 Python-JVM bridge.
 
-Output follows the per-row decoder it replaces: numbers stay JSON strings
-(their text is kept as is), ``", "`` and ``": "`` separators. Binary values
-come out as their base64 text and sets as compact arrays of strings (the
-per-row decoder failed on both; ``strict_types`` restores that). Object names come out sorted, because
-VARIANT stores them sorted; that makes the text canonical, which the merge
-relies on when it compares ``keys``.
+Output is the text the per-row decoder wrote: attributes in payload order,
+``", "`` and ``": "`` separators, numbers as JSON strings with their text as
+is. Binary values come out as their base64 text and sets as compact arrays
+of strings (the per-row decoder failed on both; ``strict_types`` restores
+that). Non-ASCII characters are written as they are, and control characters
+are escaped with upper-case hex digits.
 
 Failures never disappear silently. A value that cannot be decoded becomes
 SQL NULL, the enclosing ``array_join`` turns that NULL into ``BAD`` and the
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tidewater.config import DecodeOptions
 
-# Markers. Both are control characters, which ``to_json``
+# Markers. Both are control characters, which JSON text
 # always escapes, so they cannot occur in decoded text by accident.
 BAD = "\u0000"
 DEEP = "\u0001"
@@ -47,17 +47,17 @@ _DEEP_SQL = "chr(1)"
 ITEM_SEP = ", "
 NAME_SEP = ": "
 
-# A number payload is a JSON string holding a decimal literal.
-NUMBER_TEXT = r'^"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?"$'
+# The text of a number payload is a decimal literal.
+NUMBER_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 # Tags of scalar values, sets and containers.
 SCALAR_TAGS = ("S", "N", "B", "BOOL", "NULL")
 SET_TAGS = ("SS", "NS", "BS")
 CONTAINER_TAGS = ("M", "L")
 
-_CHILD_MAP = "map<string,map<string,variant>>"
-_CHILD_LIST = "array<map<string,variant>>"
-_CHILDREN = "array<struct<key:string,value:map<string,variant>>>"
+_LEVEL_MAP = "map<string,map<string,string>>"
+_LEVEL_LIST = "array<map<string,string>>"
+_CHILDREN = "array<struct<key:string,value:map<string,string>>>"
 
 
 def _lit(text: str) -> str:
@@ -65,94 +65,113 @@ def _lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def quote_sql(name_sql: str) -> str:
-    """SQL for a string expression as a JSON string literal (quotes, escapes)."""
-    return f"btrim(to_json(array({name_sql})), '[]')"
+def quote_sql(text_sql: str) -> str:
+    """SQL for a string as a JSON string literal (quotes and escapes added)."""
+    return f"btrim(to_json(array({text_sql})), '[]')"
 
 
-def _tagged_sql(tag: str, payload: str, depth: int, opts: DecodeOptions) -> str:
-    """SQL for the text of one typed value, given its tag and payload."""
-    text = f"to_json({payload})"
-    is_string = f"startswith({text}, '\"')"
+def _value_sql(wrapper: str, depth: int, opts: DecodeOptions) -> str:
+    """SQL for the text of one typed value held as ``map<string,string>``."""
+    if depth > opts.max_depth:
+        return _DEEP_SQL
+    tag = f"element_at(map_keys({wrapper}), 1)"
+    val = f"element_at(map_values({wrapper}), 1)"
     branches = [
-        f"WHEN {tag} = 'S' THEN CASE WHEN {is_string} THEN {text} END",
-        f"WHEN {tag} = 'N' THEN CASE WHEN {text} RLIKE {_lit(NUMBER_TEXT)} THEN {text} END",
-        f"WHEN {tag} IN ('M', 'L') THEN {_container_sql(tag, payload, depth, opts)}",
-        f"WHEN {tag} = 'BOOL' THEN CASE WHEN {text} IN ('true', 'false') THEN {text} END",
-        f"WHEN {tag} = 'NULL' THEN CASE WHEN {text} = 'true' THEN 'null' END",
+        f"WHEN size({wrapper}) <> 1 THEN NULL",
+        f"WHEN {tag} = 'S' THEN {quote_sql(val)}",
+        f"WHEN {tag} = 'N' THEN CASE WHEN {val} RLIKE {_lit(NUMBER_TEXT)} THEN {quote_sql(val)} END",
+        f"WHEN {tag} IN ('M', 'L') THEN {_container_sql(tag, val, depth, opts)}",
+        f"WHEN {tag} = 'BOOL' THEN CASE WHEN {val} IN ('true', 'false') THEN {val} END",
+        f"WHEN {tag} = 'NULL' THEN 'null'",
     ]
     if not opts.strict_types:
-        # Sets come out as compact JSON arrays of their strings (no lambda,
-        # to keep the expression small; the original decoder rejected sets).
-        is_set = f"schema_of_variant({payload}) IN ('ARRAY<STRING>', 'ARRAY<VOID>')"
         branches += [
-            f"WHEN {tag} = 'B' THEN CASE WHEN {is_string} THEN {text} END",
-            f"WHEN {tag} IN ('SS', 'NS', 'BS') THEN CASE WHEN {is_set} THEN {text} END",
+            f"WHEN {tag} = 'B' THEN {quote_sql(val)}",
+            f"WHEN {tag} IN ('SS', 'NS', 'BS') THEN CASE WHEN startswith({val}, '[') "
+            f"AND from_json({val}, 'array<string>') IS NOT NULL THEN {val} END",
         ]
     return "CASE " + " ".join(branches) + " END"
 
 
-def _typed_value_sql(wrapper: str, depth: int, opts: DecodeOptions) -> str:
-    """SQL for the text of a typed value held as ``map<string,variant>``."""
-    if depth > opts.max_depth:
-        return _DEEP_SQL
-    tag = f"element_at(map_keys({wrapper}), 1)"
-    payload = f"element_at(map_values({wrapper}), 1)"
-    return f"CASE WHEN size({wrapper}) = 1 THEN {_tagged_sql(tag, payload, depth, opts)} END"
-
-
-def _container_sql(tag: str, payload: str, depth: int, opts: DecodeOptions) -> str:
-    """SQL for the text of an ``M`` (object) or ``L`` (array) payload."""
+def _container_sql(tag: str, text: str, depth: int, opts: DecodeOptions) -> str:
+    """SQL for the text of an ``M`` (object) or ``L`` (array) payload given as JSON text."""
     var = f"c{depth}"
     is_map = f"({tag} = 'M')"
-    as_list = f"try_variant_get({payload}, '$', '{_CHILD_LIST}')"
-    listed = f"cast(arrays_zip(array_repeat(cast(NULL AS STRING), size({as_list})), {as_list}) AS {_CHILDREN})"
-    children = f"CASE WHEN {is_map} THEN map_entries(try_variant_get({payload}, '$', '{_CHILD_MAP}')) ELSE {listed} END"
+    listed = (
+        f"cast(arrays_zip(array_repeat(cast(NULL AS STRING), json_array_length({text})), "
+        f"from_json({text}, '{_LEVEL_LIST}')) AS {_CHILDREN})"
+    )
+    children = f"CASE WHEN {is_map} THEN map_entries(from_json({text}, '{_LEVEL_MAP}')) ELSE {listed} END"
     name = f"CASE WHEN {is_map} THEN concat({quote_sql(var + '.key')}, {_lit(NAME_SEP)}) ELSE '' END"
-    part = f"concat({name}, {_typed_value_sql(var + '.value', depth + 1, opts)})"
-    parts = f"transform({children}, {var} -> {part})"
+    part = f"concat({name}, {_value_sql(var + '.value', depth + 1, opts)})"
     return (
         f"concat(CASE WHEN {is_map} THEN '{{' ELSE '[' END, "
-        f"array_join({parts}, {_lit(ITEM_SEP)}, {_BAD_SQL}), "
+        f"array_join(transform({children}, {var} -> {part}), {_lit(ITEM_SEP)}, {_BAD_SQL}), "
         f"CASE WHEN {is_map} THEN '}}' ELSE ']' END)"
     )
 
 
 @lru_cache(maxsize=64)
-def decode_map_sql(obj_sql: str, opts: DecodeOptions) -> str:
-    """SQL for the text of a VARIANT object whose values are typed values."""
-    return _container_sql("'M'", obj_sql, 0, opts)
+def decode_map_sql(text_sql: str, opts: DecodeOptions) -> str:
+    """SQL for the text of a JSON object of typed values, given as JSON text."""
+    return _container_sql("'M'", text_sql, 0, opts)
 
 
-def decode_map(obj_sql: str, opts: DecodeOptions) -> Column:
-    """Text of a VARIANT object of typed values (an image), given as SQL.
+def decode_map(text_sql: str, opts: DecodeOptions) -> Column:
+    """Decoded text of an object of typed values (an image), given as SQL.
 
     NULL when it is not such an object; may contain ``BAD`` / ``DEEP``.
     """
-    return F.expr(decode_map_sql(obj_sql, opts))
+    return F.expr(decode_map_sql(text_sql, opts))
 
 
 @lru_cache(maxsize=64)
-def decode_maps_sql(obj_sqls: tuple[str, ...], opts: DecodeOptions) -> str:
-    return f"transform(array({', '.join(obj_sqls)}), o -> CASE WHEN o IS NOT NULL THEN {decode_map_sql('o', opts)} END)"
+def decode_maps_sql(text_sqls: tuple[str, ...], opts: DecodeOptions) -> str:
+    return (
+        f"transform(array({', '.join(text_sqls)}), o -> "
+        f"CASE WHEN o IS NOT NULL THEN {decode_map_sql('o', opts)} END)"
+    )
 
 
-def decode_maps(obj_sqls: tuple[str, ...], opts: DecodeOptions) -> Column:
+def decode_maps(text_sqls: tuple[str, ...], opts: DecodeOptions) -> Column:
     """Several images decoded by one instance of the decoder.
 
     Returns an array of texts in the order given; NULL entries stay NULL.
     Planning cost grows with the size of the expression, so keys, new and
     old image share one copy of it instead of three.
     """
-    return F.expr(decode_maps_sql(tuple(obj_sqls), opts))
+    return F.expr(decode_maps_sql(tuple(text_sqls), opts))
+
+
+_BY_NAME = "(l, r) -> CASE WHEN l.key < r.key THEN -1 WHEN l.key > r.key THEN 1 ELSE 0 END"
+
+
+def sorted_object_sql(entries_sql: str) -> str:
+    """JSON text of ``array<struct<key, value:map<string,string>>>`` sorted by name.
+
+    Names are compared as UTF-8 bytes, so the order does not depend on how
+    the record listed them: keys text is canonical.
+    """
+    return f"to_json(map_from_entries(array_sort({entries_sql}, {_BY_NAME})))"
+
+
+def canonical_object(text_sql: str) -> Column:
+    """An object of typed values with its attributes sorted by name (NULL if not an object)."""
+    return F.expr(sorted_object_sql(f"map_entries(from_json({text_sql}, '{_LEVEL_MAP}'))"))
+
+
+def project_names(text_sql: str, names: tuple[str, ...]) -> Column:
+    """The named attributes of an object of typed values, sorted by name, as JSON text."""
+    wanted = ", ".join(_lit(n) for n in names)
+    entries = f"map_entries(map_filter(from_json({text_sql}, '{_LEVEL_MAP}'), (k, v) -> array_contains(array({wanted}), k)))"
+    return F.expr(sorted_object_sql(entries))
 
 
-def project_names(item_sql: str, names: tuple[str, ...]) -> Column:
-    """The named attributes of a VARIANT object, as a VARIANT object."""
+def missing_names(text_sql: str, names: tuple[str, ...]) -> Column:
+    """True when the object lacks one of the names (or is not an object)."""
     wanted = ", ".join(_lit(n) for n in names)
     return F.expr(
-        f"to_variant_object(map_filter(try_variant_get({item_sql}, '$', 'map<string,variant>'), "
-        f"(k, v) -> array_contains(array({wanted}), k)))"
+        f"coalesce(exists(array({wanted}), k -> NOT map_contains_key(from_json({text_sql}, 'map<string,string>'), k)), true)"
     )
 
 

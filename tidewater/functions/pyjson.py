@@ -63,7 +63,7 @@ def _render(value) -> str:
     if isinstance(value, _Compact):
         return json.dumps(list(value), ensure_ascii=False, separators=(",", ":"))
     if isinstance(value, dict):
-        items = sorted(value.items(), key=lambda kv: kv[0].encode("utf-8"))
+        items = value.items()
         return "{" + ", ".join(json.dumps(k, ensure_ascii=False) + ": " + _render(v) for k, v in items) + "}"
     if isinstance(value, list):
         return "[" + ", ".join(_render(v) for v in value) + "]"
@@ -71,7 +71,7 @@ def _render(value) -> str:
 
 
 def dumps(value) -> str:
-    """Canonical text: sorted names, ``", "`` / ``": "`` separators."""
+    """Decoded text: names in payload order, ``", "`` / ``": "`` separators."""
     return _render(value)
 
 

@@ -1,11 +1,14 @@
 """Change records and export records -> decoded fields.
 
-Each record is parsed once into a VARIANT; every field is a path lookup on
-it. The functions here add columns in stages: first the VARIANT objects,
-then one decoder instance for all of a record's images, then the checks
-that read the decoded text. Keeping the stages apart keeps the (large)
-decoder expression out of the checks, so it is planned and run once.
-Nothing here leaves the JVM unless ``deep_fallback="udf"`` is chosen.
+A record is read with ``from_json`` into a fixed struct whose object-valued
+fields are kept as their raw JSON text (exactly what the original jobs'
+envelope parse did); the images are then decoded from that text. The
+functions add columns in stages: first the texts, then one decoder instance
+for all of a record's images, then the checks that read the decoded text.
+Keeping the stages apart keeps the (large) decoder expression out of the
+checks, so it is planned and run once. Nothing here leaves the JVM unless
+a value is nested deeper than the native decoder goes and
+``deep_fallback="udf"``.
 """
 
 from __future__ import annotations
@@ -26,31 +29,59 @@ ERR_TOO_DEEP = "attribute values nested too deeply"
 ERR_NO_ITEM = "missing Item"
 ERR_MISSING_KEY = "missing key attribute"
 
+CORRUPT = "_corrupt_record"
+ENVELOPE = (
+    "struct<awsRegion:string,eventID:string,eventName:string,userIdentity:string,recordFormat:string,"
+    f"tableName:string,dynamodb:string,eventSource:string,{CORRUPT}:string>"
+)
+BODY = (
+    "struct<ApproximateCreationDateTime:decimal(38,6),Keys:string,NewImage:string,"
+    "OldImage:string,SizeBytes:decimal(38,6)>"
+)
+EXPORT = f"struct<Item:string,{CORRUPT}:string>"
+_CORRUPT_OPTS = {"columnNameOfCorruptRecord": CORRUPT}
 
-def parse(text: Column) -> Column:
-    """Record text -> VARIANT; NULL when the text is not a JSON object."""
-    v = F.try_parse_json(text)
-    return F.when(F.try_variant_get(v, "$", "map<string,variant>").isNotNull(), v)
+_INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
-def envelope_field(record: Column, name: str) -> Column:
-    """A top-level field as text (a nested value as compact JSON text)."""
-    value = F.try_variant_get(record, f"$.{name}", "variant")
-    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")).otherwise(
-        F.when(~F.is_variant_null(value), F.to_json(value))
-    )
+def parse_envelope(text: Column) -> Column:
+    """Record text -> struct of the eight envelope fields (+ ``_corrupt_record``)."""
+    return F.from_json(text, ENVELOPE, _CORRUPT_OPTS)
+
+
+def parse_export(text: Column) -> Column:
+    return F.from_json(text, EXPORT, _CORRUPT_OPTS)
+
+
+def malformed(parsed: Column) -> Column:
+    """The record is not a JSON object."""
+    return parsed.isNull() | parsed[CORRUPT].isNotNull()
 
 
-def object_field(record: Column, path: str) -> Column:
-    """A field that must be a JSON object, as VARIANT; NULL otherwise."""
-    value = F.try_variant_get(record, path, "variant")
-    return F.when(F.try_variant_get(value, "$", "map<string,variant>").isNotNull(), value)
+def is_object_text(text: Column) -> Column:
+    return F.coalesce(text.startswith("{"), F.lit(False))
 
 
-def whole_number(record: Column, path: str, type_name: str) -> Column:
-    """An integral JSON number of the given SQL type; NULL if fractional or out of range."""
-    exact = F.try_variant_get(record, path, "decimal(38,6)")
-    return F.when(exact == F.floor(exact), F.try_variant_get(record, path, type_name))
+def whole_number(value: Column, type_name: str) -> Column:
+    """A decimal as an integral SQL number; NULL if fractional or out of range."""
+    ok = value == F.floor(value)
+    if type_name == "int":
+        ok = ok & value.between(_INT_MIN, _INT_MAX)
+    return F.when(ok, value.cast(type_name))
+
+
+def ensure_planner_room(df: DataFrame, opts: DecodeOptions) -> None:
+    """Let the analyzer and optimizer run enough passes for the unrolled decoder.
+
+    Each nested level needs a few resolution passes (its lambda can only be
+    resolved once the level above is), so the default of 100 passes is too
+    few past about a dozen levels. Limits are only ever raised.
+    """
+    need = 100 + 12 * opts.max_depth
+    conf = df.sparkSession.conf
+    for key in ("spark.sql.analyzer.maxIterations", "spark.sql.optimizer.maxIterations"):
+        if int(conf.get(key, "100")) < need:
+            conf.set(key, str(need))
 
 
 def _with_fallback(df: DataFrame, text_col: str, source_col: str, opts: DecodeOptions) -> DataFrame:
@@ -62,7 +93,7 @@ def _with_fallback(df: DataFrame, text_col: str, source_col: str, opts: DecodeOp
     if opts.deep_fallback != "udf":
         return df
     deep = A.has_marker(F.col(text_col), A.DEEP)
-    fixed = deep_image_udf(F.when(deep, F.to_json(F.col(source_col))))
+    fixed = deep_image_udf(F.when(deep, F.col(source_col)))
     return df.withColumn(text_col, F.when(deep, F.coalesce(fixed, F.lit(A.BAD))).otherwise(F.col(text_col)))
 
 
@@ -74,34 +105,37 @@ def _value_problem(texts: list[Column]) -> Column:
 
 
 def decode_change_bodies(df: DataFrame, body_col: str, opts: DecodeOptions) -> DataFrame:
-    """Add ``_ts, _keys, _new, _old, _size, _reason`` for a VARIANT body column.
+    """Add ``_ts, _keys, _new, _old, _size, _reason`` for a column of body texts.
 
     ``_reason`` is NULL for a good record; for a bad one every other added
     field is NULL. An absent image is ``{}``.
     """
-    body = F.col(body_col)
+    ensure_planner_room(df, opts)
+    body_ok = is_object_text(F.col(body_col))
+    b = F.from_json(F.col(body_col), BODY)
     staged = df.select(
         "*",
-        object_field(body, "$.Keys").alias("_keys_obj"),
-        F.try_variant_get(body, "$.Keys", "variant").isNull().alias("_keys_absent"),
-        F.try_variant_get(body, "$.NewImage", "variant").alias("_new_obj"),
-        F.try_variant_get(body, "$.OldImage", "variant").alias("_old_obj"),
-        whole_number(body, "$.ApproximateCreationDateTime", "bigint").alias("_ts0"),
-        whole_number(body, "$.SizeBytes", "int").alias("_size0"),
+        body_ok.alias("_body_ok"),
+        F.when(body_ok, b).alias("_b"),
+    ).select(
+        "*",
+        A.canonical_object("_b.Keys").alias("_keys_txt"),
+        F.col("_b.NewImage").alias("_new_txt"),
+        F.col("_b.OldImage").alias("_old_txt"),
     )
-    decoded = staged.withColumn("_texts", A.decode_maps(("_keys_obj", "_new_obj", "_old_obj"), opts))
+    decoded = staged.withColumn("_texts", A.decode_maps(("_keys_txt", "_new_txt", "_old_txt"), opts))
     decoded = decoded.select(
         "*",
         F.col("_texts")[0].alias("_k"),
         F.col("_texts")[1].alias("_n"),
         F.col("_texts")[2].alias("_o"),
     ).drop("_texts")
-    for text_col, source_col in (("_k", "_keys_obj"), ("_n", "_new_obj"), ("_o", "_old_obj")):
+    for text_col, source_col in (("_k", "_keys_txt"), ("_n", "_new_txt"), ("_o", "_old_txt")):
         decoded = _with_fallback(decoded, text_col, source_col, opts)
-    keys_absent = F.col("_keys_absent") & F.lit(not opts.allow_empty_keys)
-    keys_text = F.when(F.col("_keys_absent"), F.lit("{}")).otherwise(F.coalesce("_k", F.lit(A.BAD)))
-    new_text = F.when(F.col("_new_obj").isNull(), F.lit("{}")).otherwise(F.coalesce("_n", F.lit(A.BAD)))
-    old_text = F.when(F.col("_old_obj").isNull(), F.lit("{}")).otherwise(F.coalesce("_o", F.lit(A.BAD)))
+    keys_absent = F.col("_b.Keys").isNull()
+    keys_text = F.when(keys_absent, F.lit("{}")).otherwise(F.coalesce("_k", F.lit(A.BAD)))
+    new_text = F.when(F.col("_new_txt").isNull(), F.lit("{}")).otherwise(F.coalesce("_n", F.lit(A.BAD)))
+    old_text = F.when(F.col("_old_txt").isNull(), F.lit("{}")).otherwise(F.coalesce("_o", F.lit(A.BAD)))
     checked = decoded.select(
         "*",
         keys_text.alias("_k1"),
@@ -109,8 +143,8 @@ def decode_change_bodies(df: DataFrame, body_col: str, opts: DecodeOptions) -> D
         old_text.alias("_o1"),
     )
     reason = (
-        F.when(body.isNull(), F.lit(ERR_NO_BODY))
-        .when(keys_absent, F.lit(ERR_NO_KEYS))
+        F.when(~F.col("_body_ok"), F.lit(ERR_NO_BODY))
+        .when(keys_absent & F.lit(not opts.allow_empty_keys), F.lit(ERR_NO_KEYS))
         .otherwise(_value_problem([F.col("_k1"), F.col("_n1"), F.col("_o1")]))
     )
     ok = F.col("_reason").isNull()
@@ -118,40 +152,38 @@ def decode_change_bodies(df: DataFrame, body_col: str, opts: DecodeOptions) -> D
         checked.withColumn("_reason", reason)
         .select(
             "*",
-            F.when(ok, F.col("_ts0")).alias("_ts"),
+            F.when(ok, whole_number(F.col("_b.ApproximateCreationDateTime"), "bigint")).alias("_ts"),
             F.when(ok, F.col("_k1")).alias("_keys"),
             F.when(ok, F.col("_n1")).alias("_new"),
             F.when(ok, F.col("_o1")).alias("_old"),
-            F.when(ok, F.col("_size0")).alias("_size"),
+            F.when(ok, whole_number(F.col("_b.SizeBytes"), "int")).alias("_size"),
         )
-        .drop("_keys_obj", "_keys_absent", "_new_obj", "_old_obj", "_ts0", "_size0", "_k", "_n", "_o", "_k1", "_n1", "_o1")
+        .drop("_body_ok", "_b", "_keys_txt", "_new_txt", "_old_txt", "_k", "_n", "_o", "_k1", "_n1", "_o1")
     )
 
 
-def decode_export_items(df: DataFrame, record_col: str, key_names: tuple[str, ...], opts: DecodeOptions) -> DataFrame:
-    """Add ``_keys, _new, _reason`` for a VARIANT export record ``{"Item": {...}}``.
+def decode_export_items(df: DataFrame, item_col: str, key_names: tuple[str, ...], opts: DecodeOptions) -> DataFrame:
+    """Add ``_keys, _new, _reason`` for a column of ``Item`` texts.
 
-    Keys hold the configured attributes only, decoded by the same decoder
-    instance as the item, so they equal keys decoded from change records.
+    Keys hold the configured attributes only, sorted by name and decoded by
+    the same decoder instance as the item, so they equal keys decoded from
+    change records whatever order the names were configured in.
     """
-    rec = F.col(record_col)
-    item = object_field(rec, "$.Item")
-    names = F.array(*[F.lit(k) for k in key_names])
+    ensure_planner_room(df, opts)
+    item = F.col(item_col)
+    item_ok = is_object_text(item)
     staged = df.select(
         "*",
-        item.alias("_item_obj"),
-        F.exists(names, lambda k: ~F.map_contains_key(F.try_variant_get(item, "$", "map<string,variant>"), k)).alias(
-            "_key_missing"
-        ),
+        F.when(item_ok, item).alias("_item_txt"),
+        A.missing_names(item_col, tuple(key_names)).alias("_key_missing"),
+        A.project_names(item_col, tuple(key_names)).alias("_keys_txt"),
     )
-    staged = staged.withColumn("_keys_obj", A.project_names("_item_obj", tuple(key_names)))
-    decoded = staged.withColumn("_texts", A.decode_maps(("_keys_obj", "_item_obj"), opts))
+    decoded = staged.withColumn("_texts", A.decode_maps(("_keys_txt", "_item_txt"), opts))
     decoded = decoded.select("*", F.col("_texts")[0].alias("_k"), F.col("_texts")[1].alias("_n")).drop("_texts")
-    for text_col, source_col in (("_k", "_keys_obj"), ("_n", "_item_obj")):
+    for text_col, source_col in (("_k", "_keys_txt"), ("_n", "_item_txt")):
         decoded = _with_fallback(decoded, text_col, source_col, opts)
     reason = (
-        F.when(rec.isNull(), F.lit(ERR_MALFORMED))
-        .when(F.col("_item_obj").isNull(), F.lit(ERR_NO_ITEM))
+        F.when(F.col("_item_txt").isNull(), F.lit(ERR_NO_ITEM))
         .when(F.col("_key_missing"), F.lit(ERR_MISSING_KEY))
         .otherwise(_value_problem([F.coalesce("_k", F.lit(A.BAD)), F.coalesce("_n", F.lit(A.BAD))]))
     )
@@ -159,7 +191,7 @@ def decode_export_items(df: DataFrame, record_col: str, key_names: tuple[str, ..
     return (
         decoded.withColumn("_reason", reason)
         .select("*", F.when(ok, F.col("_k")).alias("_keys"), F.when(ok, F.col("_n")).alias("_new"))
-        .drop("_item_obj", "_key_missing", "_keys_obj", "_k", "_n")
+        .drop("_item_txt", "_key_missing", "_keys_txt", "_k", "_n")
     )
 
 

@@ -1,7 +1,7 @@
 """Change records / export lines -> target rows (the 12 columns).
 
-Both functions are pure projections: no shuffle, no Python, one JSON parse
-per record. They are safe to run on a stream micro-batch or on a whole
+Both functions are pure projections: no shuffle and no Python on the
+common path. They are safe to run on a stream micro-batch or on a whole
 export.
 """
 
@@ -33,20 +33,19 @@ def normalize_changes(df: DataFrame, column: str | None = None, opts: DecodeOpti
     """
     opts = opts or DecodeOptions()
     raw = single_text_column(df, column)
-    parsed = df.select(raw.alias("raw_payload")).withColumn("_rec", R.parse(F.col("raw_payload")))
-    rec = F.col("_rec")
-    fields = parsed.select(
+    env = df.select(raw.alias("raw_payload")).withColumn("_env", R.parse_envelope(F.col("raw_payload")))
+    fields = env.select(
         "raw_payload",
-        R.envelope_field(rec, "eventID").alias("event_id"),
-        R.envelope_field(rec, "eventName").alias("last_event_name"),
-        R.envelope_field(rec, "tableName").alias("table_name"),
-        rec.isNull().alias("_malformed"),
-        R.object_field(rec, "$.dynamodb").alias("_body"),
+        F.col("_env.eventID").alias("event_id"),
+        F.col("_env.eventName").alias("last_event_name"),
+        F.col("_env.tableName").alias("table_name"),
+        R.malformed(F.col("_env")).alias("_malformed"),
+        F.col("_env.dynamodb").alias("_body"),
     )
     decoded = R.decode_change_bodies(fields, "_body", opts)
     reason = F.when(F.col("_malformed"), F.lit(R.ERR_MALFORMED)).otherwise(F.col("_reason"))
     # The error keeps the text it failed on: the change body, or the whole record.
-    data = F.when(F.col("_body").isNull(), F.col("raw_payload")).otherwise(F.to_json(F.col("_body")))
+    data = F.when(F.col("_malformed") | F.col("_body").isNull(), F.col("raw_payload")).otherwise(F.col("_body"))
     with_error = decoded.withColumn("error", R.error_json(reason, data))
     return with_error.select(
         "event_id",
@@ -88,9 +87,11 @@ def normalize_export(
         if load_time_millis is not None
         else (F.unix_timestamp(F.current_timestamp()) * 1000).cast("bigint")
     )
-    parsed = df.select(raw.alias("raw_payload")).withColumn("_rec", R.parse(F.col("raw_payload")))
-    decoded = R.decode_export_items(parsed, "_rec", tuple(key_names), opts)
-    with_error = decoded.withColumn("error", R.error_json(F.col("_reason"), F.col("raw_payload")))
+    env = df.select(raw.alias("raw_payload")).withColumn("_env", R.parse_export(F.col("raw_payload")))
+    items = env.select("raw_payload", R.malformed(F.col("_env")).alias("_malformed"), F.col("_env.Item").alias("_item"))
+    decoded = R.decode_export_items(items, "_item", tuple(key_names), opts)
+    reason = F.when(F.col("_malformed"), F.lit(R.ERR_MALFORMED)).otherwise(F.col("_reason"))
+    with_error = decoded.withColumn("error", R.error_json(reason, F.col("raw_payload")))
     return with_error.select(
         F.lit(run_id).cast("string").alias("event_id"),
         F.lit(EVENT_BULK_LOAD).alias("last_event_name"),

@@ -43,7 +43,7 @@ from tidewater.session import checkpoint_dir
 TS = "approx_creation_timestamp_millis"
 MK = "_mk"
 BUCKET = "bucket"
-META = "_tidewater_meta"
+LAYOUT_PREFIX = "_tidewater_buckets="
 
 
 def stored_schema(with_lookup: bool) -> StructType:
@@ -67,6 +67,30 @@ def remove_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def _child_names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(p)]
+
+
+def written_buckets(spark: SparkSession, path: str) -> list[int]:
+    """Bucket ids of a folder written partitioned by bucket (from its folder names).
+
+    At most ``buckets`` names, read from the file system listing; no job runs.
+    """
+    prefix = f"{BUCKET}="
+    return sorted(int(n[len(prefix):]) for n in _child_names(spark, path) if n.startswith(prefix))
+
+
+def stored_buckets(spark: SparkSession, path: str) -> int | None:
+    """The bucket count recorded in the target folder, if it has been created."""
+    for name in _child_names(spark, path):
+        if name.startswith(LAYOUT_PREFIX):
+            return int(name[len(LAYOUT_PREFIX):])
+    return None
+
+
 def _work_root(spark: SparkSession, target: TargetConfig) -> str:
     tag = hashlib.sha1((target.path or target.table or "").encode("utf-8")).hexdigest()[:16]
     return f"{checkpoint_dir(spark)}/tidewater-upsert/{tag}"
@@ -75,22 +99,20 @@ def _work_root(spark: SparkSession, target: TargetConfig) -> str:
 def read_target(spark: SparkSession, target: TargetConfig) -> DataFrame:
     """The stored target (with its ``bucket`` column); empty if not created yet."""
     schema = stored_schema(target.with_lookup)
-    if not path_exists(spark, target.path) or not path_exists(spark, f"{target.path}/{META}"):
+    if stored_buckets(spark, target.path) is None:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(target.path)
 
 
 def _check_layout(spark: SparkSession, target: TargetConfig) -> None:
-    """Create the layout record on first use; refuse a different bucket count later."""
-    meta = f"{target.path}/{META}"
-    if path_exists(spark, meta):
-        stored = spark.read.json(meta).first()
-        if stored is not None and int(stored["buckets"]) != target.buckets:
-            raise ValueError(f"target {target.path} has {stored['buckets']} buckets, not {target.buckets}")
-        return
-    spark.createDataFrame([(target.buckets, target.with_lookup)], "buckets int, with_lookup boolean").coalesce(
-        1
-    ).write.mode("overwrite").json(meta)
+    """Record the bucket count on first use (a marker folder, which readers
+    ignore because of its leading underscore); refuse a different count later."""
+    stored = stored_buckets(spark, target.path)
+    if stored is None:
+        fs, p = _fs_path(spark, f"{target.path}/{LAYOUT_PREFIX}{target.buckets}")
+        fs.mkdirs(p)
+    elif stored != target.buckets:
+        raise ValueError(f"target {target.path} has {stored} buckets, not {target.buckets}")
 
 
 def check_unique_keys(staged: DataFrame) -> None:
@@ -138,8 +160,15 @@ def upsert(
     target: TargetConfig,
     batch_id: int | str | None = None,
     run_key: str = "default",
+    check_unique: bool | None = None,
 ) -> None:
-    """Merge ``batch`` (target columns, at most one row per key) into the target."""
+    """Merge ``batch`` (target columns, at most one row per key) into the target.
+
+    ``check_unique`` (default: the target's setting) fails the batch when it
+    holds two rows for one key; callers whose batch comes straight from
+    ``latest_per_key`` can skip that extra pass.
+    """
+    check_unique = target.check_unique if check_unique is None else check_unique
     columns = [f.name for f in target_schema(target.with_lookup).fields]
     batch = batch.select(*columns)
     if target.table:
@@ -152,9 +181,9 @@ def upsert(
         staged_out = batch.withColumn(MK, merge_key()).withColumn(BUCKET, bucket_of(F.col(MK), target.buckets))
         _write_buckets(staged_out.select(*columns, MK, BUCKET), staging)
         staged = spark.read.parquet(staging)
-        if target.check_unique:
+        if check_unique:
             check_unique_keys(staged)
-        touched = sorted(r[BUCKET] for r in staged.select(BUCKET).distinct().collect())
+        touched = written_buckets(spark, staging)
         if not touched:
             remove_path(spark, work)
             return

@@ -40,4 +40,7 @@ def apply_change_batch(
 ) -> None:
     """One micro-batch of change records into the target."""
     staged = stage_changes(spark, records, lookup, decode, collapse_errors)
-    upsert(spark, staged, target, batch_id=batch_id, run_key=run_key)
+    # Latest-per-key output holds each key once; only a lookup in "rows"
+    # mode can repeat a key, so only then is the duplicate check needed.
+    fan_out = lookup is not None and lookup.multi == "rows"
+    upsert(spark, staged, target, batch_id=batch_id, run_key=run_key, check_unique=target.check_unique and fan_out)

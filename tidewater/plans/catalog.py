@@ -97,7 +97,7 @@ def _upsert_batches(spark: SparkSession, sf_dir: str, order: tuple[int, ...], gu
     target = TargetConfig(path=scratch_path(spark, "queries", name), buckets=QUERY_BUCKETS, order_guard=guard)
     batches = feeds.change_batches(spark, sf_dir)
     for i in order:
-        upsert(spark, stage_changes(spark, batches[i - 1]), target, batch_id=i)
+        upsert(spark, stage_changes(spark, batches[i - 1]), target, batch_id=i, check_unique=False)
     return read_target(spark, target)
 
 

@@ -30,6 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a generated feed over the session's cores.
+
+    A real change stream arrives in many shards and an export in many files;
+    the given tables are single small files, which Spark reads as one task.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def _n(value: Column) -> Column:
     return F.struct(value.cast("string").alias("N"))
 
@@ -102,7 +111,7 @@ def change_record(events: DataFrame, s3_uri: Column | None = None) -> Column:
 
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value`` (record text) and ``ts`` of every event."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"), "event_id")
     return ev.select(change_record(ev).alias("value"), "ts")
 
 
@@ -121,7 +130,7 @@ def change_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 def broken_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed with every 97th record broken: cut short, an unknown tag, or no Keys."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"), "event_id")
     text = change_record(ev)
     kind = F.floor(F.col("event_id") / BREAK_EVERY) % 3
     broken = (
@@ -158,7 +167,7 @@ def page_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as table-export lines ``{"Item": {...}}``."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     item = F.struct(
         _n(F.col("o_orderkey")).alias("o_orderkey"),
         _n(F.col("o_custkey")).alias("o_custkey"),
