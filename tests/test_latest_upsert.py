@@ -144,3 +144,34 @@ def test_soft_delete_reader(spark, tmp_dir):
     target = TargetConfig(path=f"{tmp_dir}/target", buckets=2)
     apply_change_batch(spark, frame(spark, [change("a", 1, "e1"), change("b", 1, "e2", "REMOVE")]), target, batch_id=0)
     assert [r["keys"] for r in live_rows(read_target(spark, target)).collect()] == ['{"id": "a"}']
+
+
+def _deep(depth, leaf):
+    value = {"S": leaf}
+    for i in range(depth):
+        value = {"M": {"m": value}} if i % 2 else {"L": [value]}
+    return value
+
+
+def test_deep_rows_are_ranked_then_repaired(spark, tmp_dir):
+    from tidewater.config import DecodeOptions
+    from tidewater.functions.pyjson import decode_map_text
+
+    deep_img = {"id": {"S": "a"}, "d": _deep(12, "x")}
+    texts = [
+        change("a", 1, "e1"),
+        record({"ApproximateCreationDateTime": 2, "Keys": {"id": {"S": "a"}}, "NewImage": deep_img}, event_id="e2"),
+        record({"ApproximateCreationDateTime": 3, "Keys": {"id": {"S": "b"}},
+                "NewImage": {"d": _deep(12, "y"), "bad": {"Q": "1"}}}, event_id="e3"),
+    ]
+    # without an upsert: the deep row keeps keys and timestamp and is flagged
+    rows = {r["event_id"]: r for r in normalize_changes(frame(spark, texts)).collect()}
+    assert rows["e2"]["keys"] == '{"id": "a"}' and rows["e2"]["approx_creation_timestamp_millis"] == 2
+    assert json.loads(rows["e2"]["error"])["error"] == "attribute values nested too deeply"
+    # through the upsert: ranked as the latest of "a", then decoded in Python
+    target = TargetConfig(path=f"{tmp_dir}/t", buckets=2)
+    apply_change_batch(spark, frame(spark, texts), target, batch_id=0, decode=DecodeOptions(max_depth=4))
+    out = {r["event_id"]: r for r in read_target(spark, target).collect()}
+    assert set(out) == {"e2", "e3"}
+    assert out["e2"]["error"] is None and out["e2"]["new_image"] == decode_map_text(json.dumps(deep_img))
+    assert out["e3"]["has_parsing_error"] and out["e3"]["keys"] is None

@@ -22,8 +22,13 @@ class DecodeOptions:
 
     max_depth     -- nesting levels decoded by the native expression; deeper
                      values go to ``deep_fallback``.
-    deep_fallback -- "udf": decode the few deeper rows with an Arrow UDF;
-                     "error": turn them into error rows.
+    deep_fallback -- "repair" (default): such a row keeps its keys and
+                     timestamp, so it is ranked like any other; once the
+                     batch is staged, only those rows are decoded again in
+                     Python (an Arrow UDF) and written back. Without an
+                     upsert they stay flagged with the "nested too deeply"
+                     error. "udf": an Arrow UDF inline in the plan (every
+                     row passes through it). "error": error rows.
     strict_types  -- binary values and sets become error rows (as the
                      original per-row decoder did) instead of text/arrays.
     allow_empty_keys -- a change without ``Keys`` gets keys ``{}`` instead of
@@ -31,15 +36,15 @@ class DecodeOptions:
     """
 
     max_depth: int = 8
-    deep_fallback: str = "udf"
+    deep_fallback: str = "repair"
     strict_types: bool = False
     allow_empty_keys: bool = False
 
     def __post_init__(self):
         if not 1 <= self.max_depth <= 64:
             raise ValueError("max_depth must be between 1 and 64")
-        if self.deep_fallback not in ("udf", "error"):
-            raise ValueError("deep_fallback must be 'udf' or 'error'")
+        if self.deep_fallback not in ("repair", "udf", "error"):
+            raise ValueError("deep_fallback must be 'repair', 'udf' or 'error'")
 
 
 @dataclass(frozen=True)

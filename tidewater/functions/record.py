@@ -6,9 +6,9 @@ envelope parse did); the images are then decoded from that text. The
 functions add columns in stages: first the texts, then one decoder instance
 for all of a record's images, then the checks that read the decoded text.
 Keeping the stages apart keeps the (large) decoder expression out of the
-checks, so it is planned and run once. Nothing here leaves the JVM unless
-a value is nested deeper than the native decoder goes and
-``deep_fallback="udf"``.
+checks, so it is planned and run once. Nothing here leaves the JVM except
+``repair_deep``, which re-decodes in Python only the rows whose values are
+nested deeper than the native decoder goes.
 """
 
 from __future__ import annotations
@@ -148,15 +148,18 @@ def decode_change_bodies(df: DataFrame, body_col: str, opts: DecodeOptions) -> D
         .otherwise(_value_problem([F.col("_k1"), F.col("_n1"), F.col("_o1")]))
     )
     ok = F.col("_reason").isNull()
+    # A row that is only too deep keeps keys, timestamp and size, so it is
+    # ranked like any other; its images are filled in by ``repair_deep``.
+    keep = ok | (F.col("_reason") == ERR_TOO_DEEP) & F.lit(opts.deep_fallback == "repair")
     return (
         checked.withColumn("_reason", reason)
         .select(
             "*",
-            F.when(ok, whole_number(F.col("_b.ApproximateCreationDateTime"), "bigint")).alias("_ts"),
-            F.when(ok, F.col("_k1")).alias("_keys"),
+            F.when(keep, whole_number(F.col("_b.ApproximateCreationDateTime"), "bigint")).alias("_ts"),
+            F.when(keep, F.col("_k1")).alias("_keys"),
             F.when(ok, F.col("_n1")).alias("_new"),
             F.when(ok, F.col("_o1")).alias("_old"),
-            F.when(ok, whole_number(F.col("_b.SizeBytes"), "int")).alias("_size"),
+            F.when(keep, whole_number(F.col("_b.SizeBytes"), "int")).alias("_size"),
         )
         .drop("_body_ok", "_b", "_keys_txt", "_new_txt", "_old_txt", "_k", "_n", "_o", "_k1", "_n1", "_o1")
     )
@@ -188,13 +191,55 @@ def decode_export_items(df: DataFrame, item_col: str, key_names: tuple[str, ...]
         .otherwise(_value_problem([F.coalesce("_k", F.lit(A.BAD)), F.coalesce("_n", F.lit(A.BAD))]))
     )
     ok = F.col("_reason").isNull()
+    keep = ok | (F.col("_reason") == ERR_TOO_DEEP) & F.lit(opts.deep_fallback == "repair")
     return (
         decoded.withColumn("_reason", reason)
-        .select("*", F.when(ok, F.col("_k")).alias("_keys"), F.when(ok, F.col("_n")).alias("_new"))
+        .select("*", F.when(keep, F.col("_k")).alias("_keys"), F.when(ok, F.col("_n")).alias("_new"))
         .drop("_item_txt", "_key_missing", "_keys_txt", "_k", "_n")
     )
 
 
+def is_too_deep(error: Column) -> Column:
+    """The row's only problem was nesting deeper than the native decoder goes."""
+    return F.coalesce(F.get_json_object(error, "$.error") == ERR_TOO_DEEP, F.lit(False))
+
+
+def repair_deep(df: DataFrame, export: bool = False) -> DataFrame:
+    """Decode, in Python, the images of rows the native decoder found too deep.
+
+    Meant for the few such rows of a staged batch: the images are read
+    again from ``raw_payload`` and decoded by the Arrow UDF. A row that is
+    still not decodable becomes an ordinary error row (keys NULL).
+    """
+    if export:
+        item = parse_export(F.col("raw_payload"))["Item"]
+        new_src, old_src = item, F.lit(None).cast("string")
+    else:
+        body = F.from_json(parse_envelope(F.col("raw_payload"))["dynamodb"], BODY)
+        new_src, old_src = body["NewImage"], body["OldImage"]
+    texts = df.select("*", new_src.alias("_new_src"), old_src.alias("_old_src"))
+    texts = texts.select(
+        "*",
+        F.when(F.col("_new_src").isNull(), F.lit("{}")).otherwise(deep_image_udf(F.col("_new_src"))).alias("_n"),
+        F.when(F.col("_old_src").isNull(), F.lit("{}")).otherwise(deep_image_udf(F.col("_old_src"))).alias("_o"),
+    )
+    good = F.col("_n").isNotNull() & F.col("_o").isNotNull()
+    data = F.get_json_object("error", "$.data")
+    still_bad = error_json(F.lit(ERR_BAD_VALUE), data)
+    out = texts.select(
+        *[c for c in df.columns if c not in ("keys", "new_image", "old_image", "error", "has_parsing_error",
+                                             "approx_creation_timestamp_millis", "raw_payload_size_bytes")],
+        F.when(good, F.col("keys")).alias("keys"),
+        F.when(good, F.col("_n")).alias("new_image"),
+        F.when(good, F.when(F.lit(export), F.lit("{}")).otherwise(F.col("_o"))).alias("old_image"),
+        F.when(~good, still_bad).alias("error"),
+        (~good).alias("has_parsing_error"),
+        F.when(good | F.lit(export), F.col("approx_creation_timestamp_millis")).alias("approx_creation_timestamp_millis"),
+        F.when(good | F.lit(export), F.col("raw_payload_size_bytes")).alias("raw_payload_size_bytes"),
+    )
+    return out.select(*df.columns)
+
+
 def error_json(reason: Column, data: Column) -> Column:
     """``{"error": reason, "data": text}`` or NULL when there is no error."""
     return F.when(reason.isNotNull(), F.to_json(F.struct(reason.alias("error"), data.alias("data"))))

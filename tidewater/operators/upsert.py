@@ -37,6 +37,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidewater.config import TargetConfig
 from tidewater.functions.keys import bucket_of, merge_key
+from tidewater.functions.record import is_too_deep
 from tidewater.schemas import target_schema
 from tidewater.session import checkpoint_dir
 
@@ -161,12 +162,15 @@ def upsert(
     batch_id: int | str | None = None,
     run_key: str = "default",
     check_unique: bool | None = None,
+    repair=None,
 ) -> None:
     """Merge ``batch`` (target columns, at most one row per key) into the target.
 
     ``check_unique`` (default: the target's setting) fails the batch when it
     holds two rows for one key; callers whose batch comes straight from
-    ``latest_per_key`` can skip that extra pass.
+    ``latest_per_key`` can skip that extra pass. ``repair`` (a function of
+    a DataFrame) re-decodes the staged rows the native decoder found nested
+    too deeply; it runs only when such rows exist.
     """
     check_unique = target.check_unique if check_unique is None else check_unique
     columns = [f.name for f in target_schema(target.with_lookup).fields]
@@ -181,12 +185,22 @@ def upsert(
         staged_out = batch.withColumn(MK, merge_key()).withColumn(BUCKET, bucket_of(F.col(MK), target.buckets))
         _write_buckets(staged_out.select(*columns, MK, BUCKET), staging)
         staged = spark.read.parquet(staging)
+        if repair is not None:
+            staged, repaired = _repair_staged(spark, staged, repair, columns, target, f"{work}/staging-repaired")
+            staging = repaired or staging
         if check_unique:
             check_unique_keys(staged)
         touched = written_buckets(spark, staging)
         if not touched:
             remove_path(spark, work)
             return
+        if not written_buckets(spark, target.path):
+            # First load into an empty target: nothing to merge with, so the
+            # staged rows go straight in (a crash here is repaired by a
+            # replay, which then merges with whatever was written).
+            _write_buckets(spark.read.parquet(staging).select(*columns, BUCKET), target.path)
+            remove_path(spark, work)
+            return
         old = read_target(spark, target).filter(F.col(BUCKET).isin(touched)).withColumn(MK, merge_key())
         result = _merge_rows(old, staged, target.order_guard)
         _write_buckets(result.select(*columns, BUCKET), merged)
@@ -194,6 +208,18 @@ def upsert(
     remove_path(spark, work)
 
 
+def _repair_staged(spark, staged, repair, columns, target, path):
+    """Rewrite the staging folder with the too-deep rows decoded again."""
+    deep = is_too_deep(F.col("error")) & F.col("keys").isNotNull()
+    if staged.filter(deep).select("keys").isEmpty():
+        return staged, None
+    fixed = repair(staged.filter(deep).select(*columns))
+    fixed = fixed.withColumn(MK, merge_key()).withColumn(BUCKET, bucket_of(F.col(MK), target.buckets))
+    rest = staged.filter(~deep)
+    _write_buckets(rest.unionByName(fixed.select(*columns, MK, BUCKET)), path)
+    return spark.read.parquet(path), path
+
+
 def _merge_into_table(batch: DataFrame, target: TargetConfig) -> None:
     """MERGE INTO a row-level catalog table (lake formats); same semantics."""
     source = batch.alias("s")

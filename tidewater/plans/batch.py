@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.config import DecodeOptions, LookupConfig, TargetConfig
+from tidewater.functions.record import repair_deep
 from tidewater.operators.enrich import enrich
 from tidewater.operators.latest import latest_per_key
 from tidewater.operators.normalize import normalize_changes
@@ -43,4 +44,19 @@ def apply_change_batch(
     # Latest-per-key output holds each key once; only a lookup in "rows"
     # mode can repeat a key, so only then is the duplicate check needed.
     fan_out = lookup is not None and lookup.multi == "rows"
-    upsert(spark, staged, target, batch_id=batch_id, run_key=run_key, check_unique=target.check_unique and fan_out)
+    upsert(
+        spark,
+        staged,
+        target,
+        batch_id=batch_id,
+        run_key=run_key,
+        check_unique=target.check_unique and fan_out,
+        repair=deep_repair(decode),
+    )
+
+
+def deep_repair(decode: DecodeOptions | None, export: bool = False):
+    """The staging repair step for ``deep_fallback="repair"`` (the default)."""
+    if (decode or DecodeOptions()).deep_fallback != "repair":
+        return None
+    return lambda df: repair_deep(df, export=export)

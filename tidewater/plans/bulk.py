@@ -8,6 +8,7 @@ from tidewater.config import BulkConfig
 from tidewater.operators.enrich import enrich
 from tidewater.operators.normalize import normalize_export
 from tidewater.operators.upsert import upsert
+from tidewater.plans.batch import deep_repair
 from tidewater.session import apply_job_conf
 from tidewater.sources.changes import read_export
 from tidewater.sources.lookup import read_lookup
@@ -25,4 +26,11 @@ def bulk_rows(spark: SparkSession, cfg: BulkConfig, lines: DataFrame | None = No
 def run_bulk(spark: SparkSession, cfg: BulkConfig, lines: DataFrame | None = None) -> None:
     """Load the export and upsert it; the run id names the batch, so a rerun is safe."""
     apply_job_conf(spark)
-    upsert(spark, bulk_rows(spark, cfg, lines), cfg.target, batch_id=cfg.run_id, run_key="bulk")
+    upsert(
+        spark,
+        bulk_rows(spark, cfg, lines),
+        cfg.target,
+        batch_id=cfg.run_id,
+        run_key="bulk",
+        repair=deep_repair(cfg.decode, export=True),
+    )

@@ -18,7 +18,7 @@ from tidewater.operators.normalize import normalize_changes
 from tidewater.operators.upsert import live_rows, read_target, upsert
 from tidewater.operators.views import typed_view
 from tidewater.plans import feeds
-from tidewater.plans.batch import stage_changes
+from tidewater.plans.batch import deep_repair, stage_changes
 from tidewater.plans.bulk import run_bulk
 from tidewater.session import apply_job_conf, scratch_path
 from tidewater.sinks.changelog import write_change_log
@@ -97,7 +97,8 @@ def _upsert_batches(spark: SparkSession, sf_dir: str, order: tuple[int, ...], gu
     target = TargetConfig(path=scratch_path(spark, "queries", name), buckets=QUERY_BUCKETS, order_guard=guard)
     batches = feeds.change_batches(spark, sf_dir)
     for i in order:
-        upsert(spark, stage_changes(spark, batches[i - 1]), target, batch_id=i, check_unique=False)
+        staged = stage_changes(spark, batches[i - 1])
+        upsert(spark, staged, target, batch_id=i, check_unique=False, repair=deep_repair(None))
     return read_target(spark, target)
 
 
