@@ -122,3 +122,29 @@ def test_config_checks():
         LookupConfig(path="/x", multi="many")
     with pytest.raises(ValueError):
         DecodeOptions(deep_fallback="drop")
+
+
+def test_command_line_accepts_original_parameter_names():
+    from tidewater.jobs import configs
+
+    job, cfg = configs(["bulk", "--S3DynamoDbExportPath", "/e", "--DynamoDbTableName", "t",
+                        "--DynamoDbTableKeys", " pk , sk ", "--JOB_RUN_ID", "r", "--target-path", "/x",
+                        "--S3JoinPath", "/lk"])
+    assert job == "bulk" and cfg.key_names == ("pk", "sk") and cfg.data_path == "/e/data/"
+    assert cfg.lookup.path == "/lk" and cfg.target.with_lookup
+    job, cfg = configs(["stream", "--source-format", "kafka", "--source-option", "subscribe=c",
+                        "--TempDir", "/tmp/x", "--target-path", "/t"])
+    assert cfg.source_options == {"subscribe": "c"} and cfg.checkpoint_location == "/tmp/x/checkpoint"
+    with pytest.raises(ValueError):
+        configs(["stream", "--source-format", "kafka", "--source-option", "bad", "--TempDir", "/c", "--target-path", "/t"])
+
+
+def test_broadcast_only_within_size_bound(spark, tmp_dir):
+    from tidewater.sources.lookup import lookup_bytes, may_broadcast
+
+    write_lookup(f"{tmp_dir}/lk", {"a.json": [{"x": "y" * 100}]})
+    size = lookup_bytes(spark, f"{tmp_dir}/lk")
+    assert size > 100
+    assert may_broadcast(spark, LookupConfig(path=f"{tmp_dir}/lk", broadcast=True, broadcast_limit_bytes=size))
+    assert not may_broadcast(spark, LookupConfig(path=f"{tmp_dir}/lk", broadcast=True, broadcast_limit_bytes=size - 1))
+    assert not may_broadcast(spark, LookupConfig(path=f"{tmp_dir}/lk"))

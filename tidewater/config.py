@@ -87,8 +87,10 @@ class LookupConfig:
     verbatim  -- keep each line's text as is instead of re-serialising it.
     multi     -- "rows": one output row per lookup record (fan-out);
                  "array": all records of a file packed into one JSON array.
-    broadcast -- hint the lookup side as broadcast; only for lookups whose
-                 size is known to be small. Otherwise AQE decides by size.
+    broadcast -- hint the lookup side as broadcast, but only while the
+                 lookup's files add up to at most ``broadcast_limit_bytes``
+                 (checked every batch from the file system); above that,
+                 and without the flag, AQE decides by measured size.
     """
 
     path: str
@@ -96,6 +98,7 @@ class LookupConfig:
     verbatim: bool = False
     multi: str = "rows"
     broadcast: bool = False
+    broadcast_limit_bytes: int = 64 * 1024 * 1024
 
     def __post_init__(self):
         _require(path=self.path)

@@ -34,8 +34,8 @@ def enrich(changes: DataFrame, lookup: DataFrame, multi: str = "rows", broadcast
     The join strategy is left to AQE: a lookup under the broadcast
     threshold (by its measured size) is broadcast, a larger one is
     shuffled, and a hot URI is split by the skew-join handling.
-    ``broadcast=True`` forces the hint and is meant for lookups whose size
-    is known to be small.
+    ``broadcast=True`` adds the hint; the jobs pass it only after checking
+    the lookup's size on disk against ``LookupConfig.broadcast_limit_bytes``.
     """
     right = pack_lookup(lookup) if multi == "array" else lookup.select("s3_uri", "raw_s3_payload")
     right = right.select(F.col("s3_uri").alias("_lookup_uri"), F.col("raw_s3_payload"))

@@ -10,7 +10,7 @@ from tidewater.operators.enrich import enrich
 from tidewater.operators.latest import latest_per_key
 from tidewater.operators.normalize import normalize_changes
 from tidewater.operators.upsert import upsert
-from tidewater.sources.lookup import read_lookup
+from tidewater.sources.lookup import may_broadcast, read_lookup
 
 
 def stage_changes(
@@ -25,7 +25,7 @@ def stage_changes(
     rows = latest_per_key(normalize_changes(records, column, decode), collapse_errors=collapse_errors)
     if lookup is not None:
         # Read inside the batch, so files added since the last batch are seen.
-        rows = enrich(rows, read_lookup(spark, lookup), lookup.multi, lookup.broadcast)
+        rows = enrich(rows, read_lookup(spark, lookup), lookup.multi, may_broadcast(spark, lookup))
     return rows
 
 

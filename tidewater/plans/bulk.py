@@ -11,7 +11,7 @@ from tidewater.operators.upsert import upsert
 from tidewater.plans.batch import deep_repair
 from tidewater.session import apply_job_conf
 from tidewater.sources.changes import read_export
-from tidewater.sources.lookup import read_lookup
+from tidewater.sources.lookup import may_broadcast, read_lookup
 
 
 def bulk_rows(spark: SparkSession, cfg: BulkConfig, lines: DataFrame | None = None) -> DataFrame:
@@ -19,7 +19,7 @@ def bulk_rows(spark: SparkSession, cfg: BulkConfig, lines: DataFrame | None = No
     lines = read_export(spark, cfg) if lines is None else lines
     rows = normalize_export(lines, cfg.key_names, cfg.table_name, cfg.run_id, cfg.load_time_millis, opts=cfg.decode)
     if cfg.lookup is not None:
-        rows = enrich(rows, read_lookup(spark, cfg.lookup), cfg.lookup.multi, cfg.lookup.broadcast)
+        rows = enrich(rows, read_lookup(spark, cfg.lookup), cfg.lookup.multi, may_broadcast(spark, cfg.lookup))
     return rows
 
 

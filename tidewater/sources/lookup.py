@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from tidewater.config import LookupConfig
 
 
+def lookup_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (from the file system, no job)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def may_broadcast(spark: SparkSession, cfg: LookupConfig) -> bool:
+    """Broadcast only a lookup whose size on disk is within the configured bound."""
+    return cfg.broadcast and lookup_bytes(spark, cfg.path) <= cfg.broadcast_limit_bytes
+
+
 def read_lookup(spark: SparkSession, cfg: LookupConfig) -> DataFrame:
     """``(s3_uri, raw_s3_payload)`` rows, one per lookup record.
 
