@@ -175,3 +175,13 @@ def test_deep_rows_are_ranked_then_repaired(spark, tmp_dir):
     assert set(out) == {"e2", "e3"}
     assert out["e2"]["error"] is None and out["e2"]["new_image"] == decode_map_text(json.dumps(deep_img))
     assert out["e3"]["has_parsing_error"] and out["e3"]["keys"] is None
+
+
+def test_register_target_for_sql(spark, tmp_dir):
+    from tidewater.operators.upsert import register_target
+
+    target = TargetConfig(path=f"{tmp_dir}/t", buckets=2)
+    apply_change_batch(spark, frame(spark, [change("a", 1, "e1"), change("b", 1, "e2")]), target, batch_id=0)
+    register_target(spark, "cdc_target_test", target)
+    assert spark.sql("SELECT count(*) AS n FROM cdc_target_test WHERE NOT is_deleted").first()["n"] == 2
+    spark.sql("DROP TABLE cdc_target_test")

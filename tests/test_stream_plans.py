@@ -84,3 +84,20 @@ def test_target_read_prunes_buckets_and_columns(spark, tmp_dir):
     plan = _plan(df)
     assert re.search(r"PartitionFilters: \[bucket#\d+ IN \(1,2\)\]", plan), plan
     assert "ReadSchema: struct<keys:string>" in plan
+
+
+def test_stream_over_same_files_twice_leaves_target_unchanged(spark, tmp_dir):
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    with open(f"{src}/1.txt", "w") as f:
+        f.write("\n".join([change("a", 1, "e1"), change("a", 2, "e2"), "{bad"]) + "\n")
+    target = TargetConfig(path=f"{tmp_dir}/t", buckets=2)
+    snapshots = []
+    for run in ("first", "second"):
+        cfg = StreamConfig(source_format="text", source_path=src, target=target,
+                           checkpoint_location=f"{tmp_dir}/ckpt-{run}", available_now=True)
+        q = run_stream(spark, cfg)
+        q.awaitTermination()
+        assert q.exception() is None
+        snapshots.append(sorted(((r["keys"], r["event_id"], r["error"]) for r in read_target(spark, target).collect()), key=repr))
+    assert snapshots[0] == snapshots[1] and len(snapshots[0]) == 2

@@ -135,7 +135,11 @@ def _merge_rows(old: DataFrame, staged: DataFrame, order_guard: bool) -> DataFra
         & (inc["_ts"].isNull() | old[TS].isNull() | (inc["_ts"] >= old[TS])),
         "left_anti",
     )
-    cur = old.select(F.col(BUCKET).alias("_b"), F.col(MK).alias("_k"), F.col(TS).alias("_ts"))
+    # Only keyed rows can be newer than an incoming row (error rows carry no
+    # timestamp), so this side reads bucket, keys and timestamp, not the raw text.
+    cur = old.filter(F.col("keys").isNotNull()).select(
+        F.col(BUCKET).alias("_b"), F.col("keys").alias("_k"), F.col(TS).alias("_ts")
+    )
     fresh = staged.join(
         cur,
         (staged[BUCKET] == cur["_b"]) & (staged[MK] == cur["_k"]) & (cur["_ts"] > staged[TS]),
@@ -235,3 +239,18 @@ def _merge_into_table(batch: DataFrame, target: TargetConfig) -> None:
 def live_rows(df: DataFrame) -> DataFrame:
     """Rows that are not soft-deleted."""
     return df.filter(~F.col("is_deleted"))
+
+
+def register_target(spark: SparkSession, name: str, target: TargetConfig) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` over the target folder, for SQL readers.
+
+    The table is partitioned by ``bucket``; new bucket folders written by
+    later batches are picked up with ``MSCK REPAIR TABLE``/``REFRESH``.
+    """
+    from tidewater.schemas import target_ddl
+
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({target_ddl(target.with_lookup)}, `{BUCKET}` INT) "
+        f"USING parquet PARTITIONED BY (`{BUCKET}`) LOCATION '{target.path}'"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {name}")
