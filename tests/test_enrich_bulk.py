@@ -148,3 +148,31 @@ def test_broadcast_only_within_size_bound(spark, tmp_dir):
     assert may_broadcast(spark, LookupConfig(path=f"{tmp_dir}/lk", broadcast=True, broadcast_limit_bytes=size))
     assert not may_broadcast(spark, LookupConfig(path=f"{tmp_dir}/lk", broadcast=True, broadcast_limit_bytes=size - 1))
     assert not may_broadcast(spark, LookupConfig(path=f"{tmp_dir}/lk"))
+
+
+def test_stream_batch_with_lookup_into_14_column_target(spark, tmp_dir):
+    from tidewater.plans.batch import apply_change_batch
+    from tidewater.schemas import TARGET_WITH_LOOKUP_SCHEMA
+
+    write_lookup(f"{tmp_dir}/lk", {"p.json": [{"page": 7}], "two.json": [{"n": 1}, {"n": 2}]})
+    uri = f"file://{tmp_dir}/lk/p.json"
+    target = TargetConfig(path=f"{tmp_dir}/t", buckets=2, with_lookup=True)
+    texts = [linked("x", uri), linked("y", "file:///none.json"), linked("r", None, "REMOVE")]
+    apply_change_batch(spark, spark.createDataFrame([(t,) for t in texts], "value string"), target, batch_id=0,
+                       lookup=LookupConfig(path=f"{tmp_dir}/lk"))
+    df = read_target(spark, target)
+    assert [f.name for f in df.schema.fields][:14] == [f.name for f in TARGET_WITH_LOOKUP_SCHEMA.fields]
+    rows = {json.loads(r["keys"])["id"]: r for r in df.collect()}
+    assert json.loads(rows["x"]["raw_s3_payload"]) == {"page": 7} and rows["x"]["s3_uri"] == uri
+    assert rows["y"]["s3_uri"] is None and rows["y"]["raw_s3_payload"] == "{}"
+    assert rows["r"]["is_deleted"] and rows["r"]["raw_s3_payload"] == "{}"
+    # a file with two records fans out to two rows for one key: the upsert refuses it
+    fan = [linked("z", f"file://{tmp_dir}/lk/two.json")]
+    with pytest.raises(Exception, match="several rows"):
+        apply_change_batch(spark, spark.createDataFrame([(t,) for t in fan], "value string"), target, batch_id=1,
+                           lookup=LookupConfig(path=f"{tmp_dir}/lk"))
+    # packed into one array it goes through
+    apply_change_batch(spark, spark.createDataFrame([(t,) for t in fan], "value string"), target, batch_id=2,
+                       lookup=LookupConfig(path=f"{tmp_dir}/lk", multi="array"))
+    z = [r for r in read_target(spark, target).collect() if r["keys"] == '{"id": "z"}'][0]
+    assert sorted(x["n"] for x in json.loads(z["raw_s3_payload"])) == [1, 2]

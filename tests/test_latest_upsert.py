@@ -121,11 +121,11 @@ def test_interrupted_overwrite_is_finished_on_replay(spark, tmp_dir, monkeypatch
     real = U._write_buckets
     calls = {"n": 0}
 
-    def failing(df, path, mode="overwrite"):
+    def failing(df, path, mode="overwrite", only_written=False):
         if path == target.path:
             calls["n"] += 1
             raise RuntimeError("crash during the final overwrite")
-        return real(df, path, mode)
+        return real(df, path, mode, only_written)
 
     monkeypatch.setattr(U, "_write_buckets", failing)
     batch = stage_changes(spark, frame(spark, [change("a", 2, "e2"), change("b", 2, "e3")]))

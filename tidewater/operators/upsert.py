@@ -45,6 +45,8 @@ TS = "approx_creation_timestamp_millis"
 MK = "_mk"
 BUCKET = "bucket"
 LAYOUT_PREFIX = "_tidewater_buckets="
+# Staging bucket of rows waiting for the deep-value repair.
+REPAIR_BUCKET = -1
 
 
 def stored_schema(with_lookup: bool) -> StructType:
@@ -148,12 +150,17 @@ def _merge_rows(old: DataFrame, staged: DataFrame, order_guard: bool) -> DataFra
     return kept.unionByName(fresh)
 
 
-def _write_buckets(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write partitioned by bucket; rebalance lets AQE split a hot bucket into several files."""
+def _write_buckets(df: DataFrame, path: str, mode: str = "overwrite", only_written: bool = False) -> None:
+    """Write partitioned by bucket; rebalance lets AQE split a hot bucket into several files.
+
+    ``only_written`` replaces just the buckets being written (the target);
+    otherwise an overwrite replaces the whole folder (staging and merge
+    folders, so a replayed batch never finds leftovers of an earlier try).
+    """
     (
         df.hint("rebalance", BUCKET)
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if only_written else "static")
         .partitionBy(BUCKET)
         .parquet(path)
     )
@@ -186,12 +193,16 @@ def upsert(
     staging, merged = f"{work}/staging", f"{work}/merged"
     _check_layout(spark, target)
     if not path_exists(spark, f"{merged}/_SUCCESS"):
-        staged_out = batch.withColumn(MK, merge_key()).withColumn(BUCKET, bucket_of(F.col(MK), target.buckets))
+        bucket = bucket_of(F.col(MK), target.buckets)
+        if repair is not None:
+            # Rows left for the repair step go to a reserved folder, so the
+            # folder listing tells whether there are any; no extra job.
+            bucket = F.when(is_too_deep(F.col("error")) & F.col("keys").isNotNull(), F.lit(REPAIR_BUCKET)).otherwise(bucket)
+        staged_out = batch.withColumn(MK, merge_key()).withColumn(BUCKET, bucket)
         _write_buckets(staged_out.select(*columns, MK, BUCKET), staging)
+        if repair is not None and REPAIR_BUCKET in written_buckets(spark, staging):
+            _repair_staged(spark, staging, repair, columns, target)
         staged = spark.read.parquet(staging)
-        if repair is not None:
-            staged, repaired = _repair_staged(spark, staged, repair, columns, target, f"{work}/staging-repaired")
-            staging = repaired or staging
         if check_unique:
             check_unique_keys(staged)
         touched = written_buckets(spark, staging)
@@ -202,26 +213,23 @@ def upsert(
             # First load into an empty target: nothing to merge with, so the
             # staged rows go straight in (a crash here is repaired by a
             # replay, which then merges with whatever was written).
-            _write_buckets(spark.read.parquet(staging).select(*columns, BUCKET), target.path)
+            _write_buckets(spark.read.parquet(staging).select(*columns, BUCKET), target.path, only_written=True)
             remove_path(spark, work)
             return
         old = read_target(spark, target).filter(F.col(BUCKET).isin(touched)).withColumn(MK, merge_key())
         result = _merge_rows(old, staged, target.order_guard)
         _write_buckets(result.select(*columns, BUCKET), merged)
-    _write_buckets(spark.read.schema(stored_schema(target.with_lookup)).parquet(merged), target.path)
+    _write_buckets(spark.read.schema(stored_schema(target.with_lookup)).parquet(merged), target.path, only_written=True)
     remove_path(spark, work)
 
 
-def _repair_staged(spark, staged, repair, columns, target, path):
-    """Rewrite the staging folder with the too-deep rows decoded again."""
-    deep = is_too_deep(F.col("error")) & F.col("keys").isNotNull()
-    if staged.filter(deep).select("keys").isEmpty():
-        return staged, None
-    fixed = repair(staged.filter(deep).select(*columns))
+def _repair_staged(spark, staging, repair, columns, target) -> None:
+    """Decode the reserved folder's rows again and move them to their buckets."""
+    pending = f"{staging}/{BUCKET}={REPAIR_BUCKET}"
+    fixed = repair(spark.read.parquet(pending).select(*columns))
     fixed = fixed.withColumn(MK, merge_key()).withColumn(BUCKET, bucket_of(F.col(MK), target.buckets))
-    rest = staged.filter(~deep)
-    _write_buckets(rest.unionByName(fixed.select(*columns, MK, BUCKET)), path)
-    return spark.read.parquet(path), path
+    _write_buckets(fixed.select(*columns, MK, BUCKET), staging, mode="append")
+    remove_path(spark, pending)
 
 
 def _merge_into_table(batch: DataFrame, target: TargetConfig) -> None:
