@@ -101,3 +101,30 @@ def test_stream_over_same_files_twice_leaves_target_unchanged(spark, tmp_dir):
         assert q.exception() is None
         snapshots.append(sorted(((r["keys"], r["event_id"], r["error"]) for r in read_target(spark, target).collect()), key=repr))
     assert snapshots[0] == snapshots[1] and len(snapshots[0]) == 2
+
+
+def test_processing_time_trigger_and_change_log_stream(spark, tmp_dir):
+    from tidewater.operators.normalize import normalize_changes as norm
+    from tidewater.sinks.changelog import change_log_stream
+
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    with open(f"{src}/1.txt", "w") as f:
+        f.write("\n".join([change("a", 1, "e1"), change("b", 86_400_000 * 3, "e2")]) + "\n")
+    cfg = StreamConfig(source_format="text", source_path=src, target=TargetConfig(path=f"{tmp_dir}/t", buckets=2),
+                       checkpoint_location=f"{tmp_dir}/ckpt", trigger_interval="1 second")
+    q = run_stream(spark, cfg)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert read_target(spark, cfg.target).count() == 2
+    # the file sink as a stream: normalised changes appended, partitioned by change date
+    stream = spark.readStream.format("text").load(src)
+    log = change_log_stream(norm(stream), f"{tmp_dir}/log", f"{tmp_dir}/log-ckpt", trigger_interval="1 second")
+    try:
+        log.processAllAvailable()
+    finally:
+        log.stop()
+    dates = sorted(str(r["change_date"]) for r in spark.read.parquet(f"{tmp_dir}/log").collect())
+    assert dates == ["1970-01-01", "1970-01-04"]
