@@ -50,11 +50,6 @@ NAME_SEP = ": "
 # The text of a number payload is a decimal literal.
 NUMBER_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
-# Tags of scalar values, sets and containers.
-SCALAR_TAGS = ("S", "N", "B", "BOOL", "NULL")
-SET_TAGS = ("SS", "NS", "BS")
-CONTAINER_TAGS = ("M", "L")
-
 _LEVEL_MAP = "map<string,map<string,string>>"
 _LEVEL_LIST = "array<map<string,string>>"
 _CHILDREN = "array<struct<key:string,value:map<string,string>>>"
@@ -117,14 +112,6 @@ def decode_map_sql(text_sql: str, opts: DecodeOptions) -> str:
     return _container_sql("'M'", text_sql, 0, opts)
 
 
-def decode_map(text_sql: str, opts: DecodeOptions) -> Column:
-    """Decoded text of an object of typed values (an image), given as SQL.
-
-    NULL when it is not such an object; may contain ``BAD`` / ``DEEP``.
-    """
-    return F.expr(decode_map_sql(text_sql, opts))
-
-
 @lru_cache(maxsize=64)
 def decode_maps_sql(text_sqls: tuple[str, ...], opts: DecodeOptions) -> str:
     return (

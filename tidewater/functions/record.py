@@ -30,23 +30,24 @@ ERR_NO_ITEM = "missing Item"
 ERR_MISSING_KEY = "missing key attribute"
 
 CORRUPT = "_corrupt_record"
-ENVELOPE = (
-    "struct<awsRegion:string,eventID:string,eventName:string,userIdentity:string,recordFormat:string,"
-    f"tableName:string,dynamodb:string,eventSource:string,{CORRUPT}:string>"
-)
 BODY = (
     "struct<ApproximateCreationDateTime:decimal(38,6),Keys:string,NewImage:string,"
     "OldImage:string,SizeBytes:decimal(38,6)>"
 )
+# Envelope and body in one parse: the images stay JSON text for the decoder.
+ENVELOPE_WITH_BODY = (
+    "struct<awsRegion:string,eventID:string,eventName:string,userIdentity:string,recordFormat:string,"
+    f"tableName:string,dynamodb:{BODY},eventSource:string,{CORRUPT}:string>"
+)
 EXPORT = f"struct<Item:string,{CORRUPT}:string>"
 _CORRUPT_OPTS = {"columnNameOfCorruptRecord": CORRUPT}
 
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
-def parse_envelope(text: Column) -> Column:
-    """Record text -> struct of the eight envelope fields (+ ``_corrupt_record``)."""
-    return F.from_json(text, ENVELOPE, _CORRUPT_OPTS)
+def parse_change(text: Column) -> Column:
+    """Record text -> envelope fields with the ``dynamodb`` body as a struct, in one parse."""
+    return F.from_json(text, ENVELOPE_WITH_BODY, _CORRUPT_OPTS)
 
 
 def parse_export(text: Column) -> Column:
@@ -58,6 +59,15 @@ def malformed(parsed: Column) -> Column:
     return parsed.isNull() | parsed[CORRUPT].isNotNull()
 
 
+def malformed_change(parsed: Column) -> Column:
+    """Not a JSON object. (A record with one field of the wrong type also
+    sets the corrupt-record column, but keeps the fields it could read.)"""
+    all_null = F.lit(True)
+    for name in ("awsRegion", "eventID", "eventName", "userIdentity", "recordFormat", "tableName", "dynamodb", "eventSource"):
+        all_null = all_null & parsed[name].isNull()
+    return parsed.isNull() | (parsed[CORRUPT].isNotNull() & all_null)
+
+
 def is_object_text(text: Column) -> Column:
     return F.coalesce(text.startswith("{"), F.lit(False))
 
@@ -105,14 +115,14 @@ def _value_problem(texts: list[Column]) -> Column:
 
 
 def decode_change_bodies(df: DataFrame, body_col: str, opts: DecodeOptions) -> DataFrame:
-    """Add ``_ts, _keys, _new, _old, _size, _reason`` for a column of body texts.
+    """Add ``_ts, _keys, _new, _old, _size, _reason`` for a column of parsed bodies (``BODY``).
 
     ``_reason`` is NULL for a good record; for a bad one every other added
     field is NULL. An absent image is ``{}``.
     """
     ensure_planner_room(df, opts)
-    body_ok = is_object_text(F.col(body_col))
-    b = F.from_json(F.col(body_col), BODY)
+    body_ok = F.col(body_col).isNotNull()
+    b = F.col(body_col)
     staged = df.select(
         "*",
         body_ok.alias("_body_ok"),
@@ -215,7 +225,7 @@ def repair_deep(df: DataFrame, export: bool = False) -> DataFrame:
         item = parse_export(F.col("raw_payload"))["Item"]
         new_src, old_src = item, F.lit(None).cast("string")
     else:
-        body = F.from_json(parse_envelope(F.col("raw_payload"))["dynamodb"], BODY)
+        body = parse_change(F.col("raw_payload"))["dynamodb"]
         new_src, old_src = body["NewImage"], body["OldImage"]
     texts = df.select("*", new_src.alias("_new_src"), old_src.alias("_old_src"))
     texts = texts.select(

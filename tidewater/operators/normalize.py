@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewater.config import DecodeOptions
 from tidewater.functions import record as R
-from tidewater.schemas import EVENT_BULK_LOAD, EVENT_REMOVE, TARGET_COLUMNS
+from tidewater.schemas import EVENT_BULK_LOAD, EVENT_REMOVE
 
 
 def single_text_column(df: DataFrame, column: str | None = None) -> Column:
@@ -33,19 +33,21 @@ def normalize_changes(df: DataFrame, column: str | None = None, opts: DecodeOpti
     """
     opts = opts or DecodeOptions()
     raw = single_text_column(df, column)
-    env = df.select(raw.alias("raw_payload")).withColumn("_env", R.parse_envelope(F.col("raw_payload")))
+    env = df.select(raw.alias("raw_payload")).withColumn("_env", R.parse_change(F.col("raw_payload")))
     fields = env.select(
         "raw_payload",
         F.col("_env.eventID").alias("event_id"),
         F.col("_env.eventName").alias("last_event_name"),
         F.col("_env.tableName").alias("table_name"),
-        R.malformed(F.col("_env")).alias("_malformed"),
+        R.malformed_change(F.col("_env")).alias("_malformed"),
         F.col("_env.dynamodb").alias("_body"),
     )
     decoded = R.decode_change_bodies(fields, "_body", opts)
     reason = F.when(F.col("_malformed"), F.lit(R.ERR_MALFORMED)).otherwise(F.col("_reason"))
     # The error keeps the text it failed on: the change body, or the whole record.
-    data = F.when(F.col("_malformed") | F.col("_body").isNull(), F.col("raw_payload")).otherwise(F.col("_body"))
+    # (read again only for error rows)
+    body_text = F.get_json_object(F.col("raw_payload"), "$.dynamodb")
+    data = F.when(F.col("_malformed") | body_text.isNull(), F.col("raw_payload")).otherwise(body_text)
     with_error = decoded.withColumn("error", R.error_json(reason, data))
     return with_error.select(
         "event_id",
@@ -107,7 +109,3 @@ def normalize_export(
         "raw_payload",
     )
 
-
-def to_target_columns(df: DataFrame, with_lookup: bool = False) -> DataFrame:
-    cols = list(TARGET_COLUMNS) + (["s3_uri", "raw_s3_payload"] if with_lookup else [])
-    return df.select(*cols)

@@ -1,4 +1,4 @@
-"""Fixed schemas: the change envelope and the target row.
+"""Fixed schemas: the target row (the envelope is parsed in ``functions/record.py``).
 
 The target row is the public contract of the engine: every job writes these
 columns, in this order, with these types.
@@ -21,20 +21,6 @@ EVENT_MODIFY = "MODIFY"
 EVENT_REMOVE = "REMOVE"
 EVENT_BULK_LOAD = "BULK_LOAD"
 
-# The eight top-level fields of a change record, in record order.
-ENVELOPE_FIELDS = (
-    "awsRegion",
-    "eventID",
-    "eventName",
-    "userIdentity",
-    "recordFormat",
-    "tableName",
-    "dynamodb",
-    "eventSource",
-)
-
-ENVELOPE_SCHEMA = StructType([StructField(name, StringType(), True) for name in ENVELOPE_FIELDS])
-
 # Target table columns and types, in table order.
 TARGET_SCHEMA = StructType(
     [
@@ -62,12 +48,8 @@ LOOKUP_FIELDS = StructType(
 )
 
 TARGET_COLUMNS = tuple(f.name for f in TARGET_SCHEMA.fields)
-LOOKUP_COLUMNS = tuple(f.name for f in LOOKUP_FIELDS.fields)
 TARGET_WITH_LOOKUP_SCHEMA = StructType(TARGET_SCHEMA.fields + LOOKUP_FIELDS.fields)
 
-# Columns the merge overwrites on a match: everything except the key.
-NON_KEY_COLUMNS = tuple(c for c in TARGET_COLUMNS if c != "keys")
-
 
 def target_schema(with_lookup: bool = False) -> StructType:
     return TARGET_WITH_LOOKUP_SCHEMA if with_lookup else TARGET_SCHEMA
