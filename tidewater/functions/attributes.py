@@ -88,15 +88,22 @@ def _value_sql(wrapper: str, depth: int, opts: DecodeOptions) -> str:
     return "CASE " + " ".join(branches) + " END"
 
 
-def _container_sql(tag: str, text: str, depth: int, opts: DecodeOptions) -> str:
-    """SQL for the text of an ``M`` (object) or ``L`` (array) payload given as JSON text."""
+def _container_sql(tag: str, text: str, depth: int, opts: DecodeOptions, sort_sql: str | None = None) -> str:
+    """SQL for the text of an ``M`` (object) or ``L`` (array) payload given as JSON text.
+
+    ``sort_sql`` (top level only): a boolean SQL expression; when true the
+    object's attributes come out sorted by name (canonical keys).
+    """
     var = f"c{depth}"
     is_map = f"({tag} = 'M')"
     listed = (
         f"cast(arrays_zip(array_repeat(cast(NULL AS STRING), json_array_length({text})), "
         f"from_json({text}, '{_LEVEL_LIST}')) AS {_CHILDREN})"
     )
-    children = f"CASE WHEN {is_map} THEN map_entries(from_json({text}, '{_LEVEL_MAP}')) ELSE {listed} END"
+    entries = f"map_entries(from_json({text}, '{_LEVEL_MAP}'))"
+    if sort_sql is not None:
+        entries = f"CASE WHEN {sort_sql} THEN array_sort({entries}, {_BY_NAME}) ELSE {entries} END"
+    children = f"CASE WHEN {is_map} THEN {entries} ELSE {listed} END"
     name = f"CASE WHEN {is_map} THEN concat({quote_sql(var + '.key')}, {_lit(NAME_SEP)}) ELSE '' END"
     part = f"concat({name}, {_value_sql(var + '.value', depth + 1, opts)})"
     return (
@@ -112,25 +119,27 @@ def decode_map_sql(text_sql: str, opts: DecodeOptions) -> str:
     return _container_sql("'M'", text_sql, 0, opts)
 
 
+_BY_NAME = "(l, r) -> CASE WHEN l.key < r.key THEN -1 WHEN l.key > r.key THEN 1 ELSE 0 END"
+
+
 @lru_cache(maxsize=64)
-def decode_maps_sql(text_sqls: tuple[str, ...], opts: DecodeOptions) -> str:
-    return (
-        f"transform(array({', '.join(text_sqls)}), o -> "
-        f"CASE WHEN o IS NOT NULL THEN {decode_map_sql('o', opts)} END)"
+def decode_maps_sql(text_sqls: tuple[str, ...], opts: DecodeOptions, sorted_first: bool = False) -> str:
+    items = ", ".join(
+        f"named_struct('t', {t}, 's', {'true' if (i == 0 and sorted_first) else 'false'})" for i, t in enumerate(text_sqls)
     )
+    body = _container_sql("'M'", "o.t", 0, opts, sort_sql="o.s")
+    return f"transform(array({items}), o -> CASE WHEN o.t IS NOT NULL THEN {body} END)"
 
 
-def decode_maps(text_sqls: tuple[str, ...], opts: DecodeOptions) -> Column:
+def decode_maps(text_sqls: tuple[str, ...], opts: DecodeOptions, sorted_first: bool = False) -> Column:
     """Several images decoded by one instance of the decoder.
 
     Returns an array of texts in the order given; NULL entries stay NULL.
     Planning cost grows with the size of the expression, so keys, new and
-    old image share one copy of it instead of three.
+    old image share one copy of it instead of three. ``sorted_first``: the
+    first object (the keys) comes out with its attributes sorted by name.
     """
-    return F.expr(decode_maps_sql(tuple(text_sqls), opts))
-
-
-_BY_NAME = "(l, r) -> CASE WHEN l.key < r.key THEN -1 WHEN l.key > r.key THEN 1 ELSE 0 END"
+    return F.expr(decode_maps_sql(tuple(text_sqls), opts, sorted_first))
 
 
 def sorted_object_sql(entries_sql: str) -> str:
@@ -142,11 +151,6 @@ def sorted_object_sql(entries_sql: str) -> str:
     return f"to_json(map_from_entries(array_sort({entries_sql}, {_BY_NAME})))"
 
 
-def canonical_object(text_sql: str) -> Column:
-    """An object of typed values with its attributes sorted by name (NULL if not an object)."""
-    return F.expr(sorted_object_sql(f"map_entries(from_json({text_sql}, '{_LEVEL_MAP}'))"))
-
-
 def project_names(text_sql: str, names: tuple[str, ...]) -> Column:
     """The named attributes of an object of typed values, sorted by name, as JSON text."""
     wanted = ", ".join(_lit(n) for n in names)

@@ -129,11 +129,11 @@ def decode_change_bodies(df: DataFrame, body_col: str, opts: DecodeOptions) -> D
         F.when(body_ok, b).alias("_b"),
     ).select(
         "*",
-        A.canonical_object("_b.Keys").alias("_keys_txt"),
+        F.col("_b.Keys").alias("_keys_txt"),
         F.col("_b.NewImage").alias("_new_txt"),
         F.col("_b.OldImage").alias("_old_txt"),
     )
-    decoded = staged.withColumn("_texts", A.decode_maps(("_keys_txt", "_new_txt", "_old_txt"), opts))
+    decoded = staged.withColumn("_texts", A.decode_maps(("_keys_txt", "_new_txt", "_old_txt"), opts, sorted_first=True))
     decoded = decoded.select(
         "*",
         F.col("_texts")[0].alias("_k"),
