@@ -139,6 +139,9 @@ def test_timestamp_and_size_never_wrong(spark):
     row = normalize_texts(spark, [record(body)])[0]
     assert row["approx_creation_timestamp_millis"] is None
     assert row["raw_payload_size_bytes"] is None
+    body = {"Keys": {"k": {"N": "1"}}, "ApproximateCreationDateTime": 10**30, "SizeBytes": -(2**40)}
+    row = normalize_texts(spark, [record(body)])[0]
+    assert row["approx_creation_timestamp_millis"] is None and row["raw_payload_size_bytes"] is None
     body = {"Keys": {"k": {"N": "1"}}, "ApproximateCreationDateTime": 1684189640771, "SizeBytes": 163}
     row = normalize_texts(spark, [record(body)])[0]
     assert row["approx_creation_timestamp_millis"] == 1684189640771 and row["raw_payload_size_bytes"] == 163

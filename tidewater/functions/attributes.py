@@ -142,28 +142,14 @@ def decode_maps(text_sqls: tuple[str, ...], opts: DecodeOptions, sorted_first: b
     return F.expr(decode_maps_sql(tuple(text_sqls), opts, sorted_first))
 
 
-def sorted_object_sql(entries_sql: str) -> str:
-    """JSON text of ``array<struct<key, value:map<string,string>>>`` sorted by name.
+def key_map(text_sql: str, names: tuple[str, ...]) -> Column:
+    """The named attributes of an object of typed values, as ``map<string,map<string,string>>``.
 
-    Names are compared as UTF-8 bytes, so the order does not depend on how
-    the record listed them: keys text is canonical.
+    NULL when the text is not such an object. Turned back into JSON text,
+    it is the keys object; the decoder sorts it (``sorted_first``).
     """
-    return f"to_json(map_from_entries(array_sort({entries_sql}, {_BY_NAME})))"
-
-
-def project_names(text_sql: str, names: tuple[str, ...]) -> Column:
-    """The named attributes of an object of typed values, sorted by name, as JSON text."""
-    wanted = ", ".join(_lit(n) for n in names)
-    entries = f"map_entries(map_filter(from_json({text_sql}, '{_LEVEL_MAP}'), (k, v) -> array_contains(array({wanted}), k)))"
-    return F.expr(sorted_object_sql(entries))
-
-
-def missing_names(text_sql: str, names: tuple[str, ...]) -> Column:
-    """True when the object lacks one of the names (or is not an object)."""
     wanted = ", ".join(_lit(n) for n in names)
-    return F.expr(
-        f"coalesce(exists(array({wanted}), k -> NOT map_contains_key(from_json({text_sql}, 'map<string,string>'), k)), true)"
-    )
+    return F.expr(f"map_filter(from_json({text_sql}, '{_LEVEL_MAP}'), (k, v) -> array_contains(array({wanted}), k))")
 
 
 def has_marker(text: Column, marker: str) -> Column:

@@ -42,9 +42,6 @@ ENVELOPE_WITH_BODY = (
 EXPORT = f"struct<Item:string,{CORRUPT}:string>"
 _CORRUPT_OPTS = {"columnNameOfCorruptRecord": CORRUPT}
 
-_INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
-
-
 def parse_change(text: Column) -> Column:
     """Record text -> envelope fields with the ``dynamodb`` body as a struct, in one parse."""
     return F.from_json(text, ENVELOPE_WITH_BODY, _CORRUPT_OPTS)
@@ -73,11 +70,9 @@ def is_object_text(text: Column) -> Column:
 
 
 def whole_number(value: Column, type_name: str) -> Column:
-    """A decimal as an integral SQL number; NULL if fractional or out of range."""
-    ok = value == F.floor(value)
-    if type_name == "int":
-        ok = ok & value.between(_INT_MIN, _INT_MAX)
-    return F.when(ok, value.cast(type_name))
+    """A decimal as an integral SQL number; NULL if fractional or out of range
+    (``try_cast``: under ANSI mode a plain cast would fail the whole job)."""
+    return F.when(value == F.floor(value), value.try_cast(type_name))
 
 
 def ensure_planner_room(df: DataFrame, opts: DecodeOptions) -> None:
@@ -185,13 +180,14 @@ def decode_export_items(df: DataFrame, item_col: str, key_names: tuple[str, ...]
     ensure_planner_room(df, opts)
     item = F.col(item_col)
     item_ok = is_object_text(item)
-    staged = df.select(
+    staged = df.select("*", F.when(item_ok, item).alias("_item_txt"), A.key_map(item_col, tuple(key_names)).alias("_key_map"))
+    # one parse gives both the keys object and the check that every key is there
+    staged = staged.select(
         "*",
-        F.when(item_ok, item).alias("_item_txt"),
-        A.missing_names(item_col, tuple(key_names)).alias("_key_missing"),
-        A.project_names(item_col, tuple(key_names)).alias("_keys_txt"),
-    )
-    decoded = staged.withColumn("_texts", A.decode_maps(("_keys_txt", "_item_txt"), opts))
+        F.coalesce(F.size("_key_map") < F.lit(len(set(key_names))), F.lit(True)).alias("_key_missing"),
+        F.to_json("_key_map").alias("_keys_txt"),
+    ).drop("_key_map")
+    decoded = staged.withColumn("_texts", A.decode_maps(("_keys_txt", "_item_txt"), opts, sorted_first=True))
     decoded = decoded.select("*", F.col("_texts")[0].alias("_k"), F.col("_texts")[1].alias("_n")).drop("_texts")
     for text_col, source_col in (("_k", "_keys_txt"), ("_n", "_item_txt")):
         decoded = _with_fallback(decoded, text_col, source_col, opts)

@@ -105,7 +105,7 @@ def normalize_export(
         "error",
         F.col("error").isNotNull().alias("has_parsing_error"),
         F.lit(False).alias("is_deleted"),
-        (F.length("raw_payload") * 4).cast("int").alias("raw_payload_size_bytes"),
+        (F.length("raw_payload").cast("bigint") * 4).try_cast("int").alias("raw_payload_size_bytes"),
         "raw_payload",
     )
 
