@@ -41,6 +41,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bulk_load": catalog.bulk_load,
         "soft_deletes": catalog.soft_deletes,
         "lookup_left_join": catalog.lookup_left_join,
+        "bulk_lookup_join": catalog.bulk_lookup_join,
         "lookup_fanout_rows": catalog.lookup_fanout_rows,
         "lookup_fanout_array": catalog.lookup_fanout_array,
         "typed_view": catalog.typed_view_query,
@@ -152,6 +153,12 @@ SELECT {_KEYS} AS keys, CAST(l.event_id AS VARCHAR) AS event_id, p.url AS s3_uri
        CAST(p.page_id AS VARCHAR) AS page_id, p.url IS NULL AS payload_empty,
        l.event_type = 'error' AS new_empty
 FROM latest l LEFT JOIN pages p ON l.event_type <> 'error' AND p.url = l.url
+""",
+        "bulk_lookup_join": """
+SELECT '{"o_orderkey": "' || CAST(o.o_orderkey AS VARCHAR) || '"}' AS keys, p.url AS s3_uri,
+       CAST(p.page_id AS VARCHAR) AS page_id, p.url IS NULL AS payload_empty,
+       COALESCE(p.url, 'missing://page/' || CAST(o.o_custkey AS VARCHAR)) AS link
+FROM orders o LEFT JOIN pages p ON p.page_id = o.o_custkey
 """,
         "lookup_fanout_rows": _LOOKUP_LATEST
         + f"""

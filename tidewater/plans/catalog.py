@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidewater.config import BulkConfig, StreamConfig, TargetConfig
 from tidewater.operators.enrich import enrich
 from tidewater.operators.latest import latest_per_key
-from tidewater.operators.normalize import normalize_changes
+from tidewater.operators.normalize import normalize_changes, normalize_export
 from tidewater.operators.upsert import live_rows, read_target, upsert
 from tidewater.operators.views import typed_view
 from tidewater.plans import feeds
@@ -155,6 +155,23 @@ def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bulk_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulk load joined to the lookup records, into a target with the lookup columns."""
+    target = TargetConfig(path=scratch_path(spark, "queries", "bulk-lookup"), buckets=QUERY_BUCKETS, with_lookup=True)
+    rows = normalize_export(feeds.export_lines(spark, sf_dir, with_link=True), feeds.EXPORT_KEYS,
+                            feeds.EXPORT_TABLE, BULK_RUN_ID, BULK_LOAD_MILLIS)
+    apply_job_conf(spark)
+    upsert(spark, enrich(rows, feeds.page_lookup(spark, sf_dir)), target, batch_id=BULK_RUN_ID, run_key="bulk",
+           repair=deep_repair(None, export=True))
+    return read_target(spark, target).select(
+        "keys",
+        "s3_uri",
+        F.get_json_object("raw_s3_payload", "$.page_id").alias("page_id"),
+        (F.col("raw_s3_payload") == "{}").alias("payload_empty"),
+        F.get_json_object("new_image", "$.s3_uri").alias("link"),
+    )
+
+
 def _lookup_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(normalize_changes(feeds.lookup_feed(spark, sf_dir)))
 

@@ -165,9 +165,19 @@ def page_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders`` as table-export lines ``{"Item": {...}}``."""
+def export_lines(spark: SparkSession, sf_dir: str, with_link: bool = False) -> DataFrame:
+    """``orders`` as table-export lines ``{"Item": {...}}``.
+
+    ``with_link`` adds an ``s3_uri`` attribute: the URL of page ``o_custkey``,
+    or a URI that matches nothing when there is no such page.
+    """
     o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    link = []
+    if with_link:
+        pages = table(spark, sf_dir, "pages").select("page_id", "url")
+        o = o.join(pages, o.o_custkey == pages.page_id, "left")
+        uri = F.coalesce(F.col("url"), F.concat(F.lit("missing://page/"), F.col("o_custkey").cast("string")))
+        link = [_s(uri).alias("s3_uri")]
     item = F.struct(
         _n(F.col("o_orderkey")).alias("o_orderkey"),
         _n(F.col("o_custkey")).alias("o_custkey"),
@@ -175,5 +185,6 @@ def export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _n(_value_text(F.col("o_totalprice"))).alias("o_totalprice"),
         _s(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("o_orderdate"),
         _s(F.col("o_orderpriority")).alias("o_orderpriority"),
+        *link,
     )
     return o.select(F.to_json(F.struct(item.alias("Item"))).alias("value"))
