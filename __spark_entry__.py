@@ -20,6 +20,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidewater.plans import catalog  # noqa: E402
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline  # noqa: E402
+    from tidewater.llm import catalog as llm_catalog  # noqa: E402
+except ImportError:
+    corpus_pipeline = llm_catalog = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -46,9 +52,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lookup_fanout_array": catalog.lookup_fanout_array,
         "typed_view": catalog.typed_view_query,
         "stream_replay": catalog.stream_replay,
+        **_llm_queries(),
     }
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**llm_catalog.QUERIES, "pipeline": corpus_pipeline.run} if llm_catalog else {}
+
+
+def _llm_oracles() -> dict[str, str]:
+    if not llm_catalog:
+        return {}
+    return {**llm_catalog.ORACLES, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
+
+
 # Shared pieces of the oracle SQL.
 _NAME = "CASE WHEN event_type = 'signup' THEN 'INSERT' WHEN event_type = 'error' THEN 'REMOVE' ELSE 'MODIFY' END"
 _KEYS = """'{"user_id": "' || CAST(user_id AS VARCHAR) || '"}'"""
@@ -185,4 +202,5 @@ FROM events
 QUALIFY {_NEWEST} = 1
 """,
         "stream_replay": _LATEST,
+        **_llm_oracles(),
     }
