@@ -16,6 +16,8 @@ are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,8 +42,6 @@ def sketch(text: Column, size: int = SIZE, share: int = SHARE, floor: int = FLOO
     ).otherwise(F.array().cast("array<bigint>"))
     kept = lambda h: F.array_distinct(F.filter(h, lambda x: x < F.lit(bound(share))))
     either = lambda h, k: F.when(F.size(k) >= floor, F.array_sort(k)).otherwise(F.slice(F.array_sort(F.array_distinct(h)), 1, floor))
-    # Each step is bound to a name through a one-element array, so that it is evaluated once.
-    once = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))
     return once(words, lambda w: once(hashes(w), lambda h: once(kept(h), lambda k: either(h, k))))
 
 
@@ -56,22 +56,29 @@ def _upto(kept: Column, share: int, floor: int) -> Column:
     return F.when(F.size(kept) < floor, F.lit(2**63 - 1)).otherwise(F.greatest(F.lit(bound(share) - 1), F.array_max(kept)))
 
 
-def _common(one: Column, two: Column, share: int, floor: int) -> tuple[Column, Column, Column]:
-    limit = F.least(_upto(one, share, floor), _upto(two, share, floor))
-    cut = lambda kept: F.filter(kept, lambda x: x <= limit)
-    return cut(one), cut(two), F.size(F.array_intersect(cut(one), cut(two)))
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value bound to a name through a one-element array, so that it is evaluated once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _compare(one: Column, two: Column, share: int, floor: int, use: Callable[[Column, Column, Column], Column]) -> Column:
+    """``use`` of both sketches' sizes below the common bound and of the number of hashes they share there."""
+    cut = lambda kept, limit: F.filter(kept, lambda x: x <= limit)
+    counts = lambda a, b: F.struct(F.size(a).alias("a"), F.size(b).alias("b"), F.size(F.array_intersect(a, b)).alias("both"))
+    both = once(F.least(_upto(one, share, floor), _upto(two, share, floor)), lambda limit: once(cut(one, limit), lambda a: once(cut(two, limit), lambda b: counts(a, b))))
+    return once(both, lambda n: use(n["a"], n["b"], n["both"]))
 
 
 def likeness(one: Column, two: Column, share: int = SHARE, floor: int = FLOOR) -> Column:
     """Estimated Jaccard likeness of two sketched sets, 0 to 1; exact where both have fewer than ``floor`` shingles."""
-    a, b, both = _common(one, two, share, floor)
-    return F.when((F.size(one) == 0) & (F.size(two) == 0), F.lit(1.0)).otherwise(F.coalesce(both / F.nullif(F.size(a) + F.size(b) - both, F.lit(0)), F.lit(0.0)))
+    ratio = _compare(one, two, share, floor, lambda a, b, both: F.coalesce(both / F.nullif(a + b - both, F.lit(0)), F.lit(0.0)))
+    return F.when((F.size(one) == 0) & (F.size(two) == 0), F.lit(1.0)).otherwise(ratio)
 
 
 def containment(one: Column, two: Column, share: int = SHARE, floor: int = FLOOR) -> Column:
     """Estimated share of the first set's shingles that the second has, 0 to 1; 1 for an empty first set."""
-    a, _, both = _common(one, two, share, floor)
-    return F.when(F.size(one) == 0, F.lit(1.0)).otherwise(F.coalesce(both / F.nullif(F.size(a), F.lit(0)), F.lit(0.0)))
+    ratio = _compare(one, two, share, floor, lambda a, b, both: F.coalesce(both / F.nullif(a, F.lit(0)), F.lit(0.0)))
+    return F.when(F.size(one) == 0, F.lit(1.0)).otherwise(ratio)
 
 
 def fingerprint(kept: Column) -> Column:
