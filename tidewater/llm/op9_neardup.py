@@ -4,9 +4,10 @@
    SuperMinHash signature. Documents with equal sets collapse to one node before anything is compared.
 2. Nodes that share a band key meet in a bucket. Round one compares every node with its bucket's least node only, so a
    bucket of k nodes makes k pairs. Candidates whose set sizes rule a link out are never compared.
-3. The confirmed links are merged by ``components`` (least label over neighbours, then pointer jumping).
+3. The confirmed links are merged by ``components`` (hooking to the least neighbour, jumping, contraction): first one
+   pair of each node, then those pairs whose ends are still in different components.
 4. Buckets that still hold several components are finished exactly: those of up to ``block`` nodes by their untested
-   pairs across components, larger ones block against block inside tasks, which return links only.
+   pairs across components, the nodes of larger ones by a prefix join on their rarest shingles (``prefix_pairs``).
 
 With 40 bands of 8 rows a pair at similarity 0.85 misses every bucket with probability (1 - 0.85^8)^40, about 3e-6.
 
@@ -18,13 +19,13 @@ null, kept. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewater.llm.common import WorkTables, own_columns, table
 
@@ -134,47 +135,64 @@ def _verify(percent: int):
     return run
 
 
-def _across_blocks(percent: int):
-    """Links between the nodes of two blocks of one bucket that are of different components so far."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("node")
-        nodes, parts, blocks = (rows[c].to_numpy() for c in ("node", "component", "block"))
-        sets = [np.frombuffer(x, np.uint64) for x in rows["elements"]]
-        same = rows["lo"].iloc[0] == rows["hi"].iloc[0]
-        merged = dict(zip(parts, parts, strict=True))
-        links = []
-        for i in range(len(nodes)):
-            for j in range(i + 1, len(nodes)):
-                if (same or blocks[i] != blocks[j]) and merged[parts[i]] != merged[parts[j]] and linked(sets[i], sets[j], percent):
-                    links.append((nodes[i], nodes[j]))
-                    old, new = merged[parts[j]], merged[parts[i]]
-                    merged = {k: new if v == old else v for k, v in merged.items()}
-        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
+        nodes = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets]) if sets else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(np.concatenate(sets) if sets else nodes, pa.int64())], ["node", "token"])
 
-    return run
+
+def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of ``nodes`` (node, n, component) of two components that can reach ``percent``; exact.
+
+    Each set's shingles are ordered from rare to frequent. Of a pair that links, the larger set's first
+    n - ceil(t n) + 1 shingles and the smaller set's first n - ceil(2t / (1 + t) n) + 1 must have one in common, so a
+    passage that many documents share, being frequent, brings no pair about by itself.
+    """
+    tokens = sets.join(nodes.select("node"), "node", "left_semi").select("node", "elements").mapInArrow(_tokens, "node long, token long")
+    frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("seen")).filter("seen > 1")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("seen", F.lit(1)), "token"))
+    ranked = tokens.join(frequency, "token", "left").withColumn("rank", rank).filter("seen IS NOT NULL").join(nodes, "node")
+    probe = ranked.filter(f"rank <= n - ({percent} * n + 99) div 100 + 1").select("token", F.col("node").alias("a"), "n", "component", "rank")
+    index = ranked.filter(f"rank <= n - ({2 * percent} * n + {99 + percent}) div {100 + percent} + 1")
+    index = index.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"), F.col("rank").alias("place"))
+    # At the first common shingle nothing has matched yet, so what follows it bounds the overlap.
+    reach = f"(1 + least(n - rank, m - place)) * {100 + percent} >= {percent} * (n + m)"
+    pairs = probe.join(index, "token").filter(f"(m < n OR (m = n AND b < a)) AND component <> other AND m * 100 >= {percent} * n AND {reach}")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def components(links: DataFrame, work: WorkTables) -> DataFrame:
-    """(node, component): the least node that each linked node reaches. Nothing but one count a round reaches the driver.
+    """(node, component): the least node that each linked node reaches. Only one row count a round reaches the driver.
 
-    Each round takes the least label among a node's neighbours and then the label's own label (pointer jumping), so
-    chains shrink by half; it ends when no label changes.
+    Each round hooks every node to its least neighbour, jumps once to that one's own, and contracts the links to what
+    is left. Two neighbours can't both keep their names, so at most half of the linked nodes stay each round.
     """
-    both = work.put(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = work.put(both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("node"), F.least("a", "least").alias("component")), "labels")
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        hooked = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        hooked = work.put(hooked, "hooked")
-        up = hooked.select(F.col("node").alias("component"), F.col("component").alias("up"))
-        new = work.put(hooked.join(up, "component").select("node", "old", F.col("up").alias("component")), "labels")
-        changed = new.filter("old <> component").limit(1).count()
-        work.drop(hooked)
-        work.drop(labels)
-        labels = new
-        if not changed:
-            return labels.select("node", "component")
+    ordered = lambda a, b: [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+    edges, roots = work.put(links.select(*ordered("a", "b")).distinct(), "edges"), None
+    while edges.limit(1).count():
+        near = edges.select(F.col("a").alias("node"), F.col("b").alias("near")).union(edges.select("b", "a"))
+        hooked = work.put(near.groupBy("node").agg(F.min("near").alias("near")).select("node", F.least("node", "near").alias("up")), "hooked")
+        jumped = work.put(hooked.join(hooked.select(F.col("node").alias("up"), F.col("up").alias("component")), "up").select("node", "component"), "jumped")
+        roots = work.put(jumped if roots is None else relabelled(roots, jumped), "roots")
+        names = [jumped.select(F.col("node").alias(x), F.col("component").alias(y)) for x, y in (("a", "c"), ("b", "d"))]
+        edges = work.put(edges.join(names[0], "a").join(names[1], "b").filter("c <> d").select(*ordered("c", "d")).distinct(), "edges")
+    return links.sparkSession.createDataFrame([], "node long, component long") if roots is None else roots
+
+
+def relabelled(labels: DataFrame, names: DataFrame) -> DataFrame:
+    """``labels`` with every component that ``names`` (node, component) renames, and the nodes that only ``names`` has."""
+    new = names.select(F.col("node").alias("component"), F.col("component").alias("new"))
+    old = labels.join(new, "component", "left").select("node", F.coalesce("new", "component").alias("component"))
+    return old.union(names.join(labels, "node", "left_anti").select("node", "component"))
+
+
+def between(pairs: DataFrame, labels: DataFrame, confirmed: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(a, b): links between two components of ``labels``, from the confirmed of the given node pairs."""
+    side = lambda x, y: labels.select(F.col("node").alias(x), F.col("component").alias(y))
+    named = lambda p: p.join(side("a", "c"), "a", "left").join(side("b", "d"), "b", "left").select("a", "b", F.coalesce("c", "a").alias("c"), F.coalesce("d", "b").alias("d"))
+    found = confirmed(named(pairs).filter("c <> d").select("a", "b"))
+    return named(found).select(F.col("c").alias("a"), F.col("d").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
@@ -201,9 +219,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
         one, two = sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), sets.select(F.col("node").alias("b"), F.col("elements").alias("y"))
         return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
 
-    links = work.put(confirmed(star), "links")
+    # One pair a node first; of the others only those that still lie between components.
+    tried = work.put(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tried")
+    labels = components(confirmed(tried), work)
     # A class of equal sets is one node, but rows that share a doc_id with different texts are one document too.
-    labels = components(links, work)
+    labels = work.put(relabelled(labels, components(between(star.join(tried, ["a", "b"], "left_anti"), labels, confirmed), work)), "labels")
     label = F.coalesce("component", "node").alias("component")
     open_ = met.filter("seats > 2").join(labels, "node", "left").select("key", "node", "n", "seats", label)
     mixed = open_.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p <> q").select("key")
@@ -212,14 +232,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     other = few.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("q"))
     pairs = few.withColumnRenamed("node", "a").join(other, "key").filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("q")) & fits(F.col("n"), F.col("m")))
     pairs = pairs.select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
-    more = confirmed(pairs)
-    many = open_.filter(F.col("seats") > block)
-    spread = many.withColumn("blocks", F.ceil(F.col("seats") / block).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    spread = spread.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("key", "node", "component", "block", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"))
-    more = more.union(spread.join(sets, "node").groupBy("key", "lo", "hi").applyInPandas(_across_blocks(percent), "a long, b long"))
-    more = work.put(more, "more")
-    labels = components(links.union(more), work)
+    many = open_.filter(F.col("seats") > block).select("node", "n", "component").distinct()
+    rare = prefix_pairs(many, sets, percent).join(star, ["a", "b"], "left_anti")
+    labels = relabelled(labels, components(between(pairs.union(rare).distinct(), labels, confirmed), work))
     named = nodes.join(labels, "node", "left").select("set_key", label)
     out = signed.join(named, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
