@@ -1,10 +1,9 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints one JSON line. Each query is timed end to end (planning, the jobs it
-runs, and a full evaluation of its result through the ``noop`` sink).
-``udf_baseline_latest`` is the latest-per-key job with the per-row Python
-decoder of the original scripts in place of the native decoder, for
-comparison; it is not part of ``value``.
+runs, and a full evaluation of its result through the ``noop`` sink), RUNS
+times; ``queries`` has the medians and ``first_run`` the first times, which
+still compile code.
 """
 
 from __future__ import annotations
@@ -13,18 +12,17 @@ import json
 import os
 import sys
 import time
+from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType  # noqa: E402
-
-from tidewater.functions.pyjson import decode_map_text  # noqa: E402
 from tidewater.operators.latest import latest_per_key  # noqa: E402
 from tidewater.operators.normalize import normalize_changes  # noqa: E402
 from tidewater.plans import catalog, feeds  # noqa: E402
 from tidewater.session import build_session  # noqa: E402
 
+RUNS = 3
+
 HEADLINE = {
     "latest_per_key": catalog.latest_per_key_query,
     "upsert_batches": catalog.upsert_batches,
@@ -34,57 +32,6 @@ HEADLINE = {
     "stream_replay": catalog.stream_replay,
 }
 
-_BODY = StructType(
-    [
-        StructField("ts", LongType()),
-        StructField("keys", StringType()),
-        StructField("new_image", StringType()),
-        StructField("old_image", StringType()),
-        StructField("size", IntegerType()),
-        StructField("error", StringType()),
-    ]
-)
-
-
-def _row_decode(text):
-    """What the original jobs did per row: parse the body in Python and decode."""
-    try:
-        data = json.loads(text)
-        out = []
-        for name in ("Keys", "NewImage", "OldImage"):
-            out.append("{}" if name not in data else decode_map_text(json.dumps(data[name])))
-        if None in out:
-            raise ValueError("invalid attribute value")
-        return (data.get("ApproximateCreationDateTime"), out[0], out[1], out[2], data.get("SizeBytes"), None)
-    except Exception as e:  # noqa: BLE001 - mirrors the original error capture
-        return (None, None, None, None, None, json.dumps({"error": str(e), "data": text}))
-
-
-def udf_baseline_latest(spark, sf_dir):
-    envelope = "eventID string, eventName string, tableName string, dynamodb string"
-    row_udf = F.udf(_row_decode, _BODY)
-    feed = feeds.change_feed(spark, sf_dir).select("value")
-    rows = (
-        feed.select(F.from_json("value", envelope).alias("e"), F.col("value").alias("raw_payload"))
-        .select("e.*", "raw_payload")
-        .withColumn("d", row_udf("dynamodb"))
-        .select(
-            F.col("eventID").alias("event_id"),
-            F.col("eventName").alias("last_event_name"),
-            F.col("tableName").alias("table_name"),
-            F.col("d.ts").alias("approx_creation_timestamp_millis"),
-            F.col("d.keys").alias("keys"),
-            F.col("d.new_image").alias("new_image"),
-            F.col("d.old_image").alias("old_image"),
-            F.col("d.error").alias("error"),
-            F.col("d.error").isNotNull().alias("has_parsing_error"),
-            F.coalesce(F.col("eventName") == "REMOVE", F.lit(False)).alias("is_deleted"),
-            F.col("d.size").alias("raw_payload_size_bytes"),
-            "raw_payload",
-        )
-    )
-    return latest_per_key(rows).select(*catalog.LATEST_COLUMNS)
-
 
 def timed(spark, fn, sf_dir):
     t = time.time()
@@ -99,9 +46,8 @@ def main():
     # Warm-up, not timed: a long-running job plans and runs on a warm JVM.
     warm = feeds.change_feed(spark, sf_dir).select("value").limit(200)
     latest_per_key(normalize_changes(warm)).write.format("noop").mode("overwrite").save()
-    udf_baseline_latest(spark, sf_dir).limit(10).collect()
-    times = {name: timed(spark, fn, sf_dir) for name, fn in HEADLINE.items()}
-    extra = {"udf_baseline_latest": timed(spark, udf_baseline_latest, sf_dir)}
+    runs = {name: [timed(spark, fn, sf_dir) for _ in range(RUNS)] for name, fn in HEADLINE.items()}
+    times = {name: round(median(own), 3) for name, own in runs.items()}
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(
         json.dumps(
@@ -110,7 +56,7 @@ def main():
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
-                "comparison": extra,
+                "first_run": {name: own[0] for name, own in runs.items()},
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
             }

@@ -165,12 +165,12 @@ def test_deep_rows_are_ranked_then_repaired(spark, tmp_dir):
                 "NewImage": {"d": _deep(12, "y"), "bad": {"Q": "1"}}}, event_id="e3"),
     ]
     # without an upsert: the deep row keeps keys and timestamp and is flagged
-    rows = {r["event_id"]: r for r in normalize_changes(frame(spark, texts)).collect()}
+    rows = {r["event_id"]: r for r in normalize_changes(frame(spark, texts), opts=DecodeOptions(deep_fallback="repair")).collect()}
     assert rows["e2"]["keys"] == '{"id": "a"}' and rows["e2"]["approx_creation_timestamp_millis"] == 2
     assert json.loads(rows["e2"]["error"])["error"] == "attribute values nested too deeply"
     # through the upsert: ranked as the latest of "a", then decoded in Python
     target = TargetConfig(path=f"{tmp_dir}/t", buckets=2)
-    apply_change_batch(spark, frame(spark, texts), target, batch_id=0, decode=DecodeOptions(max_depth=4))
+    apply_change_batch(spark, frame(spark, texts), target, batch_id=0, decode=DecodeOptions(max_depth=4, deep_fallback="repair"))
     out = {r["event_id"]: r for r in read_target(spark, target).collect()}
     assert set(out) == {"e2", "e3"}
     assert out["e2"]["error"] is None and out["e2"]["new_image"] == decode_map_text(json.dumps(deep_img))

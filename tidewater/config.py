@@ -22,13 +22,15 @@ class DecodeOptions:
 
     max_depth     -- nesting levels decoded by the native expression; deeper
                      values go to ``deep_fallback``.
-    deep_fallback -- "repair" (default): such a row keeps its keys and
-                     timestamp, so it is ranked like any other; once the
-                     batch is staged, only those rows are decoded again in
-                     Python (an Arrow UDF) and written back. Without an
-                     upsert they stay flagged with the "nested too deeply"
-                     error. "udf": an Arrow UDF inline in the plan (every
-                     row passes through it). "error": error rows.
+    deep_fallback -- "udf" (default): an Arrow UDF inline in the plan decodes
+                     them before rows are ranked, so the result is the same
+                     at any depth and for every sink. "repair": such a row
+                     keeps its keys and timestamp and is ranked undecoded;
+                     only those rows are decoded again once an upsert has
+                     staged the batch. Faster, but only for feeds whose deep
+                     values are known to be valid: a deep row that proves
+                     undecodable has by then replaced older changes of its
+                     key. "error": error rows.
     strict_types  -- binary values and sets become error rows (as the
                      original per-row decoder did) instead of text/arrays.
     allow_empty_keys -- a change without ``Keys`` gets keys ``{}`` instead of
@@ -36,7 +38,7 @@ class DecodeOptions:
     """
 
     max_depth: int = 8
-    deep_fallback: str = "repair"
+    deep_fallback: str = "udf"
     strict_types: bool = False
     allow_empty_keys: bool = False
 
@@ -117,6 +119,7 @@ class StreamConfig:
     checkpoint_location: str
     source_options: dict = field(default_factory=dict)
     source_path: str | None = None
+    source_column: str | None = None
     trigger_interval: str | None = "100 seconds"
     available_now: bool = False
     lookup: LookupConfig | None = None

@@ -35,26 +35,31 @@ def decode_value(value, strict_types: bool = False):
     if not isinstance(value, dict) or len(value) != 1:
         raise DecodeError("typed value must be an object with one tag")
     ((tag, payload),) = value.items()
-    if tag == "S" and isinstance(payload, str):
-        return payload
-    if tag == "N" and isinstance(payload, str) and _NUMBER.fullmatch(payload):
-        return payload
-    if tag == "BOOL" and isinstance(payload, bool):
-        return payload
-    if tag == "NULL" and payload is True:
+    if tag == "S":
+        return _text(payload)
+    if tag == "N" and payload is not None and _NUMBER.fullmatch(_text(payload)):
+        return _text(payload)
+    if tag == "BOOL" and _text(payload) in ("true", "false"):
+        return _text(payload) == "true"
+    if tag == "NULL":
         return None
     if tag == "M" and isinstance(payload, dict):
         return {name: decode_value(v, strict_types) for name, v in payload.items()}
     if tag == "L" and isinstance(payload, list):
         return [decode_value(v, strict_types) for v in payload]
     if not strict_types:
-        if tag == "B" and isinstance(payload, str):
-            return payload
-        if tag in ("SS", "NS", "BS") and isinstance(payload, list) and all(isinstance(x, str) for x in payload):
+        if tag == "B":
+            return _text(payload)
+        if tag in ("SS", "NS", "BS") and isinstance(payload, list):
             return _Compact(payload)
     raise DecodeError(f"unsupported typed value with tag {tag!r}")
 
 
+def _text(payload) -> str | None:
+    """A payload as the native decoder reads it: text as it stands, anything else as compact JSON."""
+    return payload if payload is None or isinstance(payload, str) else json.dumps(payload, ensure_ascii=False, separators=(",", ":"))
+
+
 class _Compact(list):
     """A set: rendered as a compact JSON array, like the native decoder."""
 
@@ -88,7 +93,11 @@ def decode_map_text(text: str | None, strict_types: bool = False) -> str | None:
         return None
 
 
-@F.pandas_udf(StringType())
-def deep_image_udf(texts: pd.Series) -> pd.Series:
+def deep_image_udf(strict_types: bool):
     """Arrow UDF for the depth fallback; receives NULL for all other rows."""
-    return texts.map(decode_map_text, na_action="ignore")
+
+    @F.pandas_udf(StringType())
+    def decode(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: decode_map_text(text, strict_types), na_action="ignore")
+
+    return decode

@@ -98,7 +98,7 @@ def _with_fallback(df: DataFrame, text_col: str, source_col: str, opts: DecodeOp
     if opts.deep_fallback != "udf":
         return df
     deep = A.has_marker(F.col(text_col), A.DEEP)
-    fixed = deep_image_udf(F.when(deep, F.col(source_col)))
+    fixed = deep_image_udf(opts.strict_types)(F.when(deep, F.col(source_col)))
     return df.withColumn(text_col, F.when(deep, F.coalesce(fixed, F.lit(A.BAD))).otherwise(F.col(text_col)))
 
 
@@ -210,7 +210,7 @@ def is_too_deep(error: Column) -> Column:
     return F.coalesce(F.get_json_object(error, "$.error") == ERR_TOO_DEEP, F.lit(False))
 
 
-def repair_deep(df: DataFrame, export: bool = False) -> DataFrame:
+def repair_deep(df: DataFrame, export: bool = False, strict_types: bool = False) -> DataFrame:
     """Decode, in Python, the images of rows the native decoder found too deep.
 
     Meant for the few such rows of a staged batch: the images are read
@@ -226,8 +226,8 @@ def repair_deep(df: DataFrame, export: bool = False) -> DataFrame:
     texts = df.select("*", new_src.alias("_new_src"), old_src.alias("_old_src"))
     texts = texts.select(
         "*",
-        F.when(F.col("_new_src").isNull(), F.lit("{}")).otherwise(deep_image_udf(F.col("_new_src"))).alias("_n"),
-        F.when(F.col("_old_src").isNull(), F.lit("{}")).otherwise(deep_image_udf(F.col("_old_src"))).alias("_o"),
+        F.when(F.col("_new_src").isNull(), F.lit("{}")).otherwise(deep_image_udf(strict_types)(F.col("_new_src"))).alias("_n"),
+        F.when(F.col("_old_src").isNull(), F.lit("{}")).otherwise(deep_image_udf(strict_types)(F.col("_old_src"))).alias("_o"),
     )
     good = F.col("_n").isNotNull() & F.col("_o").isNotNull()
     data = F.get_json_object("error", "$.data")

@@ -30,6 +30,7 @@ operations, the same upsert is issued as ``MERGE INTO`` instead.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,7 +190,7 @@ def upsert(
     if target.table:
         _merge_into_table(batch, target)
         return
-    work = f"{_work_root(spark, target)}/{run_key}/batch={batch_id if batch_id is not None else 'once'}"
+    work = f"{_work_root(spark, target)}/{run_key}/batch={batch_id if batch_id is not None else uuid.uuid4().hex}"
     staging, merged = f"{work}/staging", f"{work}/merged"
     _check_layout(spark, target)
     if not path_exists(spark, f"{merged}/_SUCCESS"):
@@ -207,6 +208,8 @@ def upsert(
             check_unique_keys(staged)
         touched = written_buckets(spark, staging)
         if not touched:
+            if not batch.isEmpty():
+                raise RuntimeError(f"staging folder {staging} lists no bucket; is it shared by all executors?")
             remove_path(spark, work)
             return
         if not written_buckets(spark, target.path):

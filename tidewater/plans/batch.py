@@ -56,7 +56,8 @@ def apply_change_batch(
 
 
 def deep_repair(decode: DecodeOptions | None, export: bool = False):
-    """The staging repair step for ``deep_fallback="repair"`` (the default)."""
-    if (decode or DecodeOptions()).deep_fallback != "repair":
+    """The staging repair step for ``deep_fallback="repair"``."""
+    decode = decode or DecodeOptions()
+    if decode.deep_fallback != "repair":
         return None
-    return lambda df: repair_deep(df, export=export)
+    return lambda df: repair_deep(df, export=export, strict_types=decode.strict_types)

@@ -9,13 +9,12 @@ from pyspark.sql import SparkSession
 
 # Settings every job relies on: AQE re-plans joins and shuffles at run time,
 # splits skewed partitions and coalesces small ones; rebalance before writes
-# splits hot buckets; dynamic overwrite replaces only the buckets written.
+# splits hot buckets.
 JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -48,14 +47,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this setting names shared storage and is always read from
     the session. Only when it is unset (local runs, tests) a folder is made
-    and registered.
+    for a local session; elsewhere a machine-local folder would lose rows,
+    so that is an error.
     """
     conf = spark.sparkContext.getConf()
     path = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 

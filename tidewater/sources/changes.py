@@ -12,12 +12,16 @@ def read_change_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
 
     Any Structured Streaming source fits (``kafka``, ``kinesis`` where the
     connector is installed, ``text`` files in tests); a source with more
-    than one column must be narrowed with ``source_column``.
+    than one column must be narrowed with ``source_column``. Kafka is read
+    from the earliest offset unless the options say otherwise.
     """
-    reader = spark.readStream.format(cfg.source_format).options(**cfg.source_options)
+    options = {"startingOffsets": "earliest"} if cfg.source_format == "kafka" else {}
+    reader = spark.readStream.format(cfg.source_format).options(**{**options, **cfg.source_options})
     df = reader.load(cfg.source_path) if cfg.source_path else reader.load()
     if cfg.source_format == "kafka":
         df = df.selectExpr("CAST(value AS STRING) AS value")
+    elif cfg.source_column:
+        df = df.select(df[cfg.source_column].cast("string").alias("value"))
     return df
 
 
