@@ -30,6 +30,8 @@ from pyspark.sql.window import Window
 from tidewater.llm.common import WorkTables, own_columns, table
 
 BANDS, ROWS, BLOCK = 40, 8, 64
+#: Numbers in the table that orders shingles from rare to frequent.
+SLOTS = 1 << 20
 MIX_A, MIX_B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -135,25 +137,64 @@ def _verify(percent: int):
     return run
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
-        nodes = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets]) if sets else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(np.concatenate(sets) if sets else nodes, pa.int64())], ["node", "token"])
+def _slots(tokens: np.ndarray, slots: int) -> np.ndarray:
+    return (tokens % np.uint64(slots)).astype(np.int64)
 
 
-def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _slot_counts(slots: int):
+    """The shingles of a task's sets by slot: at most ``slots`` rows a task, however many shingles it reads."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(slots, np.int64)
+        for batch in batches:
+            for elements in batch.column(0).to_pylist():
+                np.add.at(seen, _slots(np.frombuffer(elements, np.uint64), slots), 1)
+        full = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array(seen[full], pa.int64())], ["slot", "seen"])
+
+    return run
+
+
+def _prefixes(percent: int, order):
+    """The first n - ceil(t n) + 1 shingles of each set, rare slots first, without those that no other set can have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["token", "node", "n", "component", "rank"]
+        for batch in batches:
+            found: list[list[np.ndarray]] = []
+            for node, n, component, elements in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                tokens = np.frombuffer(elements, np.uint64)
+                if len(tokens) != n:  # another text of the same doc_id
+                    continue
+                seen = order.value[_slots(tokens, len(order.value))]
+                first = np.lexsort((tokens, seen))[: n - (percent * n + 99) // 100 + 1]
+                rank = np.flatnonzero(seen[first] > 1)
+                own = np.full(len(rank), 1, np.int64)
+                found.append([tokens[first[rank]].view(np.int64), own * node, own * n, own * component, rank + 1])
+            columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+    return run
+
+
+def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int, slots: int = SLOTS, work: WorkTables | None = None) -> DataFrame:
     """(a, b): the pairs of ``nodes`` (node, n, component) of two components that can reach ``percent``; exact.
 
     Each set's shingles are ordered from rare to frequent. Of a pair that links, the larger set's first
     n - ceil(t n) + 1 shingles and the smaller set's first n - ceil(2t / (1 + t) n) + 1 must have one in common, so a
-    passage that many documents share, being frequent, brings no pair about by itself.
+    passage that many documents share, being frequent, brings no pair about by itself. Any order that all sets share
+    makes the join exact; this one counts shingles by hash in a table of ``slots`` numbers, so only prefixes are
+    shuffled, and what is broadcast has that fixed size (4 bytes a slot).
     """
-    tokens = sets.join(nodes.select("node"), "node", "left_semi").select("node", "elements").mapInArrow(_tokens, "node long, token long")
-    frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("seen")).filter("seen > 1")
-    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("seen", F.lit(1)), "token"))
-    ranked = tokens.join(frequency, "token", "left").withColumn("rank", rank).filter("seen IS NOT NULL").join(nodes, "node")
-    probe = ranked.filter(f"rank <= n - ({percent} * n + 99) div 100 + 1").select("token", F.col("node").alias("a"), "n", "component", "rank")
+    spark, work = nodes.sparkSession, work or WorkTables(nodes.sparkSession)
+    # One row for each node and text: their shingles are read twice.
+    own = work.put(nodes.join(sets, "node").select("node", "n", "component", "elements"), "own")
+    counts = own.select("elements").mapInArrow(_slot_counts(slots), "slot long, seen long").groupBy("slot").agg(F.sum("seen").alias("seen")).toArrow()
+    order = np.zeros(slots, np.uint32)
+    order[counts["slot"].to_numpy()] = np.minimum(counts["seen"].to_numpy(), 2**32 - 1)
+    ranked = own.mapInArrow(_prefixes(percent, spark.sparkContext.broadcast(order)), "token long, node long, n long, component long, rank long")
+    ranked = work.put(ranked, "prefixes")
+    probe = ranked.withColumnRenamed("node", "a")
     index = ranked.filter(f"rank <= n - ({2 * percent} * n + {99 + percent}) div {100 + percent} + 1")
     index = index.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"), F.col("rank").alias("place"))
     # At the first common shingle nothing has matched yet, so what follows it bounds the overlap.
@@ -233,7 +274,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     pairs = few.withColumnRenamed("node", "a").join(other, "key").filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("q")) & fits(F.col("n"), F.col("m")))
     pairs = pairs.select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
     many = open_.filter(F.col("seats") > block).select("node", "n", "component").distinct()
-    rare = prefix_pairs(many, sets, percent).join(star, ["a", "b"], "left_anti")
+    rare = prefix_pairs(many, sets, percent, work=work).join(star, ["a", "b"], "left_anti")
     labels = relabelled(labels, components(between(pairs.union(rare).distinct(), labels, confirmed), work))
     named = nodes.join(labels, "node", "left").select("set_key", label)
     out = signed.join(named, "set_key", "left")
