@@ -48,6 +48,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "soft_deletes": catalog.soft_deletes,
         "lookup_left_join": catalog.lookup_left_join,
         "bulk_lookup_join": catalog.bulk_lookup_join,
+        "bulk_lookup": catalog.bulk_lookup,
+        "stream_lookup": catalog.stream_lookup,
         "lookup_fanout_rows": catalog.lookup_fanout_rows,
         "lookup_fanout_array": catalog.lookup_fanout_array,
         "typed_view": catalog.typed_view_query,
@@ -93,6 +95,13 @@ WITH linked AS (
 )
 """
 
+_BULK_LINKED = """
+SELECT '{"o_orderkey": "' || CAST(o.o_orderkey AS VARCHAR) || '"}' AS keys, p.url AS s3_uri,
+       CAST(p.page_id AS VARCHAR) AS page_id, p.url IS NULL AS payload_empty,
+       COALESCE(p.url, 'missing://page/' || CAST(o.o_custkey AS VARCHAR)) AS link
+FROM orders o LEFT JOIN pages p ON p.page_id = o.o_custkey
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -171,11 +180,14 @@ SELECT {_KEYS} AS keys, CAST(l.event_id AS VARCHAR) AS event_id, p.url AS s3_uri
        l.event_type = 'error' AS new_empty
 FROM latest l LEFT JOIN pages p ON l.event_type <> 'error' AND p.url = l.url
 """,
-        "bulk_lookup_join": """
-SELECT '{"o_orderkey": "' || CAST(o.o_orderkey AS VARCHAR) || '"}' AS keys, p.url AS s3_uri,
-       CAST(p.page_id AS VARCHAR) AS page_id, p.url IS NULL AS payload_empty,
-       COALESCE(p.url, 'missing://page/' || CAST(o.o_custkey AS VARCHAR)) AS link
-FROM orders o LEFT JOIN pages p ON p.page_id = o.o_custkey
+        "bulk_lookup_join": _BULK_LINKED,
+        "bulk_lookup": _BULK_LINKED,
+        "stream_lookup": _LOOKUP_LATEST
+        + f"""
+SELECT {_KEYS} AS keys, CAST(l.event_id AS VARCHAR) AS event_id, p.url AS s3_uri,
+       CAST(p.page_id AS VARCHAR) AS page_id, p.url IS NULL AS payload_empty
+FROM latest l LEFT JOIN pages p
+  ON l.event_type <> 'error' AND p.url = l.url AND (l.ts >= TIMESTAMP '2024-01-11 00:00:00' OR p.page_id % 4 = 0)
 """,
         "lookup_fanout_rows": _LOOKUP_LATEST
         + f"""
@@ -188,7 +200,9 @@ LEFT JOIN (SELECT page_id, url, unnest([1, 2]) AS part FROM pages) p
         "lookup_fanout_array": _LOOKUP_LATEST
         + f"""
 SELECT {_KEYS} AS keys, CAST(l.event_id AS VARCHAR) AS event_id, p.url AS s3_uri,
-       CASE WHEN p.url IS NULL THEN 0 ELSE 2 END AS n_records
+       CASE WHEN p.url IS NULL THEN 0 ELSE 2 END AS n_records,
+       CASE WHEN p.url IS NULL THEN '{{}}' ELSE '[{{"page_id":' || p.page_id || ',"part":1}},{{"page_id":' || p.page_id || ',"part":2}}]'
+       END AS records
 FROM latest l LEFT JOIN pages p ON l.event_type <> 'error' AND p.url = l.url
 """,
         "typed_view": f"""

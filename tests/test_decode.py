@@ -1,50 +1,37 @@
 import json
-import os
 import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import REFERENCE
 from helpers import image_of, normalize_texts, record
 from tidewater.config import DecodeOptions
 from tidewater.functions.pyjson import decode_map_text
 
 
-def _pair(name):
-    raw = os.path.join(REFERENCE, "raw-data", f"{name}.json")
-    parsed = os.path.join(REFERENCE, "parsed-data", f"{name}.json")
-    if not (os.path.exists(raw) and os.path.exists(parsed)):
-        pytest.skip("sample records not available")
-    with open(raw) as f, open(parsed) as g:
-        return json.dumps(json.load(f), separators=(",", ":")), json.load(g)
+# Sample records of this suite, one for each event name: body, and the texts of keys and images they must give.
+KEYS = {"pk": {"S": "k1"}}
+BEFORE = {"pk": {"S": "k1"}, "n": {"N": "4.50"}, "deep": {"M": {"list": {"L": [{"S": "a"}, {"NULL": True}]}}}}
+AFTER = {"pk": {"S": "k1"}, "n": {"N": "5"}, "open": {"BOOL": False}, "none": {"M": {}}, "no": {"L": []}}
+BEFORE_TEXT = '{"pk": "k1", "n": "4.50", "deep": {"list": ["a", null]}}'
+AFTER_TEXT = '{"pk": "k1", "n": "5", "open": false, "none": {}, "no": []}'
+SAMPLES = {
+    "INSERT": ({"NewImage": BEFORE}, BEFORE_TEXT, "{}"),
+    "MODIFY": ({"NewImage": AFTER, "OldImage": BEFORE}, AFTER_TEXT, BEFORE_TEXT),
+    "REMOVE": ({"OldImage": AFTER}, "{}", AFTER_TEXT),
+}
 
 
-@pytest.mark.parametrize("name", ["insert", "modify", "remove"])
-def test_golden_pairs(spark, name):
-    text, expected = _pair(name)
+@pytest.mark.parametrize("name", sorted(SAMPLES))
+def test_sample_records(spark, name):
+    images, new, old = SAMPLES[name]
+    text = record({"ApproximateCreationDateTime": 1700000000123, "Keys": KEYS, "SizeBytes": 77} | images, event_id="e1", name=name)
     row = normalize_texts(spark, [text])[0]
-    for col in ("event_id", "last_event_name", "table_name", "approx_creation_timestamp_millis",
-                "has_parsing_error", "is_deleted", "raw_payload_size_bytes"):
-        assert row[col] == expected[col], col
-    assert json.loads(row["keys"]) == json.loads(expected["keys"])
-    assert row["new_image"] == expected["new_image"]
-    # The code decodes the old image; the MODIFY sample file shows {} (stale).
-    raw_old = json.loads(text)["dynamodb"].get("OldImage")
-    expected_old = json.loads(decode_map_text(json.dumps(raw_old))) if raw_old else {}
-    assert json.loads(row["old_image"]) == expected_old
-    # The code gives a NULL error; the INSERT sample file shows "{}".
-    assert row["error"] is None
-    assert row["raw_payload"] == text
-
-
-def test_text_matches_original_format(spark):
-    for name in ("insert", "modify", "remove"):
-        text, expected = _pair(name)
-        row = normalize_texts(spark, [text])[0]
-        assert row["keys"] == expected["keys"]
-        assert row["new_image"] == expected["new_image"]
+    assert (row["event_id"], row["last_event_name"], row["is_deleted"]) == ("e1", name, name == "REMOVE")
+    assert (row["approx_creation_timestamp_millis"], row["raw_payload_size_bytes"]) == (1700000000123, 77)
+    assert (row["keys"], row["new_image"], row["old_image"]) == ('{"pk": "k1"}', new, old)
+    assert row["raw_payload"] == text and row["error"] is None and not row["has_parsing_error"]
 
 
 def test_keys_are_canonical(spark):

@@ -176,3 +176,21 @@ def test_stream_batch_with_lookup_into_14_column_target(spark, tmp_dir):
                        lookup=LookupConfig(path=f"{tmp_dir}/lk", multi="array"))
     z = [r for r in read_target(spark, target).collect() if r["keys"] == '{"id": "z"}'][0]
     assert sorted(x["n"] for x in json.loads(z["raw_s3_payload"])) == [1, 2]
+
+
+def test_bulk_load_time_is_now_unless_given(spark):
+    import time
+
+    before = int(time.time() * 1000)
+    df = spark.createDataFrame([(export_line({"id": {"S": "a"}}),)], "value string")
+    at = normalize_export(df, ("id",), "t", "r").first()["approx_creation_timestamp_millis"]
+    assert before <= at <= int(time.time() * 1000)
+
+
+def test_change_log_batch_is_replaced_on_replay(spark, tmp_dir):
+    from tidewater.sinks.changelog import write_change_log
+
+    changes = normalize_changes(spark.createDataFrame([(linked("x", None),), (linked("y", None),)], "value string"))
+    for batch in (1, 2, 1):
+        write_change_log(changes, f"{tmp_dir}/log", batch_id=batch)
+    assert spark.read.parquet(f"{tmp_dir}/log").groupBy("batch").count().orderBy("batch").collect() == [(1, 2), (2, 2)]

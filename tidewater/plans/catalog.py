@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.config import BulkConfig, StreamConfig, TargetConfig
+from tidewater.config import BulkConfig, LookupConfig, StreamConfig, TargetConfig
 from tidewater.operators.enrich import enrich
 from tidewater.operators.latest import latest_per_key
 from tidewater.operators.normalize import normalize_changes, normalize_export
@@ -62,7 +62,7 @@ def decode_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 def normalize_changes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised changes through the file sink and back."""
     path = scratch_path(spark, "queries", "changelog")
-    write_change_log(_changes(spark, sf_dir), path)
+    write_change_log(_changes(spark, sf_dir), path, batch_id=1)
     log = spark.read.parquet(path)
     return log.select(
         "event_id",
@@ -127,15 +127,18 @@ def soft_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export written as files, then read, decoded and loaded by the bulk job."""
+    export = scratch_path(spark, "queries", "export")
+    feeds.export_lines(spark, sf_dir).write.text(f"{export}/data", compression="gzip")
     cfg = BulkConfig(
-        export_path=scratch_path(spark, "queries", "export"),
+        export_path=export,
         table_name=feeds.EXPORT_TABLE,
         key_names=feeds.EXPORT_KEYS,
         target=TargetConfig(path=scratch_path(spark, "queries", "bulk"), buckets=QUERY_BUCKETS),
         run_id=BULK_RUN_ID,
         load_time_millis=BULK_LOAD_MILLIS,
     )
-    run_bulk(spark, cfg, lines=feeds.export_lines(spark, sf_dir))
+    run_bulk(spark, cfg)
     new = F.col("new_image")
     return read_target(spark, cfg.target).select(
         "keys",
@@ -163,7 +166,11 @@ def bulk_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_job_conf(spark)
     upsert(spark, enrich(rows, feeds.page_lookup(spark, sf_dir)), target, batch_id=BULK_RUN_ID, run_key="bulk",
            repair=deep_repair(None, export=True))
-    return read_target(spark, target).select(
+    return _linked(read_target(spark, target))
+
+
+def _linked(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "keys",
         "s3_uri",
         F.get_json_object("raw_s3_payload", "$.page_id").alias("page_id"),
@@ -172,6 +179,58 @@ def bulk_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bulk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bulk job with its lookup option, over export files and a prepared lookup table."""
+    export, pages = (scratch_path(spark, "queries", name) for name in ("linked-export", "pages"))
+    feeds.export_lines(spark, sf_dir, with_link=True).write.text(f"{export}/data")
+    feeds.page_lookup(spark, sf_dir).write.parquet(pages)
+    cfg = BulkConfig(
+        export_path=export,
+        table_name=feeds.EXPORT_TABLE,
+        key_names=feeds.EXPORT_KEYS,
+        target=TargetConfig(path=scratch_path(spark, "queries", "bulk-job"), buckets=QUERY_BUCKETS, with_lookup=True),
+        run_id=BULK_RUN_ID,
+        load_time_millis=BULK_LOAD_MILLIS,
+        lookup=LookupConfig(path=pages, format="parquet"),
+    )
+    run_bulk(spark, cfg)
+    return _linked(read_target(spark, cfg.target))
+
+
+def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming job with its lookup option, stopped and run again.
+
+    The first run sees the first third of the time and the lookup records of
+    every other linked page; the other records are added before the second
+    run, whose changes find them.
+    """
+    source, pages = (scratch_path(spark, "queries", name) for name in ("linked-source", "growing-pages"))
+    feed = feeds.lookup_feed(spark, sf_dir, timed=True).withColumn("_first", feeds.batch_of(F.col("ts")) == 1)
+    lookup = feeds.page_lookup(spark, sf_dir).withColumn("_first", F.get_json_object("raw_s3_payload", "$.page_id").cast("long") % 4 == 0)
+    cfg = StreamConfig(
+        source_format="text",
+        source_path=f"{source}/run-*",
+        target=TargetConfig(path=scratch_path(spark, "queries", "linked-target"), buckets=QUERY_BUCKETS, with_lookup=True),
+        checkpoint_location=scratch_path(spark, "queries", "linked-checkpoint"),
+        lookup=LookupConfig(path=pages, format="parquet"),
+        available_now=True,
+    )
+    for run, part in ((1, F.col("_first")), (2, ~F.col("_first"))):
+        lookup.filter(part).drop("_first").write.mode("append").parquet(pages)
+        feed.filter(part).select("value").write.text(f"{source}/run-{run}")
+        query = run_stream(spark, cfg)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"stream failed: {query.exception()}")
+    return read_target(spark, cfg.target).select(
+        "keys",
+        "event_id",
+        "s3_uri",
+        F.get_json_object("raw_s3_payload", "$.page_id").alias("page_id"),
+        (F.col("raw_s3_payload") == "{}").alias("payload_empty"),
+    )
+
+
 def _lookup_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(normalize_changes(feeds.lookup_feed(spark, sf_dir)))
 
@@ -212,6 +271,7 @@ def lookup_fanout_array(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         "s3_uri",
         F.coalesce(F.json_array_length("raw_s3_payload"), F.lit(0)).alias("n_records"),
+        F.regexp_replace("raw_s3_payload", r"\s", "").alias("records"),
     )
 
 

@@ -31,12 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a generated feed over the session's cores.
+    """Hash-partition a generated feed over the session's cores, if its input has fewer splits.
 
     A real change stream arrives in many shards and an export in many files;
     the given tables are single small files, which Spark reads as one task.
+    A table with splits enough is left as it is.
     """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def _n(value: Column) -> Column:
@@ -143,8 +145,8 @@ def broken_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lookup_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change records whose new image names a page URL in ``s3_uri``.
+def lookup_feed(spark: SparkSession, sf_dir: str, timed: bool = False) -> DataFrame:
+    """Change records whose new image names a page URL in ``s3_uri`` (with the event's ``ts`` if ``timed``).
 
     User ``u`` points at page ``2u``; pages past the end of the table give
     URIs that match nothing.
@@ -153,7 +155,7 @@ def lookup_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(F.col("page_id"), F.col("url"))
     joined = ev.join(pages, ev.user_id * 2 == pages.page_id, "left")
     uri = F.coalesce(F.col("url"), F.concat(F.lit("missing://page/"), (F.col("user_id") * 2).cast("string")))
-    return joined.select(change_record(ev, uri).alias("value"))
+    return joined.select(change_record(ev, uri).alias("value"), *(["ts"] if timed else []))
 
 
 def page_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,14 +10,20 @@ def change_date() -> F.Column:
     return F.to_date(F.timestamp_millis(F.col("approx_creation_timestamp_millis")))
 
 
-def write_change_log(df: DataFrame, path: str) -> None:
-    """Append rows to ``path``, partitioned by the UTC date of the change.
+def write_change_log(df: DataFrame, path: str, batch_id: int | str | None = None) -> None:
+    """Add rows to ``path``, partitioned by the UTC date of the change.
 
     Rows without a timestamp (parse errors) land in the NULL date folder.
-    Meant for ``foreachBatch`` as well as for one-off loads; readers prune
-    by ``change_date``.
+    With ``batch_id`` (``foreachBatch``) the rows go to a folder of that
+    batch, which a replay overwrites; without, they are appended. The
+    rebalance by date keeps the number of files near the number of dates and
+    lets AQE split a large date. Readers prune by ``change_date``.
     """
-    df.withColumn("change_date", change_date()).write.mode("append").partitionBy("change_date").parquet(path)
+    writer = df.withColumn("change_date", change_date()).hint("rebalance", "change_date").write.partitionBy("change_date")
+    if batch_id is None:
+        writer.mode("append").parquet(path)
+    else:
+        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch={batch_id}")
 
 
 def change_log_stream(df: DataFrame, path: str, checkpoint_location: str, trigger_interval: str | None = None):
