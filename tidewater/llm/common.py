@@ -35,10 +35,10 @@ class WorkTables:
     def __init__(self, spark: SparkSession):
         self.spark, self.folder, self.count = spark, work_folder(spark), 0
 
-    def put(self, df: DataFrame, name: str = "t") -> DataFrame:
+    def put(self, df: DataFrame, name: str = "t", **options: str) -> DataFrame:
         self.count += 1
         path = f"{self.folder}/{self.count:03d}-{name}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._work_path = path  # noqa: SLF001
         return out

@@ -46,6 +46,7 @@ MARKS = re.compile(
 )
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
+BLANKS = re.compile(r"[ \t\r\n]+")
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
@@ -164,55 +165,77 @@ def parse(page: str) -> tuple[list[tuple[list[int], bool, bool, str]], list[tupl
     return texts, boxed, root.chars, mains[0] if mains else name(page.encode())
 
 
-_SEGMENT = pa.struct([("boxes", pa.list_(pa.int64())), ("inside", pa.bool_()), ("dropped", pa.bool_()), ("text", pa.string())])
+_SEGMENT = pa.struct([("path", pa.list_(pa.int32())), ("text", pa.string())])
 _BOXES = pa.list_(pa.struct([("hash", pa.int64()), ("share", pa.float64())]))
 
 
+def _candidates(found: list[tuple[list[int], bool, bool, str]]) -> tuple[bool, list[tuple[list[int], str]]]:
+    """Whether the page has an article, and the segments that can be main text: the article's, else all that no name drops.
+
+    Neighbours in the same boxes are one, since they stay or go together; runs of blanks become one.
+    """
+    live = [s for s in found if not s[2]]
+    inside = [s for s in live if s[1]]
+    out: list[tuple[list[int], list[str]]] = []
+    for path, _, _, text in inside or live:
+        if out and out[-1][0] == path:
+            out[-1][1].append(text)
+        else:
+            out.append((path, [text]))
+    return bool(inside), [(path, BLANKS.sub(" ", "".join(texts))) for path, texts in out]
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     signed = lambda x: x - (x >> 63 << 64)
     for whole in batches:
         for at in range(0, whole.num_rows, 512):
             batch = whole.slice(at, 512)
-            segments, boxes, copies = [], [], []
+            articles, segments, owns, boxes, copies = [], [], [], [], []
             for page in batch.column(3).to_pylist():
                 found, boxed, chars, copy = parse(page or "")
                 copies.append(signed(copy))
-                segments.append([{"boxes": [signed(boxed[i][0]) for i in path], "inside": inside, "dropped": dropped, "text": text} for path, inside, dropped, text in found])
+                article, texts = _candidates(found)
+                # A segment names its boxes by their place in the page's list of hashes.
+                own: dict[int, int] = {}
+                segments.append([{"path": sorted({own.setdefault(signed(boxed[i][0]), len(own)) for i in path}), "text": text} for path, text in texts])
+                articles.append(article)
+                owns.append(list(own))
                 # A hash that occurs several times on a page counts once, with all its text.
                 total: dict[int, float] = {}
-                for digest, own in boxed:
-                    total[digest] = total.get(digest, 0.0) + own / max(chars, 1)
+                for digest, inner in boxed:
+                    total[digest] = total.get(digest, 0.0) + inner / max(chars, 1)
                 boxes.append([{"hash": signed(k), "share": min(v, 1.0)} for k, v in total.items()])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(copies, pa.int64()), pa.array(segments, pa.list_(_SEGMENT)), pa.array(boxes, _BOXES)], ["page_id", "url", "page", "copy", "segments", "boxes"])
+            columns = [pa.array(copies, pa.int64()), pa.array(articles, pa.bool_()), pa.array(segments, pa.list_(_SEGMENT)), pa.array(owns, pa.list_(pa.int64())), pa.array(boxes, _BOXES)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], ["page_id", "url", "page", "copy", "article", "segments", "own", "boxes"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of each page row."""
     work = WorkTables(pages.sparkSession)
     rows = own_columns(pages, "page_id", "url", "html").select("page_id", "url", F.xxhash64("page_id", "url", "html").alias("page"), "html")
-    shape = "page_id long, url string, page long, copy long, segments array<struct<boxes:array<long>,inside:boolean,dropped:boolean,text:string>>, boxes array<struct<hash:long,share:double>>"
-    parsed = work.put(rows.mapInArrow(_parsed, shape), "parsed")
+    shape = "page_id long, url string, page long, copy long, article boolean, segments array<struct<path:array<int>,text:string>>, own array<long>, boxes array<struct<hash:long,share:double>>"
+    parsed = work.put(rows.mapInArrow(_parsed, shape), "parsed", compression="zstd")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][\w+.-]*://([^/?#]*)", 1))
-    seen = parsed.select(host.alias("host"), "page", "copy", "boxes")
+    seen = parsed.select(host.alias("host"), "page", "copy", "boxes", "own")
     # Copies of one article on a host are one page to the counts, else they would make a template of it.
     single = seen.dropDuplicates(["host", "copy"])
     sizes = single.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
     counts = single.select("host", F.inline("boxes")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages"), F.avg("share").alias("share"))
     many = F.greatest(F.lit(MIN_PAGES), F.least(F.lit(MANY_PAGES), F.ceil(F.col("host_pages") * MIN_SHARE)))
     templates = counts.filter((F.col("pages") >= MIN_PAGES) & (F.col("share") < MOST_TEXT)).join(sizes, "host").filter(F.col("pages") >= many).select("host", "hash")
-    used = seen.select("host", "page", F.explode(F.array_distinct(F.col("boxes.hash"))).alias("hash")).distinct()
+    used = seen.select("host", "page", F.explode("own").alias("hash")).distinct()
     per_page = used.join(templates, ["host", "hash"]).groupBy("page").agg(F.collect_set("hash").alias("templates"))
-    return parsed.join(per_page, "page", "left").select("page_id", "url", _main_text().alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    texts = parsed.select("page_id", "url", "page", "article", "segments", "own")
+    return texts.join(per_page, "page", "left").select("page_id", "url", _main_text().alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def _main_text():
     """The kept segments of a page, white space made single spaces."""
     known = F.coalesce("templates", F.array().cast("array<bigint>"))
-    good = F.filter("segments", lambda s: ~s["dropped"] & (F.size(F.array_intersect(s["boxes"], known)) == 0))
+    template = F.transform("own", lambda h: F.array_contains(known, h))
+    good = F.filter("segments", lambda s: ~F.exists(s["path"], lambda i: F.get(template, i)))
     # An article that the counting took for a template is still an article.
-    article = F.filter("segments", lambda s: s["inside"] & ~s["dropped"])
-    inside = F.filter(good, lambda s: s["inside"])
-    chosen = F.when(F.size(inside) > 0, inside).when(F.size(article) > 0, article).otherwise(good)
+    chosen = F.when((F.size(good) > 0) | ~F.col("article"), good).otherwise(F.col("segments"))
     joined = F.array_join(F.transform(chosen, lambda s: s["text"]), "")
     return F.trim(F.regexp_replace(joined, r"(?U)\s+", " "))
 
