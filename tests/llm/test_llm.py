@@ -200,6 +200,13 @@ def test_html_rules(spark):
     assert got[52][0] == "plain text" and got[53][0] == "a"
 
 
+def test_html_template_joins_agree(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    sent, by_page = op1_html.extract(pages), op1_html.extract(pages, broadcast_bytes=-1)
+    assert sent.count() == pages.count()
+    assert sent.exceptAll(by_page).isEmpty() and by_page.exceptAll(sent).isEmpty()
+
+
 def test_chat_collapse(spark):
     rows = [(1, 0, "user", "hi"), (2, 0, "user", "hi"), (2, 1, "bot", "yo"), (2, 1, "bot", "yo"), (3, 0, "user", "hi"), (3, 1, "bot", "yo"), (4, None, None, None), (None, 0, "user", "hi"), (5, 0, "user", "hix")]
     got = rows_of(op3_chat.collapse(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")), "conv_id", "n_turns", "n_copies")

@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import WorkTables, own_columns, table
 
 MIN_PAGES, MIN_SHARE, MANY_PAGES, MOST_TEXT = 4, 0.2, 50, 0.5
+#: Templates up to this size, in lists per host up to this length, go to every executor; others are joined by page, with the same result.
+BROADCAST_BYTES, HOST_TEMPLATES = 32 << 20, 10_000
 
 #: Element names of HTML by their role.
 RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "select", "option", "button", "object"}
@@ -209,7 +211,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], ["page_id", "url", "page", "copy", "article", "segments", "own", "boxes"])
 
 
-def extract(pages: DataFrame) -> DataFrame:
+def extract(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(page_id, url, text, n_chars) of each page row."""
     work = WorkTables(pages.sparkSession)
     rows = own_columns(pages, "page_id", "url", "html").select("page_id", "url", F.xxhash64("page_id", "url", "html").alias("page"), "html")
@@ -223,15 +225,27 @@ def extract(pages: DataFrame) -> DataFrame:
     counts = single.select("host", F.inline("boxes")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages"), F.avg("share").alias("share"))
     many = F.greatest(F.lit(MIN_PAGES), F.least(F.lit(MANY_PAGES), F.ceil(F.col("host_pages") * MIN_SHARE)))
     templates = counts.filter((F.col("pages") >= MIN_PAGES) & (F.col("share") < MOST_TEXT)).join(sizes, "host").filter(F.col("pages") >= many).select("host", "hash")
-    used = seen.select("host", "page", F.explode("own").alias("hash")).distinct()
-    per_page = used.join(templates, ["host", "hash"]).groupBy("page").agg(F.collect_set("hash").alias("templates"))
-    texts = parsed.select("page_id", "url", "page", "article", "segments", "own")
-    return texts.join(per_page, "page", "left").select("page_id", "url", _main_text().alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    templates = work.put(templates, "templates")
+    texts = parsed.select("page_id", "url", "page", "article", "segments", "own", host.alias("host"))
+    if _fits(templates, broadcast_bytes):
+        # No text is shuffled.
+        joined = texts.join(F.broadcast(templates.groupBy("host").agg(F.collect_list("hash").alias("templates"))), "host", "left")
+    else:
+        used = seen.select("host", "page", F.explode("own").alias("hash")).distinct()
+        joined = texts.join(used.join(templates, ["host", "hash"]).groupBy("page").agg(F.collect_set("hash").alias("templates")), "page", "left")
+    return joined.select("page_id", "url", _main_text().alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _fits(templates: DataFrame, most_bytes: int) -> bool:
+    """Whether all templates are small enough to send to every executor: their bytes and the longest list of a host, measured."""
+    lists = templates.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    total = lists.agg(F.sum(F.col("n") * 8 + F.octet_length("host") + 64).alias("bytes"), F.max("n").alias("longest")).first()
+    return (total["bytes"] or 0) <= most_bytes and (total["longest"] or 0) <= HOST_TEMPLATES
 
 
 def _main_text():
     """The kept segments of a page, white space made single spaces."""
-    known = F.coalesce("templates", F.array().cast("array<bigint>"))
+    known = F.array_intersect("own", F.coalesce("templates", F.array().cast("array<bigint>")))
     template = F.transform("own", lambda h: F.array_contains(known, h))
     good = F.filter("segments", lambda s: ~F.exists(s["path"], lambda i: F.get(template, i)))
     # An article that the counting took for a template is still an article.
