@@ -135,6 +135,8 @@ def test_command_line_accepts_original_parameter_names():
     job, cfg = configs(["stream", "--source-format", "kafka", "--source-option", "subscribe=c",
                         "--TempDir", "/tmp/x", "--target-path", "/t"])
     assert cfg.source_options == {"subscribe": "c"} and cfg.checkpoint_location == "/tmp/x/checkpoint"
+    job, cfg = configs(["stream", "--source-format", "kafka", "--TempDir", "/tmp/x", "--JOB_NAME", "j", "--target-path", "/t"])
+    assert cfg.checkpoint_location == "/tmp/x/j/checkpoint" and cfg.query_name == "j"
     with pytest.raises(ValueError):
         configs(["stream", "--source-format", "kafka", "--source-option", "bad", "--TempDir", "/c", "--target-path", "/t"])
 

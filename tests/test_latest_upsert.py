@@ -138,6 +138,34 @@ def test_interrupted_overwrite_is_finished_on_replay(spark, tmp_dir, monkeypatch
     assert rows['{"id": "a"}']["event_id"] == "e2" and '{"id": "b"}' in rows
 
 
+def test_other_writers_finish_a_crashed_overwrite_first(spark, tmp_dir, monkeypatch):
+    from tidewater.operators import upsert as U
+
+    target = TargetConfig(path=f"{tmp_dir}/target", buckets=2)
+    apply_change_batch(spark, frame(spark, [change(k, 1, f"{k}1") for k in "abcd"]), target, batch_id=0)
+    real = U._write_buckets
+
+    def failing(df, path, mode="overwrite", only_written=False):
+        if path == target.path:
+            raise RuntimeError("crash during the final overwrite")
+        return real(df, path, mode, only_written)
+
+    crashed = stage_changes(spark, frame(spark, [change("a", 2, "a2"), change("e", 2, "e2")]))
+    monkeypatch.setattr(U, "_write_buckets", failing)
+    with pytest.raises(RuntimeError):
+        U.upsert(spark, crashed, target, batch_id=1)
+    monkeypatch.setattr(U, "_write_buckets", real)
+    # another job's batch: the crashed one's rows are there, and so are its own
+    apply_change_batch(spark, frame(spark, [change(k, 3, f"{k}3") for k in "bcdf"]), target, batch_id="run", run_key="bulk")
+    rows = {json.loads(k)["id"]: v["event_id"] for k, v in target_rows(spark, target).items()}
+    expected = {"a": "a2", "b": "b3", "c": "c3", "d": "d3", "e": "e2", "f": "f3"}
+    assert rows == expected
+    # the crashed batch retried after it does not put back what the other job replaced
+    U.upsert(spark, crashed, target, batch_id=1)
+    rows = {json.loads(k)["id"]: v["event_id"] for k, v in target_rows(spark, target).items()}
+    assert rows == expected
+
+
 def test_soft_delete_reader(spark, tmp_dir):
     from tidewater.operators.upsert import live_rows
 

@@ -8,7 +8,8 @@
 
 The original jobs' parameter names are accepted too (``--S3DynamoDbExportPath``,
 ``--DynamoDbTableName``, ``--DynamoDbTableKeys``, ``--S3JoinPath``,
-``--TempDir``, ``--JOB_RUN_ID``).
+``--TempDir``, ``--JOB_NAME``, ``--JOB_RUN_ID``). The checkpoint of a named
+stream is ``<TempDir>/<JOB_NAME>/checkpoint``, so streams can share a TempDir.
 """
 
 from __future__ import annotations
@@ -49,6 +50,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--source-option", action="append", default=[])
     s.add_argument("--source-path")
     s.add_argument("--checkpoint", "--TempDir", dest="checkpoint", required=True)
+    s.add_argument("--job-name", "--JOB_NAME", dest="job_name")
     s.add_argument("--trigger", default="100 seconds")
     s.add_argument("--available-now", action="store_true")
     _common(s)
@@ -78,6 +80,8 @@ def configs(argv: list[str]):
     decode = DecodeOptions(max_depth=args.max_depth, strict_types=args.strict_types)
     if args.job == "stream":
         checkpoint = args.checkpoint.rstrip("/")
+        if args.job_name:
+            checkpoint = f"{checkpoint}/{args.job_name}/checkpoint"
         return args.job, StreamConfig(
             source_format=args.source_format,
             source_options=_options(args.source_option),
@@ -86,6 +90,7 @@ def configs(argv: list[str]):
             checkpoint_location=checkpoint if checkpoint.endswith("checkpoint") else f"{checkpoint}/checkpoint",
             trigger_interval=None if args.available_now else args.trigger,
             available_now=args.available_now,
+            query_name=args.job_name,
             lookup=lookup,
             decode=decode,
         )

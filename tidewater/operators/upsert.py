@@ -16,8 +16,12 @@ The target is a Parquet folder partitioned into ``bucket=<b>`` folders,
 Replaying a batch gives the same table: the merge key of a keyed row is its
 ``keys``; an error row (no keys) is keyed by a hash of its event id and raw
 text, so a replay replaces it instead of adding it twice. If a crash hits
-step 4, the next attempt finds the finished merge folder and repeats only
-the overwrite. Step 3 never reads a folder that step 4 writes.
+step 4, the next upsert of the target, whichever batch or job it belongs to,
+finds the finished merge folder and repeats that overwrite before it reads
+the target. So no later writer works on half-written buckets, and a batch
+retried after another writer merges its rows anew instead of putting back
+buckets from before. One writer at a time may work on a target. Step 3 never
+reads a folder that step 4 writes.
 
 Without the order guard the last batch wins (the original MERGE has no
 timestamp condition). With it, a stored row newer than the incoming one
@@ -154,12 +158,14 @@ def _merge_rows(old: DataFrame, staged: DataFrame, order_guard: bool) -> DataFra
 def _write_buckets(df: DataFrame, path: str, mode: str = "overwrite", only_written: bool = False) -> None:
     """Write partitioned by bucket; rebalance lets AQE split a hot bucket into several files.
 
-    ``only_written`` replaces just the buckets being written (the target);
-    otherwise an overwrite replaces the whole folder (staging and merge
-    folders, so a replayed batch never finds leftovers of an earlier try).
+    ``only_written`` replaces just the buckets being written (the target); its
+    rows come from a folder that is split by bucket already, so they are
+    copied without another shuffle. Otherwise an overwrite replaces the whole
+    folder (staging and merge folders, so a replayed batch never finds
+    leftovers of an earlier try).
     """
     (
-        df.hint("rebalance", BUCKET)
+        (df if only_written else df.hint("rebalance", BUCKET))
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic" if only_written else "static")
         .partitionBy(BUCKET)
@@ -167,6 +173,27 @@ def _write_buckets(df: DataFrame, path: str, mode: str = "overwrite", only_writt
     )
 
 
+def _overwrite_from(spark: SparkSession, merged: str, target: TargetConfig) -> None:
+    rows = spark.read.schema(stored_schema(target.with_lookup)).parquet(merged)
+    _write_buckets(rows, target.path, only_written=True)
+
+
+def _finish_pending(spark: SparkSession, target: TargetConfig) -> list[str]:
+    """Repeat the overwrite of every batch that crashed in it; returns their work folders.
+
+    Each upsert does so first, so at most one finished merge folder is there.
+    """
+    root, done = _work_root(spark, target), []
+    for run in _child_names(spark, root):
+        for batch in _child_names(spark, f"{root}/{run}"):
+            work = f"{root}/{run}/{batch}"
+            if path_exists(spark, f"{work}/merged/_SUCCESS"):
+                _overwrite_from(spark, f"{work}/merged", target)
+                remove_path(spark, work)
+                done.append(work)
+    return done
+
+
 def upsert(
     spark: SparkSession,
     batch: DataFrame,
@@ -193,36 +220,37 @@ def upsert(
     work = f"{_work_root(spark, target)}/{run_key}/batch={batch_id if batch_id is not None else uuid.uuid4().hex}"
     staging, merged = f"{work}/staging", f"{work}/merged"
     _check_layout(spark, target)
-    if not path_exists(spark, f"{merged}/_SUCCESS"):
-        bucket = bucket_of(F.col(MK), target.buckets)
-        if repair is not None:
-            # Rows left for the repair step go to a reserved folder, so the
-            # folder listing tells whether there are any; no extra job.
-            bucket = F.when(is_too_deep(F.col("error")) & F.col("keys").isNotNull(), F.lit(REPAIR_BUCKET)).otherwise(bucket)
-        staged_out = batch.withColumn(MK, merge_key()).withColumn(BUCKET, bucket)
-        _write_buckets(staged_out.select(*columns, MK, BUCKET), staging)
-        if repair is not None and REPAIR_BUCKET in written_buckets(spark, staging):
-            _repair_staged(spark, staging, repair, columns, target)
-        staged = spark.read.parquet(staging)
-        if check_unique:
-            check_unique_keys(staged)
-        touched = written_buckets(spark, staging)
-        if not touched:
-            if not batch.isEmpty():
-                raise RuntimeError(f"staging folder {staging} lists no bucket; is it shared by all executors?")
-            remove_path(spark, work)
-            return
-        if not written_buckets(spark, target.path):
-            # First load into an empty target: nothing to merge with, so the
-            # staged rows go straight in (a crash here is repaired by a
-            # replay, which then merges with whatever was written).
-            _write_buckets(spark.read.parquet(staging).select(*columns, BUCKET), target.path, only_written=True)
-            remove_path(spark, work)
-            return
-        old = read_target(spark, target).filter(F.col(BUCKET).isin(touched)).withColumn(MK, merge_key())
-        result = _merge_rows(old, staged, target.order_guard)
-        _write_buckets(result.select(*columns, BUCKET), merged)
-    _write_buckets(spark.read.schema(stored_schema(target.with_lookup)).parquet(merged), target.path, only_written=True)
+    if work in _finish_pending(spark, target):
+        return  # this batch had only its overwrite left
+    bucket = bucket_of(F.col(MK), target.buckets)
+    if repair is not None:
+        # Rows left for the repair step go to a reserved folder, so the
+        # folder listing tells whether there are any; no extra job.
+        bucket = F.when(is_too_deep(F.col("error")) & F.col("keys").isNotNull(), F.lit(REPAIR_BUCKET)).otherwise(bucket)
+    staged_out = batch.withColumn(MK, merge_key()).withColumn(BUCKET, bucket)
+    _write_buckets(staged_out.select(*columns, MK, BUCKET), staging)
+    if repair is not None and REPAIR_BUCKET in written_buckets(spark, staging):
+        _repair_staged(spark, staging, repair, columns, target)
+    staged = spark.read.parquet(staging)
+    if check_unique:
+        check_unique_keys(staged)
+    touched = written_buckets(spark, staging)
+    if not touched:
+        if not batch.isEmpty():
+            raise RuntimeError(f"staging folder {staging} lists no bucket; is it shared by all executors?")
+        remove_path(spark, work)
+        return
+    if not written_buckets(spark, target.path):
+        # First load into an empty target: nothing to merge with, so the
+        # staged rows go straight in (a crash here is repaired by a
+        # replay, which then merges with whatever was written).
+        _write_buckets(spark.read.parquet(staging).select(*columns, BUCKET), target.path, only_written=True)
+        remove_path(spark, work)
+        return
+    old = read_target(spark, target).filter(F.col(BUCKET).isin(touched)).withColumn(MK, merge_key())
+    result = _merge_rows(old, staged, target.order_guard)
+    _write_buckets(result.select(*columns, BUCKET), merged)
+    _overwrite_from(spark, merged, target)
     remove_path(spark, work)
 
 
