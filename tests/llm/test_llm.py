@@ -219,6 +219,19 @@ def test_license_inheritance(spark):
     assert got == {1: ("MIT", "own", None), 2: ("MIT", "inherited", "/a"), 3: (None, "none", None), 4: ("Apache-2.0", "own", None), 5: (None, "none", None), 6: (None, "none", None)}
 
 
+def test_license_does_not_depend_on_size(spark):
+    shares = {"file": 10, "see": 15, "for": 60, "details": 5, "the": 70, "under": 20, "this": 30, "is": 50, "license": 3, "released": 4, "mit": 2}  # percent of the files that hold a word
+
+    def score(n):
+        held = [(i, f"/f{i}/x", " ".join(w for w, share in shares.items() if i * 7 % 100 < share)) for i in range(1, n)]
+        header = (0, "/f0/x", "This file is released under the MIT License, see LICENSE for details")
+        found = op10_licenses.scan(spark.createDataFrame([header, *held], "file_id long, path string, text string")).filter("file_id = 0").first()
+        return found.license, found.score
+
+    (small, low), (large, high) = score(200), score(10_000)
+    assert small == large == "MIT" and abs(low - high) < 0.1
+
+
 def test_pipeline_stages(spark):
     held = spark.read.parquet(f"{SF}/documents.parquet")
     docs_, names = held, held.columns

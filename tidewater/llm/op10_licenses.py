@@ -2,8 +2,9 @@
 
 Every line of a file (its headers) and the file as a whole are units. A unit's sparse vector (term count times idf) is
 joined by term to the templates' vectors; a unit's licence is the template of the largest cosine, if that reaches
-``threshold``. Document frequencies of the template terms are counted over all files; a term of no template weighs as
-one seen in a single file. Units without any *anchor* term are left out before the join: a template's anchors are its
+``threshold``. Document frequencies are counted over all files and for every term, so a unit's norm and with it the
+answer do not depend on how large the input is. Terms of a hundredth of all files or more are joined by broadcast (at
+most a hundred times the words of a mean file), the rest by a shuffle. Units without any *anchor* term are left out before the join: a template's anchors are its
 heaviest terms, as many as it takes that the others alone keep the cosine below the threshold (Cauchy-Schwarz), so this
 loses nothing. The templates are the fixed list below, so their vectors are small whatever the input.
 
@@ -29,6 +30,8 @@ from pyspark.sql.window import Window
 from tidewater.llm.common import WorkTables, lower_ascii, own_columns, table
 
 THRESHOLD = 0.6
+#: A term that one in so many files holds is common: no task gets all units of such a term.
+COMMON = 100
 
 #: Short notices by which public licences are usually named, one or more to a licence.
 TEMPLATES = [
@@ -56,15 +59,15 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lower_ascii(text), BETWEEN), "")
 
 
-def weigh(seen: dict[str, int], n_files: int, templates: list[tuple[str, str]]) -> tuple[list[tuple[int, str, float, float]], float]:
-    """Template vectors (template, term, idf, weight at unit length), and the idf of all other terms."""
+def weigh(seen: dict[str, int], n_files: int, templates: list[tuple[str, str]]) -> list[tuple[int, str, float, float]]:
+    """Template vectors (template, term, idf, weight at unit length)."""
     idf = {t: math.log((n_files + 1) / (seen.get(t, 0) + 1)) + 1 for _, text in templates for t in terms_of(text)}
     rows = []
     for k, (_, text) in enumerate(templates):
         vector = {t: n * idf[t] for t, n in terms_of(text).items()}
         norm = math.sqrt(sum(w * w for w in vector.values()))
         rows += [(k, t, idf[t], w / norm) for t, w in sorted(vector.items())]
-    return rows, math.log((n_files + 1) / 2) + 1
+    return rows
 
 
 def anchors_of(rows: list[tuple[int, str, float, float]], threshold: float) -> list[str]:
@@ -82,19 +85,23 @@ def anchors_of(rows: list[tuple[int, str, float, float]], threshold: float) -> l
 def own_licenses(files: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """(key, license, score) of the files whose own text names a licence; ``files`` is (key, text)."""
     spark = files.sparkSession
-    vocabulary = F.array(*[F.lit(t) for t in sorted({t for _, text in templates for t in terms_of(text)})])
     texts = files.select("key", F.coalesce("text", F.lit("")).alias("text"))
-    # One pass counts the files and, of each template term, the files that hold it: at most one row per term.
-    held = texts.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect(words_of(F.col("text")), vocabulary))).alias("term"))
-    seen = {r["term"]: r["count"] for r in held.groupBy("term").count().collect()}
-    vectors, other = weigh(seen, seen.pop("", 0), templates)
+    # Of each term, the files that hold it; the empty term counts the files.
+    held = texts.select(F.explode(F.concat(F.array(F.lit("")), F.array_distinct(words_of(F.col("text"))))).alias("term"))
+    held = WorkTables(spark).put(held.groupBy("term").agg(F.count(F.lit(1)).alias("seen")), "seen", compression="zstd")
+    asked = ["", *sorted({t for _, text in templates for t in terms_of(text)})]
+    seen = {r["term"]: r["seen"] for r in held.filter(F.col("term").isin(asked)).collect()}
+    n_files = seen.pop("", 0)
+    vectors = weigh(seen, n_files, templates)
     anchors = F.array(*[F.lit(t) for t in anchors_of(vectors, threshold)])
     found = texts.withColumn("words", words_of(F.col("text"))).filter(F.arrays_overlap("words", anchors)).dropDuplicates(["key"])
     lines = F.transform(F.split("text", "\n"), words_of)
     units = found.select("key", F.posexplode(F.concat(F.array(F.col("words")), lines)).alias("unit", "words")).filter(F.arrays_overlap("words", anchors))
     counted = units.select("key", "unit", F.explode("words").alias("term")).groupBy("key", "unit", "term").agg(F.count(F.lit(1)).alias("n"))
-    weights = spark.createDataFrame(sorted({(t, i) for _, t, i, _ in vectors}), "term string, idf double")
-    sparse = counted.join(F.broadcast(weights), "term", "left").withColumn("w", F.col("n") * F.coalesce("idf", F.lit(other)))
+    weights = held.filter("term <> ''").select("term", "seen", (F.log(F.lit(n_files + 1.0) / (F.col("seen") + 1)) + 1).alias("idf"))
+    often = counted.join(F.broadcast(weights.filter(F.col("seen") * COMMON >= n_files).select("term", "idf")), "term", "left")
+    rare = often.filter("idf IS NULL").drop("idf").join(weights.filter(F.col("seen") * COMMON < n_files).select("term", "idf"), "term")
+    sparse = often.filter("idf IS NOT NULL").unionByName(rare).withColumn("w", F.col("n") * F.col("idf"))
     by_term = spark.createDataFrame([(t, k, w) for k, t, _, w in vectors], "term string, template int, weight double")
     lists = by_term.groupBy("term").agg(F.collect_list(F.struct("template", "weight")).alias("entries"))
     # One row per unit: its norm, and its products with every template that shares a term.
