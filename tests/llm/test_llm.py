@@ -89,6 +89,18 @@ def test_packing_round_trip(spark):
         assert [o for o, _ in parts] == [sum(n for _, n in parts[:k]) for k in range(len(parts))] and sum(n for _, n in parts) <= 256
 
 
+def test_small_word_cache(monkeypatch):
+    texts = [" ".join(f"n{i}x{k}" for k in range(30)).encode() for i in range(100)]
+    texts += [texts[3] + b" new " + texts[90], b" ".join(texts[:70]), texts[0]]
+    whole = list(op4_packing.WordTokens(op4_packing.tokenizer_path()).encode(texts))
+    for bound in (0, 20, 70, 2000):
+        monkeypatch.setattr(op4_packing, "CACHE_WORDS", bound)
+        words = op4_packing.WordTokens(op4_packing.tokenizer_path())
+        for i in (0, 3, 90):
+            assert list(words.encode([texts[i]])) == [whole[i]]
+        assert list(words.encode(texts)) == whole
+
+
 def test_plan_bins_places_everything():
     counts = np.zeros(101, np.int64)
     counts[1:] = np.random.default_rng(1).integers(0, 50, 100)

@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 from tidewater.llm.common import WorkTables, own_columns, table
 
 CAPACITY, END_ID, SALTS = 4096, 1, 64
-#: Bound of a worker's word cache.
+#: Bound of a worker's word cache between blocks of texts; a block's own chunks are all held while it is encoded.
 CACHE_WORDS = 700_000
 
 
@@ -107,8 +107,6 @@ class WordTokens:
         return home.made
 
     def _learn(self, missing: set[bytes]) -> None:
-        if len(self.chunks) + len(missing) > CACHE_WORDS:
-            self.chunks.clear()
         cut, odd = [], []
         for chunk in missing:
             found = self.split(chunk.decode("utf-8", "replace")) if self.ranks else None
@@ -128,17 +126,18 @@ class WordTokens:
         """The ids of each text, little-endian. Texts are taken in blocks, so that new words are learnt together."""
         for at in range(0, len(texts), 64):
             split = [t.split() for t in texts[at : at + 64]]
-            missing: set[bytes] = set()
+            used: set[bytes] = set()
             for chunks in split:
-                missing.update(chunks)
-            if missing := {c for c in missing if c not in self.chunks}:
+                used.update(chunks)
+            missing = {c for c in used if c not in self.chunks}
+            if len(self.chunks) + len(missing) > CACHE_WORDS:
+                # Only here, before the block: all its chunks are then learnt anew.
+                self.chunks.clear()
+                missing = used
+            if missing:
                 self._learn(missing)
             for chunks in split:
-                try:
-                    yield b"".join([self.chunks[c] for c in chunks])
-                except KeyError:  # the cache was emptied for a later part of the block
-                    self._learn({c for c in chunks if c not in self.chunks})
-                    yield b"".join([self.chunks[c] for c in chunks])
+                yield b"".join([self.chunks[c] for c in chunks])
 
 
 def tokenise(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
