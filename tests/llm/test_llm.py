@@ -212,6 +212,22 @@ def test_html_rules(spark):
     assert got[52][0] == "plain text" and got[53][0] == "a"
 
 
+def html_texts(spark, pages):
+    return {r.page_id: r.text for r in op1_html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+
+
+def test_html_templates_are_told_by_text(spark):
+    own = lambda i, n: " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}word{'x' * k}" for k in range(n))
+    links = lambda i: f"<div class='latest'><ul><li><a href='/{i}'>{own(i + 7, 2)}</a><li><a>{own(i + 9, 1)}</a></ul></div>"
+    pages = [(i, f"http://a/{i}", f"<div class='lead'><p>{own(i, 3)}</p></div>{links(i)}<div class='rest'><p>{own(i + 1, 9)}</p></div><div>Page {i} of 10</div>") for i in range(10)]
+    # The same box in 55 of 300 pages of one host and in 3 of 16 of another is below a fifth at both sizes.
+    for host, start, n, some in (("b", 1000, 300, 55), ("c", 2000, 16, 3)):
+        pages += [(start + i, f"http://{host}/{i}", f"<article><p>{own(i, 9)}</p>{'<table><tr><td>same facts</table>' * (i < some)}</article>") for i in range(n)]
+    got = html_texts(spark, pages)
+    assert all(got[i] == f"{own(i, 3)} {own(i + 1, 9)}" for i in range(10))
+    assert got[1000] == got[2000] == f"{own(0, 9)} same facts" and got[1299] == own(299, 9)
+
+
 def test_html_template_joins_agree(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     sent, by_page = op1_html.extract(pages), op1_html.extract(pages, broadcast_bytes=-1)

@@ -1,10 +1,11 @@
 """Main-text extraction by site template removal.
 
 1. ``parse``: each page becomes its text segments in page order. A segment knows the container elements it stands in,
-   as hashes of their subtrees: by shape (tags and classes, equal siblings once) where it is outside an article, and by
-   shape and text inside one, so that an article's own lists are told from a site's repeated boxes.
+   as hashes of their subtrees: by shape (tags and classes) and text. Outside an article link texts and numbers count as
+   equal, so that a site's lists of links recur though their entries change; text of mostly digits counts as it is.
 2. Spark counts, per host, on how many pages (copies of one article being one) each subtree hash occurs and which
-   share of a page's text it holds on average. Subtrees that recur on many pages of the host and hold the smaller part of them are templates.
+   share of a page's text it holds on average. Subtrees that recur on a fifth of the host's pages (at least four) and
+   hold the smaller part of them are templates.
 3. Segments inside a template go. Of the rest, elements that say what they are (nav, footer, ads, forms, comments, ...)
    go too, which also covers hosts with too few pages to count; pages with an article or main element keep only what is
    inside it.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import WorkTables, own_columns, table
 
-MIN_PAGES, MIN_SHARE, MANY_PAGES, MOST_TEXT = 4, 0.2, 50, 0.5
+MIN_PAGES, MIN_SHARE, MOST_TEXT = 4, 0.2, 0.5
 #: Templates up to this size, in lists per host up to this length, go to every executor; others are joined by page, with the same result.
 BROADCAST_BYTES, HOST_TEMPLATES = 32 << 20, 10_000
 
@@ -49,6 +50,9 @@ MARKS = re.compile(
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
 BLANKS = re.compile(r"[ \t\r\n]+")
+DIGITS = re.compile(r"\d+")
+#: Stands for a link's text.
+LINK = "\x00"
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
@@ -64,6 +68,20 @@ class _Box:
         self.chars = 0
 
 
+def _wording(parts: list[str]) -> str:
+    """A box's own text outside articles as its hash sees it: links in a row are one, and numbers equal."""
+    words: list[str] = []
+    for word in "".join(parts).split():
+        if word.strip(LINK):
+            words.append(word)
+        elif not words or words[-1] != LINK:
+            words.append(LINK)
+    text = " ".join(words)
+    if sum(map(str.isdigit, text)) > sum(map(str.isalpha, text)):
+        return text
+    return DIGITS.sub("0", text)
+
+
 def parse(page: str) -> tuple[list[tuple[list[int], bool, bool, str]], list[tuple[int, int]], int, int]:
     """A page's segments (box numbers, inside the article, dropped by name, text), each box's (hash, characters), all characters, the article's hash (else the page's)."""
     import xxhash
@@ -71,7 +89,7 @@ def parse(page: str) -> tuple[list[tuple[list[int], bool, bool, str]], list[tupl
     name = xxhash.xxh3_64_intdigest
     root = _Box("", "", False, False, -1)
     stack: list[tuple[str, _Box | None]] = [("", root)]
-    boxes, boxed, mains = [root], [], []
+    boxes, boxed, mains, links = [root], [], [], 0
     segments: list[tuple[list[int], bool, bool, list[str]]] = [([], False, False, [])]
 
     def settle() -> None:
@@ -79,15 +97,16 @@ def parse(page: str) -> tuple[list[tuple[list[int], bool, bool, str]], list[tupl
         segments.append(([b.number for b in boxes[1:]], top.inside, top.dropped, [" "]))
 
     def close() -> None:
+        nonlocal links
         tag, box = stack.pop()
         if box is None:
+            links -= tag == "a"
             if tag in PROSE:
                 segments[-1][3].append(" ")
             return
         boxes.pop()
         shape = f"{box.tag}.{box.classes}({','.join(map(str, dict.fromkeys(box.children)))})"
-        if box.inside:
-            shape += " ".join("".join(box.parts).split())
+        shape += " ".join("".join(box.parts).split()) if box.inside else _wording(box.parts)
         digest = name(shape.encode())
         boxed[box.number] = (digest, box.chars)
         if box.tag in MAIN and not mains:
@@ -104,8 +123,7 @@ def parse(page: str) -> tuple[list[tuple[list[int], bool, bool, str]], list[tupl
         segments[-1][3].append(text)
         top = boxes[-1]
         top.chars += len(text) if text.strip() else 0
-        if top.inside:
-            top.parts.append(text)
+        top.parts.append(f" {LINK} " if links and not top.inside and text.strip() else text)
 
     at, end = 0, len(page)
     while at < end:
@@ -157,6 +175,7 @@ def parse(page: str) -> tuple[list[tuple[list[int], bool, bool, str]], list[tupl
             settle()
         else:
             stack.append((tag, None))
+            links += tag == "a"
             if tag in PROSE:
                 segments[-1][3].append(" ")
                 boxes[-1].parts.append(" ")
@@ -223,7 +242,7 @@ def extract(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFra
     single = seen.dropDuplicates(["host", "copy"])
     sizes = single.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
     counts = single.select("host", F.inline("boxes")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages"), F.avg("share").alias("share"))
-    many = F.greatest(F.lit(MIN_PAGES), F.least(F.lit(MANY_PAGES), F.ceil(F.col("host_pages") * MIN_SHARE)))
+    many = F.greatest(F.lit(MIN_PAGES), F.ceil(F.col("host_pages") * MIN_SHARE))
     templates = counts.filter((F.col("pages") >= MIN_PAGES) & (F.col("share") < MOST_TEXT)).join(sizes, "host").filter(F.col("pages") >= many).select("host", "hash")
     templates = work.put(templates, "templates")
     texts = parsed.select("page_id", "url", "page", "article", "segments", "own", host.alias("host"))
