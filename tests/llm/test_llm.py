@@ -228,6 +228,18 @@ def test_html_templates_are_told_by_text(spark):
     assert got[1000] == got[2000] == f"{own(0, 9)} same facts" and got[1299] == own(299, 9)
 
 
+def test_html_names_around_articles(spark):
+    story = "<h1>T</h1><p>The story of this page, some words long.</p>"
+    wrapped = [
+        f"<div id='content-sidebar-wrap'><main>{story}</main></div>", f"<div class='container no-sidebar'><article>{story}</article></div>", f"<div class='post-with-nav'><article class='has-sidebar'>{story}</article></div>",
+        f"<form id='aspnet'><div class='x'>{story}</div></form>", f"<div class='page comments-open'><div>{story}</div></div>", f"<article>{story}</article><div class='related'><article class='card'>Teaser</article></div>",
+        f"<main>{story}<div id='comments'><article class='comment'>Me too</article></div></main>", f"<nav><article>n</article></nav><article>{story}</article><aside><article>a</article></aside>",
+        f"<div class='ad'>{'Buy this. ' * 20}</div><article>{story}</article>",
+    ]
+    got = html_texts(spark, [(i, f"http://h{i}/", f"{page}<div class='cookie-bar'>Cookies</div><footer>c</footer>") for i, page in enumerate(wrapped)])
+    assert set(got.values()) == {"T The story of this page, some words long."} and len(got) == len(wrapped)
+
+
 def test_html_template_joins_agree(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     sent, by_page = op1_html.extract(pages), op1_html.extract(pages, broadcast_bytes=-1)

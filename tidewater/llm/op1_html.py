@@ -6,9 +6,12 @@
 2. Spark counts, per host, on how many pages (copies of one article being one) each subtree hash occurs and which
    share of a page's text it holds on average. Subtrees that recur on a fifth of the host's pages (at least four) and
    hold the smaller part of them are templates.
-3. Segments inside a template go. Of the rest, elements that say what they are (nav, footer, ads, forms, comments, ...)
-   go too, which also covers hosts with too few pages to count; pages with an article or main element keep only what is
-   inside it.
+3. Segments inside a template go, wherever they stand. Of the rest go nav, footer, aside and the like, then the boxes
+   whose class, id or tag says that they are no article (form, ads, comments, ...), which also covers hosts with too
+   few pages to count. Such a name does not count for a box that holds a main element, an article (unless the name is
+   one of ``OTHERS``, whose articles are teasers or comments) or most of the page's text that is left (if the name is a
+   whole one, as in class="ad", only on pages without an article).
+4. Pages with an article or main element keep only what is inside it.
 
 Paragraphs, headings and inline elements are never templates, so a passage that many pages quote stays.
 
@@ -40,13 +43,15 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "li", "dt", "dd", "td", "th", "tr", "caption", "figcaption"}
 BOXES = {"html", "body", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "ul", "ol", "dl", "table", "thead", "tbody", "tfoot", "figure", "fieldset", "details", "dialog", "address", "menu", "center"}
 MAIN = {"article", "main"}
-NEVER = {"nav", "footer", "aside", "form", "menu", "dialog", "head"}
-ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"}
+NEVER = {"nav", "footer", "aside", "menu", "dialog", "head"}
+ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu"}
 #: Words of class and id names that mark what is no article.
 MARKS = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|popup|modal|newsletter|subscribe|nav\w*|menu|breadcrumbs?|sidebar|side|footer|masthead|"
     r"site-?header|comments?|disqus|replies|respond|share|sharing|social|related|recommended|widget|pagination|pager|skip)(?:$|[\s_-])"
 )
+#: Of these, the words for other content: an article in such a box is a teaser or a comment.
+OTHERS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|comments?|disqus|replies|respond|related|recommended)(?:$|[\s_-])")
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
 BLANKS = re.compile(r"[ \t\r\n]+")
@@ -59,10 +64,11 @@ NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\
 class _Box:
     """An open container: what its subtree hashes are made of."""
 
-    __slots__ = ("chars", "children", "classes", "dropped", "inside", "number", "parts", "tag")
+    __slots__ = ("chars", "children", "classes", "dropped", "inside", "main", "marked", "number", "others", "parts", "plain", "tag")
 
-    def __init__(self, tag: str, classes: str, inside: bool, dropped: bool, number: int):
+    def __init__(self, tag: str, classes: str, inside: bool, dropped: bool, number: int, main: bool = False, marked: bool = False, others: bool = False, plain: bool = False):
         self.tag, self.classes, self.inside, self.dropped, self.number = tag, classes, inside, dropped, number
+        self.main, self.marked, self.others, self.plain = main, marked, others, plain
         self.children: list[int] = []
         self.parts: list[str] = []
         self.chars = 0
@@ -82,14 +88,16 @@ def _wording(parts: list[str]) -> str:
     return DIGITS.sub("0", text)
 
 
-def parse(page: str) -> tuple[list[tuple[list[int], bool, bool, str]], list[tuple[int, int]], int, int]:
-    """A page's segments (box numbers, inside the article, dropped by name, text), each box's (hash, characters), all characters, the article's hash (else the page's)."""
+def parse(page: str) -> tuple[list[tuple[list[int], list[int], list[int], bool, bool, str]], list[tuple[int, int]], int, int]:
+    """A page's segments (box numbers, those of them named as no article in part and by a whole name, inside an article, dropped, text), each box's (hash, characters), all characters, the main article's hash (else the page's)."""
     import xxhash
 
     name = xxhash.xxh3_64_intdigest
     root = _Box("", "", False, False, -1)
     stack: list[tuple[str, _Box | None]] = [("", root)]
     boxes, boxed, mains, links = [root], [], [], 0
+    named: set[int] = set()
+    plain: set[int] = set()
     segments: list[tuple[list[int], bool, bool, list[str]]] = [([], False, False, [])]
 
     def settle() -> None:
@@ -109,8 +117,10 @@ def parse(page: str) -> tuple[list[tuple[list[int], bool, bool, str]], list[tupl
         shape += " ".join("".join(box.parts).split()) if box.inside else _wording(box.parts)
         digest = name(shape.encode())
         boxed[box.number] = (digest, box.chars)
-        if box.tag in MAIN and not mains:
-            mains.append(digest)
+        if box.main and not box.dropped:
+            mains.append((box.chars, digest, box.number))
+        if box.marked:
+            (plain if box.plain else named).add(box.number)
         boxes[-1].children.append(digest)
         boxes[-1].chars += box.chars
         if boxes[-1].inside:
@@ -167,8 +177,18 @@ def parse(page: str) -> tuple[list[tuple[list[int], bool, bool, str]], list[tupl
         if tag in BOXES:
             names = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in NAMES.finditer(attributes)} if attributes else {}
             above = boxes[-1]
-            marked = tag in NEVER or names.get("role") in ROLES or bool(MARKS.search(names.get("class", "")) or MARKS.search(names.get("id", ""))) or (tag == "header" and not above.inside)
-            box = _Box(tag, names.get("class", ""), above.inside or tag in MAIN or names.get("role") == "main", above.dropped or (marked and tag != "body"), len(boxed))
+            names_of = f"{names.get('class', '')} {names.get('id', '')}"
+            main = tag in MAIN or names.get("role") == "main"
+            never = tag in NEVER or names.get("role") in ROLES
+            marked = tag != "body" and (bool(MARKS.search(names_of)) or tag == "form" or names.get("role") == "form" or (tag == "header" and not above.inside))
+            whole = tag in ("form", "header") or any(MARKS.fullmatch(w) for w in names_of.split())
+            box = _Box(tag, names.get("class", ""), above.inside or main, above.dropped or (never and tag != "body"), len(boxed), main, marked, bool(OTHERS.search(names_of)), whole)
+            if main and not box.dropped:
+                sure = tag == "main" or names.get("role") == "main"
+                # Names of the layout mean nothing on these. An article that is a comment or teaser frees no box around it.
+                box.marked = box.others and not sure
+                for outer in boxes if not box.marked else ():
+                    outer.marked = outer.marked and not sure and (outer.others or outer.main)
             boxed.append((0, 0))
             stack.append((tag, box))
             boxes.append(box)
@@ -182,28 +202,32 @@ def parse(page: str) -> tuple[list[tuple[list[int], bool, bool, str]], list[tupl
                 boxes[-1].children.append(name(tag.encode()))
     while len(stack) > 1:
         close()
-    texts = [(path, inside, dropped, text) for path, inside, dropped, parts in segments if not (text := "".join(parts)).isspace() and text]
-    return texts, boxed, root.chars, mains[0] if mains else name(page.encode())
+    texts = [(path, [i for i in path if i in named], [i for i in path if i in plain], inside, dropped, text) for path, inside, dropped, parts in segments if not (text := "".join(parts)).isspace() and text]
+    # Copies are told by the largest article, if it holds most of the text that can be main text.
+    chars, digest, number = max(mains, key=lambda m: m[0], default=(0, 0, -1))
+    free = [t for t in texts if not (t[1] or t[2] or t[4])]
+    live, held = sum(len(t[5]) for t in free), sum(len(t[5]) for t in free if number in t[0])
+    return texts, boxed, root.chars, digest if 2 * held > live else name(page.encode())
 
 
-_SEGMENT = pa.struct([("path", pa.list_(pa.int32())), ("text", pa.string())])
+_SEGMENT = pa.struct([("path", pa.list_(pa.int32())), ("named", pa.list_(pa.int32())), ("plain", pa.list_(pa.int32())), ("inside", pa.bool_()), ("text", pa.string())])
 _BOXES = pa.list_(pa.struct([("hash", pa.int64()), ("share", pa.float64())]))
 
 
-def _candidates(found: list[tuple[list[int], bool, bool, str]]) -> tuple[bool, list[tuple[list[int], str]]]:
-    """Whether the page has an article, and the segments that can be main text: the article's, else all that no name drops.
+def _candidates(found: list[tuple[list[int], list[int], list[int], bool, bool, str]]) -> list[tuple[list[int], list[int], list[int], bool, str]]:
+    """The segments that can be main text: all outside nav, footer and the like.
 
     Neighbours in the same boxes are one, since they stay or go together; runs of blanks become one.
     """
-    live = [s for s in found if not s[2]]
-    inside = [s for s in live if s[1]]
-    out: list[tuple[list[int], list[str]]] = []
-    for path, _, _, text in inside or live:
+    out: list[tuple[list[int], list[int], list[int], bool, list[str]]] = []
+    for path, named, plain, inside, dropped, text in found:
+        if dropped:
+            continue
         if out and out[-1][0] == path:
-            out[-1][1].append(text)
+            out[-1][4].append(text)
         else:
-            out.append((path, [text]))
-    return bool(inside), [(path, BLANKS.sub(" ", "".join(texts))) for path, texts in out]
+            out.append((path, named, plain, inside, [text]))
+    return [(*rest, BLANKS.sub(" ", "".join(texts))) for *rest, texts in out]
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,30 +235,29 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 512):
             batch = whole.slice(at, 512)
-            articles, segments, owns, boxes, copies = [], [], [], [], []
+            segments, owns, boxes, copies = [], [], [], []
             for page in batch.column(3).to_pylist():
                 found, boxed, chars, copy = parse(page or "")
                 copies.append(signed(copy))
-                article, texts = _candidates(found)
                 # A segment names its boxes by their place in the page's list of hashes.
                 own: dict[int, int] = {}
-                segments.append([{"path": sorted({own.setdefault(signed(boxed[i][0]), len(own)) for i in path}), "text": text} for path, text in texts])
-                articles.append(article)
+                place = lambda numbers: sorted({own.setdefault(signed(boxed[i][0]), len(own)) for i in numbers})  # noqa: E731, B023
+                segments.append([{"path": place(path), "named": place(named), "plain": place(plain), "inside": inside, "text": text} for path, named, plain, inside, text in _candidates(found)])
                 owns.append(list(own))
                 # A hash that occurs several times on a page counts once, with all its text.
                 total: dict[int, float] = {}
                 for digest, inner in boxed:
                     total[digest] = total.get(digest, 0.0) + inner / max(chars, 1)
                 boxes.append([{"hash": signed(k), "share": min(v, 1.0)} for k, v in total.items()])
-            columns = [pa.array(copies, pa.int64()), pa.array(articles, pa.bool_()), pa.array(segments, pa.list_(_SEGMENT)), pa.array(owns, pa.list_(pa.int64())), pa.array(boxes, _BOXES)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], ["page_id", "url", "page", "copy", "article", "segments", "own", "boxes"])
+            columns = [pa.array(copies, pa.int64()), pa.array(segments, pa.list_(_SEGMENT)), pa.array(owns, pa.list_(pa.int64())), pa.array(boxes, _BOXES)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], ["page_id", "url", "page", "copy", "segments", "own", "boxes"])
 
 
 def extract(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(page_id, url, text, n_chars) of each page row."""
     work = WorkTables(pages.sparkSession)
     rows = own_columns(pages, "page_id", "url", "html").select("page_id", "url", F.xxhash64("page_id", "url", "html").alias("page"), "html")
-    shape = "page_id long, url string, page long, copy long, article boolean, segments array<struct<path:array<int>,text:string>>, own array<long>, boxes array<struct<hash:long,share:double>>"
+    shape = "page_id long, url string, page long, copy long, segments array<struct<path:array<int>,named:array<int>,plain:array<int>,inside:boolean,text:string>>, own array<long>, boxes array<struct<hash:long,share:double>>"
     parsed = work.put(rows.mapInArrow(_parsed, shape), "parsed", compression="zstd")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][\w+.-]*://([^/?#]*)", 1))
     seen = parsed.select(host.alias("host"), "page", "copy", "boxes", "own")
@@ -245,14 +268,17 @@ def extract(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFra
     many = F.greatest(F.lit(MIN_PAGES), F.ceil(F.col("host_pages") * MIN_SHARE))
     templates = counts.filter((F.col("pages") >= MIN_PAGES) & (F.col("share") < MOST_TEXT)).join(sizes, "host").filter(F.col("pages") >= many).select("host", "hash")
     templates = work.put(templates, "templates")
-    texts = parsed.select("page_id", "url", "page", "article", "segments", "own", host.alias("host"))
+    texts = parsed.select("page_id", "url", "page", "segments", "own", host.alias("host"))
     if _fits(templates, broadcast_bytes):
         # No text is shuffled.
         joined = texts.join(F.broadcast(templates.groupBy("host").agg(F.collect_list("hash").alias("templates"))), "host", "left")
     else:
         used = seen.select("host", "page", F.explode("own").alias("hash")).distinct()
         joined = texts.join(used.join(templates, ["host", "hash"]).groupBy("page").agg(F.collect_set("hash").alias("templates")), "page", "left")
-    return joined.select("page_id", "url", _main_text().alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    known = F.array_intersect("own", F.coalesce("templates", F.array().cast("array<bigint>")))
+    chosen = joined.select("page_id", "url", "segments", "own", known.alias("known")).mapInArrow(_chosen, "page_id long, url string, text string")
+    text = F.trim(F.regexp_replace("text", r"(?U)\s+", " "))
+    return chosen.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def _fits(templates: DataFrame, most_bytes: int) -> bool:
@@ -262,15 +288,32 @@ def _fits(templates: DataFrame, most_bytes: int) -> bool:
     return (total["bytes"] or 0) <= most_bytes and (total["longest"] or 0) <= HOST_TEMPLATES
 
 
-def _main_text():
-    """The kept segments of a page, white space made single spaces."""
-    known = F.array_intersect("own", F.coalesce("templates", F.array().cast("array<bigint>")))
-    template = F.transform("own", lambda h: F.array_contains(known, h))
-    good = F.filter("segments", lambda s: ~F.exists(s["path"], lambda i: F.get(template, i)))
-    # An article that the counting took for a template is still an article.
-    chosen = F.when((F.size(good) > 0) | ~F.col("article"), good).otherwise(F.col("segments"))
-    joined = F.array_join(F.transform(chosen, lambda s: s["text"]), "")
-    return F.trim(F.regexp_replace(joined, r"(?U)\s+", " "))
+def main_text(segments: list[dict], templates: set[int]) -> str:
+    """The text of the kept segments of a page; ``templates`` are places in its list of hashes."""
+    good = [s for s in segments if templates.isdisjoint(s["path"])]
+    if not good:
+        # An article that the counting took for a template is still an article.
+        return "".join(s["text"] for s in segments if s["inside"] and not (s["named"] or s["plain"]))
+    held: dict[int, int] = {}
+    for s in good:
+        for i in s["named"] + s["plain"]:
+            held[i] = held.get(i, 0) + len(s["text"])
+    total = sum(len(s["text"]) for s in good)
+    article = any(s["inside"] and not (s["named"] or s["plain"]) for s in good)
+    live = [s for s in good if all(2 * held[i] > total for i in s["named"] + s["plain"]) and not (article and s["plain"])]
+    inside = [s for s in live if s["inside"]]
+    return "".join(s["text"] for s in inside or live)
+
+
+def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, 512):
+            batch = whole.slice(at, 512)
+            texts = []
+            for segments, own, known in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                known = set(known)
+                texts.append(main_text(segments, {i for i, digest in enumerate(own) if digest in known}))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
