@@ -240,6 +240,16 @@ def test_html_names_around_articles(spark):
     assert set(got.values()) == {"T The story of this page, some words long."} and len(got) == len(wrapped)
 
 
+def test_html_story_beside_article_cards(spark):
+    story = lambda i: " ".join(f"{c}{chr(97 + i)}" for c in "many words that tell the story of one page and of no other page".split())
+    cards = "<article class='card'><p>Read this</p></article><article class='card'><p>Read that</p></article>"
+    pages = [(i, f"http://h/{i}", f"<div class='story'><p>{story(i)}</p></div><div>{cards}</div>") for i in range(6)]
+    pages += [(10, "http://one/", pages[0][2]), (11, "http://two/", f"<article><p>{story(1)}</p></article><div>Written by me</div>")]
+    got = html_texts(spark, pages)
+    assert all(got[i] == story(i) for i in range(6))
+    assert got[10] == f"{story(0)} Read this Read that" and got[11] == story(1)
+
+
 def test_html_template_joins_agree(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     sent, by_page = op1_html.extract(pages), op1_html.extract(pages, broadcast_bytes=-1)

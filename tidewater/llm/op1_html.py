@@ -11,7 +11,7 @@
    few pages to count. Such a name does not count for a box that holds a main element, an article (unless the name is
    one of ``OTHERS``, whose articles are teasers or comments) or most of the page's text that is left (if the name is a
    whole one, as in class="ad", only on pages without an article).
-4. Pages with an article or main element keep only what is inside it.
+4. Where articles and main elements hold most of what is left, only what is inside them stays; else all of it.
 
 Paragraphs, headings and inline elements are never templates, so a passage that many pages quote stays.
 
@@ -302,7 +302,8 @@ def main_text(segments: list[dict], templates: set[int]) -> str:
     article = any(s["inside"] and not (s["named"] or s["plain"]) for s in good)
     live = [s for s in good if all(2 * held[i] > total for i in s["named"] + s["plain"]) and not (article and s["plain"])]
     inside = [s for s in live if s["inside"]]
-    return "".join(s["text"] for s in inside or live)
+    most = 2 * sum(len(s["text"]) for s in inside) > sum(len(s["text"]) for s in live)
+    return "".join(s["text"] for s in (inside if most else live))
 
 
 def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
