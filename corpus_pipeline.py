@@ -39,8 +39,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a window of a benchmark item."""
     hits = op8_decontaminate.find_hits(docs, table(spark, sf_dir, "benchmark"))
-    gone = hits.filter(F.col("at").isNotNull()).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = hits.filter(F.col("at").isNotNull()).select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (op8_decontaminate.row_of() == F.col("gone_row"))
+    return docs.join(gone, same, "left_anti").select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -182,6 +182,18 @@ def test_decontamination_paths_agree(spark):
     assert by[21].contaminated and by[21].n_items == 0 and not by[22].contaminated and by[1].n_words == 0 and small.count() == 14
 
 
+def test_decontamination_of_rows_without_id(spark, tmp_dir):
+    items = spark.createDataFrame([(1, "one two three"), (2, " ".join(f"i{k}" for k in range(10)))], "item_id long, text string")
+    span = " ".join(f"i{k}" for k in range(10))
+    d = docs(spark, [(None, f"x {span}"), (None, " ".join(f"y{k}" for k in range(11))), (None, "one two three"), (None, "one two three"), (None, None), (1, span), (2, "free")])
+    for n in (10**6, 0):
+        out = op8_decontaminate.decontaminate(d, items, broadcast_rows=n)
+        assert rows_of(out, "doc_id", "n_words", "n_hit") == sorted([(None, 11, 10), (None, 11, 0), (None, 3, 3), (None, 3, 3), (None, 0, 0), (1, 10, 10), (2, 1, 0)], key=repr)
+    items.write.parquet(f"{tmp_dir}/benchmark.parquet")
+    kept = corpus_pipeline.decontaminated(spark, d, tmp_dir)
+    assert kept.columns == d.columns and rows_of(kept, "doc_id", "n_chars") == sorted([(None, d.filter("text like 'y0 %'").first().n_chars), (None, 0), (2, 4)], key=repr)
+
+
 def test_near_duplicates(spark):
     near = PROSE[4] + " extra"
     d = docs(spark, [*EDGES, (30, PROSE[4]), (31, near), (32, near.upper()), (33, PROSE[5])])

@@ -10,7 +10,7 @@ The benchmark's distinct fingerprints are broadcast only while their counted num
 beyond that, fingerprints and positions are shuffled without the words.
 
 Defined cases: null, empty and wordless texts have no words, no hits and an empty item list. Rows that share a doc_id
-are taken one by one and share their hits. Repeated items count once. Items without an id still mark words, but are
+are taken one by one and share their hits; rows without a doc_id are told apart by their texts, on both paths. Repeated items count once. Items without an id still mark words, but are
 not listed. Extra columns are ignored.
 """
 
@@ -30,6 +30,11 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lower_ascii(text), BETWEEN), "")
 
 
+def row_of(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """Names a row beside its doc_id: a hash of the text where there is no doc_id, which also spreads such rows."""
+    return F.when(F.col(doc_id).isNull(), F.xxhash64(text_or_empty(text))).otherwise(F.lit(0).cast("long"))
+
+
 def window_prints(window: int, gram: int) -> str:
     """SQL for an array column ``words``: the fingerprint of the window of ``window`` words at each position."""
     gram = min(gram, window)
@@ -56,34 +61,35 @@ def benchmark_windows(benchmark: DataFrame, window: int, gram: int) -> DataFrame
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 5, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, n_words, at, span, item_ids): a row for each window occurrence, and one with a null ``at`` per document."""
+    """(doc_id, row, n_words, at, span, item_ids): a row for each window occurrence, and one with a null ``at`` per document."""
     windows = benchmark_windows(benchmark, window, gram)
     prints = windows.select("span", F.col("print").alias("fp")).distinct()
     sizes = {r["span"]: r["count"] for r in prints.groupBy("span").count().collect()}  # at most ``window`` rows
     small = sum(sizes.values()) <= broadcast_rows
     spans = sorted(sizes, reverse=True) or [window]
-    doc_words = own_columns(docs, "doc_id", "text").select("doc_id", words_of(text_or_empty()).alias("words"))
+    doc_words = own_columns(docs, "doc_id", "text").select("doc_id", row_of().alias("row"), words_of(text_or_empty()).alias("words"))
     # One array for all spans: a first element for the document itself, then the prints of each span in turn.
     every = F.concat(F.expr("array(CAST(NULL AS bigint))"), *[F.expr(window_prints(s, gram)) for s in spans])
-    place = doc_words.select("doc_id", "words", F.posexplode(every).alias("nth", "fp"))
+    place = doc_words.select("doc_id", "row", "words", F.posexplode(every).alias("nth", "fp"))
     at, span = "nth - 1", str(spans[0])
     for earlier, later in zip(spans, spans[1:], strict=False):
         passed = " + ".join(f"greatest(size(words) - {s} + 1, 0)" for s in spans[: spans.index(earlier) + 1])
         at = f"CASE WHEN nth > {passed} THEN nth - 1 - ({passed}) ELSE {at} END"
         span = f"CASE WHEN nth > {passed} THEN {later} ELSE {span} END"
-    place = place.select("doc_id", "words", "nth", "fp", F.expr(at).alias("at"), F.expr(span).alias("span"))
+    place = place.select("doc_id", "row", "words", "nth", "fp", F.expr(at).alias("at"), F.expr(span).alias("span"))
     if small:
         place = place.join(F.broadcast(prints.withColumn("known", F.lit(True))), ["span", "fp"], "left")
         place = place.filter((F.col("nth") == 0) | F.col("known"))
-        found = place.select("doc_id", F.size("words").alias("n_words"), F.when(F.col("nth") > 0, F.col("at")).alias("at"), "span", F.expr("CASE WHEN nth > 0 THEN array_join(slice(words, at + 1, span), ' ') END").alias("window"))
+        found = place.select("doc_id", "row", F.size("words").alias("n_words"), F.when(F.col("nth") > 0, F.col("at")).alias("at"), "span", F.expr("CASE WHEN nth > 0 THEN array_join(slice(words, at + 1, span), ' ') END").alias("window"))
     else:
-        hits = place.filter("nth > 0").select("doc_id", "at", "span", "fp").join(prints, ["span", "fp"], "left_semi")
-        heads = doc_words.select("doc_id", F.size("words").alias("n_words"), F.lit(None).cast("int").alias("at"), F.lit(spans[0]).alias("span"), F.lit(None).cast("string").alias("window"))
-        per_doc = hits.groupBy("doc_id").agg(F.collect_set(F.struct("at", "span")).alias("hits"))
-        seen = doc_words.join(per_doc, "doc_id").select("doc_id", "words", F.inline("hits"))
-        found = heads.union(seen.select("doc_id", F.size("words"), "at", "span", F.expr("array_join(slice(words, at + 1, span), ' ')")))
+        hits = place.filter("nth > 0").select("doc_id", "row", "at", "span", "fp").join(prints, ["span", "fp"], "left_semi")
+        heads = doc_words.select("doc_id", "row", F.size("words").alias("n_words"), F.lit(None).cast("int").alias("at"), F.lit(spans[0]).alias("span"), F.lit(None).cast("string").alias("window"))
+        per_doc = hits.groupBy("doc_id", "row").agg(F.collect_set(F.struct("at", "span")).alias("hits")).select(F.col("doc_id").alias("hit_id"), F.col("row").alias("hit_row"), "hits")
+        same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("row") == F.col("hit_row"))
+        seen = doc_words.join(per_doc, same).select("doc_id", "row", "words", F.inline("hits"))
+        found = heads.union(seen.select("doc_id", "row", F.size("words"), "at", "span", F.expr("array_join(slice(words, at + 1, span), ' ')")))
     found = found.join(windows.select("span", "window", "item_ids"), ["span", "window"], "left")
-    return found.filter(F.col("at").isNull() | F.col("item_ids").isNotNull()).select("doc_id", "n_words", "at", "span", "item_ids")
+    return found.filter(F.col("at").isNull() | F.col("item_ids").isNotNull()).select("doc_id", "row", "n_words", "at", "span", "item_ids")
 
 
 def covered(hits: str) -> str:
@@ -96,7 +102,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, item_ids) of each document row."""
     found = find_hits(docs, benchmark, window, gram, broadcast_rows)
     hit = F.when(F.col("at").isNotNull(), F.struct(F.col("at").cast("long").alias("at"), (F.col("at") + F.col("span")).cast("long").alias("end")))
-    merged = found.groupBy("doc_id", "n_words").agg(
+    merged = found.groupBy("doc_id", "row", "n_words").agg(
         F.count(F.when(F.col("at").isNull(), 1)).alias("rows"),
         F.collect_set(hit).alias("hits"),
         F.collect_set("item_ids").alias("lists"),
