@@ -1,6 +1,7 @@
-"""Suffix-array dedup of long repeated byte strings by distributed prefix doubling over anchored positions.
+"""Dedup of long repeated byte strings by grouping anchored positions (winnowing) and refining the groups exactly.
 
-A full suffix array holds a rank for every byte. Only strings of ``length`` bytes matter here, so positions are thinned
+This takes the place of prefix doubling: no rank is built from a pair of ranks at growing offsets, and the rounds are
+three whatever ``length`` is. A full suffix array holds a rank for every byte. Only strings of ``length`` bytes matter here, so positions are thinned
 first, without loss: the anchor of a string is the place of its least ``gram``-byte hash, which depends on the string's
 bytes alone. Equal strings have equal anchors, so ranks are needed at anchors only, each standing for the run of
 string starts that it is the anchor of (``near`` to ``far`` bytes before it).
