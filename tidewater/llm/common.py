@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -30,19 +33,35 @@ def work_folder(spark: SparkSession) -> str:
 
 
 class WorkTables:
-    """Tables written to the shared folder and read again: they cut lineage and survive lost executors."""
+    """Tables written to the shared folder and read again: they cut lineage and survive lost executors.
 
-    def __init__(self, spark: SparkSession):
-        self.spark, self.folder, self.count = spark, work_folder(spark), 0
+    With ``clean`` the shuffle files of a table's job go as soon as the table is written, not when the driver collects
+    its garbage: the table takes their place.
+    """
+
+    def __init__(self, spark: SparkSession, clean: bool = False):
+        self.spark, self.folder, self.count, self.clean = spark, work_folder(spark), 0, clean
 
     def put(self, df: DataFrame, name: str = "t", **options: str) -> DataFrame:
         self.count += 1
         path = f"{self.folder}/{self.count:03d}-{name}"
-        df.write.options(**options).parquet(path)
+        with self._cleaning():
+            df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._work_path = path  # noqa: SLF001
         return out
 
+    @contextmanager
+    def _cleaning(self) -> Iterator[None]:
+        before = self.spark.conf.get(CLEANUP, None)
+        if self.clean:
+            self.spark.conf.set(CLEANUP, "true")
+        try:
+            yield
+        finally:
+            if self.clean:
+                self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
+
     def drop(self, df: DataFrame) -> None:
         """Deletes a work table that no later step reads."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(df._work_path)
