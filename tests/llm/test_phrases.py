@@ -93,13 +93,14 @@ def test_hat_trie():
     rng = np.random.default_rng(0)
     trie, plain = op11_phrases.HatTrie(burst=4), Counter()
     for _ in range(3000):
-        phrase = tuple(rng.integers(0, 6, rng.integers(1, 5)).tolist())
-        trie.add(phrase, 2)
-        plain[phrase] += 2
-    assert trie.entries == len(plain)
-    first = [row for subtree in trie.spill(trie.entries // 2) for row in subtree]
+        head, rest = int(rng.integers(0, 6)), [int(w) for w in rng.integers(1, 6, rng.integers(0, 4))]
+        packed = sum(w << 32 * i for i, w in enumerate(rest))
+        trie.add([head], [packed], [2])
+        plain[head, packed] += 2
+    assert trie.entries == len(plain) and any(type(c) is op11_phrases.Node for c in trie.children.values())
+    first = [((head, rest), n) for head, subtree in trie.spill(trie.entries // 2) for rest, n in subtree]
     assert 0 < trie.entries <= len(plain) // 2 and trie.entries + len(first) == len(plain)
-    assert dict(first + [row for subtree in trie.spill(0) for row in subtree]) == plain and trie.entries == 0
+    assert dict(first + [((head, rest), n) for head, subtree in trie.spill(0) for rest, n in subtree]) == plain and trie.entries == 0
 
 
 def test_filter_keeps_all_frequent_phrases(spark):

@@ -22,8 +22,9 @@ tasks. Equal scores and counts are ranked by phrase in byte order. An empty tabl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ from tidewater.llm.wordrows import BASE, Words, chunks, mixed, rolling
 LONGEST, MIN_COUNT, TOP, COVER_PERCENT = 5, 100, 2000, 100
 BURST, ENTRIES, RUN_ROWS = 4096, 400_000, 50_000
 FILTER_BITS = 1 << 26
+DIGIT = 2**32 - 1
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -58,61 +60,77 @@ class Node:
 
 
 class HatTrie:
-    """Counts of phrases (tuples of word ids): nodes near the root, hash containers of the remaining words below."""
+    """Counts of phrases: nodes near the root, hash containers of the remaining words below.
+
+    A phrase is its head (the first word with its language) and its rest, the other words' numbers (from 1, below 2^32) as
+    digits of one number, the next word lowest; no rest is 0.
+    """
 
     def __init__(self, burst: int = BURST):
-        self.root, self.burst, self.entries = Node(), burst, 0
-
-    def add(self, phrase: tuple[int, ...], count: int) -> None:
-        parent, depth = self.root, 0
-        while True:
-            if depth == len(phrase):
-                self.entries += not parent.count
-                parent.count += count
-                return
-            child = parent.children.get(phrase[depth])
+        self.children, self.burst, self.entries = {}, burst, 0
+
+    def add(self, heads: list[int], rests: list[int], counts: list[int]) -> None:
+        children, burst, new = self.children, self.burst, 0
+        for head, rest, count in zip(heads, rests, counts, strict=True):
+            child = children.get(head)
             if child is None:
-                child = parent.children[phrase[depth]] = {}
-            depth += 1
-            if type(child) is dict:
-                break
-            parent = child
-        rest = phrase[depth:]
-        old = child.get(rest)
-        child[rest] = count if old is None else old + count
-        if old is None:
-            self.entries += 1
-            if len(child) > self.burst:
-                parent.children[phrase[depth - 1]] = self._burst(child)
-
-    def _burst(self, container: dict) -> Node:
-        node = Node()
-        for rest, count in container.items():
-            if rest:
-                node.children.setdefault(rest[0], {})[rest[1:]] = count
+                children[head] = {rest: count}
+                new += 1
+            elif type(child) is dict:
+                old = child.get(rest)
+                if old is None:
+                    child[rest] = count
+                    new += 1
+                    if len(child) > burst:
+                        children[head] = _burst(child)
+                else:
+                    child[rest] = old + count
             else:
-                node.count = count
-        return node
+                new += self._below(child, rest, count)
+        self.entries += new
 
-    def spill(self, down_to: int) -> Iterator[list[tuple[tuple[int, ...], int]]]:
-        """Takes out whole subtrees of the root, the largest first, until at most ``down_to`` entries are left."""
-        subtrees = sorted(((len(child) if type(child) is dict else sum(1 for _ in _walk(child, ())), word) for word, child in self.root.children.items()), reverse=True)
-        for size, word in subtrees:
+    def _below(self, node: Node, rest: int, count: int) -> bool:
+        while rest:
+            word, rest = rest & DIGIT, rest >> 32
+            child = node.children.get(word)
+            if child is None:
+                child = node.children[word] = {}
+            if type(child) is dict:
+                new = rest not in child
+                child[rest] = child.get(rest, 0) + count
+                if len(child) > self.burst:
+                    node.children[word] = _burst(child)
+                return new
+            node = child
+        node.count += count
+        return node.count == count
+
+    def spill(self, down_to: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+        """Takes out whole subtrees of heads, the largest first, until at most ``down_to`` entries are left."""
+        sizes = {head: len(child) if type(child) is dict else sum(1 for _ in _walk(child, 0, 0)) for head, child in self.children.items()}
+        for head in sorted(sizes, key=sizes.get, reverse=True):
             if self.entries <= down_to:
                 return
-            self.entries -= size
-            yield list(_walk(self.root.children.pop(word), (word,)))
+            self.entries -= sizes[head]
+            yield head, list(_walk(self.children.pop(head), 0, 0))
+
 
+def _burst(container: dict[int, int]) -> Node:
+    node = Node()
+    for rest, count in container.items():
+        if rest:
+            node.children.setdefault(rest & DIGIT, {})[rest >> 32] = count
+        else:
+            node.count = count
+    return node
 
-def _walk(tree: Node | dict, prefix: tuple[int, ...]) -> Iterator[tuple[tuple[int, ...], int]]:
+
+def _walk(tree: Node | dict, above: int, shift: int) -> Iterable[tuple[int, int]]:
+    """(rest, count) of a subtree whose ``shift`` / 32 words down to here are ``above``."""
     if type(tree) is dict:
-        for rest, count in tree.items():
-            yield prefix + rest, count
-        return
-    if tree.count:
-        yield prefix, tree.count
-    for word, child in tree.children.items():
-        yield from _walk(child, (*prefix, word))
+        return tree.items() if not shift else [(above | rest << shift, count) for rest, count in tree.items()]
+    own = [(above, tree.count)] if tree.count else []
+    return chain(own, *(_walk(child, above | word << shift, shift + 32) for word, child in tree.children.items()))
 
 
 def language_hash(lang: str) -> int:
@@ -131,18 +149,6 @@ def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
 
 
-def _pooled(subtrees: Iterator[list]) -> Iterator[list]:
-    """Small subtrees together, so that a run is worth a batch of rows."""
-    held: list = []
-    for subtree in subtrees:
-        held += subtree
-        if len(held) >= RUN_ROWS:
-            yield held
-            held = []
-    if held:
-        yield held
-
-
 class PhraseCounter:
     """A task's HAT-trie with its languages and words, both numbered as they come."""
 
@@ -151,7 +157,7 @@ class PhraseCounter:
         self._clear()
 
     def _clear(self) -> None:
-        self.trie, self.langs, self.lang_names, self.ids, self.words = HatTrie(self.burst), {}, [], {}, []
+        self.trie, self.langs, self.lang_names, self.ids, self.words = HatTrie(self.burst), {}, [], {}, [b""]  # no word has number 0
 
     def add(self, langs: list[str], data: np.ndarray, offsets: np.ndarray) -> None:
         lowered = LOWER[data]
@@ -175,10 +181,10 @@ class PhraseCounter:
         at = at[first]
         numbers = self._numbers(words, lowered, at)
         lang_ids = np.array([self._language(name) for name in names])[np.repeat(which, words.count)[at]]
-        heads = lang_ids << 32 | numbers[at]  # the language goes with the first word
-        add = self.trie.add
-        for phrase, n in zip(zip(heads.tolist(), *(numbers[at + j].tolist() for j in range(1, size)), strict=True), times.tolist(), strict=True):
-            add(phrase, n)
+        rests = np.zeros(len(at), np.int64 if size <= 2 else object)
+        for j in range(1, size):
+            rests |= numbers[at + j].astype(rests.dtype) << 32 * (j - 1)
+        self.trie.add((lang_ids << 32 | numbers[at]).tolist(), rests.tolist(), times.tolist())
 
     def _language(self, name: str) -> int:
         if name not in self.langs:
@@ -190,31 +196,49 @@ class PhraseCounter:
         """The number of each word that stands in a phrase starting at ``at``."""
         used = np.unique((at[:, None] + np.arange(self.size)).ravel())
         own, first, inverse = np.unique(words.hashes[used], return_index=True, return_inverse=True)
-        ids, text = np.zeros(len(own), np.int64), data.tobytes()
-        for i, (h, w) in enumerate(zip(own.tolist(), used[first].tolist(), strict=True)):
-            number = self.ids.get(h)
-            if number is None:
-                number = self.ids[h] = len(self.words)
-                self.words.append(text[words.starts[w] : words.ends[w]])
-            ids[i] = number
+        known, text = list(map(self.ids.get, own.tolist())), data.tobytes()
+        starts, ends = words.starts[used[first]].tolist(), words.ends[used[first]].tolist()
+        for i, h in enumerate(own.tolist()):
+            if known[i] is None:
+                known[i] = self.ids[h] = len(self.words)
+                self.words.append(text[starts[i] : ends[i]])
+        ids = np.array(known, np.int64)
         out = np.zeros(len(words.hashes), np.int64)
         out[used] = ids[inverse]
         return out
 
     def runs(self, last: bool = False) -> Iterator[pa.RecordBatch]:
-        """Sorted runs of whole subtrees once the trie is full; all of it, if this is the last call."""
+        """Whole subtrees as sorted runs once the trie is full; all of it, if this is the last call."""
         if not last and self.trie.entries <= self.limit:
             return
-        for subtree in _pooled(self.trie.spill(0 if last else self.limit // 2)):
-            rows = sorted((self.lang_names[p[0] >> 32], b" ".join([self.words[w] for w in (p[0] & 0xFFFFFFFF, *p[1:])]), n) for p, n in subtree)
-            for i in range(0, len(rows), RUN_ROWS):
-                lang, phrase, n = zip(*rows[i : i + RUN_ROWS], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], ["lang", "phrase", "n"])
-        if not self.trie.entries or len(self.words) > 4 * self.limit:
-            yield from self.runs(True) if self.trie.entries else ()
+        words, langs, phrases, counts = self.words, [], [], []
+        for head, subtree in self.trie.spill(0 if last or len(words) > 4 * self.limit else self.limit // 2):
+            first, lang = words[head & DIGIT], self.lang_names[head >> 32]
+            if self.size == 2:
+                run = sorted([(b"%b %b" % (first, words[rest]), n) for rest, n in subtree])
+            else:
+                run = sorted([(b" ".join([first, *_words(rest, words)]), n) for rest, n in subtree])
+            langs += [lang] * len(run)
+            phrases += [phrase for phrase, _ in run]
+            counts += [n for _, n in run]
+            if len(counts) >= RUN_ROWS:
+                yield _run_batch(langs, phrases, counts)
+                langs, phrases, counts = [], [], []
+        yield _run_batch(langs, phrases, counts)
+        if not self.trie.entries:
             self._clear()
 
 
+def _words(rest: int, words: list[bytes]) -> Iterator[bytes]:
+    while rest:
+        yield words[rest & DIGIT]
+        rest >>= 32
+
+
+def _run_batch(langs: list[str], phrases: list[bytes], counts: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
+
+
 def _runs(size: int, sent: Broadcast | None, burst: int, entries: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PhraseCounter(size, sent.value if sent else None, burst, entries)
