@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.llm import op12_blocks
+from tidewater.llm import op12_blocks, wordrows
 
 SF = "/root/testdata/sf0.001"
 SHAPE = "doc_id long, text string, id long, h long, pos int, places int"
@@ -87,6 +87,6 @@ def test_one_passage_in_many_texts(spark):
 def test_rolling_names_depend_on_the_words_only():
     words = np.random.default_rng(0).integers(0, 2**62, 500).astype(np.uint64)
     for width in (1, 2, 3, 18):
-        whole = op12_blocks.rolling(words, width)
+        whole = wordrows.rolling(words, width)
         assert len(whole) == 500 - width + 1
-        assert all(op12_blocks.rolling(words[i : i + width], width)[0] == whole[i] for i in (0, 7, 300, 500 - width))
+        assert all(wordrows.rolling(words[i : i + width], width)[0] == whole[i] for i in (0, 7, 300, 500 - width))

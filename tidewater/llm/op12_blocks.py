@@ -4,8 +4,9 @@ A window is ``length`` consecutive words of one text. The reference index holds
 ``(length + 1) // 2`` words, counted from its start, so that every window has a whole block inside, wherever it starts.
 
 1. Index: the blocks of all texts by hash, with the number of their places.
-2. Probe: every rolling window of a block's width, of every text, is looked up in the index. A hit is a place whose
-   block's words stand at another place too, at least one of the two a reference block.
+2. Probe: every rolling window of a block's width, of every text, is looked up in the index, in ``SLICES`` rounds of one
+   part of the hashes each, so that only that part of all windows is on its way at a time. A hit is a place whose block's
+   words stand at another place too, at least one of the two a reference block.
 3. Extend: all windows around a hit lie in its context, the hit with ``length - block`` words on either side as far as the
    text goes. Hits of equal context extend over all of it at once: contexts are counted, and one that has two places
    marks all windows in it. What is left are blocks with several contexts. One place of each context (so copies count
@@ -27,17 +28,19 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import WorkTables, own_columns, table
+from tidewater.llm.wordrows import BASE, Words, chunks, mixed, rolling, sent
 
-LENGTH = 35
-#: Rows of an Arrow batch sent back to Spark, and words hashed together.
-BATCH, WORDS = 200_000, 400_000
+LENGTH, SLICES = 35, 4
 
 
 def width_of(length: int) -> int:
@@ -45,75 +48,35 @@ def width_of(length: int) -> int:
     return (length + 1) // 2
 
 
-def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
-    """The hash of every ``width`` consecutive words, built by doubling: a run of 2k words from two runs of k."""
-    have, h = 1, hashes
-    while have < width:
-        step = min(have, width - have)
-        h = h[: len(h) - step] * np.uint64(0x9FB21C651E98DF25) + (h[step:] ^ (h[step:] >> np.uint64(31)))
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
-        have += step
-    return h
+def _block_rows(length: int, part: int | None = None, parts: int = 1):
+    """(h, id, pos): a text's reference blocks, or all its other windows of that width in one part of the hashes.
 
-
-def block_hashes(texts: list[bytes | None], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(text number, word position, hash) of the rolling windows of a block's width, of texts that hold a window."""
-    import xxhash
-
-    width = width_of(length)
-    words: list[bytes] = []
-    spans: list[tuple[int, int, int]] = []
-    for i, text in enumerate(texts):
-        own = (text or b"").split()
-        if len(own) >= length:
-            spans.append((i, len(words), len(own)))
-            words += own
-        if spans and (len(words) >= WORDS or i == len(texts) - 1):
-            yield _spanned(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), spans, width)
-            words, spans = [], []
-    if spans:
-        yield _spanned(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), spans, width)
-
-
-def _spanned(hashes: np.ndarray, spans: list[tuple[int, int, int]], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    number, first, count = (np.array(x) for x in zip(*spans, strict=True))
-    inside = count - width + 1  # windows that do not run into the next text
-    position = np.arange(inside.sum()) - np.repeat(np.cumsum(inside) - inside, inside)
-    return np.repeat(number, inside), position, rolling(hashes, width)[np.repeat(first, inside) + position]
-
-
-def _block_rows(length: int, reference: bool):
-    """(h, id, pos): a text's reference blocks, or all its other windows of that width."""
+    Texts without a window have none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = width_of(length)
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for number, position, h in block_hashes(batch.column(1).cast(pa.binary()).to_pylist(), length):
-                wanted = np.flatnonzero((position % width == 0) == reference)
-                for at in range(0, len(wanted), BATCH):
-                    own = wanted[at : at + BATCH]
-                    yield pa.RecordBatch.from_arrays([pa.array(h[own].view(np.int64)), pa.array(ids[number[own]]), pa.array(position[own], pa.int32())], ["h", "id", "pos"])
+            for own, data, offsets in chunks(batch, 1):
+                words = Words(data, offsets)
+                inside = np.where(words.count >= length, words.count - width + 1, 0)
+                position = np.arange(inside.sum()) - np.repeat(np.cumsum(inside) - inside, inside)
+                h = rolling(words.hashes, width)[np.repeat(words.first, inside) + position]
+                aligned = position % width == 0
+                wanted = np.flatnonzero(aligned if part is None else ~aligned & (((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32) == part))
+                ids = np.repeat(own.column(0).to_numpy(), inside)
+                yield from sent(["h", "id", "pos"], h[wanted], ids[wanted], position[wanted].astype(np.int32))
 
     return run
 
 
-class Words:
-    """A text's words as one string with single spaces, to name any run of them."""
-
-    def __init__(self, text: bytes):
-        words = text.split()
-        self.text, self.count = b" ".join(words), len(words)
-        ends = np.cumsum([len(w) + 1 for w in words]) - 1
-        self.ends = ends.tolist()
-        self.starts = [0, *(ends[:-1] + 1).tolist()]
-
-    def name(self, first: int, end: int, role: int) -> int:
-        """A signed 64-bit name of the words [first, end) in a role."""
-        import xxhash
-
-        return int.from_bytes(xxhash.xxh3_64_digest(self.text[self.starts[first] : self.ends[end - 1]], seed=role), "little", signed=True)
+def _placed(own: pa.RecordBatch, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """Per place in the rows (id, text, places): its text's id, first word and word count, and its own fields."""
+    lists = own.column(2)
+    places = lists.flatten()
+    each = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    fields = {f.name: places.field(i).to_numpy(zero_copy_only=False) for i, f in enumerate(places.type)}
+    return own.column(0).to_numpy()[each], words.first[each], words.count[each], fields
 
 
 def _contexts(length: int):
@@ -123,29 +86,22 @@ def _contexts(length: int):
         width = width_of(length)
         margin = length - width
         for batch in batches:
-            rows: list[tuple] = []
-            for own, text, hits in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = Words(text)
-                for hit in hits:
-                    pos = hit["pos"]
-                    first, end = max(0, pos - margin), min(words.count, pos + width + margin)
-                    if end - first >= length:
-                        rows.append((hit["h"], words.name(first, end, pos - first), own, pos))
-                if len(rows) >= BATCH:
-                    yield _batch(rows, _CONTEXT)
-                    rows = []
-            yield _batch(rows, _CONTEXT)
+            for own, data, offsets in chunks(batch, 1):
+                words = Words(data, offsets)
+                ids, base, count, hit = _placed(own, words)
+                first, end = np.maximum(hit["pos"] - margin, 0), np.minimum(hit["pos"] + width + margin, count)
+                holds = np.flatnonzero(end - first >= length)
+                ids, base, first, end, pos, h = (x[holds] for x in (ids, base, first, end, hit["pos"], hit["h"]))
+                windows = rolling(words.hashes, length)
+                # A context is at most two windows long: the first and the last one in it cover it.
+                shape = ((pos - first) * 2 * length + (end - first)).astype(np.uint64)
+                c = mixed(mixed(windows[base + first] * np.uint64(0x9FB21C651E98DF25) + windows[base + end - length]) + shape * np.uint64(BASE))
+                yield from sent(["h", "c", "id", "pos"], h, c, ids, pos)
 
     return run
 
 
-_CONTEXT = [("h", pa.int64()), ("c", pa.int64()), ("id", pa.int64()), ("pos", pa.int32())]
-_HALF = [("h", pa.int64()), ("side", pa.int32()), ("c", pa.int64()), ("id", pa.int64()), ("pos", pa.int32()), ("alone", pa.bool_())]
-
-
-def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, fields, strict=True)], [n for n, _ in fields])
+_NAMED = ["h", "side", "c", "id", "pos", "alone"]
 
 
 def _halves(length: int):
@@ -159,18 +115,14 @@ def _halves(length: int):
         left = (length - width + 1) // 2
         right = length - width - left + 1
         for batch in batches:
-            rows: list[tuple] = []
-            for own, text, places in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = Words(text)
-                for p in places:
-                    pos = p["pos"]
-                    for side, first, end in ((0, pos - left, pos + width), (1, pos, pos + width + right)):
-                        if first >= 0 and end <= words.count:
-                            rows.append((p["h"], side, words.name(first, end, side), own, pos, p["alone"]))
-                if len(rows) >= BATCH:
-                    yield _batch(rows, _HALF)
-                    rows = []
-            yield _batch(rows, _HALF)
+            for own, data, offsets in chunks(batch, 1):
+                words = Words(data, offsets)
+                ids, base, count, place = _placed(own, words)
+                pos = place["pos"]
+                for side, first, size in ((0, pos - left, width + left), (1, pos, width + right)):
+                    holds = np.flatnonzero((first >= 0) & (first + size <= count))
+                    c = rolling(words.hashes, size)[base[holds] + first[holds]]
+                    yield from sent(_NAMED, place["h"][holds], np.full(len(holds), side, np.int32), c, ids[holds], pos[holds], place["alone"][holds])
 
     return run
 
@@ -182,19 +134,15 @@ def _window_names(length: int):
         width = width_of(length)
         left = (length - width + 1) // 2
         for batch in batches:
-            rows: list[tuple] = []
-            for own, text, places in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = Words(text)
-                for p in places:
-                    pos = p["pos"]
-                    for before in range(left, length - width + 1) if p["side"] == 0 else range(left):
-                        first = pos - before
-                        if first >= 0 and first + length <= words.count:
-                            rows.append((p["h"], before, words.name(first, first + length, before), own, pos, p["alone"]))
-                if len(rows) >= BATCH:
-                    yield _batch(rows, _HALF)
-                    rows = []
-            yield _batch(rows, _HALF)
+            for own, data, offsets in chunks(batch, 1):
+                words = Words(data, offsets)
+                ids, base, count, place = _placed(own, words)
+                windows = rolling(words.hashes, length)
+                for before in range(length - width + 1):
+                    first = place["pos"] - before
+                    holds = np.flatnonzero((place["side"] == (before < left)) & (first >= 0) & (first + length <= count))
+                    c = windows[base[holds] + first[holds]]
+                    yield from sent(_NAMED, place["h"][holds], np.full(len(holds), before, np.int32), c, ids[holds], place["pos"][holds], place["alone"][holds])
 
     return run
 
@@ -210,7 +158,7 @@ def _shared(named: DataFrame, work: WorkTables, name: str) -> DataFrame:
     return work.put(twice, name)
 
 
-def repeated_windows(rows: DataFrame, length: int, work: WorkTables) -> DataFrame:
+def repeated_windows(rows: DataFrame, length: int, work: WorkTables, slices: int = SLICES) -> DataFrame:
     """(id, first, end): runs of words all of whose windows occur elsewhere too; ``rows`` is (id, text), ids unique.
 
     The end may lie beyond the text's last word.
@@ -218,9 +166,10 @@ def repeated_windows(rows: DataFrame, length: int, work: WorkTables) -> DataFram
     width = width_of(length)
     margin = length - width
     shape = "h long, id long, pos int"
-    blocks = work.put(rows.mapInArrow(_block_rows(length, True), shape), "blocks")
+    blocks = work.put(rows.mapInArrow(_block_rows(length), shape), "blocks")
     index = work.put(blocks.groupBy("h").agg(F.count(F.lit(1)).alias("places")), "index")
-    probed = work.put(rows.mapInArrow(_block_rows(length, False), shape).join(index.select("h"), "h"), "probed")
+    parts = [work.put(rows.mapInArrow(_block_rows(length, part, slices), shape).join(index.select("h"), "h"), "probed") for part in range(slices)]
+    probed = reduce(DataFrame.union, parts)
     touched = work.put(probed.select("h").union(index.filter("places > 1").select("h")).distinct(), "touched")
     hits = probed.select("h", "id", "pos").union(blocks.join(touched, "h").select("h", "id", "pos"))
 
@@ -245,27 +194,33 @@ def repeated_windows(rows: DataFrame, length: int, work: WorkTables) -> DataFram
 _CUT = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.list_(pa.int32()))), ("kept_sha256", pa.string()), ("text", pa.string())]
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for doc_id, text, runs in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            words = (text or b"").split()
-            spans: list[list[int]] = []
-            for first, end in sorted((r["first"], min(r["end"], len(words))) for r in runs or ()):
-                if spans and first <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], end)
-                else:
-                    spans.append([first, end])
-            kept, upto = [], 0
-            for first, end in [*spans, [len(words), len(words)]]:
-                kept += words[upto:first]
-                upto = end
-            rest = b" ".join(kept)
-            out.append((doc_id, len(words), len(words) - len(kept), spans, hashlib.sha256(rest).hexdigest(), rest.decode()))
-        yield _batch(out, _CUT)
-
-
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def _cut(with_text: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            runs, at = batch.column(2), 0
+            firsts, ends = (runs.flatten().field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            lengths = pc.fill_null(runs.value_lengths(), 0).to_pylist()
+            for doc_id, text, found in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), lengths, strict=True):
+                kept = words = (text or b"").split()
+                spans = np.zeros((0, 2), np.int32)
+                if found:
+                    change = np.zeros(len(words) + 2, np.int64)
+                    np.add.at(change, firsts[at : at + found] + 1, 1)
+                    np.add.at(change, np.minimum(ends[at : at + found], len(words)) + 1, -1)
+                    stays = np.cumsum(change) <= 0
+                    kept = list(compress(words, stays[1:-1].tolist()))
+                    spans = np.flatnonzero(np.diff(stays)).reshape(-1, 2)
+                    at += found
+                rest = b" ".join(kept)
+                out.append((doc_id, len(words), len(words) - len(kept), spans.tolist(), hashlib.sha256(rest).hexdigest(), rest.decode() if with_text else None))
+            columns = list(zip(*out, strict=True)) if out else [()] * len(_CUT)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, _CUT, strict=True)], [n for n, _ in _CUT])
+
+    return run
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, spans, kept_sha256, text) of each row; spans are the removed runs [first, end) of words."""
     work = WorkTables(docs.sparkSession, clean=True)
     numbered = own_columns(docs, "doc_id", "text").withColumn("id", F.monotonically_increasing_id())
@@ -275,8 +230,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     runs = runs.groupBy("id").agg(F.collect_list(F.struct("first", "end")).alias("runs"))
     cut = rows.join(runs, "id", "left").select("doc_id", "text", "runs")
     shape = "doc_id long, n_words long, n_removed long, spans array<array<int>>, kept_sha256 string, text string"
-    return cut.mapInArrow(_cut, shape)
+    return cut.mapInArrow(_cut(with_text), shape)
 
 
 def op12_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return remove_repeats(table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
