@@ -23,7 +23,9 @@ from tidewater.plans import catalog  # noqa: E402
 try:  # the training-data operators are an optional part
     import corpus_pipeline  # noqa: E402
     from tidewater.llm import catalog as llm_catalog  # noqa: E402
-except ImportError:
+except ModuleNotFoundError as missing:  # a broken dependency of theirs is an error
+    if missing.name not in ("corpus_pipeline", "tidewater.llm"):
+        raise
     corpus_pipeline = llm_catalog = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -44,6 +46,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_batches": catalog.upsert_batches,
         "upsert_out_of_order": catalog.upsert_out_of_order,
         "upsert_order_guard": catalog.upsert_order_guard,
+        "upsert_deltas": catalog.upsert_deltas,
+        "upsert_deltas_order_guard": catalog.upsert_deltas_order_guard,
         "bulk_load": catalog.bulk_load,
         "soft_deletes": catalog.soft_deletes,
         "lookup_left_join": catalog.lookup_left_join,
@@ -54,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lookup_fanout_array": catalog.lookup_fanout_array,
         "typed_view": catalog.typed_view_query,
         "stream_replay": catalog.stream_replay,
+        "stream_deltas": catalog.stream_deltas,
         **_llm_queries(),
     }
 
@@ -151,6 +156,8 @@ FROM arrived
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY arrival DESC, ts DESC, CAST(event_id AS VARCHAR) DESC) = 1
 """,
         "upsert_order_guard": _LATEST,
+        "upsert_deltas": _LATEST,
+        "upsert_deltas_order_guard": _LATEST,
         "bulk_load": """
 SELECT '{"o_orderkey": "' || CAST(o_orderkey AS VARCHAR) || '"}' AS keys,
        'run-0001' AS event_id, 'BULK_LOAD' AS last_event_name, 'orders' AS table_name,
@@ -216,5 +223,6 @@ FROM events
 QUALIFY {_NEWEST} = 1
 """,
         "stream_replay": _LATEST,
+        "stream_deltas": _LATEST,
         **_llm_oracles(),
     }

@@ -59,6 +59,14 @@ class TargetConfig:
     with_lookup  -- the target carries the two lookup columns.
     order_guard  -- keep the stored row when it is newer than the incoming one.
     check_unique -- fail a batch that holds two rows for one key.
+    layout       -- "buckets": every batch rewrites the buckets it touches,
+                    so readers find plain files; "deltas": a batch writes
+                    its own rows only, readers merge them with the base,
+                    ``compact`` folds them into a new base.
+    compact_ratio -- (deltas) compact after a batch once the deltas hold at
+                    least this share of the base's bytes, so that rewriting
+                    stays in proportion to what was written; None: only
+                    when ``compact`` is called.
     table        -- optional catalog name of a row-level (v2) table; when set,
                     the upsert is a MERGE INTO that table instead.
     """
@@ -68,6 +76,8 @@ class TargetConfig:
     with_lookup: bool = False
     order_guard: bool = False
     check_unique: bool = True
+    layout: str = "buckets"
+    compact_ratio: float | None = None
     table: str | None = None
 
     def __post_init__(self):
@@ -75,6 +85,10 @@ class TargetConfig:
             raise ValueError("target needs a path or a table name")
         if self.buckets < 1:
             raise ValueError("buckets must be positive")
+        if self.layout not in ("buckets", "deltas"):
+            raise ValueError("layout must be 'buckets' or 'deltas'")
+        if self.compact_ratio is not None and (self.layout != "deltas" or self.compact_ratio <= 0):
+            raise ValueError("compact_ratio must be positive and needs layout='deltas'")
 
 
 @dataclass(frozen=True)

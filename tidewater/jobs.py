@@ -1,10 +1,11 @@
-"""Command line for the two jobs.
+"""Command line for the two jobs, and for compacting a target of deltas.
 
     python -m tidewater.jobs stream --source-format kafka \\
         --source-option kafka.bootstrap.servers=host:9092 --source-option subscribe=changes \\
         --target-path s3://bucket/cdc/t --checkpoint s3://bucket/cdc/_ckpt/t [--lookup-path ...]
     python -m tidewater.jobs bulk --export-path s3://bucket/export/1 --table-name t \\
         --keys pk,sk --run-id run-1 --target-path s3://bucket/cdc/t
+    python -m tidewater.jobs compact --target-path s3://bucket/cdc/t
 
 The original jobs' parameter names are accepted too (``--S3DynamoDbExportPath``,
 ``--DynamoDbTableName``, ``--DynamoDbTableKeys``, ``--S3JoinPath``,
@@ -35,6 +36,8 @@ def _common(p: argparse.ArgumentParser) -> None:
     p.add_argument("--target-table", help="row-level catalog table; MERGE INTO instead of the Parquet target")
     p.add_argument("--buckets", type=int, default=64)
     p.add_argument("--order-guard", action="store_true")
+    p.add_argument("--layout", default="buckets", choices=("buckets", "deltas"))
+    p.add_argument("--compact-ratio", type=float)
     p.add_argument("--lookup-path", "--S3JoinPath", dest="lookup_path")
     p.add_argument("--lookup-format", default="json", choices=("json", "parquet"))
     p.add_argument("--lookup-multi", default="rows", choices=("rows", "array"))
@@ -60,6 +63,9 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--keys", "--DynamoDbTableKeys", dest="keys", required=True)
     b.add_argument("--run-id", "--JOB_RUN_ID", dest="run_id", required=True)
     _common(b)
+    c = sub.add_parser("compact", help="fold a target's deltas into a new base")
+    c.add_argument("--with-lookup", action="store_true", help="the target has the lookup columns")
+    _common(c)
     return root
 
 
@@ -75,8 +81,12 @@ def configs(argv: list[str]):
         table=args.target_table,
         buckets=args.buckets,
         order_guard=args.order_guard,
-        with_lookup=lookup is not None,
+        layout="deltas" if args.job == "compact" else args.layout,
+        compact_ratio=args.compact_ratio,
+        with_lookup=lookup is not None or args.job == "compact" and args.with_lookup,
     )
+    if args.job == "compact":
+        return args.job, target
     decode = DecodeOptions(max_depth=args.max_depth, strict_types=args.strict_types)
     if args.job == "stream":
         checkpoint = args.checkpoint.rstrip("/")
@@ -108,12 +118,15 @@ def configs(argv: list[str]):
 def main(argv: list[str] | None = None) -> None:
     from pyspark.sql import SparkSession
 
+    from tidewater.operators.deltas import compact
     from tidewater.plans.bulk import run_bulk
     from tidewater.streaming.job import run_stream
 
     job, cfg = configs(sys.argv[1:] if argv is None else argv)
     spark = SparkSession.builder.appName(f"tidewater-{job}").getOrCreate()
-    if job == "stream":
+    if job == "compact":
+        compact(spark, cfg)
+    elif job == "stream":
         run_stream(spark, cfg).awaitTermination()
     else:
         run_bulk(spark, cfg)

@@ -27,6 +27,9 @@ Without the order guard the last batch wins (the original MERGE has no
 timestamp condition). With it, a stored row newer than the incoming one
 stays.
 
+``TargetConfig.layout="deltas"`` writes only the batch's own rows and merges
+them at read (``operators/deltas.py``).
+
 When ``TargetConfig.table`` names a catalog table that supports row-level
 operations, the same upsert is issued as ``MERGE INTO`` instead.
 """
@@ -43,6 +46,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from tidewater.config import TargetConfig
 from tidewater.functions.keys import bucket_of, merge_key
 from tidewater.functions.record import is_too_deep
+from tidewater.operators import deltas
+from tidewater.operators.files import child_names, make_folder, path_exists, remove_path
 from tidewater.schemas import target_schema
 from tidewater.session import checkpoint_dir
 
@@ -58,42 +63,18 @@ def stored_schema(with_lookup: bool) -> StructType:
     return StructType(target_schema(with_lookup).fields + [StructField(BUCKET, IntegerType(), False)])
 
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return fs.exists(p)
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    fs, p = _fs_path(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
-def _child_names(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs_path(spark, path)
-    if not fs.exists(p):
-        return []
-    return [status.getPath().getName() for status in fs.listStatus(p)]
-
-
 def written_buckets(spark: SparkSession, path: str) -> list[int]:
     """Bucket ids of a folder written partitioned by bucket (from its folder names).
 
     At most ``buckets`` names, read from the file system listing; no job runs.
     """
     prefix = f"{BUCKET}="
-    return sorted(int(n[len(prefix):]) for n in _child_names(spark, path) if n.startswith(prefix))
+    return sorted(int(n[len(prefix):]) for n in child_names(spark, path) if n.startswith(prefix))
 
 
 def stored_buckets(spark: SparkSession, path: str) -> int | None:
     """The bucket count recorded in the target folder, if it has been created."""
-    for name in _child_names(spark, path):
+    for name in child_names(spark, path):
         if name.startswith(LAYOUT_PREFIX):
             return int(name[len(LAYOUT_PREFIX):])
     return None
@@ -109,16 +90,18 @@ def read_target(spark: SparkSession, target: TargetConfig) -> DataFrame:
     schema = stored_schema(target.with_lookup)
     if stored_buckets(spark, target.path) is None:
         return spark.createDataFrame([], schema)
+    if target.layout == "deltas":
+        return deltas.read_merged(spark, target, schema)
     return spark.read.schema(schema).parquet(target.path)
 
 
 def _check_layout(spark: SparkSession, target: TargetConfig) -> None:
-    """Record the bucket count on first use (a marker folder, which readers
-    ignore because of its leading underscore); refuse a different count later."""
+    """Record bucket count and layout on first use (marker folders, which readers
+    ignore because of their leading underscore); refuse others later."""
+    deltas.check_layout(spark, target, stored_buckets(spark, target.path) is None)
     stored = stored_buckets(spark, target.path)
     if stored is None:
-        fs, p = _fs_path(spark, f"{target.path}/{LAYOUT_PREFIX}{target.buckets}")
-        fs.mkdirs(p)
+        make_folder(spark, f"{target.path}/{LAYOUT_PREFIX}{target.buckets}")
     elif stored != target.buckets:
         raise ValueError(f"target {target.path} has {stored} buckets, not {target.buckets}")
 
@@ -184,8 +167,8 @@ def _finish_pending(spark: SparkSession, target: TargetConfig) -> list[str]:
     Each upsert does so first, so at most one finished merge folder is there.
     """
     root, done = _work_root(spark, target), []
-    for run in _child_names(spark, root):
-        for batch in _child_names(spark, f"{root}/{run}"):
+    for run in child_names(spark, root):
+        for batch in child_names(spark, f"{root}/{run}"):
             work = f"{root}/{run}/{batch}"
             if path_exists(spark, f"{work}/merged/_SUCCESS"):
                 _overwrite_from(spark, f"{work}/merged", target)
@@ -220,6 +203,9 @@ def upsert(
     work = f"{_work_root(spark, target)}/{run_key}/batch={batch_id if batch_id is not None else uuid.uuid4().hex}"
     staging, merged = f"{work}/staging", f"{work}/merged"
     _check_layout(spark, target)
+    if target.layout == "deltas":
+        _append_delta(spark, batch.select(*columns), target, run_key, batch_id, check_unique, repair)
+        return
     if work in _finish_pending(spark, target):
         return  # this batch had only its overwrite left
     bucket = bucket_of(F.col(MK), target.buckets)
@@ -254,6 +240,22 @@ def upsert(
     remove_path(spark, work)
 
 
+def _append_delta(spark, batch, target, run_key, batch_id, check_unique, repair) -> None:
+    """The ``deltas`` layout: one folder with the batch's rows, published by one rename."""
+    batch_id = batch_id if batch_id is not None else uuid.uuid4().hex
+    with_keys = lambda df: df.withColumn(MK, merge_key()).withColumn(BUCKET, bucket_of(F.col(MK), target.buckets))
+
+    def repaired(written: DataFrame) -> DataFrame | None:
+        """The written batch with its too deep rows decoded, where there are any."""
+        deep = F.coalesce(is_too_deep(F.col("error")) & F.col("keys").isNotNull(), F.lit(False))
+        if repair is None or written.filter(deep).isEmpty():
+            return None
+        fixed = with_keys(repair(written.filter(deep).select(*batch.columns, deltas.SEQ)))
+        return written.filter(~deep).unionByName(fixed)
+
+    deltas.append(spark, with_keys(batch), target, run_key, str(batch_id), finish=repaired, check=check_unique_keys if check_unique else None)
+
+
 def _repair_staged(spark, staging, repair, columns, target) -> None:
     """Decode the reserved folder's rows again and move them to their buckets."""
     pending = f"{staging}/{BUCKET}={REPAIR_BUCKET}"
@@ -288,6 +290,8 @@ def register_target(spark: SparkSession, name: str, target: TargetConfig) -> Non
     """
     from tidewater.schemas import target_ddl
 
+    if target.layout == "deltas":
+        raise ValueError("a target of deltas has no table of files; make a view of read_target, or register a compacted copy")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({target_ddl(target.with_lookup)}, `{BUCKET}` INT) "
         f"USING parquet PARTITIONED BY (`{BUCKET}`) LOCATION '{target.path}'"

@@ -15,6 +15,7 @@ from tidewater.config import BulkConfig, LookupConfig, StreamConfig, TargetConfi
 from tidewater.operators.enrich import enrich
 from tidewater.operators.latest import latest_per_key
 from tidewater.operators.normalize import normalize_changes, normalize_export
+from tidewater.operators.deltas import compact
 from tidewater.operators.upsert import live_rows, read_target, upsert
 from tidewater.operators.views import typed_view
 from tidewater.plans import feeds
@@ -92,13 +93,15 @@ def latest_per_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(_changes(spark, sf_dir)).select(*LATEST_COLUMNS)
 
 
-def _upsert_batches(spark: SparkSession, sf_dir: str, order: tuple[int, ...], guard: bool, name: str) -> DataFrame:
+def _upsert_batches(spark: SparkSession, sf_dir: str, order: tuple[int, ...], guard: bool, name: str, compact_after: int | None = None, **layout) -> DataFrame:
     apply_job_conf(spark)
-    target = TargetConfig(path=scratch_path(spark, "queries", name), buckets=QUERY_BUCKETS, order_guard=guard)
+    target = TargetConfig(path=scratch_path(spark, "queries", name), buckets=QUERY_BUCKETS, order_guard=guard, **layout)
     batches = feeds.change_batches(spark, sf_dir)
     for i in order:
         staged = stage_changes(spark, batches[i - 1])
         upsert(spark, staged, target, batch_id=i, check_unique=False, repair=deep_repair(None))
+        if i == compact_after:
+            compact(spark, target)
     return read_target(spark, target)
 
 
@@ -114,6 +117,16 @@ def upsert_order_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_batches(spark, sf_dir, (3, 1, 2), True, "upsert-guard").select(*LATEST_COLUMNS)
 
 
+def upsert_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches as deltas, the first two folded into a base: the result merges a base and a delta."""
+    return _upsert_batches(spark, sf_dir, (1, 2, 3), False, "upsert-deltas", 2, layout="deltas").select(*LATEST_COLUMNS)
+
+
+def upsert_deltas_order_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest batch first, folded into the base that the older ones must not replace."""
+    return _upsert_batches(spark, sf_dir, (3, 1, 2), True, "upsert-deltas-guard", 3, layout="deltas").select(*LATEST_COLUMNS)
+
+
 def soft_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = _upsert_batches(spark, sf_dir, (1, 2, 3), False, "soft-deletes")
     live = live_rows(target).select("keys", F.lit(True).alias("live"))
@@ -291,6 +304,15 @@ def typed_view_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir)
+
+
+def stream_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stream into a target of deltas that compacts itself."""
+    return _streamed(spark, sf_dir, layout="deltas", compact_ratio=0.5)
+
+
+def _streamed(spark: SparkSession, sf_dir: str, **layout) -> DataFrame:
     """The feed written as three sets of text files, streamed into the target.
 
     Each set keeps the feed's partitioning (no single-task write); every
@@ -305,7 +327,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         source_format="text",
         source_path=f"{source_dir}/batch-*",
         source_options={"maxFilesPerTrigger": str(spark.sparkContext.defaultParallelism)},
-        target=TargetConfig(path=scratch_path(spark, "queries", "stream-target"), buckets=QUERY_BUCKETS, order_guard=True),
+        target=TargetConfig(path=scratch_path(spark, "queries", "stream-target"), buckets=QUERY_BUCKETS, order_guard=True, **layout),
         checkpoint_location=scratch_path(spark, "queries", "stream-checkpoint"),
         available_now=True,
     )
