@@ -40,6 +40,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "envelope_parse": catalog.envelope_parse,
         "decode_images": catalog.decode_images,
+        "decode_deep": catalog.decode_deep,
         "normalize_changes": catalog.normalize_changes_query,
         "parse_errors": catalog.parse_errors,
         "latest_per_key": catalog.latest_per_key_query,
@@ -127,6 +128,17 @@ SELECT CAST(event_id AS VARCHAR) AS event_id,
        CASE WHEN event_type <> 'signup' THEN {_VALUE} END AS old_value,
        event_type = 'signup' AS old_empty
 FROM events""",
+        "decode_deep": """
+WITH decoded AS (
+  SELECT *, event_id % 53 = 0 AS deep, event_id % 53 = 0 AND (event_id // 53) % 2 = 1 AS bad,
+         '"' || event_type || '\\u001F\u00e9"' AS leaf FROM events
+)
+SELECT CASE WHEN NOT bad THEN '{"user_id": "' || user_id || '"}' END AS keys, CAST(event_id AS VARCHAR) AS event_id,
+       CASE WHEN NOT bad THEN '{"user_id": "' || user_id || '", "d": '
+         || CASE WHEN deep THEN repeat('{"d": ', 12) || leaf || repeat('}', 12) ELSE leaf END || '}' END AS new_image,
+       bad AS has_parsing_error
+FROM decoded
+QUALIFY bad OR row_number() OVER (PARTITION BY user_id, bad ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) = 1""",
         "normalize_changes": f"""
 SELECT CAST(event_id AS VARCHAR) AS event_id, {_NAME} AS last_event_name, 'events' AS table_name,
        {_MILLIS} AS approx_creation_timestamp_millis, {_KEYS} AS keys, CAST(NULL AS VARCHAR) AS error,

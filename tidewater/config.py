@@ -22,15 +22,16 @@ class DecodeOptions:
 
     max_depth     -- nesting levels decoded by the native expression; deeper
                      values go to ``deep_fallback``.
-    deep_fallback -- "udf" (default): an Arrow UDF inline in the plan decodes
-                     them before rows are ranked, so the result is the same
-                     at any depth and for every sink. "repair": such a row
-                     keeps its keys and timestamp and is ranked undecoded;
-                     only those rows are decoded again once an upsert has
-                     staged the batch. Faster, but only for feeds whose deep
-                     values are known to be valid: a deep row that proves
-                     undecodable has by then replaced older changes of its
-                     key. "error": error rows.
+    deep_fallback -- "route" (default): in the jobs, which stage each batch,
+                     rows are decoded natively; the flagged ones are staged
+                     apart, decoded again from their raw text, and the batch
+                     is ranked again, so no other row leaves the JVM.
+                     Without a staging step ("udf" always): an Arrow UDF in
+                     the plan decodes flagged values before rows are ranked.
+                     Both give the same rows at any depth. "repair": rows
+                     stay flagged (with keys and timestamp) for a caller
+                     that passes a ``repair`` step to the upsert.
+                     "error": error rows.
     strict_types  -- binary values and sets become error rows (as the
                      original per-row decoder did) instead of text/arrays.
     allow_empty_keys -- a change without ``Keys`` gets keys ``{}`` instead of
@@ -38,15 +39,15 @@ class DecodeOptions:
     """
 
     max_depth: int = 8
-    deep_fallback: str = "udf"
+    deep_fallback: str = "route"
     strict_types: bool = False
     allow_empty_keys: bool = False
 
     def __post_init__(self):
         if not 1 <= self.max_depth <= 64:
             raise ValueError("max_depth must be between 1 and 64")
-        if self.deep_fallback not in ("repair", "udf", "error"):
-            raise ValueError("deep_fallback must be 'repair', 'udf' or 'error'")
+        if self.deep_fallback not in ("route", "repair", "udf", "error"):
+            raise ValueError("deep_fallback must be 'route', 'repair', 'udf' or 'error'")
 
 
 @dataclass(frozen=True)

@@ -48,7 +48,7 @@ ITEM_SEP = ", "
 NAME_SEP = ": "
 
 # The text of a number payload is a decimal literal.
-NUMBER_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUMBER_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
 _LEVEL_MAP = "map<string,map<string,string>>"
 _LEVEL_LIST = "array<map<string,string>>"

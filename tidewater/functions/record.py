@@ -6,9 +6,9 @@ envelope parse did); the images are then decoded from that text. The
 functions add columns in stages: first the texts, then one decoder instance
 for all of a record's images, then the checks that read the decoded text.
 Keeping the stages apart keeps the (large) decoder expression out of the
-checks, so it is planned and run once. Nothing here leaves the JVM except
-``repair_deep``, which re-decodes in Python only the rows whose values are
-nested deeper than the native decoder goes.
+checks, so it is planned and run once. Values nested deeper than the native
+decoder goes are decoded in Python: by an Arrow UDF in this plan, or, in the
+jobs, only for the rows that the native decoder flagged (``plans/batch.py``).
 """
 
 from __future__ import annotations
@@ -89,16 +89,16 @@ def ensure_planner_room(df: DataFrame, opts: DecodeOptions) -> None:
             conf.set(key, str(need))
 
 
-def _with_fallback(df: DataFrame, text_col: str, source_col: str, opts: DecodeOptions) -> DataFrame:
+def _with_fallback(df: DataFrame, text_col: str, source_col: str, opts: DecodeOptions, by_name: bool = False) -> DataFrame:
     """Re-decode, with the Arrow UDF, only texts that hit the depth limit.
 
     The UDF sees NULL for every other row, so the Python side does work
     only for the deep ones; the native decode is not repeated.
     """
-    if opts.deep_fallback != "udf":
+    if opts.deep_fallback not in ("udf", "route"):
         return df
     deep = A.has_marker(F.col(text_col), A.DEEP)
-    fixed = deep_image_udf(opts.strict_types)(F.when(deep, F.col(source_col)))
+    fixed = deep_image_udf(opts.strict_types, by_name)(F.when(deep, F.col(source_col)))
     return df.withColumn(text_col, F.when(deep, F.coalesce(fixed, F.lit(A.BAD))).otherwise(F.col(text_col)))
 
 
@@ -136,7 +136,7 @@ def decode_change_bodies(df: DataFrame, body_col: str, opts: DecodeOptions) -> D
         F.col("_texts")[2].alias("_o"),
     ).drop("_texts")
     for text_col, source_col in (("_k", "_keys_txt"), ("_n", "_new_txt"), ("_o", "_old_txt")):
-        decoded = _with_fallback(decoded, text_col, source_col, opts)
+        decoded = _with_fallback(decoded, text_col, source_col, opts, by_name=text_col == "_k")
     keys_absent = F.col("_b.Keys").isNull()
     keys_text = F.when(keys_absent, F.lit("{}")).otherwise(F.coalesce("_k", F.lit(A.BAD)))
     new_text = F.when(F.col("_new_txt").isNull(), F.lit("{}")).otherwise(F.coalesce("_n", F.lit(A.BAD)))
@@ -153,8 +153,8 @@ def decode_change_bodies(df: DataFrame, body_col: str, opts: DecodeOptions) -> D
         .otherwise(_value_problem([F.col("_k1"), F.col("_n1"), F.col("_o1")]))
     )
     ok = F.col("_reason").isNull()
-    # A row that is only too deep keeps keys, timestamp and size, so it is
-    # ranked like any other; its images are filled in by ``repair_deep``.
+    # A row that is only too deep keeps keys, timestamp and size; a job
+    # decodes it again from its raw text once its batch is staged.
     keep = ok | (F.col("_reason") == ERR_TOO_DEEP) & F.lit(opts.deep_fallback == "repair")
     return (
         checked.withColumn("_reason", reason)
@@ -190,7 +190,7 @@ def decode_export_items(df: DataFrame, item_col: str, key_names: tuple[str, ...]
     decoded = staged.withColumn("_texts", A.decode_maps(("_keys_txt", "_item_txt"), opts, sorted_first=True))
     decoded = decoded.select("*", F.col("_texts")[0].alias("_k"), F.col("_texts")[1].alias("_n")).drop("_texts")
     for text_col, source_col in (("_k", "_keys_txt"), ("_n", "_item_txt")):
-        decoded = _with_fallback(decoded, text_col, source_col, opts)
+        decoded = _with_fallback(decoded, text_col, source_col, opts, by_name=text_col == "_k")
     reason = (
         F.when(F.col("_item_txt").isNull(), F.lit(ERR_NO_ITEM))
         .when(F.col("_key_missing"), F.lit(ERR_MISSING_KEY))
@@ -207,43 +207,7 @@ def decode_export_items(df: DataFrame, item_col: str, key_names: tuple[str, ...]
 
 def is_too_deep(error: Column) -> Column:
     """The row's only problem was nesting deeper than the native decoder goes."""
-    return F.coalesce(F.get_json_object(error, "$.error") == ERR_TOO_DEEP, F.lit(False))
-
-
-def repair_deep(df: DataFrame, export: bool = False, strict_types: bool = False) -> DataFrame:
-    """Decode, in Python, the images of rows the native decoder found too deep.
-
-    Meant for the few such rows of a staged batch: the images are read
-    again from ``raw_payload`` and decoded by the Arrow UDF. A row that is
-    still not decodable becomes an ordinary error row (keys NULL).
-    """
-    if export:
-        item = parse_export(F.col("raw_payload"))["Item"]
-        new_src, old_src = item, F.lit(None).cast("string")
-    else:
-        body = parse_change(F.col("raw_payload"))["dynamodb"]
-        new_src, old_src = body["NewImage"], body["OldImage"]
-    texts = df.select("*", new_src.alias("_new_src"), old_src.alias("_old_src"))
-    texts = texts.select(
-        "*",
-        F.when(F.col("_new_src").isNull(), F.lit("{}")).otherwise(deep_image_udf(strict_types)(F.col("_new_src"))).alias("_n"),
-        F.when(F.col("_old_src").isNull(), F.lit("{}")).otherwise(deep_image_udf(strict_types)(F.col("_old_src"))).alias("_o"),
-    )
-    good = F.col("_n").isNotNull() & F.col("_o").isNotNull()
-    data = F.get_json_object("error", "$.data")
-    still_bad = error_json(F.lit(ERR_BAD_VALUE), data)
-    out = texts.select(
-        *[c for c in df.columns if c not in ("keys", "new_image", "old_image", "error", "has_parsing_error",
-                                             "approx_creation_timestamp_millis", "raw_payload_size_bytes")],
-        F.when(good, F.col("keys")).alias("keys"),
-        F.when(good, F.col("_n")).alias("new_image"),
-        F.when(good, F.when(F.lit(export), F.lit("{}")).otherwise(F.col("_o"))).alias("old_image"),
-        F.when(~good, still_bad).alias("error"),
-        (~good).alias("has_parsing_error"),
-        F.when(good | F.lit(export), F.col("approx_creation_timestamp_millis")).alias("approx_creation_timestamp_millis"),
-        F.when(good | F.lit(export), F.col("raw_payload_size_bytes")).alias("raw_payload_size_bytes"),
-    )
-    return out.select(*df.columns)
+    return F.coalesce(error.startswith(F.lit(f'{{"error":"{ERR_TOO_DEEP}"')), F.lit(False))
 
 
 def error_json(reason: Column, data: Column) -> Column:

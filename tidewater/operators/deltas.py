@@ -107,10 +107,10 @@ def append(
     written = f"{target.path}/{WRITING}/rows"
     rows.hint("rebalance").write.mode("overwrite").parquet(written)
     staged = spark.read.schema(rows.schema).parquet(written)
-    finished = finish(staged)
+    finished = finish(staged.drop(SEQ))
     if finished is not None:
         written = f"{target.path}/{WRITING}/finished"
-        finished.select(*rows.columns).write.mode("overwrite").parquet(written)
+        finished.withColumn(SEQ, F.lit(number).cast("long")).select(*rows.columns).write.mode("overwrite").parquet(written)
         staged = spark.read.schema(rows.schema).parquet(written)
     if staged.isEmpty():
         remove_path(spark, f"{target.path}/{WRITING}")

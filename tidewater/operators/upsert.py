@@ -191,14 +191,14 @@ def upsert(
     ``check_unique`` (default: the target's setting) fails the batch when it
     holds two rows for one key; callers whose batch comes straight from
     ``latest_per_key`` can skip that extra pass. ``repair`` (a function of
-    a DataFrame) re-decodes the staged rows the native decoder found nested
-    too deeply; it runs only when such rows exist.
+    a DataFrame) returns the staged batch with the rows decoded that the
+    native decoder found nested too deeply; it runs only when there are any.
     """
     check_unique = target.check_unique if check_unique is None else check_unique
     columns = [f.name for f in target_schema(target.with_lookup).fields]
     batch = batch.select(*columns)
     if target.table:
-        _merge_into_table(batch, target)
+        _merge_into_table(batch if repair is None else repair(batch), target)
         return
     work = f"{_work_root(spark, target)}/{run_key}/batch={batch_id if batch_id is not None else uuid.uuid4().hex}"
     staging, merged = f"{work}/staging", f"{work}/merged"
@@ -212,11 +212,13 @@ def upsert(
     if repair is not None:
         # Rows left for the repair step go to a reserved folder, so the
         # folder listing tells whether there are any; no extra job.
-        bucket = F.when(is_too_deep(F.col("error")) & F.col("keys").isNotNull(), F.lit(REPAIR_BUCKET)).otherwise(bucket)
+        bucket = F.when(is_too_deep(F.col("error")), F.lit(REPAIR_BUCKET)).otherwise(bucket)
     staged_out = batch.withColumn(MK, merge_key()).withColumn(BUCKET, bucket)
     _write_buckets(staged_out.select(*columns, MK, BUCKET), staging)
     if repair is not None and REPAIR_BUCKET in written_buckets(spark, staging):
-        _repair_staged(spark, staging, repair, columns, target)
+        decoded = repair(spark.read.parquet(staging).select(*columns)).withColumn(MK, merge_key())
+        staging = f"{work}/decoded"
+        _write_buckets(decoded.withColumn(BUCKET, bucket_of(F.col(MK), target.buckets)).select(*columns, MK, BUCKET), staging)
     staged = spark.read.parquet(staging)
     if check_unique:
         check_unique_keys(staged)
@@ -247,24 +249,13 @@ def _append_delta(spark, batch, target, run_key, batch_id, check_unique, repair)
 
     def repaired(written: DataFrame) -> DataFrame | None:
         """The written batch with its too deep rows decoded, where there are any."""
-        deep = F.coalesce(is_too_deep(F.col("error")) & F.col("keys").isNotNull(), F.lit(False))
-        if repair is None or written.filter(deep).isEmpty():
+        if repair is None or written.filter(is_too_deep(F.col("error"))).isEmpty():
             return None
-        fixed = with_keys(repair(written.filter(deep).select(*batch.columns, deltas.SEQ)))
-        return written.filter(~deep).unionByName(fixed)
+        return with_keys(repair(written.select(*batch.columns)))
 
     deltas.append(spark, with_keys(batch), target, run_key, str(batch_id), finish=repaired, check=check_unique_keys if check_unique else None)
 
 
-def _repair_staged(spark, staging, repair, columns, target) -> None:
-    """Decode the reserved folder's rows again and move them to their buckets."""
-    pending = f"{staging}/{BUCKET}={REPAIR_BUCKET}"
-    fixed = repair(spark.read.parquet(pending).select(*columns))
-    fixed = fixed.withColumn(MK, merge_key()).withColumn(BUCKET, bucket_of(F.col(MK), target.buckets))
-    _write_buckets(fixed.select(*columns, MK, BUCKET), staging, mode="append")
-    remove_path(spark, pending)
-
-
 def _merge_into_table(batch: DataFrame, target: TargetConfig) -> None:
     """MERGE INTO a row-level catalog table (lake formats); same semantics."""
     source = batch.alias("s")

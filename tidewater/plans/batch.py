@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.config import DecodeOptions, LookupConfig, TargetConfig
-from tidewater.functions.record import repair_deep
+from tidewater.functions.record import is_too_deep
 from tidewater.operators.enrich import enrich
-from tidewater.operators.latest import latest_per_key
+from tidewater.operators.latest import latest_per_key, newest_decoded
 from tidewater.operators.normalize import normalize_changes
 from tidewater.operators.upsert import upsert
 from tidewater.sources.lookup import may_broadcast, read_lookup
@@ -21,11 +25,15 @@ def stage_changes(
     collapse_errors: bool = False,
     column: str | None = None,
 ) -> DataFrame:
-    """Change records (text) -> rows ready to upsert, lazily."""
-    rows = latest_per_key(normalize_changes(records, column, decode), collapse_errors=collapse_errors)
+    """Change records (text) -> rows ready to upsert, lazily.
+
+    With the default ``deep_fallback`` rows nested too deeply are still
+    flagged: the upsert's ``repair`` step (``deep_repair``) decodes them.
+    """
+    rows = latest_per_key(normalize_changes(records, column, staged_options(decode)), collapse_errors=collapse_errors)
     if lookup is not None:
         # Read inside the batch, so files added since the last batch are seen.
-        rows = enrich(rows, read_lookup(spark, lookup), lookup.multi, may_broadcast(spark, lookup))
+        rows = _looked_up(spark, rows, lookup)
     return rows
 
 
@@ -51,13 +59,43 @@ def apply_change_batch(
         batch_id=batch_id,
         run_key=run_key,
         check_unique=target.check_unique and fan_out,
-        repair=deep_repair(decode),
+        repair=deep_repair(decode, lookup=None if lookup is None else lambda rows: _looked_up(spark, rows, lookup)),
     )
 
 
-def deep_repair(decode: DecodeOptions | None, export: bool = False):
-    """The staging repair step for ``deep_fallback="repair"``."""
+def _looked_up(spark: SparkSession, rows: DataFrame, lookup: LookupConfig) -> DataFrame:
+    return enrich(rows, read_lookup(spark, lookup), lookup.multi, may_broadcast(spark, lookup))
+
+
+def staged_options(decode: DecodeOptions | None) -> DecodeOptions:
+    """The options of a job that stages its batch: flagged rows stay flagged until then."""
+    decode = decode or DecodeOptions()
+    return replace(decode, deep_fallback="repair") if decode.deep_fallback == "route" else decode
+
+
+def deep_repair(
+    decode: DecodeOptions | None,
+    again: Callable[[DataFrame, DecodeOptions], DataFrame] | None = None,
+    lookup: Callable[[DataFrame], DataFrame] | None = None,
+):
+    """The upsert's step for a staged batch that holds flagged rows: the batch with these rows decoded.
+
+    Only the flagged rows' raw text goes through the Arrow UDF (``again``:
+    text rows and options -> target rows; change records by default) and the
+    lookup. The newest decodable change of each key is then found again, so
+    one that proves undecodable does not hide an older one.
+    """
     decode = decode or DecodeOptions()
-    if decode.deep_fallback != "repair":
+    if decode.deep_fallback not in ("route", "repair"):
         return None
-    return lambda df: repair_deep(df, export=export, strict_types=decode.strict_types)
+    inline = replace(decode, deep_fallback="udf")
+
+    def repair(staged: DataFrame) -> DataFrame:
+        deep = is_too_deep(F.col("error"))
+        texts = staged.filter(deep).select("raw_payload")
+        rows = normalize_changes(texts, None, inline) if again is None else again(texts, inline)
+        rows = rows if lookup is None else lookup(rows)
+        whole = staged.filter(~deep).unionByName(rows.select(*staged.columns))
+        return newest_decoded(whole) if again is None else whole
+
+    return repair

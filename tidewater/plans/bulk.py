@@ -2,35 +2,49 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.config import BulkConfig
+from tidewater.config import BulkConfig, DecodeOptions
 from tidewater.operators.enrich import enrich
 from tidewater.operators.normalize import normalize_export
 from tidewater.operators.upsert import upsert
-from tidewater.plans.batch import deep_repair
+from tidewater.plans.batch import deep_repair, staged_options
 from tidewater.session import apply_job_conf
 from tidewater.sources.changes import read_export
 from tidewater.sources.lookup import may_broadcast, read_lookup
 
 
+def _decoded(lines: DataFrame, cfg: BulkConfig, load_time: int | None, opts: DecodeOptions) -> DataFrame:
+    return normalize_export(lines, cfg.key_names, cfg.table_name, cfg.run_id, load_time, opts=opts)
+
+
+def _looked_up(rows: DataFrame, cfg: BulkConfig) -> DataFrame:
+    if cfg.lookup is None:
+        return rows
+    spark = rows.sparkSession
+    return enrich(rows, read_lookup(spark, cfg.lookup), cfg.lookup.multi, may_broadcast(spark, cfg.lookup))
+
+
 def bulk_rows(spark: SparkSession, cfg: BulkConfig, lines: DataFrame | None = None) -> DataFrame:
     """Export lines -> target rows (no dedup: an export holds each key once)."""
     lines = read_export(spark, cfg) if lines is None else lines
-    rows = normalize_export(lines, cfg.key_names, cfg.table_name, cfg.run_id, cfg.load_time_millis, opts=cfg.decode)
-    if cfg.lookup is not None:
-        rows = enrich(rows, read_lookup(spark, cfg.lookup), cfg.lookup.multi, may_broadcast(spark, cfg.lookup))
-    return rows
+    return _looked_up(_decoded(lines, cfg, cfg.load_time_millis, cfg.decode), cfg)
 
 
 def run_bulk(spark: SparkSession, cfg: BulkConfig, lines: DataFrame | None = None) -> None:
     """Load the export and upsert it; the run id names the batch, so a rerun is safe."""
     apply_job_conf(spark)
+    lines = read_export(spark, cfg) if lines is None else lines
+    # One load time for all rows, also for those decoded again after staging.
+    load_time = cfg.load_time_millis if cfg.load_time_millis is not None else int(time.time()) * 1000
+    again = lambda texts, opts: _decoded(texts, cfg, load_time, opts)
     upsert(
         spark,
-        bulk_rows(spark, cfg, lines),
+        _looked_up(_decoded(lines, cfg, load_time, staged_options(cfg.decode)), cfg),
         cfg.target,
         batch_id=cfg.run_id,
         run_key="bulk",
-        repair=deep_repair(cfg.decode, export=True),
+        repair=deep_repair(cfg.decode, again, lambda rows: _looked_up(rows, cfg)),
     )

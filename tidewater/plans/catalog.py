@@ -19,7 +19,7 @@ from tidewater.operators.deltas import compact
 from tidewater.operators.upsert import live_rows, read_target, upsert
 from tidewater.operators.views import typed_view
 from tidewater.plans import feeds
-from tidewater.plans.batch import deep_repair, stage_changes
+from tidewater.plans.batch import apply_change_batch, deep_repair, stage_changes, staged_options
 from tidewater.plans.bulk import run_bulk
 from tidewater.session import apply_job_conf, scratch_path
 from tidewater.sinks.changelog import write_change_log
@@ -117,6 +117,14 @@ def upsert_order_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_batches(spark, sf_dir, (3, 1, 2), True, "upsert-guard").select(*LATEST_COLUMNS)
 
 
+def decode_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values nested beyond the native decoder, valid and not, through a job's staging into a target of deltas."""
+    apply_job_conf(spark)
+    target = TargetConfig(path=scratch_path(spark, "queries", "deep"), buckets=QUERY_BUCKETS, layout="deltas")
+    apply_change_batch(spark, feeds.deep_feed(spark, sf_dir), target, batch_id=0)
+    return read_target(spark, target).select("keys", "event_id", "new_image", "has_parsing_error")
+
+
 def upsert_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches as deltas, the first two folded into a base: the result merges a base and a delta."""
     return _upsert_batches(spark, sf_dir, (1, 2, 3), False, "upsert-deltas", 2, layout="deltas").select(*LATEST_COLUMNS)
@@ -174,11 +182,11 @@ def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bulk_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bulk load joined to the lookup records, into a target with the lookup columns."""
     target = TargetConfig(path=scratch_path(spark, "queries", "bulk-lookup"), buckets=QUERY_BUCKETS, with_lookup=True)
-    rows = normalize_export(feeds.export_lines(spark, sf_dir, with_link=True), feeds.EXPORT_KEYS,
-                            feeds.EXPORT_TABLE, BULK_RUN_ID, BULK_LOAD_MILLIS)
+    decoded = lambda lines, opts: normalize_export(lines, feeds.EXPORT_KEYS, feeds.EXPORT_TABLE, BULK_RUN_ID, BULK_LOAD_MILLIS, opts=opts)
+    linked = lambda rows: enrich(rows, feeds.page_lookup(spark, sf_dir))
+    rows = decoded(feeds.export_lines(spark, sf_dir, with_link=True), staged_options(None))
     apply_job_conf(spark)
-    upsert(spark, enrich(rows, feeds.page_lookup(spark, sf_dir)), target, batch_id=BULK_RUN_ID, run_key="bulk",
-           repair=deep_repair(None, export=True))
+    upsert(spark, linked(rows), target, batch_id=BULK_RUN_ID, run_key="bulk", repair=deep_repair(None, decoded, linked))
     return _linked(read_target(spark, target))
 
 

@@ -24,6 +24,8 @@ EXPORT_KEYS = ("o_orderkey",)
 BATCH_BOUNDS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 # Every 97th record is broken in one of three ways (see ``broken_feed``).
 BREAK_EVERY = 97
+# Every 53rd value is nested deeper than the native decoder goes (see ``deep_feed``).
+DEEP_EVERY, DEEP_LEVELS = 53, 12
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -145,6 +147,20 @@ def broken_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def deep_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of ``events`` where every 53rd image nests its value 12 levels deep, half of those undecodably.
+
+    Every value ends in a control character and a non-ASCII one, both escaped in the record's text.
+    """
+    value = """concat('{"S":"', event_type, '\\\\u001f\\\\u00e9"}')"""
+    leaf = f"""CASE WHEN (event_id div {DEEP_EVERY}) % 2 = 0 THEN {value} ELSE '{{"Q":"1"}}' END"""
+    deep = f"""concat(repeat('{{"M":{{"d":', {DEEP_LEVELS}), {leaf}, repeat('}}}}', {DEEP_LEVELS}))"""
+    text = f"""concat('{{"eventID":"', event_id, '","eventName":"MODIFY","tableName":"events","dynamodb":{{"ApproximateCreationDateTime":', _ms,
+      ',"SizeBytes":9,"Keys":{{"user_id":{{"N":"', user_id, '"}}}},"NewImage":{{"user_id":{{"N":"', user_id, '"}},"d":', CASE WHEN event_id % {DEEP_EVERY} = 0 THEN {deep} ELSE {value} END, '}}}}}}')"""
+    events = table(spark, sf_dir, "events").withColumn("_ms", event_millis(F.col("ts")))
+    return spread(events, "event_id").select(F.expr(text).alias("value"))
+
+
 def lookup_feed(spark: SparkSession, sf_dir: str, timed: bool = False) -> DataFrame:
     """Change records whose new image names a page URL in ``s3_uri`` (with the event's ``ts`` if ``timed``).
 
