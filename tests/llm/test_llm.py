@@ -148,16 +148,47 @@ def test_substrings(spark):
 
 def test_sketches(spark):
     row = docs(spark, EDGES).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("kept", op6_fingerprint.sketch(F.col("text")))
-    linked = op6_fingerprint.neighbours(row, "doc_id", "kept")
-    out = linked.select("doc_id", F.col("next.doc_id").alias("after"), "kept", op6_fingerprint.likeness(F.col("kept"), F.col("next.kept")).alias("near"), op6_fingerprint.containment(F.col("kept"), F.col("next.kept")).alias("inside")).collect()
-    order = [None, 1, 2, 3, 4, 5, 6, 7, 7, 8, 9]
-    assert sorted(((r.doc_id, r.after) for r in out), key=repr) == sorted(zip(order, order[1:] + order[:1], strict=True), key=repr)
-    by = {r.doc_id: r for r in out}
-    assert by[4].near == 1.0 and by[1].near == 1.0 and by[3].near == 0.0 and by[9].kept and by[1].kept == []
-    assert 0.9 < by[5].near < 1 and by[5].inside > by[5].near
-    both = row.filter("doc_id in (4, 7)").groupBy().agg(F.max("kept").alias("a"), F.min("kept").alias("b"))
-    merged = both.select(op6_fingerprint.merge(F.col("a"), F.col("b")).alias("m"), "a", "b").first()
-    assert merged.m == sorted(merged.m) and set(merged.m) <= set(merged.a) | set(merged.b)
+    by = {r.doc_id: r.kept for r in row.collect()}
+    assert by[4] == by[5] == sorted(by[4]) and by[1] == [] and max(by[8]) < op6_fingerprint.bound(op6_fingerprint.SHARE)
+    pair = lambda a, b: row.filter(f"doc_id = {a}").select(F.col("kept").alias("a")).limit(1).crossJoin(row.filter(f"doc_id = {b}").select(F.col("kept").alias("b")).limit(1))
+    for a, b in ((4, 5), (5, 6), (6, 7), (1, 4), (1, 2)):
+        r = pair(a, b).select(op6_fingerprint.likeness(F.col("a"), F.col("b")).alias("near"), op6_fingerprint.containment(F.col("a"), F.col("b")).alias("inside"), op6_fingerprint.merge(F.col("a"), F.col("b")).alias("both")).first()
+        one, two = set(by[a]), set(by[b])
+        near = len(one & two) / len(one | two) if one | two else 1.0
+        inside = len(one & two) / len(one) if one else 1.0
+        assert (r.near, r.inside, r.both) == (near, inside, sorted(one | two))
+
+
+def brute_fingerprints(spark, rows):
+    """All columns by sorting the rows in one list; the sketches of single texts come from ``sketch``."""
+    rows = [(i, t or "") for i, t in rows]
+    hashed = {r.text: (r.h, r.kept) for r in spark.createDataFrame([(t,) for _, t in rows], "text string").select("text", F.xxhash64("text").alias("h"), op6_fingerprint.sketch(F.col("text")).alias("kept")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashed[r[1]][0]))
+    edited = [t[: len(t) - len(t) // 2] + order[(k + 1) % len(order)][1][: len(t) // 2] for k, (_, t) in enumerate(order)]
+    more = {r.text: r.kept for r in spark.createDataFrame([(t,) for t in edited], "text string").select("text", op6_fingerprint.sketch(F.col("text")).alias("kept")).collect()}
+    text = lambda kept: "".join(f"{x % 2**64:016x}" for x in kept)
+    near = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b)) if a or b else 1.0
+    out = []
+    for k, (i, t) in enumerate(order):
+        own, after = hashed[t][1], hashed[order[(k + 1) % len(order)][1]][1]
+        out.append((i, len(t), hashlib.sha256(edited[k].encode()).hexdigest(), text(own), text(more[edited[k]]), near(own, more[edited[k]]), near(own, after)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_fingerprints_equal_brute_force(spark, parts):
+    """Hashed ids, rows without an id, one id on many rows, and more parts than rows in some."""
+    rows = [*EDGES, *[(zlib.crc32(str(i).encode()) * 2**30 - 2**60, f"{PROSE[i % 6]} x{i}") for i in range(60)], *[(None, f"n{i} {PROSE[1]}") for i in range(40)], *[(77, f"m{i} " * (i % 9)) for i in range(50)]]
+    got = op6_fingerprint.fingerprints(docs(spark, rows), parts)
+    assert rows_of(got, "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next") == brute_fingerprints(spark, rows)
+    assert op6_fingerprint.fingerprints(docs(spark, [(5, "lone text")]), parts).first().near_next == 1.0
+
+
+def test_fingerprints_of_given_table(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got = op6_fingerprint.op6_fingerprints(spark, SF)
+    assert rows_of(got, *got.columns) == brute_fingerprints(spark, rows)
+    assert op6_fingerprint.fingerprints(docs(spark, rows).filter("false")).collect() == []
 
 
 def test_quality_held_out(spark):
