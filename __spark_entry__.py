@@ -55,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bulk_lookup_join": catalog.bulk_lookup_join,
         "bulk_lookup": catalog.bulk_lookup,
         "stream_lookup": catalog.stream_lookup,
+        "stream_lookup_pruned": catalog.stream_lookup_pruned,
         "lookup_fanout_rows": catalog.lookup_fanout_rows,
         "lookup_fanout_array": catalog.lookup_fanout_array,
         "typed_view": catalog.typed_view_query,
@@ -108,6 +109,16 @@ SELECT '{"o_orderkey": "' || CAST(o.o_orderkey AS VARCHAR) || '"}' AS keys, p.ur
 FROM orders o LEFT JOIN pages p ON p.page_id = o.o_custkey
 """
 
+_STREAM_LOOKUP = (
+    _LOOKUP_LATEST
+    + f"""
+SELECT {_KEYS} AS keys, CAST(l.event_id AS VARCHAR) AS event_id, p.url AS s3_uri,
+       CAST(p.page_id AS VARCHAR) AS page_id, p.url IS NULL AS payload_empty
+FROM latest l LEFT JOIN pages p
+  ON l.event_type <> 'error' AND p.url = l.url AND (l.ts >= TIMESTAMP '2024-01-11 00:00:00' OR p.page_id % 4 = 0)
+"""
+)
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -201,13 +212,8 @@ FROM latest l LEFT JOIN pages p ON l.event_type <> 'error' AND p.url = l.url
 """,
         "bulk_lookup_join": _BULK_LINKED,
         "bulk_lookup": _BULK_LINKED,
-        "stream_lookup": _LOOKUP_LATEST
-        + f"""
-SELECT {_KEYS} AS keys, CAST(l.event_id AS VARCHAR) AS event_id, p.url AS s3_uri,
-       CAST(p.page_id AS VARCHAR) AS page_id, p.url IS NULL AS payload_empty
-FROM latest l LEFT JOIN pages p
-  ON l.event_type <> 'error' AND p.url = l.url AND (l.ts >= TIMESTAMP '2024-01-11 00:00:00' OR p.page_id % 4 = 0)
-""",
+        "stream_lookup": _STREAM_LOOKUP,
+        "stream_lookup_pruned": _STREAM_LOOKUP,
         "lookup_fanout_rows": _LOOKUP_LATEST
         + f"""
 SELECT {_KEYS} AS keys, CAST(l.event_id AS VARCHAR) AS event_id, p.url AS s3_uri,

@@ -99,8 +99,10 @@ class LookupConfig:
     path      -- file or directory of JSON files (read again every batch), or
                  of a Parquet table with ``s3_uri, raw_s3_payload`` columns.
     format    -- "json": JSON-lines files, the URI is the file's name;
-                 "parquet": a prepared lookup table (the scalable choice for
-                 a large store: no per-batch file listing of every file).
+                 "parquet": a lookup table, read whole every batch (no
+                 listing of every file); "partitioned": one made by
+                 ``prepare_lookup``, of which a batch reads only the
+                 partitions its URIs name (the choice for a large store).
     verbatim  -- keep each line's text as is instead of re-serialising it.
     multi     -- "rows": one output row per lookup record (fan-out);
                  "array": all records of a file packed into one JSON array.
@@ -119,8 +121,8 @@ class LookupConfig:
 
     def __post_init__(self):
         _require(path=self.path)
-        if self.format not in ("json", "parquet"):
-            raise ValueError("format must be 'json' or 'parquet'")
+        if self.format not in ("json", "parquet", "partitioned"):
+            raise ValueError("format must be 'json', 'parquet' or 'partitioned'")
         if self.multi not in ("rows", "array"):
             raise ValueError("multi must be 'rows' or 'array'")
 

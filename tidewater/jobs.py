@@ -39,7 +39,7 @@ def _common(p: argparse.ArgumentParser) -> None:
     p.add_argument("--layout", default="buckets", choices=("buckets", "deltas"))
     p.add_argument("--compact-ratio", type=float)
     p.add_argument("--lookup-path", "--S3JoinPath", dest="lookup_path")
-    p.add_argument("--lookup-format", default="json", choices=("json", "parquet"))
+    p.add_argument("--lookup-format", default="json", choices=("json", "parquet", "partitioned"))
     p.add_argument("--lookup-multi", default="rows", choices=("rows", "array"))
     p.add_argument("--max-depth", type=int, default=8)
     p.add_argument("--strict-types", action="store_true")

@@ -23,6 +23,11 @@ def pack_lookup(lookup: DataFrame) -> DataFrame:
     )
 
 
+def link() -> F.Column:
+    """The URI that a change's new image points at."""
+    return F.get_json_object("new_image", "$.s3_uri")
+
+
 def no_link() -> F.Column:
     return F.concat(F.lit("\0"), F.xxhash64("keys", "event_id", "error").cast("string"))
 
@@ -47,7 +52,7 @@ def enrich(changes: DataFrame, lookup: DataFrame, multi: str = "rows", broadcast
     right = right.select(F.col("s3_uri").alias("_lookup_uri"), F.col("raw_s3_payload"))
     if broadcast:
         right = F.broadcast(right)
-    left = changes.withColumn("_link", F.coalesce(F.get_json_object("new_image", "$.s3_uri"), no_link()))
+    left = changes.withColumn("_link", F.coalesce(link(), no_link()))
     joined = left.join(right, left["_link"] == right["_lookup_uri"], "left")
     out = joined.withColumn("s3_uri", F.col("_lookup_uri")).drop("_link", "_lookup_uri")
     return out.na.fill("{}", list(FILL_COLUMNS))

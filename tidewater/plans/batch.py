@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -10,10 +11,12 @@ from pyspark.sql import functions as F
 
 from tidewater.config import DecodeOptions, LookupConfig, TargetConfig
 from tidewater.functions.record import is_too_deep
-from tidewater.operators.enrich import enrich
+from tidewater.operators.enrich import enrich, link
+from tidewater.operators.files import remove_path
 from tidewater.operators.latest import latest_per_key, newest_decoded
 from tidewater.operators.normalize import normalize_changes
 from tidewater.operators.upsert import upsert
+from tidewater.session import checkpoint_dir
 from tidewater.sources.lookup import may_broadcast, read_lookup
 
 
@@ -24,6 +27,7 @@ def stage_changes(
     decode: DecodeOptions | None = None,
     collapse_errors: bool = False,
     column: str | None = None,
+    work: str | None = None,
 ) -> DataFrame:
     """Change records (text) -> rows ready to upsert, lazily.
 
@@ -32,8 +36,7 @@ def stage_changes(
     """
     rows = latest_per_key(normalize_changes(records, column, staged_options(decode)), collapse_errors=collapse_errors)
     if lookup is not None:
-        # Read inside the batch, so files added since the last batch are seen.
-        rows = _looked_up(spark, rows, lookup)
+        rows = looked_up(spark, rows, lookup, f"{work}/rows" if work else None)
     return rows
 
 
@@ -48,7 +51,8 @@ def apply_change_batch(
     run_key: str = "default",
 ) -> None:
     """One micro-batch of change records into the target."""
-    staged = stage_changes(spark, records, lookup, decode, collapse_errors)
+    work = f"{checkpoint_dir(spark)}/tidewater-lookup/{uuid.uuid4().hex}"
+    staged = stage_changes(spark, records, lookup, decode, collapse_errors, work=work)
     # Latest-per-key output holds each key once; only a lookup in "rows"
     # mode can repeat a key, so only then is the duplicate check needed.
     fan_out = lookup is not None and lookup.multi == "rows"
@@ -59,12 +63,29 @@ def apply_change_batch(
         batch_id=batch_id,
         run_key=run_key,
         check_unique=target.check_unique and fan_out,
-        repair=deep_repair(decode, lookup=None if lookup is None else lambda rows: _looked_up(spark, rows, lookup)),
+        repair=deep_repair(decode, lookup=None if lookup is None else lambda rows: looked_up(spark, rows, lookup, f"{work}/deep")),
     )
+    if lookup is not None:
+        remove_path(spark, work)
+
 
+def looked_up(spark: SparkSession, rows: DataFrame, lookup: LookupConfig, work: str | None = None) -> DataFrame:
+    """``rows`` joined to the lookup, read inside the batch, so records added since the last batch are seen.
 
-def _looked_up(spark: SparkSession, rows: DataFrame, lookup: LookupConfig) -> DataFrame:
-    return enrich(rows, read_lookup(spark, lookup), lookup.multi, may_broadcast(spark, lookup))
+    For a partitioned lookup the batch's URIs are needed first: with a
+    ``work`` folder the rows are written there, so they are decoded once;
+    in array mode only records of these URIs are packed.
+    """
+    if lookup.format != "partitioned":
+        return enrich(rows, read_lookup(spark, lookup), lookup.multi, may_broadcast(spark, lookup))
+    if work is not None:
+        rows.write.mode("overwrite").parquet(work)
+        rows = spark.read.schema(rows.schema).parquet(work)
+    uris = rows.select(link().alias("uri"))
+    found = read_lookup(spark, lookup, uris)
+    if lookup.multi == "array":
+        found = found.join(uris.distinct(), F.col("s3_uri") == F.col("uri"), "left_semi")
+    return enrich(rows, found, lookup.multi)
 
 
 def staged_options(decode: DecodeOptions | None) -> DecodeOptions:

@@ -3,28 +3,25 @@
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.config import BulkConfig, DecodeOptions
-from tidewater.operators.enrich import enrich
+from tidewater.operators.files import remove_path
 from tidewater.operators.normalize import normalize_export
 from tidewater.operators.upsert import upsert
-from tidewater.plans.batch import deep_repair, staged_options
-from tidewater.session import apply_job_conf
+from tidewater.plans.batch import deep_repair, looked_up, staged_options
+from tidewater.session import apply_job_conf, checkpoint_dir
 from tidewater.sources.changes import read_export
-from tidewater.sources.lookup import may_broadcast, read_lookup
 
 
 def _decoded(lines: DataFrame, cfg: BulkConfig, load_time: int | None, opts: DecodeOptions) -> DataFrame:
     return normalize_export(lines, cfg.key_names, cfg.table_name, cfg.run_id, load_time, opts=opts)
 
 
-def _looked_up(rows: DataFrame, cfg: BulkConfig) -> DataFrame:
-    if cfg.lookup is None:
-        return rows
-    spark = rows.sparkSession
-    return enrich(rows, read_lookup(spark, cfg.lookup), cfg.lookup.multi, may_broadcast(spark, cfg.lookup))
+def _looked_up(rows: DataFrame, cfg: BulkConfig, work: str | None = None) -> DataFrame:
+    return rows if cfg.lookup is None else looked_up(rows.sparkSession, rows, cfg.lookup, work)
 
 
 def bulk_rows(spark: SparkSession, cfg: BulkConfig, lines: DataFrame | None = None) -> DataFrame:
@@ -40,11 +37,14 @@ def run_bulk(spark: SparkSession, cfg: BulkConfig, lines: DataFrame | None = Non
     # One load time for all rows, also for those decoded again after staging.
     load_time = cfg.load_time_millis if cfg.load_time_millis is not None else int(time.time()) * 1000
     again = lambda texts, opts: _decoded(texts, cfg, load_time, opts)
+    work = f"{checkpoint_dir(spark)}/tidewater-lookup/{uuid.uuid4().hex}"
     upsert(
         spark,
-        _looked_up(_decoded(lines, cfg, load_time, staged_options(cfg.decode)), cfg),
+        _looked_up(_decoded(lines, cfg, load_time, staged_options(cfg.decode)), cfg, f"{work}/rows"),
         cfg.target,
         batch_id=cfg.run_id,
         run_key="bulk",
-        repair=deep_repair(cfg.decode, again, lambda rows: _looked_up(rows, cfg)),
+        repair=deep_repair(cfg.decode, again, lambda rows: _looked_up(rows, cfg, f"{work}/deep")),
     )
+    if cfg.lookup is not None:
+        remove_path(spark, work)

@@ -24,11 +24,13 @@ from tidewater.plans.bulk import run_bulk
 from tidewater.session import apply_job_conf, scratch_path
 from tidewater.sinks.changelog import write_change_log
 from tidewater.streaming.job import run_stream
+from tidewater.sources.lookup import prepare_lookup
 
 # Fixed values of the bulk-load query.
 BULK_RUN_ID = "run-0001"
 BULK_LOAD_MILLIS = 1700000000000
 # Bucket count of the query targets (small tables; a real target sizes it to the data).
+LOOKUP_PARTS = 16
 QUERY_BUCKETS = 16
 
 LATEST_COLUMNS = ("keys", "event_id", "last_event_name", "approx_creation_timestamp_millis", "is_deleted")
@@ -219,6 +221,15 @@ def bulk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream_lookup(spark, sf_dir, False)
+
+
+def stream_lookup_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over a lookup prepared in partitions, of which a batch reads those that its URIs name."""
+    return _stream_lookup(spark, sf_dir, True)
+
+
+def _stream_lookup(spark: SparkSession, sf_dir: str, partitioned: bool) -> DataFrame:
     """The streaming job with its lookup option, stopped and run again.
 
     The first run sees the first third of the time and the lookup records of
@@ -233,11 +244,15 @@ def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         source_path=f"{source}/run-*",
         target=TargetConfig(path=scratch_path(spark, "queries", "linked-target"), buckets=QUERY_BUCKETS, with_lookup=True),
         checkpoint_location=scratch_path(spark, "queries", "linked-checkpoint"),
-        lookup=LookupConfig(path=pages, format="parquet"),
+        lookup=LookupConfig(path=pages, format="partitioned" if partitioned else "parquet"),
         available_now=True,
     )
     for run, part in ((1, F.col("_first")), (2, ~F.col("_first"))):
-        lookup.filter(part).drop("_first").write.mode("append").parquet(pages)
+        rows = lookup.filter(part).drop("_first")
+        if partitioned:
+            prepare_lookup(rows, pages, LOOKUP_PARTS)
+        else:
+            rows.write.mode("append").parquet(pages)
         feed.filter(part).select("value").write.text(f"{source}/run-{run}")
         query = run_stream(spark, cfg)
         query.awaitTermination()

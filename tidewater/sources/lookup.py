@@ -1,4 +1,9 @@
-"""Lookup files: JSON records kept whole, keyed by the URI of their file."""
+"""Lookup files: JSON records kept whole, keyed by the URI of their file.
+
+A large store is prepared once as a table partitioned by a hash of the URI
+(``prepare_lookup``, which later adds new records); a batch then reads only
+the partitions its own URIs name.
+"""
 
 from __future__ import annotations
 
@@ -6,14 +11,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.config import LookupConfig
+from tidewater.operators.files import child_names, folder_bytes, make_folder
 
 
 def lookup_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under ``path`` (from the file system, no job)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+    return int(folder_bytes(spark, path))
+
+
+PART = "lookup_part"
+PARTS_MARK = "_tidewater_lookup_parts="
+
+
+def lookup_part(uri, parts: int):
+    """The partition of a URI in a prepared lookup."""
+    return F.pmod(F.xxhash64(uri), F.lit(parts)).cast("int")
+
+
+def prepared_parts(spark: SparkSession, path: str) -> int | None:
+    """The number of partitions a prepared lookup was made with; None if there is none at ``path``."""
+    found = [n for n in child_names(spark, path) if n.startswith(PARTS_MARK)]
+    return int(found[0].removeprefix(PARTS_MARK)) if found else None
+
+
+def prepare_lookup(lookup: DataFrame, path: str, parts: int) -> None:
+    """Adds ``(s3_uri, raw_s3_payload)`` rows to the prepared lookup at ``path``, making it on first use."""
+    spark = lookup.sparkSession
+    held = prepared_parts(spark, path)
+    if held is None:
+        make_folder(spark, f"{path}/{PARTS_MARK}{parts}")
+    elif held != parts:
+        raise ValueError(f"lookup {path} has {held} partitions, not {parts}")
+    rows = lookup.select("s3_uri", "raw_s3_payload", lookup_part(F.col("s3_uri"), parts).alias(PART))
+    rows.hint("rebalance", PART).write.mode("append").partitionBy(PART).parquet(path)
+
+
+def named_parts(uris: DataFrame, parts: int) -> list[int]:
+    """The partitions of the URIs (one column ``uri``, nulls name none): at most ``parts`` small integers."""
+    named = uris.filter("uri IS NOT NULL").select(lookup_part(F.col("uri"), parts).alias(PART)).distinct()
+    return sorted(r[PART] for r in named.collect())
 
 
 def may_broadcast(spark: SparkSession, cfg: LookupConfig) -> bool:
@@ -21,15 +57,28 @@ def may_broadcast(spark: SparkSession, cfg: LookupConfig) -> bool:
     return cfg.broadcast and lookup_bytes(spark, cfg.path) <= cfg.broadcast_limit_bytes
 
 
-def read_lookup(spark: SparkSession, cfg: LookupConfig) -> DataFrame:
+def read_lookup(spark: SparkSession, cfg: LookupConfig, uris: DataFrame | None = None) -> DataFrame:
     """``(s3_uri, raw_s3_payload)`` rows, one per lookup record.
 
+    ``uris`` (one column ``uri``) are those a batch asks for; of a prepared
+    lookup only the partitions they name are listed and read. It is read
+    once here, so it should be a written table.
+
     JSON files are read as text: one record per line, no schema inference
     pass, no attribute lost to inference. The payload is the record's
     canonical JSON text (or the line itself with ``verbatim``); a line that
     is not JSON is kept as ``{"_corrupt_record": line}`` like Spark's JSON
     reader does. The URI is the file's URI as ``input_file_name()`` gives it.
     """
+    if cfg.format == "partitioned":
+        parts = prepared_parts(spark, cfg.path)
+        if parts is None:
+            raise ValueError(f"no prepared lookup at {cfg.path}")
+        named = {f"{PART}={n}" for n in (range(parts) if uris is None else named_parts(uris, parts))}
+        folders = [f"{cfg.path}/{name}" for name in child_names(spark, cfg.path) if name in named]
+        if not folders:
+            return spark.createDataFrame([], "s3_uri string, raw_s3_payload string")
+        return spark.read.schema("s3_uri string, raw_s3_payload string").parquet(*folders)
     if cfg.format == "parquet":
         return spark.read.parquet(cfg.path).select("s3_uri", "raw_s3_payload")
     lines = spark.read.text(cfg.path).select(F.input_file_name().alias("s3_uri"), F.col("value"))
