@@ -23,7 +23,7 @@ from tidewater.plans import catalog  # noqa: E402
 try:  # the training-data operators are an optional part
     import corpus_pipeline  # noqa: E402
     from tidewater.llm import catalog as llm_catalog  # noqa: E402
-except ModuleNotFoundError as missing:  # a broken dependency of theirs is an error
+except ImportError as missing:  # a broken dependency of theirs is an error
     if missing.name not in ("corpus_pipeline", "tidewater.llm"):
         raise
     corpus_pipeline = llm_catalog = None
