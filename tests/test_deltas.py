@@ -138,6 +138,8 @@ def test_rejected_and_empty_batches_leave_the_target_alone(spark, tmp_dir):
     assert names(target) == [] and read_target(spark, target).collect() == [] and deltas.compact(spark, target) is False
     with pytest.raises(ValueError, match="layout"):
         upsert(spark, twice, TargetConfig(path=target.path, buckets=2), batch_id=2)
+    with pytest.raises(ValueError, match="layout"):
+        read_target(spark, TargetConfig(path=target.path, buckets=2))
     with pytest.raises(ValueError):
         register_target(spark, "no_table", target)
     upsert(spark, twice, TargetConfig(path=f"{tmp_dir}/b", buckets=2), batch_id=0)

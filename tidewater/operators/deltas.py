@@ -166,7 +166,6 @@ def merge(base: DataFrame, fresh: DataFrame, order_guard: bool) -> DataFrame:
 
 def read_merged(spark: SparkSession, target: TargetConfig, schema: StructType) -> DataFrame:
     """The target's rows in ``schema`` (target columns and bucket), as of now."""
-    check_layout(spark, target, False)
     number, deltas = _open_deltas(spark, target)
     with_key = StructType([*schema.fields, StructField(MK, StringType())])
     base = None if number is None else spark.read.schema(with_key).parquet(f"{target.path}/base-{number:012d}")

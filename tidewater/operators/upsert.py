@@ -90,6 +90,7 @@ def read_target(spark: SparkSession, target: TargetConfig) -> DataFrame:
     schema = stored_schema(target.with_lookup)
     if stored_buckets(spark, target.path) is None:
         return spark.createDataFrame([], schema)
+    deltas.check_layout(spark, target, False)
     if target.layout == "deltas":
         return deltas.read_merged(spark, target, schema)
     return spark.read.schema(schema).parquet(target.path)
