@@ -56,11 +56,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bulk_lookup": catalog.bulk_lookup,
         "stream_lookup": catalog.stream_lookup,
         "stream_lookup_pruned": catalog.stream_lookup_pruned,
+        "stream_lookup_followed": catalog.stream_lookup_followed,
         "lookup_fanout_rows": catalog.lookup_fanout_rows,
         "lookup_fanout_array": catalog.lookup_fanout_array,
         "typed_view": catalog.typed_view_query,
         "stream_replay": catalog.stream_replay,
         "stream_deltas": catalog.stream_deltas,
+        "stream_change_log": catalog.stream_change_log,
         **_llm_queries(),
     }
 
@@ -214,6 +216,18 @@ FROM latest l LEFT JOIN pages p ON l.event_type <> 'error' AND p.url = l.url
         "bulk_lookup": _BULK_LINKED,
         "stream_lookup": _STREAM_LOOKUP,
         "stream_lookup_pruned": _STREAM_LOOKUP,
+        "stream_lookup_followed": f"""
+WITH files AS (
+  SELECT page_id // 20 AS file, count(*) AS n, string_agg('{{"page_id":' || page_id || '}}', ',' ORDER BY '{{"page_id":' || page_id || '}}') AS records
+  FROM pages GROUP BY 1
+), latest AS (
+  SELECT *, user_id * 2 // 20 AS file FROM events QUALIFY {_NEWEST} = 1
+)
+SELECT {_KEYS} AS keys, CAST(l.event_id AS VARCHAR) AS event_id, f.file IS NOT NULL AS matched,
+       CAST(coalesce(f.n, 0) AS INTEGER) AS n_records,
+       CASE WHEN f.file IS NULL THEN '{{}}' ELSE '[' || f.records || ']' END AS records
+FROM latest l LEFT JOIN files f
+  ON l.event_type <> 'error' AND f.file = l.file AND (l.ts >= TIMESTAMP '2024-01-11 00:00:00' OR f.file % 2 = 0)""",
         "lookup_fanout_rows": _LOOKUP_LATEST
         + f"""
 SELECT {_KEYS} AS keys, CAST(l.event_id AS VARCHAR) AS event_id, p.url AS s3_uri,
@@ -242,5 +256,9 @@ QUALIFY {_NEWEST} = 1
 """,
         "stream_replay": _LATEST,
         "stream_deltas": _LATEST,
+        "stream_change_log": f"""
+SELECT CAST(event_id AS VARCHAR) AS event_id, {_KEYS} AS keys, {_NAME} AS last_event_name,
+       CAST(CAST(ts AS DATE) AS VARCHAR) AS change_date, {_NEWEST} = 1 AS is_latest
+FROM events""",
         **_llm_oracles(),
     }

@@ -106,6 +106,11 @@ class LookupConfig:
     verbatim  -- keep each line's text as is instead of re-serialising it.
     multi     -- "rows": one output row per lookup record (fan-out);
                  "array": all records of a file packed into one JSON array.
+    follow    -- ("partitioned") folder of JSON-lines files, each written
+                 once: before each batch the jobs add the files that came
+                 since the last one to the prepared lookup at ``path``
+                 (``sources/lookup.py: follow_files``).
+    parts     -- partitions of a followed lookup, when it is made.
     broadcast -- hint the lookup side as broadcast, but only while the
                  lookup's files add up to at most ``broadcast_limit_bytes``
                  (checked every batch from the file system); above that,
@@ -116,6 +121,8 @@ class LookupConfig:
     format: str = "json"
     verbatim: bool = False
     multi: str = "rows"
+    follow: str | None = None
+    parts: int = 256
     broadcast: bool = False
     broadcast_limit_bytes: int = 64 * 1024 * 1024
 
@@ -125,14 +132,30 @@ class LookupConfig:
             raise ValueError("format must be 'json', 'parquet' or 'partitioned'")
         if self.multi not in ("rows", "array"):
             raise ValueError("multi must be 'rows' or 'array'")
+        if self.follow is not None and self.format != "partitioned":
+            raise ValueError("follow needs format='partitioned'")
+        if self.parts < 1:
+            raise ValueError("parts must be positive")
+
+
+def _check_outputs(target: TargetConfig | None, change_log: str | None, lookup: LookupConfig | None) -> None:
+    if target is None and not change_log:
+        raise ValueError("a job needs a target, a change_log path or both")
+    if lookup is not None and (target is None or not target.with_lookup):
+        raise ValueError("a lookup join needs a target with the lookup columns (with_lookup=True)")
 
 
 @dataclass(frozen=True)
 class StreamConfig:
-    """Parameters of the streaming job."""
+    """Parameters of the streaming job.
+
+    change_log -- folder that every batch's decoded changes are added to
+                  (all of them, not the latest per key only); with
+                  ``target=None`` it is the job's only output.
+    """
 
     source_format: str
-    target: TargetConfig
+    target: TargetConfig | None
     checkpoint_location: str
     source_options: dict = field(default_factory=dict)
     source_path: str | None = None
@@ -143,29 +166,26 @@ class StreamConfig:
     decode: DecodeOptions = field(default_factory=DecodeOptions)
     collapse_errors: bool = False
     query_name: str | None = None
+    change_log: str | None = None
 
     def __post_init__(self):
-        _require(
-            source_format=self.source_format,
-            target=self.target,
-            checkpoint_location=self.checkpoint_location,
-        )
-        if self.lookup is not None and not self.target.with_lookup:
-            raise ValueError("a lookup join needs a target with the lookup columns (with_lookup=True)")
+        _require(source_format=self.source_format, checkpoint_location=self.checkpoint_location)
+        _check_outputs(self.target, self.change_log, self.lookup)
 
 
 @dataclass(frozen=True)
 class BulkConfig:
-    """Parameters of the bulk load of a table export."""
+    """Parameters of the bulk load of a table export (``change_log`` as in ``StreamConfig``)."""
 
     export_path: str
     table_name: str
     key_names: tuple[str, ...]
-    target: TargetConfig
+    target: TargetConfig | None
     run_id: str
     load_time_millis: int | None = None
     lookup: LookupConfig | None = None
     decode: DecodeOptions = field(default_factory=DecodeOptions)
+    change_log: str | None = None
 
     def __post_init__(self):
         keys = split_key_names(self.key_names) if isinstance(self.key_names, str) else tuple(self.key_names)
@@ -174,11 +194,9 @@ class BulkConfig:
             export_path=self.export_path,
             table_name=self.table_name,
             key_names=self.key_names,
-            target=self.target,
             run_id=self.run_id,
         )
-        if self.lookup is not None and not self.target.with_lookup:
-            raise ValueError("a lookup join needs a target with the lookup columns (with_lookup=True)")
+        _check_outputs(self.target, self.change_log, self.lookup)
 
     @property
     def data_path(self) -> str:

@@ -9,7 +9,8 @@
 
 The original jobs' parameter names are accepted too (``--S3DynamoDbExportPath``,
 ``--DynamoDbTableName``, ``--DynamoDbTableKeys``, ``--S3JoinPath``,
-``--TempDir``, ``--JOB_NAME``, ``--JOB_RUN_ID``). The checkpoint of a named
+``--S3OutputPath``, ``--OutputMode``, ``--TempDir``, ``--JOB_NAME``,
+``--JOB_RUN_ID``). The checkpoint of a named
 stream is ``<TempDir>/<JOB_NAME>/checkpoint``, so streams can share a TempDir.
 """
 
@@ -21,6 +22,19 @@ import sys
 from tidewater.config import BulkConfig, DecodeOptions, LookupConfig, StreamConfig, TargetConfig
 
 
+OUTPUT_MODES = ("target", "files", "both")
+OUTPUT_ALIASES = {"warehouse": "target", "s3": "files"}
+
+
+def _outputs(args: argparse.Namespace) -> tuple[bool, bool]:
+    """Whether the job writes its target and its change log."""
+    mode = OUTPUT_ALIASES.get(args.output_mode, args.output_mode)
+    log = mode in ("files", "both") or mode is None and args.change_log is not None
+    if log and not args.change_log:
+        raise ValueError(f"output mode {mode} needs --change-log")
+    return mode in ("target", "both") or mode is None and bool(args.target_path or args.target_table or not log), log
+
+
 def _options(pairs: list[str]) -> dict:
     out = {}
     for pair in pairs or []:
@@ -38,7 +52,18 @@ def _common(p: argparse.ArgumentParser) -> None:
     p.add_argument("--order-guard", action="store_true")
     p.add_argument("--layout", default="buckets", choices=("buckets", "deltas"))
     p.add_argument("--compact-ratio", type=float)
+    p.add_argument("--change-log", "--S3OutputPath", dest="change_log", help="folder that all decoded changes are added to")
+    p.add_argument(
+        "--output-mode",
+        "--OutputMode",
+        dest="output_mode",
+        type=str.lower,
+        choices=(*OUTPUT_MODES, *OUTPUT_ALIASES),
+        help="which outputs to write; by default those that have a path",
+    )
     p.add_argument("--lookup-path", "--S3JoinPath", dest="lookup_path")
+    p.add_argument("--lookup-follow", help="folder of JSON files to add to the partitioned lookup at --lookup-path")
+    p.add_argument("--lookup-parts", type=int, default=256)
     p.add_argument("--lookup-format", default="json", choices=("json", "parquet", "partitioned"))
     p.add_argument("--lookup-multi", default="rows", choices=("rows", "array"))
     p.add_argument("--max-depth", type=int, default=8)
@@ -72,11 +97,18 @@ def parser() -> argparse.ArgumentParser:
 def configs(argv: list[str]):
     args = parser().parse_args(argv)
     lookup = (
-        LookupConfig(path=args.lookup_path, format=args.lookup_format, multi=args.lookup_multi)
+        LookupConfig(
+            path=args.lookup_path,
+            format="partitioned" if args.lookup_follow else args.lookup_format,
+            multi=args.lookup_multi,
+            follow=args.lookup_follow,
+            parts=args.lookup_parts,
+        )
         if args.lookup_path
         else None
     )
-    target = TargetConfig(
+    to_target, to_log = _outputs(args)
+    target = to_target and TargetConfig(
         path=args.target_path,
         table=args.target_table,
         buckets=args.buckets,
@@ -87,6 +119,8 @@ def configs(argv: list[str]):
     )
     if args.job == "compact":
         return args.job, target
+    target, change_log = target or None, args.change_log if to_log else None
+    lookup = lookup if target else None
     decode = DecodeOptions(max_depth=args.max_depth, strict_types=args.strict_types)
     if args.job == "stream":
         checkpoint = args.checkpoint.rstrip("/")
@@ -103,6 +137,7 @@ def configs(argv: list[str]):
             query_name=args.job_name,
             lookup=lookup,
             decode=decode,
+            change_log=change_log,
         )
     return args.job, BulkConfig(
         export_path=args.export_path,
@@ -112,6 +147,7 @@ def configs(argv: list[str]):
         run_id=args.run_id,
         lookup=lookup,
         decode=decode,
+        change_log=change_log,
     )
 
 

@@ -17,7 +17,8 @@ from tidewater.operators.latest import latest_per_key, newest_decoded
 from tidewater.operators.normalize import normalize_changes
 from tidewater.operators.upsert import upsert
 from tidewater.session import checkpoint_dir
-from tidewater.sources.lookup import may_broadcast, read_lookup
+from tidewater.sinks.changelog import batch_folder, write_change_log
+from tidewater.sources.lookup import follow_files, may_broadcast, read_lookup
 
 
 def stage_changes(
@@ -43,16 +44,30 @@ def stage_changes(
 def apply_change_batch(
     spark: SparkSession,
     records: DataFrame,
-    target: TargetConfig,
+    target: TargetConfig | None,
     batch_id: int | str | None = None,
     lookup: LookupConfig | None = None,
     decode: DecodeOptions | None = None,
     collapse_errors: bool = False,
     run_key: str = "default",
+    change_log: str | None = None,
 ) -> None:
-    """One micro-batch of change records into the target."""
+    """One micro-batch of change records into the target, the change log or both.
+
+    With a log the records are decoded once, into the log; the target's rows
+    are then read back from the batch's folder there.
+    """
+    if lookup is not None and lookup.follow is not None:
+        follow_files(spark, lookup)
     work = f"{checkpoint_dir(spark)}/tidewater-lookup/{uuid.uuid4().hex}"
-    staged = stage_changes(spark, records, lookup, decode, collapse_errors, work=work)
+    if change_log is None:
+        staged = stage_changes(spark, records, lookup, decode, collapse_errors, work=work)
+    else:
+        decoded = logged(spark, normalize_changes(records, None, staged_options(decode)), change_log, run_key, batch_id, decode)
+        if target is None:
+            return
+        staged = latest_per_key(decoded, collapse_errors=collapse_errors)
+        staged = staged if lookup is None else looked_up(spark, staged, lookup, f"{work}/rows")
     # Latest-per-key output holds each key once; only a lookup in "rows"
     # mode can repeat a key, so only then is the duplicate check needed.
     fan_out = lookup is not None and lookup.multi == "rows"
@@ -69,6 +84,40 @@ def apply_change_batch(
         remove_path(spark, work)
 
 
+def logged(
+    spark: SparkSession,
+    rows: DataFrame,
+    change_log: str,
+    run_key: str,
+    batch_id: int | str | None,
+    decode: DecodeOptions | None,
+    again: Callable[[DataFrame, DecodeOptions], DataFrame] | None = None,
+) -> DataFrame:
+    """Writes decoded rows to the change log; returns them as read from there.
+
+    The batch's folder carries the job's and the batch's name, so a replay
+    replaces it. Rows nested too deeply for the native decoder are found on
+    a work table and decoded from their raw text (``again`` as in
+    ``deep_repair``) before anything reaches the log.
+    """
+    decode = decode or DecodeOptions()
+    name = f"{run_key}-{batch_id if batch_id is not None else uuid.uuid4().hex}"
+    work = None
+    if decode.deep_fallback in ("route", "repair"):
+        work = f"{checkpoint_dir(spark)}/tidewater-log/{uuid.uuid4().hex}"
+        rows.write.parquet(work)
+        staged = spark.read.schema(rows.schema).parquet(work)
+        rows, deep = staged, is_too_deep(F.col("error"))
+        if not staged.filter(deep).isEmpty():
+            texts, inline = staged.filter(deep).select("raw_payload"), replace(decode, deep_fallback="udf")
+            found = normalize_changes(texts, None, inline) if again is None else again(texts, inline)
+            rows = staged.filter(~deep).unionByName(found)
+    write_change_log(rows, change_log, name)
+    if work is not None:
+        remove_path(spark, work)
+    return spark.read.schema(rows.schema).parquet(batch_folder(change_log, name)).select(*rows.columns)
+
+
 def looked_up(spark: SparkSession, rows: DataFrame, lookup: LookupConfig, work: str | None = None) -> DataFrame:
     """``rows`` joined to the lookup, read inside the batch, so records added since the last batch are seen.
 

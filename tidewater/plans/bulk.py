@@ -11,9 +11,10 @@ from tidewater.config import BulkConfig, DecodeOptions
 from tidewater.operators.files import remove_path
 from tidewater.operators.normalize import normalize_export
 from tidewater.operators.upsert import upsert
-from tidewater.plans.batch import deep_repair, looked_up, staged_options
+from tidewater.plans.batch import deep_repair, logged, looked_up, staged_options
 from tidewater.session import apply_job_conf, checkpoint_dir
 from tidewater.sources.changes import read_export
+from tidewater.sources.lookup import follow_files
 
 
 def _decoded(lines: DataFrame, cfg: BulkConfig, load_time: int | None, opts: DecodeOptions) -> DataFrame:
@@ -31,16 +32,23 @@ def bulk_rows(spark: SparkSession, cfg: BulkConfig, lines: DataFrame | None = No
 
 
 def run_bulk(spark: SparkSession, cfg: BulkConfig, lines: DataFrame | None = None) -> None:
-    """Load the export and upsert it; the run id names the batch, so a rerun is safe."""
+    """Load the export into the target, the change log or both; the run id names the batch, so a rerun is safe."""
     apply_job_conf(spark)
+    if cfg.lookup is not None and cfg.lookup.follow is not None:
+        follow_files(spark, cfg.lookup)
     lines = read_export(spark, cfg) if lines is None else lines
     # One load time for all rows, also for those decoded again after staging.
     load_time = cfg.load_time_millis if cfg.load_time_millis is not None else int(time.time()) * 1000
     again = lambda texts, opts: _decoded(texts, cfg, load_time, opts)
     work = f"{checkpoint_dir(spark)}/tidewater-lookup/{uuid.uuid4().hex}"
+    rows = _decoded(lines, cfg, load_time, staged_options(cfg.decode))
+    if cfg.change_log is not None:
+        rows = logged(spark, rows, cfg.change_log, f"bulk-{cfg.table_name}", cfg.run_id, cfg.decode, again)
+        if cfg.target is None:
+            return
     upsert(
         spark,
-        _looked_up(_decoded(lines, cfg, load_time, staged_options(cfg.decode)), cfg, f"{work}/rows"),
+        _looked_up(rows, cfg, f"{work}/rows"),
         cfg.target,
         batch_id=cfg.run_id,
         run_key="bulk",

@@ -22,7 +22,7 @@ from tidewater.plans import feeds
 from tidewater.plans.batch import apply_change_batch, deep_repair, stage_changes, staged_options
 from tidewater.plans.bulk import run_bulk
 from tidewater.session import apply_job_conf, scratch_path
-from tidewater.sinks.changelog import write_change_log
+from tidewater.sinks.changelog import read_change_log, write_change_log
 from tidewater.streaming.job import run_stream
 from tidewater.sources.lookup import prepare_lookup
 
@@ -254,10 +254,7 @@ def _stream_lookup(spark: SparkSession, sf_dir: str, partitioned: bool) -> DataF
         else:
             rows.write.mode("append").parquet(pages)
         feed.filter(part).select("value").write.text(f"{source}/run-{run}")
-        query = run_stream(spark, cfg)
-        query.awaitTermination()
-        if query.exception() is not None:
-            raise RuntimeError(f"stream failed: {query.exception()}")
+        _finish(run_stream(spark, cfg))
     return read_target(spark, cfg.target).select(
         "keys",
         "event_id",
@@ -267,6 +264,40 @@ def _stream_lookup(spark: SparkSession, sf_dir: str, partitioned: bool) -> DataF
     )
 
 
+def stream_lookup_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming job over a folder of JSON files that it follows, packed as arrays; run, stopped and run again.
+
+    The second run finds files that came since; it reads only those.
+    """
+    source, files = (scratch_path(spark, "queries", name) for name in ("filed-source", "page-files"))
+    cfg = StreamConfig(
+        source_format="text",
+        source_path=f"{source}/run-*",
+        target=TargetConfig(path=scratch_path(spark, "queries", "filed-target"), buckets=QUERY_BUCKETS, with_lookup=True),
+        checkpoint_location=scratch_path(spark, "queries", "filed-checkpoint"),
+        lookup=LookupConfig(path=scratch_path(spark, "queries", "filed-lookup"), format="partitioned", follow=files, parts=LOOKUP_PARTS, multi="array"),
+        available_now=True,
+    )
+    for run in (1, 2):
+        feeds.write_page_files(spark, sf_dir, f"{files}/run-{run}", run - 1)
+        first = feeds.batch_of(F.col("ts")) == 1
+        feeds.file_feed(spark, sf_dir, files).filter(first if run == 1 else ~first).select("value").write.text(f"{source}/run-{run}")
+        _finish(run_stream(spark, cfg))
+    return read_target(spark, cfg.target).select(
+        "keys",
+        "event_id",
+        F.col("s3_uri").isNotNull().alias("matched"),
+        F.coalesce(F.json_array_length("raw_s3_payload"), F.lit(0)).alias("n_records"),
+        F.regexp_replace("raw_s3_payload", r"\s", "").alias("records"),
+    )
+
+
+def _finish(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"stream failed: {query.exception()}")
+
+
 def _lookup_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(normalize_changes(feeds.lookup_feed(spark, sf_dir)))
 
@@ -335,7 +366,20 @@ def stream_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, layout="deltas", compact_ratio=0.5)
 
 
-def _streamed(spark: SparkSession, sf_dir: str, **layout) -> DataFrame:
+def stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stream with both outputs: every change from the log, and whether the target holds it."""
+    log = scratch_path(spark, "queries", "stream-log")
+    stored = _streamed(spark, sf_dir, change_log=log).select("keys", F.col("event_id").alias("stored_id"))
+    return read_change_log(spark, log).join(stored, "keys", "left").select(
+        "event_id",
+        "keys",
+        "last_event_name",
+        F.col("change_date").cast("string").alias("change_date"),
+        (F.col("event_id") == F.col("stored_id")).alias("is_latest"),
+    )
+
+
+def _streamed(spark: SparkSession, sf_dir: str, change_log: str | None = None, **layout) -> DataFrame:
     """The feed written as three sets of text files, streamed into the target.
 
     Each set keeps the feed's partitioning (no single-task write); every
@@ -353,9 +397,7 @@ def _streamed(spark: SparkSession, sf_dir: str, **layout) -> DataFrame:
         target=TargetConfig(path=scratch_path(spark, "queries", "stream-target"), buckets=QUERY_BUCKETS, order_guard=True, **layout),
         checkpoint_location=scratch_path(spark, "queries", "stream-checkpoint"),
         available_now=True,
+        change_log=change_log,
     )
-    query = run_stream(spark, cfg)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(f"stream failed: {query.exception()}")
+    _finish(run_stream(spark, cfg))
     return read_target(spark, cfg.target).select(*LATEST_COLUMNS)

@@ -174,6 +174,28 @@ def lookup_feed(spark: SparkSession, sf_dir: str, timed: bool = False) -> DataFr
     return joined.select(change_record(ev, uri).alias("value"), *(["ts"] if timed else []))
 
 
+PAGES_A_FILE = 20
+
+
+def write_page_files(spark: SparkSession, sf_dir: str, path: str, parity: int) -> None:
+    """``pages`` as JSON-lines files of consecutive pages; those of even or odd number."""
+    number = F.floor(F.col("page_id") / PAGES_A_FILE)
+    pages = table(spark, sf_dir, "pages").select("page_id", number.alias("file"))
+    lines = pages.filter(F.col("file") % 2 == parity).repartition("file").select(F.to_json(F.struct("page_id")).alias("value"), "file")
+    lines.write.partitionBy("file").text(path)
+
+
+def file_feed(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Change records (with ``ts``) whose image names the file under ``path`` that holds page ``2u``, if there is one yet."""
+    ev = spread(table(spark, sf_dir, "events"), "event_id")
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.input_file_name().alias("uri"), "value")
+    pages = lines.select("uri", F.get_json_object("value", "$.page_id").cast("long").alias("page_id"))
+    files = pages.groupBy("uri").agg(F.floor(F.min("page_id") / PAGES_A_FILE).alias("file"))
+    joined = ev.join(files, F.floor(ev.user_id * 2 / PAGES_A_FILE) == files.file, "left")
+    uri = F.coalesce(F.col("uri"), F.concat(F.lit("missing://page/"), (F.col("user_id") * 2).cast("string")))
+    return joined.select(change_record(ev, uri).alias("value"), "ts")
+
+
 def page_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` as lookup records: URI and the record as JSON text."""
     pages = table(spark, sf_dir, "pages")

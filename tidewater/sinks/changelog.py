@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from urllib.parse import quote
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.schemas import TARGET_SCHEMA
+
 
 def change_date() -> F.Column:
     return F.to_date(F.timestamp_millis(F.col("approx_creation_timestamp_millis")))
@@ -23,7 +27,18 @@ def write_change_log(df: DataFrame, path: str, batch_id: int | str | None = None
     if batch_id is None:
         writer.mode("append").parquet(path)
     else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch={batch_id}")
+        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(batch_folder(path, batch_id))
+
+
+def batch_folder(path: str, batch_id: int | str) -> str:
+    """The folder of one batch; an id's characters that a path can't hold are escaped as Spark reads them back."""
+    return f"{path}/batch={quote(str(batch_id), safe='')}"
+
+
+def read_change_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log's rows (target columns) with the ``batch`` (string) that wrote them and their ``change_date``."""
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in TARGET_SCHEMA.fields)}, batch string, change_date date"
+    return spark.read.schema(schema).parquet(path)
 
 
 def change_log_stream(df: DataFrame, path: str, checkpoint_location: str, trigger_interval: str | None = None):

@@ -2,7 +2,8 @@
 
 A large store is prepared once as a table partitioned by a hash of the URI
 (``prepare_lookup``, which later adds new records); a batch then reads only
-the partitions its own URIs name.
+the partitions its own URIs name. ``follow_files`` keeps such a table up to
+date with a folder of JSON files, reading each file once.
 """
 
 from __future__ import annotations
@@ -36,14 +37,45 @@ def prepared_parts(spark: SparkSession, path: str) -> int | None:
 
 def prepare_lookup(lookup: DataFrame, path: str, parts: int) -> None:
     """Adds ``(s3_uri, raw_s3_payload)`` rows to the prepared lookup at ``path``, making it on first use."""
-    spark = lookup.sparkSession
+    _make_parts(lookup.sparkSession, path, parts)
+    _in_parts(lookup, parts).write.mode("append").partitionBy(PART).parquet(path)
+
+
+def _make_parts(spark: SparkSession, path: str, parts: int) -> None:
     held = prepared_parts(spark, path)
     if held is None:
         make_folder(spark, f"{path}/{PARTS_MARK}{parts}")
     elif held != parts:
         raise ValueError(f"lookup {path} has {held} partitions, not {parts}")
+
+
+def _in_parts(lookup: DataFrame, parts: int) -> DataFrame:
     rows = lookup.select("s3_uri", "raw_s3_payload", lookup_part(F.col("s3_uri"), parts).alias(PART))
-    rows.hint("rebalance", PART).write.mode("append").partitionBy(PART).parquet(path)
+    return rows.hint("rebalance", PART)
+
+
+ADDED = "added"
+
+
+def follow_files(spark: SparkSession, cfg: LookupConfig) -> None:
+    """Adds the JSON files that came to ``cfg.follow`` since the last call to the prepared lookup at ``cfg.path``.
+
+    A file stream keeps the names of the files it has read in its checkpoint
+    (inside the lookup's folder), so each file is read once; a changed file
+    is not read again. Each of its batches writes subfolders of its own
+    number and a batch repeated after a crash replaces them, so no record is
+    added twice. One caller at a time.
+    """
+    _make_parts(spark, cfg.path, cfg.parts)
+
+    def add(files: DataFrame, batch_id: int) -> None:
+        rows = _in_parts(files, cfg.parts).withColumn(ADDED, F.lit(batch_id))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART, ADDED).parquet(cfg.path)
+
+    lines = spark.readStream.option("recursiveFileLookup", "true").text(cfg.follow)
+    records = _file_records(lines, cfg.verbatim)
+    query = records.writeStream.foreachBatch(add).option("checkpointLocation", f"{cfg.path}/_follow").trigger(availableNow=True).start()
+    query.awaitTermination()
 
 
 def named_parts(uris: DataFrame, parts: int) -> list[int]:
@@ -78,12 +110,17 @@ def read_lookup(spark: SparkSession, cfg: LookupConfig, uris: DataFrame | None =
         folders = [f"{cfg.path}/{name}" for name in child_names(spark, cfg.path) if name in named]
         if not folders:
             return spark.createDataFrame([], "s3_uri string, raw_s3_payload string")
-        return spark.read.schema("s3_uri string, raw_s3_payload string").parquet(*folders)
+        # Followed files lie one level deeper; their batch number is no column.
+        return spark.read.schema("s3_uri string, raw_s3_payload string").option("recursiveFileLookup", "true").parquet(*folders)
     if cfg.format == "parquet":
         return spark.read.parquet(cfg.path).select("s3_uri", "raw_s3_payload")
-    lines = spark.read.text(cfg.path).select(F.input_file_name().alias("s3_uri"), F.col("value"))
+    return _file_records(spark.read.text(cfg.path), cfg.verbatim)
+
+
+def _file_records(lines: DataFrame, verbatim: bool) -> DataFrame:
+    lines = lines.select(F.input_file_name().alias("s3_uri"), F.col("value"))
     lines = lines.filter(F.trim("value") != "")
-    if cfg.verbatim:
+    if verbatim:
         payload = F.col("value")
     else:
         parsed = F.try_parse_json("value")

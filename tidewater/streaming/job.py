@@ -1,4 +1,4 @@
-"""The streaming job: change records -> foreachBatch(upsert)."""
+"""The streaming job: change records -> foreachBatch(upsert, change log or both)."""
 
 from __future__ import annotations
 
@@ -35,6 +35,7 @@ def batch_function(cfg: StreamConfig):
             decode=cfg.decode,
             collapse_errors=cfg.collapse_errors,
             run_key=run_key,
+            change_log=cfg.change_log,
         )
 
     return process
