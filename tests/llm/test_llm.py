@@ -1,6 +1,7 @@
 """Operators against brute force on a small fixture: nulls, empty and long texts, repeated rows, clashing columns."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -213,6 +214,35 @@ def test_decontamination_paths_agree(spark):
     assert by[21].contaminated and by[21].n_items == 0 and not by[22].contaminated and by[1].n_words == 0 and small.count() == 14
 
 
+def test_decontamination_across_blocks(spark):
+    """Texts longer than a block of positions, hits of every span on and around block borders, against plain search."""
+    block, rng = op8_decontaminate.BLOCK, random.Random(8)
+    words = [f"w{k}" for k in range(30)]
+    items = [" ".join(f"t{n}x{k}" for k in range(n)) for n in (1, 2, 9, 10, 14)]
+    texts = []
+    for at in (*range(block - 15, block + 3), 2 * block - 1, 3 * block - 10):
+        text = [rng.choice(words) for _ in range(rng.choice((at, at + 1, at + 40, 4 * block)))]
+        text[at:at] = rng.choice(items).split()
+        texts.append(" ".join(text))
+    texts += [" ".join(["w1"] * n) for n in (block - 1, block, block + 1, 2 * block + 9)] + [" ".join(items * block)]
+
+    def plain(text):
+        own, hit, found = text.split(), set(), set()
+        for number, item in enumerate(items):
+            item = item.split()
+            span = min(10, len(item))
+            windows = {tuple(item[i : i + span]) for i in range(len(item) - span + 1)}
+            starts = [i for i in range(len(own) - span + 1) if tuple(own[i : i + span]) in windows]
+            hit.update(j for i in starts for j in range(i, i + span))
+            found.update([number] if starts else [])
+        return len(own), len(hit), sorted(map(str, found))
+
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for rows in (10**6, 0):
+        out = op8_decontaminate.decontaminate(docs(spark, list(enumerate(texts))), bench, broadcast_rows=rows).collect()
+        assert {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in out} == {i: plain(t) for i, t in enumerate(texts)}
+
+
 def test_decontamination_of_rows_without_id(spark, tmp_dir):
     items = spark.createDataFrame([(1, "one two three"), (2, " ".join(f"i{k}" for k in range(10)))], "item_id long, text string")
     span = " ".join(f"i{k}" for k in range(10))

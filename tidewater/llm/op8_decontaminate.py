@@ -7,7 +7,8 @@ words shares a fingerprint. Each document position's fingerprint is joined to th
 to its whole window and confirmed on the words themselves, and the confirmed windows are merged into covered spans.
 
 The benchmark's distinct fingerprints are broadcast only while their counted number is at most ``broadcast_rows``;
-beyond that, fingerprints and positions are shuffled without the words.
+beyond that, fingerprints and positions are shuffled without the words. Texts are cut into overlapping blocks of words
+before their positions are listed, so time grows with a text's length and no faster.
 
 Defined cases: null, empty and wordless texts have no words, no hits and an empty item list. Rows that share a doc_id
 are taken one by one and share their hits; rows without a doc_id are told apart by their texts, on both paths. Repeated items count once. Items without an id still mark words, but are
@@ -24,6 +25,8 @@ from tidewater.llm.common import lower_ascii, own_columns, table, text_or_empty
 #: Fixed pattern of the contract: everything that is no word character, after A-Z became a-z.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BROADCAST_ROWS = 1_000_000
+#: Positions of a block: the words of one block go with each of its positions, so work grows with a text's length only.
+BLOCK = 128
 
 
 def words_of(text: Column) -> Column:
@@ -60,6 +63,17 @@ def benchmark_windows(benchmark: DataFrame, window: int, gram: int) -> DataFrame
     return merged.withColumn("words", F.split("window", " ")).withColumn("print", prints).drop("words")
 
 
+def text_blocks(docs: DataFrame, longest: int) -> DataFrame:
+    """(doc_id, row, n_words, base, words): the words from each ``BLOCK``-th position on that windows starting in the block reach.
+
+    A text without words has one empty block, so each document row has exactly one block of base 0.
+    """
+    texts = own_columns(docs, "doc_id", "text").select("doc_id", row_of().alias("row"), words_of(text_or_empty()).alias("all_words"))
+    bases = f"sequence(0, greatest(size(all_words) - 1, 0), {BLOCK})"
+    parts = F.expr(f"transform({bases}, b -> named_struct('base', b, 'words', slice(all_words, b + 1, {BLOCK + longest - 1})))")
+    return texts.select("doc_id", "row", F.size("all_words").alias("n_words"), F.inline(parts))
+
+
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 5, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, row, n_words, at, span, item_ids): a row for each window occurrence, and one with a null ``at`` per document."""
     windows = benchmark_windows(benchmark, window, gram)
@@ -67,27 +81,29 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int
     sizes = {r["span"]: r["count"] for r in prints.groupBy("span").count().collect()}  # at most ``window`` rows
     small = sum(sizes.values()) <= broadcast_rows
     spans = sorted(sizes, reverse=True) or [window]
-    doc_words = own_columns(docs, "doc_id", "text").select("doc_id", row_of().alias("row"), words_of(text_or_empty()).alias("words"))
-    # One array for all spans: a first element for the document itself, then the prints of each span in turn.
-    every = F.concat(F.expr("array(CAST(NULL AS bigint))"), *[F.expr(window_prints(s, gram)) for s in spans])
-    place = doc_words.select("doc_id", "row", "words", F.posexplode(every).alias("nth", "fp"))
+    blocks = text_blocks(docs, spans[0])
+    # One array for all spans: a first element for the document itself, then the block's prints of each span in turn.
+    every = F.concat(F.expr("array(CAST(NULL AS bigint))"), *[F.expr(f"slice({window_prints(s, gram)}, 1, {BLOCK})") for s in spans])
+    place = blocks.select("doc_id", "row", "n_words", "base", "words", F.posexplode(every).alias("nth", "fp")).filter("nth > 0 OR base = 0")
     at, span = "nth - 1", str(spans[0])
     for earlier, later in zip(spans, spans[1:], strict=False):
-        passed = " + ".join(f"greatest(size(words) - {s} + 1, 0)" for s in spans[: spans.index(earlier) + 1])
+        passed = " + ".join(f"least(greatest(size(words) - {s} + 1, 0), {BLOCK})" for s in spans[: spans.index(earlier) + 1])
         at = f"CASE WHEN nth > {passed} THEN nth - 1 - ({passed}) ELSE {at} END"
         span = f"CASE WHEN nth > {passed} THEN {later} ELSE {span} END"
-    place = place.select("doc_id", "row", "words", "nth", "fp", F.expr(at).alias("at"), F.expr(span).alias("span"))
+    place = place.select("doc_id", "row", "n_words", "base", "words", "nth", "fp", F.expr(at).alias("at"), F.expr(span).alias("span"))
+    window_at = "array_join(slice(words, at + 1, span), ' ')"
     if small:
         place = place.join(F.broadcast(prints.withColumn("known", F.lit(True))), ["span", "fp"], "left")
         place = place.filter((F.col("nth") == 0) | F.col("known"))
-        found = place.select("doc_id", "row", F.size("words").alias("n_words"), F.when(F.col("nth") > 0, F.col("at")).alias("at"), "span", F.expr("CASE WHEN nth > 0 THEN array_join(slice(words, at + 1, span), ' ') END").alias("window"))
+        found = place.select("doc_id", "row", "n_words", F.expr("CASE WHEN nth > 0 THEN base + at END").alias("at"), "span", F.expr(f"CASE WHEN nth > 0 THEN {window_at} END").alias("window"))
     else:
-        hits = place.filter("nth > 0").select("doc_id", "row", "at", "span", "fp").join(prints, ["span", "fp"], "left_semi")
-        heads = doc_words.select("doc_id", "row", F.size("words").alias("n_words"), F.lit(None).cast("int").alias("at"), F.lit(spans[0]).alias("span"), F.lit(None).cast("string").alias("window"))
-        per_doc = hits.groupBy("doc_id", "row").agg(F.collect_set(F.struct("at", "span")).alias("hits")).select(F.col("doc_id").alias("hit_id"), F.col("row").alias("hit_row"), "hits")
-        same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("row") == F.col("hit_row"))
-        seen = doc_words.join(per_doc, same).select("doc_id", "row", "words", F.inline("hits"))
-        found = heads.union(seen.select("doc_id", "row", F.size("words"), "at", "span", F.expr("array_join(slice(words, at + 1, span), ' ')")))
+        hits = place.filter("nth > 0").select("doc_id", "row", "base", "at", "span", "fp").join(prints, ["span", "fp"], "left_semi")
+        heads = blocks.filter("base = 0").select("doc_id", "row", "n_words", F.lit(None).cast("int").alias("at"), F.lit(spans[0]).alias("span"), F.lit(None).cast("string").alias("window"))
+        per_block = hits.groupBy("doc_id", "row", "base").agg(F.collect_set(F.struct("at", "span")).alias("hits"))
+        per_block = per_block.select(F.col("doc_id").alias("hit_id"), F.col("row").alias("hit_row"), F.col("base").alias("hit_base"), "hits")
+        same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("row") == F.col("hit_row")) & (F.col("base") == F.col("hit_base"))
+        seen = blocks.join(per_block, same).select("doc_id", "row", "n_words", "base", "words", F.inline("hits"))
+        found = heads.union(seen.select("doc_id", "row", "n_words", F.expr("base + at"), "span", F.expr(window_at)))
     found = found.join(windows.select("span", "window", "item_ids"), ["span", "window"], "left")
     return found.filter(F.col("at").isNull() | F.col("item_ids").isNotNull()).select("doc_id", "row", "n_words", "at", "span", "item_ids")
 
