@@ -282,7 +282,7 @@ def count_phrases(texts: DataFrame, min_count: int, longest: int, work: WorkTabl
     """
     totals, frequent, sent = None, [], None
     for size in range(1, longest + 1):
-        runs = work.put(texts.mapInArrow(_runs(size, sent, burst, entries), "lang string, phrase string, n long"), "runs")
+        runs = work.put(texts.mapInArrow(_runs(size, sent, burst, entries), "lang string, phrase string, n long"), "runs", compression="zstd")
         if totals is None:
             totals = work.put(runs.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
         merged = runs.repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
