@@ -147,6 +147,36 @@ def test_substrings(spark):
         assert (got[d].n_bytes, got[d].n_removed, got[d].n_spans, got[d].kept_sha256) == (len(raw[d]), sum(gone), spans, hashlib.sha256(rest).hexdigest())
 
 
+@pytest.mark.parametrize("length,gram,block,letters", [(40, 8, 6, "abcdef"), (24, 4, 5, "ab"), (31, 5, 30, "xyz")])
+def test_substrings_of_pieced_texts(spark, length, gram, block, letters):
+    rng = random.Random(length)
+    parts = ["".join(rng.choice(letters) for _ in range(rng.randint(5, 2 * length))) for _ in range(12)]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 6))) for _ in range(40)]
+    texts += ["".join(rng.choice(letters) for _ in range(n)) for n in (length - 1, length, 5 * length)] + ["a" * 3 * length, None, "", texts[3], texts[3]]
+    rows = [(None if k % 11 == 5 else k % 30, t) for k, t in enumerate(texts)]
+    raw = [(t or "").encode() for t in texts]
+    expected = []
+    for (i, _), b, gone in zip(rows, raw, brute_repeats(raw, length), strict=True):
+        rest = bytes(c for c, g in zip(b, gone, strict=True) if not g)
+        expected.append((i, len(b), sum(gone), len(re.findall(b"\x01+", bytes(gone))), hashlib.sha256(rest).hexdigest(), rest.decode()))
+    got = op5_substrings.remove_repeats(docs(spark, rows).repartition(3), length, gram, block)
+    assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text") == sorted(expected, key=repr)
+
+
+def test_doubling_ranks_runs_of_pieces(spark):
+    words = {1: "abcab", 2: "abcd", 3: "xbc", 4: "q"}
+    pieces = spark.createDataFrame([(d, i, 3, ord(c)) for d, w in words.items() for i, c in enumerate(w)], "id long, i int, size int, r long")
+    work = op5_substrings.WorkTables(spark)
+    levels = [df.collect() for df in op5_substrings.doubled(work.put(pieces), 6, work)]
+    assert len(levels) == 2  # four pieces are longer than six bytes
+    for k, rows in enumerate(levels):
+        runs = {(d, i): w[i : i + 2**k] for d, w in words.items() for i in range(len(w) - 2**k + 1)}
+        twice = [r for r in runs.values() if list(runs.values()).count(r) > 1]
+        assert {(r.id, r.i) for r in rows} == {p for p, r in runs.items() if r in twice}
+        ranks = {runs[r.id, r.i]: r.rank for r in rows}
+        assert [ranks[x] for x in sorted(ranks)] == sorted(set(ranks.values())) and all(ranks[runs[r.id, r.i]] == r.rank for r in rows)
+
+
 def test_sketches(spark):
     row = docs(spark, EDGES).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("kept", op6_fingerprint.sketch(F.col("text")))
     by = {r.doc_id: r.kept for r in row.collect()}

@@ -39,6 +39,13 @@ def _power(name: str, base: int, count: int) -> np.ndarray:
     return _powers[name]
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span, from differences of running sums."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power("up", BASE, len(data))[: len(data)], dtype=np.uint64)])
+    poly = (sums[ends] - sums[starts]) * _power("down", pow(BASE, -1, 2**64), len(data))[starts]
+    return mixed(mixed(poly + (ends - starts).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)))
+
+
 class Words:
     """The words of some texts in one row: ``starts``, ``ends``, ``hashes``, and each text's ``first`` word and ``count``.
 
