@@ -43,6 +43,8 @@ from tidewater.llm.common import WorkTables, own_columns, table
 from tidewater.llm.wordrows import chunks, sent, span_hashes
 
 LENGTH, GRAM, BLOCK = 400, 32, 24
+#: Bytes of texts worked on together (one text at least): few enough that their numbers stay in the processor's cache.
+CHUNK = 256_000
 #: A place in a chunk of texts takes the low bits of a number, the hash of the gram there the high ones.
 PLACE_BITS = 31
 
@@ -120,7 +122,7 @@ def _piece_rows(length: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own, data, offsets in chunks(batch, 1):
+            for own, data, offsets in chunks(batch, 1, CHUNK):
                 cuts = find_cuts(data, offsets, length, gram)
                 start, end = cuts.place[:-1], cuts.place[1:]
                 holds = np.flatnonzero((cuts.text[1:] == cuts.text[:-1]) & (end - start <= length - gram))
@@ -150,9 +152,6 @@ def doubled(pieces: DataFrame, limit: int, work: WorkTables) -> list[DataFrame]:
             return levels
 
 
-_PLACES = [("id", pa.int64()), ("at", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("g", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64())]
-
-
 def _open_groups(cuts: Cuts, lists: pa.ListArray, sizes: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """(cut, first start, last start, rank): starts whose whole pieces have ranks, grouped by their first cut.
 
@@ -184,21 +183,21 @@ def _open_groups(cuts: Cuts, lists: pa.ListArray, sizes: np.ndarray, length: int
 
 def _reach_rows(length: int, gram: int):
     """Each group of open starts with its rank ``g`` and the name (w1, w2) of all bytes that the starts reach."""
+    import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own, data, offsets in chunks(batch, 1):
+            for own, data, offsets in chunks(batch, 1, CHUNK):
                 cuts = find_cuts(data, offsets, length, gram)
                 cut, first, last, rank = _open_groups(cuts, own.column(2), np.diff(offsets), length, gram)
                 text, whole = cuts.text[cut], data.tobytes()
-                ids, base = own.column(0).to_numpy()[text], offsets[text]
-                at, rows = cuts.place[cut] - base, []
-                for did, b, a, lo, hi, g in zip(*(x.tolist() for x in (ids, base, at, first, last, rank)), strict=True):
-                    rows.append((did, a, lo, hi, g, *_name(whole[b + lo : b + hi + length], a - lo, a - hi)))
-                    if len(rows) >= 50_000:
-                        yield _batch(rows, _PLACES)
-                        rows = []
-                yield _batch(rows, _PLACES)
+                base, at = offsets[text], cuts.place[cut]
+                lo, hi = base + first, base + last + length
+                around = np.stack([at - lo, at - base - last], axis=1).astype("<u4").tobytes()
+                digests = [xxhash.xxh3_128_digest(whole[a:b] + around[8 * k : 8 * k + 8]) for k, (a, b) in enumerate(zip(lo.tolist(), hi.tolist(), strict=True))]
+                w = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                small = ((at - base).astype(np.int32), first.astype(np.int32), last.astype(np.int32))
+                yield from sent(["id", "at", "first", "last", "g", "w1", "w2"], own.column(0).to_numpy()[text], *small, rank, np.ascontiguousarray(w[:, 0]), np.ascontiguousarray(w[:, 1]))
 
     return run
 

@@ -68,14 +68,14 @@ class Words:
         self.first, self.count = edges[:-1], np.diff(edges)
 
 
-def chunks(batch: pa.RecordBatch, text: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def chunks(batch: pa.RecordBatch, text: int, size: int = CHUNK) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """The batch in slices of whole texts with each slice's bytes and its texts' offsets in them; a null text has none."""
     column = pc.fill_null(batch.column(text).cast(pa.binary()), b"")
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data, at = column.buffers()[2], 0
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     while at < len(column):
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1)
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
         yield batch.slice(at, end - at), data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end
 
