@@ -68,8 +68,6 @@ class TargetConfig:
                     least this share of the base's bytes, so that rewriting
                     stays in proportion to what was written; None: only
                     when ``compact`` is called.
-    table        -- optional catalog name of a row-level (v2) table; when set,
-                    the upsert is a MERGE INTO that table instead.
     """
 
     path: str | None = None
@@ -79,11 +77,10 @@ class TargetConfig:
     check_unique: bool = True
     layout: str = "buckets"
     compact_ratio: float | None = None
-    table: str | None = None
 
     def __post_init__(self):
-        if not self.path and not self.table:
-            raise ValueError("target needs a path or a table name")
+        if not self.path:
+            raise ValueError("target needs a path")
         if self.buckets < 1:
             raise ValueError("buckets must be positive")
         if self.layout not in ("buckets", "deltas"):

@@ -32,7 +32,7 @@ def _outputs(args: argparse.Namespace) -> tuple[bool, bool]:
     log = mode in ("files", "both") or mode is None and args.change_log is not None
     if log and not args.change_log:
         raise ValueError(f"output mode {mode} needs --change-log")
-    return mode in ("target", "both") or mode is None and bool(args.target_path or args.target_table or not log), log
+    return mode in ("target", "both") or mode is None and bool(args.target_path or not log), log
 
 
 def _options(pairs: list[str]) -> dict:
@@ -47,7 +47,6 @@ def _options(pairs: list[str]) -> dict:
 
 def _common(p: argparse.ArgumentParser) -> None:
     p.add_argument("--target-path")
-    p.add_argument("--target-table", help="row-level catalog table; MERGE INTO instead of the Parquet target")
     p.add_argument("--buckets", type=int, default=64)
     p.add_argument("--order-guard", action="store_true")
     p.add_argument("--layout", default="buckets", choices=("buckets", "deltas"))
@@ -110,7 +109,6 @@ def configs(argv: list[str]):
     to_target, to_log = _outputs(args)
     target = to_target and TargetConfig(
         path=args.target_path,
-        table=args.target_table,
         buckets=args.buckets,
         order_guard=args.order_guard,
         layout="deltas" if args.job == "compact" else args.layout,

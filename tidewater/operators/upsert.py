@@ -29,9 +29,6 @@ stays.
 
 ``TargetConfig.layout="deltas"`` writes only the batch's own rows and merges
 them at read (``operators/deltas.py``).
-
-When ``TargetConfig.table`` names a catalog table that supports row-level
-operations, the same upsert is issued as ``MERGE INTO`` instead.
 """
 
 from __future__ import annotations
@@ -81,7 +78,7 @@ def stored_buckets(spark: SparkSession, path: str) -> int | None:
 
 
 def _work_root(spark: SparkSession, target: TargetConfig) -> str:
-    tag = hashlib.sha1((target.path or target.table or "").encode("utf-8")).hexdigest()[:16]
+    tag = hashlib.sha1((target.path or "").encode("utf-8")).hexdigest()[:16]
     return f"{checkpoint_dir(spark)}/tidewater-upsert/{tag}"
 
 
@@ -198,9 +195,6 @@ def upsert(
     check_unique = target.check_unique if check_unique is None else check_unique
     columns = [f.name for f in target_schema(target.with_lookup).fields]
     batch = batch.select(*columns)
-    if target.table:
-        _merge_into_table(batch if repair is None else repair(batch), target)
-        return
     work = f"{_work_root(spark, target)}/{run_key}/batch={batch_id if batch_id is not None else uuid.uuid4().hex}"
     staging, merged = f"{work}/staging", f"{work}/merged"
     _check_layout(spark, target)
@@ -257,18 +251,6 @@ def _append_delta(spark, batch, target, run_key, batch_id, check_unique, repair)
     deltas.append(spark, with_keys(batch), target, run_key, str(batch_id), finish=repaired, check=check_unique_keys if check_unique else None)
 
 
-def _merge_into_table(batch: DataFrame, target: TargetConfig) -> None:
-    """MERGE INTO a row-level catalog table (lake formats); same semantics."""
-    source = batch.alias("s")
-    cond = F.expr(f"{target.table}.keys = s.keys")
-    if target.order_guard:
-        matched = F.expr(f"s.{TS} >= {target.table}.{TS} OR s.{TS} IS NULL OR {target.table}.{TS} IS NULL")
-        writer = source.mergeInto(target.table, cond).whenMatched(matched).updateAll()
-    else:
-        writer = source.mergeInto(target.table, cond).whenMatched().updateAll()
-    writer.whenNotMatched().insertAll().merge()
-
-
 def live_rows(df: DataFrame) -> DataFrame:
     """Rows that are not soft-deleted."""
     return df.filter(~F.col("is_deleted"))
