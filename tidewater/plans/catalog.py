@@ -182,10 +182,10 @@ def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bulk_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bulk load joined to the lookup records, into a target with the lookup columns."""
+    """Bulk load joined to the lookup records (several pages may share a URL), into a target with the lookup columns."""
     target = TargetConfig(path=scratch_path(spark, "queries", "bulk-lookup"), buckets=QUERY_BUCKETS, with_lookup=True)
     decoded = lambda lines, opts: normalize_export(lines, feeds.EXPORT_KEYS, feeds.EXPORT_TABLE, BULK_RUN_ID, BULK_LOAD_MILLIS, opts=opts)
-    linked = lambda rows: enrich(rows, feeds.page_lookup(spark, sf_dir))
+    linked = lambda rows: enrich(rows, feeds.page_lookup(spark, sf_dir), "array")
     rows = decoded(feeds.export_lines(spark, sf_dir, with_link=True), staged_options(None))
     apply_job_conf(spark)
     upsert(spark, linked(rows), target, batch_id=BULK_RUN_ID, run_key="bulk", repair=deep_repair(None, decoded, linked))
@@ -193,10 +193,13 @@ def bulk_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _linked(rows: DataFrame) -> DataFrame:
+    """Each order with its own page among the records of the page's URL."""
+    own = F.get_json_object("new_image", "$.o_custkey").cast("long")
+    records = F.from_json("raw_s3_payload", "array<struct<page_id:bigint>>")
     return rows.select(
         "keys",
         "s3_uri",
-        F.get_json_object("raw_s3_payload", "$.page_id").alias("page_id"),
+        F.get(F.filter(records, lambda r: r["page_id"] == own), 0)["page_id"].cast("string").alias("page_id"),
         (F.col("raw_s3_payload") == "{}").alias("payload_empty"),
         F.get_json_object("new_image", "$.s3_uri").alias("link"),
     )
@@ -214,7 +217,7 @@ def bulk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         target=TargetConfig(path=scratch_path(spark, "queries", "bulk-job"), buckets=QUERY_BUCKETS, with_lookup=True),
         run_id=BULK_RUN_ID,
         load_time_millis=BULK_LOAD_MILLIS,
-        lookup=LookupConfig(path=pages, format="parquet"),
+        lookup=LookupConfig(path=pages, format="parquet", multi="array"),
     )
     run_bulk(spark, cfg)
     return _linked(read_target(spark, cfg.target))
