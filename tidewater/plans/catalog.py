@@ -386,8 +386,8 @@ def stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _streamed(spark: SparkSession, sf_dir: str, change_log: str | None = None, **layout) -> DataFrame:
     """The feed written as three sets of text files, streamed into the target.
 
-    Each set keeps the feed's partitioning (no single-task write); every
-    trigger takes about one set. Files are taken in modification order, so
+    Each set keeps the feed's partitioning (no single-task write), a file to
+    a piece; every trigger takes about one set. Files are taken in modification order, so
     the order guard makes the newest change win whatever the cut.
     """
     source_dir = scratch_path(spark, "queries", "stream-source")
@@ -397,7 +397,7 @@ def _streamed(spark: SparkSession, sf_dir: str, change_log: str | None = None, *
     cfg = StreamConfig(
         source_format="text",
         source_path=f"{source_dir}/batch-*",
-        source_options={"maxFilesPerTrigger": str(spark.sparkContext.defaultParallelism)},
+        source_options={"maxFilesPerTrigger": str(feeds.pieces(spark, sf_dir, "events"))},
         target=TargetConfig(path=scratch_path(spark, "queries", "stream-target"), buckets=QUERY_BUCKETS, order_guard=True, **layout),
         checkpoint_location=scratch_path(spark, "queries", "stream-checkpoint"),
         available_now=True,

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators.files import folder_bytes
+
 # Fixed values of the generated records.
 FEED_REGION = "local-1"
 FEED_TABLE = "events"
@@ -26,21 +28,29 @@ BATCH_BOUNDS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 BREAK_EVERY = 97
 # Every 53rd value is nested deeper than the native decoder goes (see ``deep_feed``).
 DEEP_EVERY, DEEP_LEVELS = 53, 12
+# Bytes of a table to a task; decoded, an event takes about 50 times its bytes there.
+PIECE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a generated feed over the session's cores, if its input has fewer splits.
+def pieces(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """The number of tasks a feed made of a table is dealt over: the session's cores, or more by the table's bytes."""
+    size = folder_bytes(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return max(spark.sparkContext.defaultParallelism, -(-size // PIECE_BYTES))
+
+
+def spread(df: DataFrame, key: str, number: int) -> DataFrame:
+    """Hash-partition the rows that a feed is made of, before their texts are built and decoded.
 
     A real change stream arrives in many shards and an export in many files;
-    the given tables are single small files, which Spark reads as one task.
-    A table with splits enough is left as it is.
+    a given table is one file, whose splits say nothing of its rows: a row
+    group, however many rows it has, goes to one task. And a task's texts
+    and images take many times the table's bytes, so their number follows these.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df.repartition(number, key)
 
 
 def _n(value: Column) -> Column:
@@ -115,7 +125,7 @@ def change_record(events: DataFrame, s3_uri: Column | None = None) -> Column:
 
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value`` (record text) and ``ts`` of every event."""
-    ev = spread(table(spark, sf_dir, "events"), "event_id")
+    ev = spread(table(spark, sf_dir, "events"), "event_id", pieces(spark, sf_dir, "events"))
     return ev.select(change_record(ev).alias("value"), "ts")
 
 
@@ -134,7 +144,7 @@ def change_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 def broken_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed with every 97th record broken: cut short, an unknown tag, or no Keys."""
-    ev = spread(table(spark, sf_dir, "events"), "event_id")
+    ev = spread(table(spark, sf_dir, "events"), "event_id", pieces(spark, sf_dir, "events"))
     text = change_record(ev)
     kind = F.floor(F.col("event_id") / BREAK_EVERY) % 3
     broken = (
@@ -158,7 +168,7 @@ def deep_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = f"""concat('{{"eventID":"', event_id, '","eventName":"MODIFY","tableName":"events","dynamodb":{{"ApproximateCreationDateTime":', _ms,
       ',"SizeBytes":9,"Keys":{{"user_id":{{"N":"', user_id, '"}}}},"NewImage":{{"user_id":{{"N":"', user_id, '"}},"d":', CASE WHEN event_id % {DEEP_EVERY} = 0 THEN {deep} ELSE {value} END, '}}}}}}')"""
     events = table(spark, sf_dir, "events").withColumn("_ms", event_millis(F.col("ts")))
-    return spread(events, "event_id").select(F.expr(text).alias("value"))
+    return spread(events, "event_id", pieces(spark, sf_dir, "events")).select(F.expr(text).alias("value"))
 
 
 def lookup_feed(spark: SparkSession, sf_dir: str, timed: bool = False) -> DataFrame:
@@ -167,9 +177,9 @@ def lookup_feed(spark: SparkSession, sf_dir: str, timed: bool = False) -> DataFr
     User ``u`` points at page ``2u``; pages past the end of the table give
     URIs that match nothing.
     """
-    ev = spread(table(spark, sf_dir, "events"), "event_id")
+    ev = table(spark, sf_dir, "events")
     pages = table(spark, sf_dir, "pages").select(F.col("page_id"), F.col("url"))
-    joined = ev.join(pages, ev.user_id * 2 == pages.page_id, "left")
+    joined = spread(ev.join(pages, ev.user_id * 2 == pages.page_id, "left"), "event_id", pieces(spark, sf_dir, "events"))
     uri = F.coalesce(F.col("url"), F.concat(F.lit("missing://page/"), (F.col("user_id") * 2).cast("string")))
     return joined.select(change_record(ev, uri).alias("value"), *(["ts"] if timed else []))
 
@@ -187,11 +197,12 @@ def write_page_files(spark: SparkSession, sf_dir: str, path: str, parity: int) -
 
 def file_feed(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     """Change records (with ``ts``) whose image names the file under ``path`` that holds page ``2u``, if there is one yet."""
-    ev = spread(table(spark, sf_dir, "events"), "event_id")
+    ev = table(spark, sf_dir, "events")
     lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.input_file_name().alias("uri"), "value")
     pages = lines.select("uri", F.get_json_object("value", "$.page_id").cast("long").alias("page_id"))
     files = pages.groupBy("uri").agg(F.floor(F.min("page_id") / PAGES_A_FILE).alias("file"))
     joined = ev.join(files, F.floor(ev.user_id * 2 / PAGES_A_FILE) == files.file, "left")
+    joined = spread(joined, "event_id", pieces(spark, sf_dir, "events"))
     uri = F.coalesce(F.col("uri"), F.concat(F.lit("missing://page/"), (F.col("user_id") * 2).cast("string")))
     return joined.select(change_record(ev, uri).alias("value"), "ts")
 
@@ -211,13 +222,14 @@ def export_lines(spark: SparkSession, sf_dir: str, with_link: bool = False) -> D
     ``with_link`` adds an ``s3_uri`` attribute: the URL of page ``o_custkey``,
     or a URI that matches nothing when there is no such page.
     """
-    o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    o = table(spark, sf_dir, "orders")
     link = []
     if with_link:
         pages = table(spark, sf_dir, "pages").select("page_id", "url")
         o = o.join(pages, o.o_custkey == pages.page_id, "left")
         uri = F.coalesce(F.col("url"), F.concat(F.lit("missing://page/"), F.col("o_custkey").cast("string")))
         link = [_s(uri).alias("s3_uri")]
+    o = spread(o, "o_orderkey", pieces(spark, sf_dir, "orders"))
     item = F.struct(
         _n(F.col("o_orderkey")).alias("o_orderkey"),
         _n(F.col("o_custkey")).alias("o_custkey"),
