@@ -1,5 +1,7 @@
 """How the feeds of the given tables are dealt over tasks."""
 
+import glob
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -32,3 +34,11 @@ def test_pieces_follow_the_bytes_of_the_table(spark, tmp_dir):
         with open(f"{tmp_dir}/{name}.parquet", "wb") as f:
             f.truncate(size)
     assert [feeds.pieces(spark, tmp_dir, name) for name in ("small", "large")] == [cores, 9 * cores]
+
+
+def test_page_files_are_written_by_several_tasks(spark, tmp_dir):
+    duckdb.connect().execute(f"COPY (SELECT p AS page_id FROM range(1600) t(p)) TO '{tmp_dir}/pages.parquet'")
+    feeds.write_page_files(spark, tmp_dir, f"{tmp_dir}/files", 0)
+    files = glob.glob(f"{tmp_dir}/files/file=*/part-*")
+    assert len(files) == 40 and len({f.split("part-")[1][:5] for f in files}) > 1
+    assert spark.read.text(f"{tmp_dir}/files").count() == 800

@@ -188,10 +188,13 @@ PAGES_A_FILE = 20
 
 
 def write_page_files(spark: SparkSession, sf_dir: str, path: str, parity: int) -> None:
-    """``pages`` as JSON-lines files of consecutive pages; those of even or odd number."""
+    """``pages`` as JSON-lines files of consecutive pages; those of even or odd number.
+
+    The number of tasks is given: left to AQE, the few bytes of the lines would all go to one, which makes file by file.
+    """
     number = F.floor(F.col("page_id") / PAGES_A_FILE)
     pages = table(spark, sf_dir, "pages").select("page_id", number.alias("file"))
-    lines = pages.filter(F.col("file") % 2 == parity).repartition("file").select(F.to_json(F.struct("page_id")).alias("value"), "file")
+    lines = pages.filter(F.col("file") % 2 == parity).repartition(pieces(spark, sf_dir, "pages"), "file").select(F.to_json(F.struct("page_id")).alias("value"), "file")
     lines.write.partitionBy("file").text(path)
 
 
