@@ -113,3 +113,40 @@ def test_filter_keeps_all_frequent_phrases(spark):
     words = Words(np.frombuffer(text, np.uint8), np.array([0, len(text)]), op11_phrases.GAP)
     h = op11_phrases.phrase_hashes(words.hashes, 2, np.full(1000, op11_phrases.language_hash("en"), np.uint64))
     assert op11_phrases._has(bits, h)[::2].all() and op11_phrases._has(bits, h)[1::2].mean() < 0.1
+
+
+def test_bucket_counts_add_up_over_batches():
+    """The reduce step keeps a range that goes on in the next batch, and drops the buckets below the count."""
+    rng = np.random.default_rng(1)
+    parts = [rng.integers(0, 1 << 22, 3000).astype(np.uint32) // 3 * 3 for _ in range(6)]
+    rows = sorted((r for p in parts for r in op11_phrases._range_batch([p[:1000], p[1000:]]).to_pylist()), key=lambda r: r["range"])
+    whole = np.concatenate([np.frombuffer(r["buckets"], np.uint32).repeat(np.frombuffer(r["times"], np.uint32)) for r in rows])
+    assert (np.sort(whole) == np.sort(np.concatenate(parts))).all() and {r["range"] for r in rows} == {0, 1, 2, 3}
+    own, times = np.unique(whole, return_counts=True)
+    import pyarrow as pa
+
+    shape = pa.schema([("range", pa.int32()), ("buckets", pa.binary()), ("times", pa.binary())])
+    for step in (1, 5, 100):
+        batches = [pa.RecordBatch.from_pylist(rows[i : i + step], shape) for i in range(0, len(rows), step)]
+        out = [(r["word"], r["bit"]) for b in op11_phrases._frequent_buckets(2, 1 << 31)(iter(batches)) for r in b.to_pylist()]
+        assert sorted(w * 64 + (b % 2**64).bit_length() - 1 for w, b in out) == own[times >= 2].tolist() and len(out) > 5
+
+
+def test_tries_get_no_rare_phrases(spark, monkeypatch):
+    """Rare phrases of frequent words are counted in buckets, not in the tries: they are in no run."""
+    rng = np.random.default_rng(2)
+    rows = [(" ".join(f"w{k}" for k in rng.integers(0, 60, 50)) + " new york city", "en") for _ in range(60)]
+    work, put, runs = WorkTables(spark), WorkTables.put, []
+
+    def counting(self, df, name="t", **options):
+        out = put(self, df, name, **options)
+        if name == "runs":
+            runs.append(out.count())
+        return out
+
+    monkeypatch.setattr(WorkTables, "put", counting)
+    totals, frequent = op11_phrases.count_phrases(docs(spark, rows).coalesce(1).select("lang", "text"), 30, 5, work)
+    assert [(r.lang, r.n) for r in totals.collect()] == [("en", 60 * 53)]
+    assert [f.count() for f in frequent[1:]] == [2, 1, 0, 0] and sum(runs) <= frequent[0].count() + 3 + 1
+    with pytest.raises(ValueError, match="power of two"):
+        op11_phrases.frequent_filter(docs(spark, rows).select("lang", "text"), 30, 5, work, bits=100)

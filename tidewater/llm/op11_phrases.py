@@ -1,15 +1,17 @@
-"""Phrase mining: collocations counted in HAT-tries, level by level, and scored by their weakest cut.
+"""Phrase mining: collocations counted in a HAT-trie and scored by their weakest cut.
 
-Phrases of 1, 2, ... words are counted one length at a time. A task holds the phrases of its texts in a HAT-trie: a shallow
-trie over word ids (the first with its language) whose leaves are hash containers; a container that outgrows ``BURST``
-entries bursts into a node with one container per next word. When the trie holds ``ENTRIES`` phrases, its largest subtrees are spilled whole, each
-as a run sorted by words, until half of it is left; the rest follows at the task's end. Spark deals the runs into ranges of
-(language, phrase), so that a prefix lies in one partition, or in several if it is frequent, and merges them there by adding
-up equal phrases.
+Rare phrases are kept out of the tries first. Every phrase falls into one of 2^32 buckets by its hash; tasks count the
+buckets of their texts' phrases, Spark deals the counts by ranges of buckets and adds them up. A frequent phrase's bucket
+reaches ``min_count``, and buckets that do leave a bitmap of ``FILTER_BITS`` bits (8 MiB, whatever the data). Lengths are
+counted in steps (1 and 2, 3, 4 and 5, ...): a step skips phrases with a part that the bitmap of the steps before it rules
+out. The bitmap never hides a frequent phrase; where it is crowded, more rare ones are counted and then dropped.
 
-Only phrases both of whose parts (without the last, without the first word) reach ``min_count`` can reach it, so a length's
-frequent phrases leave a bitmap of ``FILTER_BITS`` bits (8 MiB, whatever the data) by which the next length's tasks skip
-the others. The bitmap never hides a frequent phrase; where it is crowded, more rare ones are counted and then dropped.
+Then the phrases of all lengths that the bitmap leaves are counted exactly. A task holds those of its texts in a HAT-trie: a
+shallow trie over word ids (the first with its language) whose leaves are hash containers; a container that outgrows
+``BURST`` entries bursts into a node with one container per next word. When the trie holds ``ENTRIES`` phrases, its largest
+subtrees are spilled whole, each as a run sorted by words, until half of it is left; the rest follows at the task's end.
+Spark deals the runs into ranges of (language, phrase), so that a prefix lies in one partition, or in several if it is
+frequent, and merges them there by adding up equal phrases.
 
 A candidate's score is that of its lowest-scoring cut, floor(1000 * a * n / (l * r)), in 38-digit whole numbers; its parts'
 counts are joined from the tables of shorter phrases. Candidates inside a longer one that is as frequent are dropped: it is
@@ -22,6 +24,7 @@ tasks. Equal scores and counts are ranked by phrase in byte order. An empty tabl
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import reduce
 from itertools import chain
@@ -40,6 +43,9 @@ LONGEST, MIN_COUNT, TOP, COVER_PERCENT = 5, 100, 2000, 100
 BURST, ENTRIES, RUN_ROWS = 4096, 400_000, 50_000
 FILTER_BITS = 1 << 26
 DIGIT = 2**32 - 1
+#: Phrases whose buckets a task holds before it sends their counts, bits of a bucket's number within its range, and bytes of texts worked on
+#: together there: few enough that their numbers stay in the processor's cache.
+HELD, RANGE_BITS, CHUNK = 4_000_000, 20, 256_000
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -149,42 +155,72 @@ def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
 
 
+class Texts:
+    """The words of some texts, lower-cased and with their languages, and the phrases in them that may be frequent."""
+
+    def __init__(self, langs: list[str], data: np.ndarray, offsets: np.ndarray):
+        self.data = LOWER[data]
+        self.words = Words(self.data, offsets, GAP)
+        edge = np.concatenate([BREAK[self.data], [False]])
+        self.piece = np.cumsum(edge)[self.words.starts] + np.repeat(np.arange(len(langs)), self.words.count)  # grows at breaks and texts
+        self.names, which = np.unique(np.array(langs, object), return_inverse=True)
+        by_text = np.array([language_hash(name) for name in self.names], np.uint64)[which]
+        self.language, self.which = np.repeat(by_text, self.words.count), np.repeat(which, self.words.count)
+
+    def phrases(self, longest: int, bits: np.ndarray | None, known: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(size, first words, hashes) by size, without phrases with a part of up to ``known`` words that ``bits`` rules out."""
+        count, before = len(self.words.starts), None
+        for size in range(1, min(longest, count) + 1):
+            holds = self.piece[: count - size + 1] == self.piece[size - 1 :]
+            if before is not None:
+                holds &= before[:-1] & before[1:]
+            at = np.flatnonzero(holds)
+            hashes = phrase_hashes(self.words.hashes, size, self.language)[at]
+            if size <= known:
+                may = _has(bits, hashes)
+                holds[at[~may]] = False
+                at, hashes = at[may], hashes[may]
+            before = holds
+            yield size, at, hashes
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The index of one of each equal values, in their order, and their number."""
+    order = np.argsort(values)
+    ordered = values[order]
+    edge = np.flatnonzero(np.concatenate([np.ones(min(1, len(values)), bool), ordered[1:] != ordered[:-1]]))
+    return order[edge], np.diff(edge, append=len(values))
+
+
 class PhraseCounter:
     """A task's HAT-trie with its languages and words, both numbered as they come."""
 
-    def __init__(self, size: int, bits: np.ndarray | None, burst: int, entries: int):
-        self.size, self.bits, self.burst, self.limit = size, bits, burst, entries
+    def __init__(self, longest: int, bits: np.ndarray, burst: int, entries: int):
+        self.longest, self.bits, self.burst, self.limit = longest, bits, burst, entries
+        self.totals: Counter[str] = Counter()
         self._clear()
 
     def _clear(self) -> None:
         self.trie, self.langs, self.lang_names, self.ids, self.words = HatTrie(self.burst), {}, [], {}, [b""]  # no word has number 0
 
     def add(self, langs: list[str], data: np.ndarray, offsets: np.ndarray) -> None:
-        lowered = LOWER[data]
-        words = Words(lowered, offsets, GAP)
-        size, count = self.size, len(words.starts)
-        if count < size:
+        texts = Texts(langs, data, offsets)
+        for name, n in zip(texts.names.tolist(), np.bincount(texts.which, minlength=len(texts.names)).tolist(), strict=True):
+            if n:
+                self.totals[name] += n
+        found = []
+        for size, at, hashes in texts.phrases(self.longest, self.bits, self.longest):
+            one, times = _distinct(hashes)
+            found.append((size, at[one], times))
+        if not found or not len(found[0][1]):  # every longer phrase starts with a word that is left
             return
-        edge = np.concatenate([BREAK[lowered], [False]])
-        piece = np.cumsum(edge)[words.starts] + np.repeat(np.arange(len(langs)), words.count)  # grows at breaks and texts
-        names, which = np.unique(np.array(langs, object), return_inverse=True)
-        by_text = np.array([language_hash(name) for name in names], np.uint64)[which]
-        language = np.repeat(by_text, words.count)
-        holds = piece[: count - size + 1] == piece[size - 1 :]
-        if self.bits is not None:
-            part = _has(self.bits, phrase_hashes(words.hashes, size - 1, language))
-            holds &= part[:-1] & part[1:]
-        at = np.flatnonzero(holds)
-        if not len(at):
-            return
-        _, first, times = np.unique(phrase_hashes(words.hashes, size, language)[at], return_index=True, return_counts=True)
-        at = at[first]
-        numbers = self._numbers(words, lowered, at)
-        lang_ids = np.array([self._language(name) for name in names])[np.repeat(which, words.count)[at]]
-        rests = np.zeros(len(at), np.int64 if size <= 2 else object)
-        for j in range(1, size):
-            rests |= numbers[at + j].astype(rests.dtype) << 32 * (j - 1)
-        self.trie.add((lang_ids << 32 | numbers[at]).tolist(), rests.tolist(), times.tolist())
+        numbers = self._numbers(texts, found[0][1])
+        lang_ids = np.array([self._language(name) for name in texts.names])
+        for size, at, times in found:
+            rests = np.zeros(len(at), np.int64 if size <= 2 else object)
+            for j in range(1, size):
+                rests |= numbers[at + j].astype(rests.dtype) << 32 * (j - 1)
+            self.trie.add((lang_ids[texts.which[at]] << 32 | numbers[at]).tolist(), rests.tolist(), times.tolist())
 
     def _language(self, name: str) -> int:
         if name not in self.langs:
@@ -192,20 +228,18 @@ class PhraseCounter:
             self.lang_names.append(name)
         return self.langs[name]
 
-    def _numbers(self, words: Words, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The number of each word that stands in a phrase starting at ``at``."""
-        used = np.unique((at[:, None] + np.arange(self.size)).ravel())
-        own, first, inverse = np.unique(words.hashes[used], return_index=True, return_inverse=True)
-        known, text = list(map(self.ids.get, own.tolist())), data.tobytes()
-        starts, ends = words.starts[used[first]].tolist(), words.ends[used[first]].tolist()
+    def _numbers(self, texts: Texts, at: np.ndarray) -> np.ndarray:
+        """The number of each word that is equal to one of those ``at`` some places; 0 for the others."""
+        words, data = texts.words, texts.data.tobytes()
+        own, first = np.unique(words.hashes[at], return_index=True)
+        ids = list(map(self.ids.get, own.tolist()))
+        starts, ends = words.starts[at[first]].tolist(), words.ends[at[first]].tolist()
         for i, h in enumerate(own.tolist()):
-            if known[i] is None:
-                known[i] = self.ids[h] = len(self.words)
-                self.words.append(text[starts[i] : ends[i]])
-        ids = np.array(known, np.int64)
-        out = np.zeros(len(words.hashes), np.int64)
-        out[used] = ids[inverse]
-        return out
+            if ids[i] is None:
+                ids[i] = self.ids[h] = len(self.words)
+                self.words.append(data[starts[i] : ends[i]])
+        place = np.minimum(np.searchsorted(own, words.hashes), len(own) - 1)
+        return np.where(own[place] == words.hashes, np.array(ids, np.int64)[place], 0)
 
     def runs(self, last: bool = False) -> Iterator[pa.RecordBatch]:
         """Whole subtrees as sorted runs once the trie is full; all of it, if this is the last call."""
@@ -214,10 +248,7 @@ class PhraseCounter:
         words, langs, phrases, counts = self.words, [], [], []
         for head, subtree in self.trie.spill(0 if last or len(words) > 4 * self.limit else self.limit // 2):
             first, lang = words[head & DIGIT], self.lang_names[head >> 32]
-            if self.size == 2:
-                run = sorted([(b"%b %b" % (first, words[rest]), n) for rest, n in subtree])
-            else:
-                run = sorted([(b" ".join([first, *_words(rest, words)]), n) for rest, n in subtree])
+            run = sorted([(b" ".join([first, *_words(rest, words)]), n) for rest, n in subtree])
             langs += [lang] * len(run)
             phrases += [phrase for phrase, _ in run]
             counts += [n for _, n in run]
@@ -239,18 +270,79 @@ def _run_batch(langs: list[str], phrases: list[bytes], counts: list[int]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
 
 
-def _runs(size: int, sent: Broadcast | None, burst: int, entries: int):
+def _runs(longest: int, sent: Broadcast, burst: int, entries: int):
+    """(lang, phrase, n): runs of the phrases that may be frequent; the empty phrase counts all words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PhraseCounter(size, sent.value if sent else None, burst, entries)
+        counter = PhraseCounter(longest, sent.value, burst, entries)
         for batch in batches:
             for own, data, offsets in chunks(batch, 1):
                 counter.add(own.column(0).to_pylist(), data, offsets)
                 yield from counter.runs()
         yield from counter.runs(True)
+        yield _run_batch(list(counter.totals), [b""] * len(counter.totals), list(counter.totals.values()))
+
+    return run
+
+
+def _range_batch(buckets: list[np.ndarray]) -> pa.RecordBatch:
+    """One row for each range that has some of the buckets, with these in order and how often each occurs."""
+    ordered = np.sort(np.concatenate(buckets))
+    edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    own, times = ordered[edge], np.diff(edge, append=len(ordered)).astype(np.uint32)
+    ranges, first = np.unique(own >> np.uint32(RANGE_BITS), return_index=True)
+    ends = pa.py_buffer((np.append(first, len(own)) * 4).astype(np.int32))
+    blobs = [pa.Array.from_buffers(pa.binary(), len(ranges), [None, ends, pa.py_buffer(column)]) for column in (own, times)]
+    return pa.RecordBatch.from_arrays([pa.array(ranges.astype(np.int32)), *blobs], ["range", "buckets", "times"])
+
+
+def _bucket_rows(first: int, last: int, sent: Broadcast | None):
+    """(range, buckets, times) of the phrases of ``first`` to ``last`` words whose shorter parts may be frequent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, held, count = sent.value if sent else None, [], 0
+        for batch in batches:
+            for own, data, offsets in chunks(batch, 1, CHUNK):
+                for size, _, hashes in Texts(own.column(0).to_pylist(), data, offsets).phrases(last, bits, first - 1):
+                    if size >= first:
+                        held.append((hashes & np.uint64(DIGIT)).astype(np.uint32))
+                        count += len(hashes)
+                if count >= HELD:
+                    yield _range_batch(held)
+                    held, count = [], 0
+        if count:
+            yield _range_batch(held)
+
+    return run
+
+
+def _frequent_buckets(min_count: int, bits: int):
+    """(word, bit), as in ``_slots``, of the buckets that reach ``min_count``; rows come sorted by range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, times = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            more = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).astype(np.uint64) for i in (1, 2)]
+            both = np.sort(np.concatenate([own << np.uint64(32) | np.minimum(times, np.uint64(DIGIT)), more[0] << np.uint64(32) | more[1]]))
+            buckets = both >> np.uint64(32)
+            edge = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
+            own, times = buckets[edge], np.add.reduceat(both & np.uint64(DIGIT), edge)
+            done = int(np.searchsorted(own, np.uint64(batch.column(0)[-1].as_py() << RANGE_BITS)))  # the last range may go on
+            yield _bits_batch(own[:done][times[:done] >= min_count], bits)
+            own, times = own[done:], times[done:]
+        yield _bits_batch(own[times >= min_count], bits)
 
     return run
 
 
+def _bits_batch(hashes: np.ndarray, bits: int) -> pa.RecordBatch:
+    slot = hashes % np.uint64(bits)
+    columns = [(slot >> np.uint64(6)).astype(np.int64), (np.uint64(1) << (slot & np.uint64(63))).view(np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "bit"])
+
+
 def _slots(size: int, bits: int):
     """(word, bit): the place of each phrase in the bitmap, as a 64-bit word's number and the word with that one bit."""
 
@@ -260,39 +352,55 @@ def _slots(size: int, bits: int):
                 words = Words(data, offsets, GAP)
                 names, which = np.unique(np.array(own.column(0).to_pylist(), object), return_inverse=True)
                 language = np.array([language_hash(name) for name in names], np.uint64)[which]
-                slot = phrase_hashes(words.hashes, size, np.repeat(language, words.count))[words.first] % np.uint64(bits)
-                columns = [(slot >> np.uint64(6)).astype(np.int64), (np.uint64(1) << (slot & np.uint64(63))).view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "bit"])
+                yield _bits_batch(phrase_hashes(words.hashes, size, np.repeat(language, words.count))[words.first], bits)
 
     return run
 
 
-def filter_of(phrases: DataFrame, size: int, bits: int = FILTER_BITS) -> np.ndarray:
-    """The bitmap of a length's frequent phrases (lang, phrase, ...); at most ``bits`` / 8 bytes come to the driver."""
+def _bitmap(slots: DataFrame, bits: int) -> np.ndarray:
     out = np.zeros(bits // 64, np.uint64)
-    words = phrases.select("lang", "phrase").mapInArrow(_slots(size, bits), "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+    words = slots.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
     out[words["word"].to_numpy()] = words["bit"].to_numpy().view(np.uint64)
     return out
 
 
+def filter_of(phrases: DataFrame, size: int, bits: int = FILTER_BITS) -> np.ndarray:
+    """The bitmap of given phrases (lang, phrase, ...) of a length; at most ``bits`` / 8 bytes come to the driver."""
+    return _bitmap(phrases.select("lang", "phrase").mapInArrow(_slots(size, bits), "word long, bit long"), bits)
+
+
+def frequent_filter(texts: DataFrame, min_count: int, longest: int, work: WorkTables, bits: int = FILTER_BITS) -> np.ndarray:
+    """The bitmap of the buckets of phrases up to ``longest`` words that reach ``min_count``."""
+    if bits < 64 or bits & (bits - 1) or bits > DIGIT:
+        raise ValueError("bits must be a power of two from 64 to 2^31")
+    spark, out = texts.sparkSession, np.zeros(bits // 64, np.uint64)
+    for first, last in [(1, 2), (3, 3), *((size, size + 1) for size in range(4, longest + 1, 2))]:
+        if first > longest:
+            break
+        last = min(last, longest)
+        sent = spark.sparkContext.broadcast(out) if first > 1 else None
+        counts = texts.mapInArrow(_bucket_rows(first, last, sent), "range int, buckets binary, times binary").repartition("range").sortWithinPartitions("range")
+        found = work.put(counts.mapInArrow(_frequent_buckets(min_count, bits), "word long, bit long"), "buckets")
+        out = out | _bitmap(found, bits)
+        work.drop(found)
+        if sent is not None:
+            sent.unpersist()
+    return out
+
+
 def count_phrases(texts: DataFrame, min_count: int, longest: int, work: WorkTables, burst: int = BURST, entries: int = ENTRIES, bits: int = FILTER_BITS) -> tuple[DataFrame, list[DataFrame]]:
     """(lang, n) of all words, and per length the (lang, phrase, f) of the phrases with f >= ``min_count``.
 
     ``texts`` is (lang, text) without nulls.
     """
-    totals, frequent, sent = None, [], None
-    for size in range(1, longest + 1):
-        runs = work.put(texts.mapInArrow(_runs(size, sent, burst, entries), "lang string, phrase string, n long"), "runs", compression="zstd")
-        if totals is None:
-            totals = work.put(runs.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-        merged = runs.repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-        frequent.append(work.put(merged.filter(F.col("f") >= min_count), "frequent"))
-        work.drop(runs)
-        if sent is not None:
-            sent.unpersist()
-        if size < longest:
-            sent = texts.sparkSession.sparkContext.broadcast(filter_of(frequent[-1], size, bits))
-    return totals, frequent
+    sent = texts.sparkSession.sparkContext.broadcast(frequent_filter(texts, min_count, longest, work, bits))
+    runs = work.put(texts.mapInArrow(_runs(longest, sent, burst, entries), "lang string, phrase string, n long"), "runs", compression="zstd")
+    sent.unpersist()
+    totals = work.put(runs.filter("phrase = ''").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    merged = runs.filter("phrase <> ''").repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+    frequent = work.put(merged.filter(F.col("f") >= min_count).withColumn("size", F.size(F.split("phrase", " "))), "frequent")
+    work.drop(runs)
+    return totals, [frequent.filter(F.col("size") == size).drop("size") for size in range(1, longest + 1)]
 
 
 def scored(totals: DataFrame, frequent: list[DataFrame], cover_percent: int, work: WorkTables) -> DataFrame:
