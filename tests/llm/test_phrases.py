@@ -150,3 +150,21 @@ def test_tries_get_no_rare_phrases(spark, monkeypatch):
     assert [f.count() for f in frequent[1:]] == [2, 1, 0, 0] and sum(runs) <= frequent[0].count() + 3 + 1
     with pytest.raises(ValueError, match="power of two"):
         op11_phrases.frequent_filter(docs(spark, rows).select("lang", "text"), 30, 5, work, bits=100)
+
+
+def test_frequent_phrases_are_sent_by_few_tasks(spark, monkeypatch):
+    """The runs grow with the tries' tasks, not with the partitions of the texts."""
+    work, put, runs = WorkTables(spark), WorkTables.put, []
+
+    def counting(self, df, name="t", **options):
+        out = put(self, df, name, **options)
+        if name == "runs":
+            runs.append(out.count())
+        return out
+
+    monkeypatch.setattr(WorkTables, "put", counting)
+    texts = spark.createDataFrame([("en", "new york city")] * 400, "lang string, text string").repartition(40)
+    _, frequent = op11_phrases.count_phrases(texts, 100, 5, work)
+    assert [[r.f for r in f.collect()] for f in frequent] == [[400] * 3, [400] * 2, [400], [], []]
+    assert runs[0] <= op11_phrases.trie_tasks(40, spark.sparkContext.defaultParallelism) * 7 < 40 * 7
+    assert [op11_phrases.trie_tasks(*x) for x in ((0, 4), (8, 6), (32, 6), (1900, 6), (100, 200))] == [1, 8, 12, 119, 100]

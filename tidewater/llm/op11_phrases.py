@@ -6,7 +6,8 @@ reaches ``min_count``, and buckets that do leave a bitmap of ``FILTER_BITS`` bit
 counted in steps (1 and 2, 3, 4 and 5, ...): a step skips phrases with a part that the bitmap of the steps before it rules
 out. The bitmap never hides a frequent phrase; where it is crowded, more rare ones are counted and then dropped.
 
-Then the phrases of all lengths that the bitmap leaves are counted exactly. A task holds those of its texts in a HAT-trie: a
+Then the phrases of all lengths that the bitmap leaves are counted exactly. Since a frequent phrase is in most tasks, each
+of which sends its count, up to ``JOINED`` partitions share a task. A task holds the phrases of its texts in a HAT-trie: a
 shallow trie over word ids (the first with its language) whose leaves are hash containers; a container that outgrows
 ``BURST`` entries bursts into a node with one container per next word. When the trie holds ``ENTRIES`` phrases, its largest
 subtrees are spilled whole, each as a run sorted by words, until half of it is left; the rest follows at the task's end.
@@ -46,6 +47,8 @@ DIGIT = 2**32 - 1
 #: Phrases whose buckets a task holds before it sends their counts, bits of a bucket's number within its range, and bytes of texts worked on
 #: together there: few enough that their numbers stay in the processor's cache.
 HELD, RANGE_BITS, CHUNK = 4_000_000, 20, 256_000
+#: Partitions of texts that one trie counts at most.
+JOINED = 16
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -388,13 +391,19 @@ def frequent_filter(texts: DataFrame, min_count: int, longest: int, work: WorkTa
     return out
 
 
+def trie_tasks(partitions: int, cores: int) -> int:
+    """Twice as many as there are cores, or as many as hold ``JOINED`` partitions each."""
+    return max(1, min(partitions, max(2 * cores, -(-partitions // JOINED))))
+
+
 def count_phrases(texts: DataFrame, min_count: int, longest: int, work: WorkTables, burst: int = BURST, entries: int = ENTRIES, bits: int = FILTER_BITS) -> tuple[DataFrame, list[DataFrame]]:
     """(lang, n) of all words, and per length the (lang, phrase, f) of the phrases with f >= ``min_count``.
 
     ``texts`` is (lang, text) without nulls.
     """
     sent = texts.sparkSession.sparkContext.broadcast(frequent_filter(texts, min_count, longest, work, bits))
-    runs = work.put(texts.mapInArrow(_runs(longest, sent, burst, entries), "lang string, phrase string, n long"), "runs", compression="zstd")
+    joined = texts.coalesce(trie_tasks(texts.rdd.getNumPartitions(), texts.sparkSession.sparkContext.defaultParallelism))
+    runs = work.put(joined.mapInArrow(_runs(longest, sent, burst, entries), "lang string, phrase string, n long"), "runs", compression="zstd")
     sent.unpersist()
     totals = work.put(runs.filter("phrase = ''").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     merged = runs.filter("phrase <> ''").repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
