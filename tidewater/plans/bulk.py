@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewater.config import BulkConfig, DecodeOptions
 from tidewater.operators.files import remove_path
 from tidewater.operators.normalize import normalize_export
-from tidewater.operators.upsert import upsert
+from tidewater.operators.upsert import PASS_BYTES, upsert
 from tidewater.plans.batch import deep_repair, logged, looked_up, staged_options
 from tidewater.session import apply_job_conf, checkpoint_dir
 from tidewater.sources.changes import read_export
-from tidewater.sources.lookup import follow_files
+from tidewater.sources.lookup import follow_files, lookup_bytes
 
 
 def _decoded(lines: DataFrame, cfg: BulkConfig, load_time: int | None, opts: DecodeOptions) -> DataFrame:
@@ -46,6 +46,19 @@ def run_bulk(spark: SparkSession, cfg: BulkConfig, lines: DataFrame | None = Non
         rows = logged(spark, rows, cfg.change_log, f"bulk-{cfg.table_name}", cfg.run_id, cfg.decode, again)
         if cfg.target is None:
             return
+    if cfg.lookup is not None and cfg.lookup.multi == "array" and cfg.target.layout == "buckets":
+        # One row for each row given, so the key check needs no lookup: staged first, looked up on the way into the target.
+        upsert(
+            spark,
+            rows,
+            cfg.target,
+            batch_id=cfg.run_id,
+            run_key="bulk",
+            repair=deep_repair(cfg.decode, again),
+            lookup=lambda rows: _looked_up(rows, cfg),
+            pass_bytes=max(PASS_BYTES, lookup_bytes(spark, cfg.lookup.path)),
+        )
+        return
     upsert(
         spark,
         _looked_up(rows, cfg, f"{work}/rows"),

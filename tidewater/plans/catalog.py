@@ -21,7 +21,7 @@ from tidewater.operators.views import typed_view
 from tidewater.plans import feeds
 from tidewater.plans.batch import apply_change_batch, deep_repair, stage_changes, staged_options
 from tidewater.plans.bulk import run_bulk
-from tidewater.session import apply_job_conf, scratch_path
+from tidewater.session import apply_job_conf, scratch_path, shuffles_dropped
 from tidewater.sinks.changelog import read_change_log, write_change_log
 from tidewater.streaming.job import run_stream
 from tidewater.sources.lookup import prepare_lookup
@@ -208,8 +208,9 @@ def _linked(rows: DataFrame) -> DataFrame:
 def bulk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bulk job with its lookup option, over export files and a prepared lookup table."""
     export, pages = (scratch_path(spark, "queries", name) for name in ("linked-export", "pages"))
-    feeds.export_lines(spark, sf_dir, with_link=True).write.text(f"{export}/data")
-    feeds.page_lookup(spark, sf_dir).write.parquet(pages)
+    with shuffles_dropped(spark):
+        feeds.export_lines(spark, sf_dir, with_link=True).write.text(f"{export}/data", compression="gzip")
+        feeds.page_lookup(spark, sf_dir).write.parquet(pages, compression="zstd")
     cfg = BulkConfig(
         export_path=export,
         table_name=feeds.EXPORT_TABLE,
