@@ -16,7 +16,7 @@ from tidewater.operators.enrich import enrich
 from tidewater.operators.latest import latest_per_key
 from tidewater.operators.normalize import normalize_changes, normalize_export
 from tidewater.operators.deltas import compact
-from tidewater.operators.upsert import live_rows, read_target, upsert
+from tidewater.operators.upsert import PASS_BYTES, live_rows, read_target, upsert
 from tidewater.operators.views import typed_view
 from tidewater.plans import feeds
 from tidewater.plans.batch import apply_change_batch, deep_repair, stage_changes, staged_options
@@ -188,7 +188,7 @@ def bulk_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = lambda rows: enrich(rows, feeds.page_lookup(spark, sf_dir), "array")
     rows = decoded(feeds.export_lines(spark, sf_dir, with_link=True), staged_options(None))
     apply_job_conf(spark)
-    upsert(spark, linked(rows), target, batch_id=BULK_RUN_ID, run_key="bulk", repair=deep_repair(None, decoded, linked))
+    upsert(spark, rows, target, batch_id=BULK_RUN_ID, run_key="bulk", repair=deep_repair(None, decoded), lookup=linked, pass_bytes=max(PASS_BYTES, feeds.table_bytes(spark, sf_dir, "pages")))
     return _linked(read_target(spark, target))
 
 

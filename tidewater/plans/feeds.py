@@ -36,10 +36,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def table_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
+    return folder_bytes(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def pieces(spark: SparkSession, sf_dir: str, name: str) -> int:
     """The number of tasks a feed made of a table is dealt over: the session's cores, or more by the table's bytes."""
-    size = folder_bytes(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return max(spark.sparkContext.defaultParallelism, -(-size // PIECE_BYTES))
+    return max(spark.sparkContext.defaultParallelism, -(-table_bytes(spark, sf_dir, name) // PIECE_BYTES))
 
 
 def spread(df: DataFrame, key: str, number: int) -> DataFrame:
