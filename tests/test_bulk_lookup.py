@@ -154,6 +154,13 @@ def test_fan_out_to_rows_is_still_refused(spark, tmp_dir):
         run_bulk(spark, rows)
 
 
+def test_repeated_key_is_still_refused(spark, tmp_dir):
+    cfg = config(spark, tmp_dir, "twice", [0, 1, 2, 1])
+    with pytest.raises(ValueError, match="several rows"):
+        run_bulk(spark, cfg)
+    assert read_target(spark, cfg.target).count() == 0
+
+
 def test_target_of_deltas_takes_its_lookup(spark, tmp_dir):
     target = TargetConfig(path=f"{tmp_dir}/target", buckets=2, with_lookup=True, layout="deltas")
     run_bulk(spark, config(spark, tmp_dir, "deltas", range(10), target=target))
